@@ -22,7 +22,7 @@ def positive(name: str) -> Column:
 
 
 def has_text(name: str) -> Column:
-    """Key predicate on the untrimmed value: a key of blanks passes."""
+    """Key predicate on the untrimmed value: a key of blanks passes, NULL does not."""
     return F.col(name) != ""
 
 

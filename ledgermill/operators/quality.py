@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping
+from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -12,6 +13,7 @@ from ledgermill.functions import ntz
 
 WARN_AFTER_HOURS, ERROR_AFTER_HOURS = 36, 72
 HASH_LENGTH = 64
+PARALLEL_CHECKS = 4
 
 
 def duplicates(df: DataFrame, column: str) -> DataFrame:
@@ -78,17 +80,19 @@ class ChecksFailed(RuntimeError):
 def run_checks(
     spark: SparkSession, checks: Mapping[str, Callable[[], bool]], raise_on_failure: bool = True
 ) -> DataFrame:
-    """Run all checks and report ``(check, ok, detail)``.
+    """Run all checks, a few at a time, and report ``(check, ok, detail)``.
 
     A check that raises counts as failed and does not stop the others.
     """
-    results = []
-    for name, check in checks.items():
+
+    def run(check: Callable[[], bool]) -> tuple[bool, str | None]:
         try:
-            ok, detail = bool(check()), None
+            return bool(check()), None
         except Exception as error:
-            ok, detail = False, str(error)[:1000]
-        results.append((name, ok, detail))
+            return False, str(error)[:1000]
+
+    with ThreadPoolExecutor(PARALLEL_CHECKS) as pool:
+        results = [(name, *verdict) for name, verdict in zip(checks, pool.map(run, checks.values()))]
     report = spark.createDataFrame(results, "check string, ok boolean, detail string")
     failed = [name for name, ok, _ in results if not ok]
     if failed and raise_on_failure:

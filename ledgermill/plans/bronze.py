@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 
 from ledgermill import schemas
 from ledgermill.functions import ntz, required, to_seconds
-from ledgermill.sources.files import read_csv
+from ledgermill.sources.files import CsvSource
 from ledgermill.sources.lake import Lake, path_exists
 from ledgermill.sources.mappings import (
     MAPPINGS,
@@ -193,6 +193,7 @@ def run_bronze(
 
 def load_sources(spark: SparkSession, csv_folder: str, target_folder: str) -> None:
     """Replace the Parquet copies of the six source tables by the CSV extracts."""
-    extracts = {m: read_csv(spark, f"{csv_folder}/{m.source_table}.csv", m.source_schema) for m in MAPPINGS}
-    for mapping, rows in extracts.items():
-        rows.write.mode("overwrite").parquet(f"{target_folder}/{mapping.source_table}")
+    source = CsvSource(spark, csv_folder)
+    extracts = [(m.source_table, source.table(m)) for m in MAPPINGS]
+    for name, rows in extracts:
+        rows.write.mode("overwrite").parquet(f"{target_folder}/{name}")

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
+from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
 from datetime import datetime
 
@@ -22,6 +23,16 @@ from ledgermill.sources.seeds import risk_mcc_codes
 SHUFFLE_PARTITION_BYTES = 128 * 1024 * 1024
 PARQUET_EXPANSION = 4
 """Shuffled rows are wider than the compressed columns they were read from."""
+PARALLEL_JOBS = 4
+
+
+def _side_by_side(work: Callable[[Table], object], tables: list[Table]) -> None:
+    """Independent tables as concurrent Spark jobs: one job's tail no longer leaves the cluster idle."""
+    if tables:
+        with ThreadPoolExecutor(PARALLEL_JOBS) as pool:
+            running = [pool.submit(work, table) for table in tables]
+        for job in running:
+            job.result()
 
 
 class Warehouse:
@@ -54,14 +65,14 @@ class Warehouse:
 
     @contextmanager
     def _shuffles_for(self, tables: Iterable[str]) -> Iterator[None]:
-        """Raise the number of shuffle partitions to what the stored inputs call for.
+        """Raise the number of shuffle partitions to what the largest stored input calls for.
 
         Adaptive execution merges small partitions but starts from this number; too few of them
         would spill at any size of cluster.
         """
         setting = "spark.sql.shuffle.partitions"
         before = self.spark.conf.get(setting)
-        size = sum(self.lake.size_in_bytes(t) for t in tables)
+        size = max((self.lake.size_in_bytes(t) for t in tables), default=0)
         wanted = -(-size * PARQUET_EXPANSION // SHUFFLE_PARTITION_BYTES)
         self.spark.conf.set(setting, str(max(int(before), wanted)))
         try:
@@ -69,11 +80,17 @@ class Warehouse:
         finally:
             self.spark.conf.set(setting, before)
 
-    def build(self, table: Table, run_ts: datetime) -> None:
-        with self._shuffles_for(table.reads):
+    def build(self, tables: Iterable[Table], run_ts: datetime) -> None:
+        """Build tables that do not read one another."""
+        tables = list(tables)
+
+        def one(table: Table) -> None:
             rows = table.build(*[self.read(t) for t in table.reads], run_ts)
             self.lake.replace(rows, table.name, table.sort, table.month_of)
 
+        with self._shuffles_for({name for t in tables for name in t.reads}):
+            _side_by_side(one, tables)
+
     def load_seed(self, csv_path: str | None = None) -> None:
         codes = read_csv(self.spark, csv_path, schemas.RISK_MCC_CODES) if csv_path else risk_mcc_codes(self.spark)
         self.lake.replace(codes.coalesce(1), SEED)
@@ -134,15 +151,13 @@ class Warehouse:
         gold_tables = [t for t in chosen if t not in SILVER]
 
         self.load_seed(seed_csv)
-        for table in silver_tables:
-            self.build(table, run_ts)
+        self.build(silver_tables, run_ts)
         if test_before_snapshot and not skip_test:
             self.test(silver_tables)
         self.snapshot(run_ts)
         if not test_before_snapshot and not skip_test:
             self.test(silver_tables)
-        for table in gold_tables:
-            self.build(table, run_ts)
+        self.build(gold_tables, run_ts)
         if not skip_test:
             self.test(gold_tables)
 
