@@ -23,13 +23,14 @@ def _parser() -> argparse.ArgumentParser:
         if source:
             sub.add_argument("--source", choices=("jdbc", "csv", "parquet"), default="jdbc")
             sub.add_argument("--source-dir", help="folder of a csv or parquet source")
+            sub.add_argument("--chunk-size", type=int, default=2000, help="rows per fetch from a database")
         return sub
 
     sources = command("load-sources", "CSV extracts to Parquet source tables, replacing them")
     sources.add_argument("--data-dir", required=True)
     bronze = command("bronze", "load raw tables", source=True)
     bronze.add_argument("--mapping", action="append", default=[], help="mapping or target table; repeatable")
-    bronze.add_argument("--full-refresh", action="store_true")
+    bronze.add_argument("--full-refresh", "--replace-table", action="store_true")
     transform = command("transform", "build silver, history and gold")
     transform.add_argument("--select", action="append", default=[], help="tag:<layer>, layer.table or table")
     pipeline = command("pipeline", "load, build, test and verify", source=True)
@@ -45,7 +46,7 @@ def _parser() -> argparse.ArgumentParser:
 
 def _source(spark, args):
     if args.source == "jdbc":
-        return JdbcSource(spark)
+        return JdbcSource(spark, fetch_size=args.chunk_size)
     if not args.source_dir:
         raise SystemExit(f"--source-dir is required for a {args.source} source")
     return {"csv": CsvSource, "parquet": ParquetSource}[args.source](spark, args.source_dir)

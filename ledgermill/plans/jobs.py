@@ -86,7 +86,7 @@ class Warehouse:
 
         def one(table: Table) -> None:
             rows = table.build(*[self.read(t) for t in table.reads], run_ts)
-            self.lake.replace(rows, table.name, table.sort, table.month_of)
+            self.lake.replace(rows, table.name, table.sort, table.month_of, table.by_month)
 
         with self._shuffles_for({name for t in tables for name in t.reads}):
             _side_by_side(one, tables)

@@ -20,6 +20,8 @@ class Table:
     reads: tuple[str, ...]
     sort: tuple[str, ...]
     month_of: str | None = None
+    by_month: bool = False
+    """The rows come from the month folders of an input without a shuffle in between."""
     key: str | None = None
     """Column that must be unique and not null."""
     rules: tuple[tuple[str, Callable[[DataFrame], DataFrame]], ...] = ()
@@ -96,6 +98,7 @@ GOLD: tuple[Table, ...] = (
         ("silver.fact_transaction", "reference.risk_mcc_codes"),
         ("trx_date", "customer_id", "trx_id"),
         month_of="trx_date",
+        by_month=True,
     ),
 )
 

@@ -8,7 +8,7 @@ overwrites files it reads. One writer per table at a time.
 from __future__ import annotations
 
 import tempfile
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
@@ -59,37 +59,46 @@ class Lake:
 
     def _numbers(self, table: str) -> list[int]:
         names = list_names(self.spark, self.path(table))
-        return sorted(int(n[2:]) for n in names if n.startswith("v="))
+        return [int(n[2:]) for n in names if n.startswith("v=")]
 
     def _folder(self, table: str, number: int) -> str:
         return f"{self.path(table)}/v={number:08d}"
 
+    def _committed(self, table: str, newest_first: bool = False) -> Iterator[str]:
+        for number in sorted(self._numbers(table), reverse=newest_first):
+            folder = self._folder(table, number)
+            if path_exists(self.spark, folder + "/_SUCCESS"):
+                yield folder
+
     def versions(self, table: str) -> list[str]:
         """Folders of the committed versions, oldest first."""
-        folders = [self._folder(table, n) for n in self._numbers(table)]
-        return [f for f in folders if path_exists(self.spark, f + "/_SUCCESS")]
+        return list(self._committed(table))
+
+    def current(self, table: str) -> str | None:
+        return next(self._committed(table, newest_first=True), None)
 
     def exists(self, table: str) -> bool:
-        return bool(self.versions(table))
+        return self.current(table) is not None
 
     def _next(self, table: str) -> str:
         return self._folder(table, max(self._numbers(table), default=0) + 1)
 
     def size_in_bytes(self, table: str) -> int:
         """Bytes of the current version, from the file listing."""
-        if not self.exists(table):
+        folder = self.current(table)
+        if folder is None:
             return 0
-        fs, folder = _fs(self.spark, self.versions(table)[-1])
-        return fs.getContentSummary(folder).getLength()
+        fs, hadoop_path = _fs(self.spark, folder)
+        return fs.getContentSummary(hadoop_path).getLength()
 
     # -- reads ---------------------------------------------------------------------------------
 
     def read(self, table: str, schema: T.StructType | None = None) -> DataFrame:
         """The current version; with a schema, a table never written reads as empty."""
-        versions = self.versions(table)
-        if versions:
+        folder = self.current(table)
+        if folder:
             reader = self.spark.read.schema(schema) if schema else self.spark.read
-            return reader.parquet(versions[-1]).drop(MONTH)
+            return reader.parquet(folder).drop(MONTH)
         if schema is None:
             raise FileNotFoundError(f"table {table} does not exist under {self.root}")
         return self.spark.createDataFrame([], schema)
@@ -98,7 +107,7 @@ class Lake:
         """Rows of a month-partitioned table by date range; opens the folders of those months only."""
         months = F.col(MONTH).between(first.year * 100 + first.month, last.year * 100 + last.month)
         days = F.col(day).between(F.lit(first), F.lit(last))
-        return self.spark.read.parquet(self.versions(table)[-1]).filter(months & days).drop(MONTH)
+        return self.spark.read.parquet(self.current(table)).filter(months & days).drop(MONTH)
 
     def read_history(self, table: str, only_open: bool = False) -> DataFrame:
         """Open versions of the last run, and all versions closed by it or by an earlier run."""
@@ -113,14 +122,24 @@ class Lake:
 
     # -- writes --------------------------------------------------------------------------------
 
-    def replace(self, df: DataFrame, table: str, sort: Sequence[str] = (), month_of: str | None = None) -> None:
+    def replace(
+        self,
+        df: DataFrame,
+        table: str,
+        sort: Sequence[str] = (),
+        month_of: str | None = None,
+        by_month: bool = False,
+    ) -> None:
         """A new version, sorted inside each file and, with ``month_of``, split into month folders.
 
         ``rebalance`` brings the rows of a month together and lets adaptive execution cut a large
         month into files of the advisory size; hashing by month alone would give it to one task.
+        ``by_month`` says that the tasks hold rows of few months already, so no shuffle is needed.
         """
         if month_of:
-            df = df.withColumn(MONTH, month_key(month_of)).hint("rebalance", F.col(MONTH))
+            df = df.withColumn(MONTH, month_key(month_of))
+            if not by_month:
+                df = df.hint("rebalance", F.col(MONTH))
             df = df.sortWithinPartitions(MONTH, *sort)
         elif sort:
             df = df.sortWithinPartitions(*sort)
@@ -129,10 +148,9 @@ class Lake:
 
     def append(self, df: DataFrame, table: str, sort: Sequence[str] = ()) -> None:
         """Add rows to the current version, or start the first one."""
-        versions = self.versions(table)
         if sort:
             df = df.sortWithinPartitions(*sort)
-        df.write.mode("append").parquet(versions[-1] if versions else self._next(table))
+        df.write.mode("append").parquet(self.current(table) or self._next(table))
 
     def write_history(self, changes: DataFrame, table: str, sort: Sequence[str] = ()) -> None:
         """One run's open and newly closed versions; what earlier runs closed is not rewritten."""

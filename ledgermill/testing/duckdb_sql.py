@@ -307,7 +307,7 @@ STATEMENTS: dict[str, str] = {
     "newest_state_row": """
         SELECT * FROM load_state WHERE mapping_name = '1-URGENT'
         ORDER BY updated_at DESC, watermark_value DESC LIMIT 1""",
-    "incremental_slice": "SELECT r.* FROM payments_transactions_raw r, mark WHERE r.trx_id > mark.high",
+    "incremental_slice": "SELECT * FROM payments_transactions_raw WHERE trx_id > (SELECT high FROM mark)",
     "anti_join_slice": """
         SELECT account_id, customer_id, product_type, currency, balance, opened_date, closed_date, status
         FROM core_accounts_raw a WHERE NOT EXISTS (SELECT 1 FROM card_cards_raw k WHERE k.account_id = a.account_id)""",

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from uuid import uuid4
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ledgermill.operators import latest_per_key, quality
@@ -161,17 +161,16 @@ def load_observation(t: TestTables) -> DataFrame:
     warehouse, source = _scratch(t), BoundSource(t)
     for full_refresh in (False, False, True):
         warehouse.run_bronze(source, ["transactions"], full_refresh)
-    trail = warehouse.read(bronze.AUDIT)
-    earlier = trail.select(F.col("started_at").alias("before"))
-    return (
-        trail.join(earlier, F.col("before") <= F.col("started_at"))
-        .groupBy("run_id", "mapping_name", "target_table", "load_mode", "status", "rows_loaded")
-        .agg(
-            F.count(F.lit(1)).cast("int").alias("attempt"),
-            F.first("last_watermark").alias("last_watermark"),
-            F.first("new_watermark").alias("new_watermark"),
-        )
-        .drop("run_id")
+    order = Window.partitionBy("mapping_name").orderBy("started_at")
+    return warehouse.read(bronze.AUDIT).select(
+        F.row_number().over(order).alias("attempt"),
+        "mapping_name",
+        "target_table",
+        "load_mode",
+        "status",
+        "rows_loaded",
+        "last_watermark",
+        "new_watermark",
     )
 
 
