@@ -33,7 +33,7 @@ HEADLINE = (
     "pipeline_operations_dashboard",
     "bronze_load",
     "stored_fact_transaction",
-    "pipeline_run",
+    "warehouse_build",
 )
 
 

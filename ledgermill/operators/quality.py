@@ -8,8 +8,9 @@ from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from ledgermill.functions import ntz
+from ledgermill.functions import literal_frame, ntz
 
 WARN_AFTER_HOURS, ERROR_AFTER_HOURS = 36, 72
 HASH_LENGTH = 64
@@ -93,7 +94,7 @@ def run_checks(
 
     with ThreadPoolExecutor(PARALLEL_CHECKS) as pool:
         results = [(name, *verdict) for name, verdict in zip(checks, pool.map(run, checks.values()))]
-    report = spark.createDataFrame(results, "check string, ok boolean, detail string")
+    report = literal_frame(spark, results, T.StructType.fromDDL("check string, ok boolean, detail string"))
     failed = [name for name, ok, _ in results if not ok]
     if failed and raise_on_failure:
         raise ChecksFailed(report, failed)

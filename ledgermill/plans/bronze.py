@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgermill import schemas
-from ledgermill.functions import ntz, required, to_seconds
+from ledgermill.functions import empty_frame, literal_frame, ntz, required, to_seconds
 from ledgermill.sources.files import CsvSource
 from ledgermill.sources.lake import Lake, path_exists
 from ledgermill.sources.mappings import (
@@ -75,14 +75,14 @@ class ControlTables:
 
     def _append(self, table: str, schema: T.StructType, row: dict) -> None:
         stored = T.StructType([f for f in schema if f.name != "mapping_name"])
-        values = [tuple(row.get(f.name) for f in stored)]
+        values = [row.get(f.name) for f in stored]
         folder = f"{self.lake.path(table)}/mapping_name={row['mapping_name']}"
-        self.spark.createDataFrame(values, stored).coalesce(1).write.mode("append").parquet(folder)
+        literal_frame(self.spark, [values], stored).write.mode("append").parquet(folder)
 
     def read(self, table: str) -> DataFrame:
         schema = schemas.LOAD_STATE if table == STATE else schemas.LOAD_AUDIT
         if not path_exists(self.spark, self.lake.path(table)):
-            return self.spark.createDataFrame([], schema)
+            return empty_frame(self.spark, schema)
         rows = self.spark.read.schema(schema).parquet(self.lake.path(table))
         return rows.select(*[f.name for f in schema])
 
@@ -170,6 +170,8 @@ def load_mapping(lake: Lake, source, mapping: Mapping, full_refresh: bool = Fals
             new = high
         if new is not None and new != last:
             control.write_watermark(mapping, new)
+        if full_refresh:
+            lake.drop_old_versions(mapping.target_table)
     except Exception as error:
         audit("failed", str(error)[:MAX_ERROR_TEXT])
         raise

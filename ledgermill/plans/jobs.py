@@ -87,6 +87,7 @@ class Warehouse:
         def one(table: Table) -> None:
             rows = table.build(*[self.read(t) for t in table.reads], run_ts)
             self.lake.replace(rows, table.name, table.sort, table.month_of, table.by_month)
+            self.lake.drop_old_versions(table.name)
 
         with self._shuffles_for({name for t in tables for name in t.reads}):
             _side_by_side(one, tables)
@@ -94,6 +95,7 @@ class Warehouse:
     def load_seed(self, csv_path: str | None = None) -> None:
         codes = read_csv(self.spark, csv_path, schemas.RISK_MCC_CODES) if csv_path else risk_mcc_codes(self.spark)
         self.lake.replace(codes.coalesce(1), SEED)
+        self.lake.drop_old_versions(SEED)
 
     def snapshot(self, run_ts: datetime) -> None:
         """Record customer history; only the open versions of the last run are read."""

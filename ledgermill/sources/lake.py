@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgermill.functions import month_key
+from ledgermill.functions import empty_frame, month_key
 
 MONTH = "ym"
 OPEN = "is_open"
@@ -38,7 +38,7 @@ def list_names(spark: SparkSession, path: str) -> list[str]:
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors share, as named by the session; a local one only in local mode."""
-    configured = spark.conf.get("spark.checkpoint.dir", None)
+    configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if configured:
         return configured
     if not spark.sparkContext.master.startswith("local"):
@@ -101,7 +101,7 @@ class Lake:
             return reader.parquet(folder).drop(MONTH)
         if schema is None:
             raise FileNotFoundError(f"table {table} does not exist under {self.root}")
-        return self.spark.createDataFrame([], schema)
+        return empty_frame(self.spark, schema)
 
     def read_days(self, table: str, day: str, first: date, last: date) -> DataFrame:
         """Rows of a month-partitioned table by date range; opens the folders of those months only."""
@@ -112,13 +112,15 @@ class Lake:
     def read_history(self, table: str, only_open: bool = False) -> DataFrame:
         """Open versions of the last run, and all versions closed by it or by an earlier run."""
         versions = self.versions(table)
+        if not versions:
+            raise FileNotFoundError(f"table {table} does not exist under {self.root}")
         folders = [f"{versions[-1]}/{OPEN}=true"]
         if not only_open:
             folders += [f"{v}/{OPEN}=false" for v in versions]
         present = [f for f in folders if path_exists(self.spark, f)]
         # a run may leave no version open or close none; the schema comes from what is there
         schema = self.spark.read.parquet(versions[0]).drop(OPEN).schema
-        return self.spark.read.schema(schema).parquet(*present) if present else self.spark.createDataFrame([], schema)
+        return self.spark.read.schema(schema).parquet(*present) if present else empty_frame(self.spark, schema)
 
     # -- writes --------------------------------------------------------------------------------
 
@@ -158,7 +160,13 @@ class Lake:
         changes.sortWithinPartitions(OPEN, *sort).write.partitionBy(OPEN).parquet(self._next(table))
 
     def drop_old_versions(self, table: str, keep: int = 2) -> None:
-        """Free the space of replaced versions. Not for history tables, whose versions are all in use."""
-        for folder in self.versions(table)[:-keep]:
-            fs, hadoop_path = _fs(self.spark, folder)
-            fs.delete(hadoop_path, True)
+        """Free the space of replaced versions, and of runs that died before the oldest one kept.
+
+        Not for history tables, whose versions are all in use.
+        """
+        kept = self.versions(table)[-keep:]
+        for number in self._numbers(table):
+            folder = self._folder(table, number)
+            if kept and folder < kept[0]:
+                fs, hadoop_path = _fs(self.spark, folder)
+                fs.delete(hadoop_path, True)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ledgermill.functions import literal_frame
 from ledgermill.schemas import RISK_MCC_CODES
 
 # Merchant category codes with their risk weight in percent.
@@ -22,4 +23,4 @@ RISK_MCC_ROWS = [
 
 
 def risk_mcc_codes(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(RISK_MCC_ROWS, RISK_MCC_CODES)
+    return literal_frame(spark, RISK_MCC_ROWS, RISK_MCC_CODES)

@@ -327,7 +327,7 @@ STATEMENTS: dict[str, str] = {
             source_system FROM mobile_app_events_raw""",
     "stored_fact_transaction": "SELECT * FROM fact_transaction",
     "stored_customer_history": "SELECT * FROM customer_scd2",
-    "pipeline_run": _counts(),
+    "warehouse_build": _counts(),
     "dq_unique": """
         SELECT card_id, count(*) AS n_records FROM card_cards_raw
         WHERE card_id IS NOT NULL GROUP BY card_id HAVING count(*) > 1""",

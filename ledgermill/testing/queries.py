@@ -201,7 +201,7 @@ def stored_customer_history(t: TestTables) -> DataFrame:
 
 
 @_register
-def pipeline_run(t: TestTables) -> DataFrame:
+def warehouse_build(t: TestTables) -> DataFrame:
     """The whole pipeline into a new warehouse, then the row count of every stored table."""
     warehouse = _scratch(t)
     warehouse.run_pipeline(BoundSource(t), AS_OF)

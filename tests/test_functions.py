@@ -1,8 +1,19 @@
 from datetime import datetime
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from ledgermill.functions import blank_to_null, hash_pii, has_text, month_key, ntz, positive, to_seconds
+from ledgermill.functions import (
+    blank_to_null,
+    empty_frame,
+    has_text,
+    hash_pii,
+    literal_frame,
+    month_key,
+    ntz,
+    positive,
+    to_seconds,
+)
 
 
 def test_blank_to_null_trims_spaces_only(spark):
@@ -34,3 +45,13 @@ def test_time_helpers_ignore_the_session_zone(spark):
             assert row == (moment, moment.replace(microsecond=0), 202403)
     finally:
         spark.conf.set("spark.sql.session.timeZone", zone)
+
+
+def test_literal_frames(spark):
+    schema = T.StructType.fromDDL("k int, s string, t timestamp_ntz, n bigint")
+    given = [(1, "it's", datetime(2024, 1, 2, 3, 4, 5, 6), None), (2, None, None, 7)]
+    df = literal_frame(spark, given, schema)
+    assert [tuple(r) for r in df.collect()] == given
+    for frame in (df, literal_frame(spark, [], schema), empty_frame(spark, schema)):
+        assert frame.dtypes == [(f.name, f.dataType.simpleString()) for f in schema]
+    assert empty_frame(spark, schema).isEmpty()

@@ -159,11 +159,17 @@ def test_risk_codes_match_as_untrimmed_text(spark):
 def test_reference_beyond_the_bound_is_not_broadcast(spark, monkeypatch):
     fact = silver.fact_transaction(raw(spark, "transactions", {"posting_date": DAY}), RUN)
     codes = risk_mcc_codes(spark)
-    small = gold.mcc_risk_enriched(fact, codes, RUN)
-    monkeypatch.setattr(lookup, "MAX_BROADCAST_ROWS", 3)
-    large = gold.mcc_risk_enriched(fact, codes, RUN)
-    assert "BroadcastHashJoin" in plan(small) and "BroadcastHashJoin" not in plan(large)
-    assert rows(small) == rows(large)
+    setting = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(setting)
+    spark.conf.set(setting, "-1")  # leave the choice to the hint
+    try:
+        small = gold.mcc_risk_enriched(fact, codes, RUN)
+        monkeypatch.setattr(lookup, "MAX_BROADCAST_ROWS", 3)
+        large = gold.mcc_risk_enriched(fact, codes, RUN)
+        assert "BroadcastHashJoin" in plan(small) and "SortMergeJoin" in plan(large)
+        assert rows(small) == rows(large)
+    finally:
+        spark.conf.set(setting, before)
 
 
 def runs(*entries):
