@@ -10,8 +10,10 @@ from ledgermill.sources.mappings import Mapping
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """A header CSV with a declared schema; an empty field is NULL and a bad one fails the job.
+    """A header CSV with a declared schema; a bad field fails the job.
 
+    An empty field is NULL and a quoted empty field an empty text. By default Spark reads both as
+    NULL, since both equal its null text; no field equals the one set here.
     Quotes inside a field are doubled, as in JSON columns; without ``escape='"'`` Spark would split
     such a field at its commas and shift the columns after it.
     """
@@ -24,6 +26,8 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
         .option("enforceSchema", False)
         .option("quote", '"')
         .option("escape", '"')
+        .option("nullValue", "\u0000")
+        .option("emptyValue", "")
         .option("mode", "FAILFAST")
         .csv(path)
     )

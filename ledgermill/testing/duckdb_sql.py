@@ -325,6 +325,10 @@ STATEMENTS: dict[str, str] = {
     "bronze_load": f"""
         SELECT {_SOURCE_COLUMNS} REPLACE (date_trunc('second', event_time) AS event_time),
             source_system FROM mobile_app_events_raw""",
+    "incremental_load": "SELECT * EXCLUDE (load_dttm) FROM payments_transactions_raw",
+    "csv_extract_load": f"""
+        SELECT {_SOURCE_COLUMNS} REPLACE (date_trunc('second', event_time) AS event_time),
+            source_system FROM mobile_app_events_raw""",
     "stored_fact_transaction": "SELECT * FROM fact_transaction",
     "stored_customer_history": "SELECT * FROM customer_scd2",
     "warehouse_build": _counts(),

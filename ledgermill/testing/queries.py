@@ -12,7 +12,7 @@ from ledgermill.operators import latest_per_key, quality
 from ledgermill.plans import bronze, gold, silver
 from ledgermill.plans.jobs import Warehouse, open_warehouse
 from ledgermill.plans.tables import GOLD, HISTORY, SILVER
-from ledgermill.sources import MAPPINGS, risk_mcc_codes, select_mappings, shared_dir
+from ledgermill.sources import MAPPINGS, CsvSource, Mapping, risk_mcc_codes, select_mappings, shared_dir
 from ledgermill.testing.bindings import (
     AS_OF,
     BoundSource,
@@ -181,6 +181,38 @@ def bronze_load(t: TestTables) -> DataFrame:
     return warehouse.read("bronze.mobile_app_events_raw").drop("load_dttm")
 
 
+class _Earlier:
+    """A source as it was when its highest key was ``mark``."""
+
+    def __init__(self, source: BoundSource, mark: int):
+        self.source, self.mark = source, mark
+
+    def table(self, mapping: Mapping, watermark: object = None) -> DataFrame:
+        return self.source.table(mapping).filter(F.col(mapping.watermark) <= self.mark)
+
+
+@_register
+def incremental_load(t: TestTables) -> DataFrame:
+    """A first load up to the stored mark and a second of what came after it: together every row once."""
+    warehouse, source = _scratch(t), BoundSource(t)
+    mark = int(newest_state_row(t).first()["watermark_value"])
+    for state in (_Earlier(source, mark), source):
+        warehouse.run_bronze(state, ["transactions"])
+    return warehouse.read("bronze.payments_transactions_raw").drop("load_dttm")
+
+
+@_register
+def csv_extract_load(t: TestTables) -> DataFrame:
+    """Events as a CSV extract, with JSON in a quoted column, loaded into the raw table."""
+    (events,) = select_mappings(["mobile_events"])
+    folder = f"{shared_dir(t.spark)}/ledgermill-{uuid4().hex}"
+    as_extract = {"header": True, "escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    BoundSource(t).table(events).write.options(**as_extract).csv(f"{folder}/{events.source_table}.csv")
+    warehouse = _scratch(t)
+    warehouse.run_bronze(CsvSource(t.spark, folder), [events.name])
+    return warehouse.read(events.target_table).drop("load_dttm")
+
+
 @_register
 def stored_fact_transaction(t: TestTables) -> DataFrame:
     """Written in month folders, sorted, and read back over its whole date range."""

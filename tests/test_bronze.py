@@ -5,12 +5,12 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
-from helpers import BY_NAME, source
+from helpers import BY_NAME, rows, source
 from ledgermill.plans import bronze
 from ledgermill.plans.jobs import open_warehouse
 from ledgermill.sources import MAPPINGS, CsvSource, ParquetSource, select_mappings
 from ledgermill.sources.mappings import format_watermark, parse_watermark
-from ledgermill.sources.relational import bounds_query, connection_options, range_predicates
+from ledgermill.sources.relational import JdbcSource, bounds_query, connection_options, range_predicates
 
 
 class Fixed:
@@ -207,6 +207,15 @@ def test_csv_extracts(spark, tmp_path, warehouse):
     assert target(warehouse, "core_accounts").first()["balance"] == Decimal("12.50")
 
 
+def test_csv_tells_empty_text_from_null(spark, tmp_path, warehouse):
+    write_extracts(tmp_path)
+    lines = ['1,"",,"  ",,,x,,', "2,Bob,,,,,,,"]
+    (tmp_path / "customers.csv").write_text("\n".join([HEADERS["customers"], *lines]) + "\n", encoding="utf-8")
+    load(warehouse, CsvSource(spark, str(tmp_path)), "crm_customers")
+    out = target(warehouse, "crm_customers").select("customer_id", "full_name", "phone", "email", "city", "segment")
+    assert rows(out) == [(1, "", None, "  ", None, "x"), (2, "Bob", None, None, None, None)]
+
+
 def test_load_sources_replaces_and_feeds_a_load(spark, tmp_path, warehouse):
     write_extracts(tmp_path)
     for _ in range(2):
@@ -248,3 +257,28 @@ def test_key_ranges_cover_every_row_once(spark):
 def test_bounds_are_every_nth_key(spark):
     spark.range(1, 11).selectExpr("id AS k").createOrReplaceTempView("numbered")
     assert [r.k for r in spark.sql(bounds_query("numbered", "k", "k > 2", 3)).collect()] == [5, 8]
+
+
+class ViewSource(JdbcSource):
+    """Answers the split queries from a temporary view instead of a database."""
+
+    def _query(self, system, sql):
+        return self.spark.sql(sql).collect()
+
+
+@pytest.mark.parametrize(("mark", "expected"), [(None, 10), (400, 6)])
+def test_splits_hold_equal_numbers_of_rows(spark, mark, expected):
+    keys = spark.range(1, 1001).selectExpr("if(id <= 500, id, id * 1000) AS trx_id")  # half the keys far apart
+    keys.createOrReplaceTempView("transactions")
+    parts = ViewSource(spark, rows_per_split=100)._splits(BY_NAME["transactions"], mark)
+    assert len(parts) == expected + 1  # the last range waits for rows that arrive meanwhile
+    new = bronze.above(keys, "trx_id", mark)
+    counts = [new.filter(p).count() for p in parts]
+    assert sum(counts) == new.count() and set(counts[:-1]) == {100}
+
+
+def test_small_and_huge_tables_bound_the_number_of_splits(spark):
+    spark.range(1000).selectExpr("cast(id AS string) AS session_id").createOrReplaceTempView("app_sessions")
+    sessions = BY_NAME["mobile_sessions"]
+    assert ViewSource(spark)._splits(sessions, None) == ["1 = 1"]
+    assert len(ViewSource(spark, rows_per_split=1, max_splits=4)._splits(sessions, "100")) <= 5
