@@ -66,7 +66,11 @@ def bounds_query(table: str, key: str, where: str, step: int) -> str:
 
 
 class JdbcSource:
-    """Reads mapping tables with one task per ``rows_per_split`` rows, at most ``max_splits`` tasks."""
+    """Reads mapping tables in key ranges of ``rows_per_split`` rows, at most ``max_splits`` of them.
+
+    However large the cluster, it opens at most ``max_connections`` connections at a time: a task
+    reads its ranges one after the other.
+    """
 
     def __init__(
         self,
@@ -75,9 +79,11 @@ class JdbcSource:
         fetch_size: int = 2000,
         rows_per_split: int = 1_000_000,
         max_splits: int = 10_000,
+        max_connections: int = 64,
     ):
         self.spark, self.options, self.fetch_size = spark, options, fetch_size
         self.rows_per_split, self.max_splits = rows_per_split, max_splits
+        self.max_connections = max_connections
 
     def _query(self, system: str, sql: str) -> list:
         return self.spark.read.format("jdbc").options(**self.options(system)).option("query", sql).load().collect()
@@ -94,9 +100,10 @@ class JdbcSource:
 
     def table(self, mapping: Mapping, watermark: Any = None) -> DataFrame:
         options = self.options(mapping.system)
-        return self.spark.read.jdbc(
+        rows = self.spark.read.jdbc(
             url=options["url"],
             table=mapping.source_table,
             predicates=self._splits(mapping, watermark),
             properties={**options, "fetchsize": str(self.fetch_size), "preferTimestampNTZ": "true"},
         )
+        return rows.coalesce(self.max_connections)
