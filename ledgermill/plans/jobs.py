@@ -98,12 +98,17 @@ class Warehouse:
         self.lake.drop_old_versions(SEED)
 
     def snapshot(self, run_ts: datetime) -> None:
-        """Record customer history; only the open versions of the last run are read."""
+        """Record customer history; only the open versions of the last run are read.
+
+        A customer id that two source systems share would open two versions, and more with every
+        run: such a dimension is refused.
+        """
+        customers = self.read("silver.dim_customer")
         with self._shuffles_for(["silver.dim_customer", HISTORY]):
+            if not quality.duplicates(customers, "customer_id").isEmpty():
+                raise ValueError("silver.dim_customer holds several rows per customer_id; no snapshot taken")
             before = self.lake.read_history(HISTORY, only_open=True) if self.lake.exists(HISTORY) else None
-            changes = history_changes(
-                before, self.read("silver.dim_customer"), "customer_id", CUSTOMER_CHECK_COLUMNS, run_ts
-            )
+            changes = history_changes(before, customers, "customer_id", CUSTOMER_CHECK_COLUMNS, run_ts)
             self.lake.write_history(changes, HISTORY, ("customer_id",))
 
     # -- checking ------------------------------------------------------------------------------

@@ -1,3 +1,4 @@
+from collections import Counter
 from datetime import datetime, timedelta
 from decimal import Decimal
 
@@ -112,6 +113,33 @@ def test_merge_adds_no_exchange(spark, tmp_path):
     assert "Exchange" not in above_union
 
 
+def test_a_hot_account_is_split(spark, tmp_path):
+    """One account holds a third of the cards: its join partition is read by several tasks."""
+    accounts = stored(spark, tmp_path, "a", spark.range(20_000).selectExpr("concat('A', id) AS account_id", "id % 90 AS customer_id"))
+    owned = spark.range(0, 600_000, 1, 8).selectExpr("id AS card_id", "concat('A', if(id % 3 = 0, 7, id % 20000)) AS account_id")
+    cards = stored(spark, tmp_path, "c", owned)
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "128k",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+    }
+    before = {name: spark.conf.get(name) for name in settings}
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    try:
+        out = gold.cards_by_customer(accounts, cards)
+        got = {r.customer_id: r.card_count for r in out.collect()}
+        assert "skew=true" in plan(out)
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+    rest = [i for i in range(600_000) if i % 3]
+    expected = Counter((i % 20000) % 90 for i in rest)
+    expected[7] += 200_000
+    assert got == expected
+
+
 def test_daily_summary(spark):
     df = raw(
         spark,

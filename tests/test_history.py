@@ -1,6 +1,7 @@
 from collections import defaultdict
 from datetime import datetime, timedelta
 
+import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
@@ -129,6 +130,14 @@ def test_stored_history_does_not_rewrite_closed_versions(spark, tmp_path):
     assert (1, "c", RUN + timedelta(1), None) in spans(warehouse) and len(spans(warehouse)) == 4
 
 
+def test_ambiguous_customers_are_refused(spark, tmp_path):
+    warehouse = open_warehouse(spark, str(tmp_path))
+    snapshot(warehouse, T0, {"segment": "a"})
+    with pytest.raises(ValueError, match="several rows per customer_id"):
+        snapshot(warehouse, T1, {"segment": "a"}, {"segment": "b", "source_system": "two"})
+    assert spans(warehouse) == [(1, "a", T0, None)]
+
+
 def test_interrupted_snapshot_leaves_the_last_one(spark, tmp_path):
     warehouse = open_warehouse(spark, str(tmp_path))
     snapshot(warehouse, T0, {"segment": "a"})
