@@ -10,7 +10,6 @@ import json
 import os
 import statistics
 import sys
-import tempfile
 import time
 from pathlib import Path
 
@@ -45,8 +44,6 @@ def main() -> None:
     extra = {"spark.driver.memory": os.environ.get("BENCH_MEMORY", "16g")}
     spark = build_session(f"local[{cpus}]", int(cpus), **extra)
     spark.sparkContext.setLogLevel("ERROR")
-    if not spark.conf.get("spark.checkpoint.dir", None):
-        spark.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="bench-"))
 
     seconds = {}
     for name in only.split(",") if only else HEADLINE:

@@ -10,6 +10,7 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ledgermill import schemas
 from ledgermill.functions import ntz
@@ -30,22 +31,29 @@ class TestTables:
 
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self.folder = spark, folder
+        self._files: dict[str, DataFrame] = {}
 
     def parquet(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        """Each file's schema is looked up once."""
+        if name not in self._files:
+            self._files[name] = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        return self._files[name]
 
     def raw(self, target: str) -> DataFrame:
         return _SHAPES[target](self)
 
 
+def _shaped(df: DataFrame, schema: T.StructType, columns: dict[str, str]) -> DataFrame:
+    """Project SQL expressions onto a schema; a column not given is NULL."""
+    return df.selectExpr(
+        *[f"CAST({columns.get(f.name, 'NULL')} AS {f.dataType.simpleString()}) AS {f.name}" for f in schema]
+    )
+
+
 def _raw(df: DataFrame, target: str, loaded: str, **columns: str) -> DataFrame:
-    """Project SQL expressions onto the raw schema; a column not given is NULL."""
     mapping = BY_TARGET[target]
-    constants = {"source_system": f"'{mapping.source_system}'", "load_dttm": loaded}
-    given = {**columns, **constants}
-    return df.select(
-        *[F.expr(given.get(f.name, "NULL")).cast(f.dataType).alias(f.name) for f in mapping.raw_schema]
-    )
+    provenance = {"source_system": f"'{mapping.source_system}'", "load_dttm": loaded}
+    return _shaped(df, mapping.raw_schema, {**columns, **provenance})
 
 
 def _at(moment: datetime) -> str:
@@ -184,8 +192,7 @@ def load_audit(t: TestTables) -> DataFrame:
         finished_at="ts",
         duration_ms="0",
     )
-    columns = [F.expr(given.get(f.name, "NULL")).cast(f.dataType).alias(f.name) for f in schemas.LOAD_AUDIT]
-    return t.parquet("events").select(*columns)
+    return _shaped(t.parquet("events"), schemas.LOAD_AUDIT, given)
 
 
 def load_state(t: TestTables) -> DataFrame:
@@ -196,8 +203,7 @@ def load_state(t: TestTables) -> DataFrame:
         watermark_type="'int'",
         updated_at="o_orderdate",
     )
-    columns = [F.expr(given[f.name]).cast(f.dataType).alias(f.name) for f in schemas.LOAD_STATE]
-    return t.parquet("orders").select(*columns)
+    return _shaped(t.parquet("orders"), schemas.LOAD_STATE, given)
 
 
 class BoundSource:
