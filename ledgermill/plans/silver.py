@@ -20,7 +20,7 @@ def _cleaned(raw: DataFrame, keep: Column, key: str, columns: Mapping[str, Colum
     ``columns`` lists the output in order; ``None`` passes a raw column through. The filter comes
     before the dedup, so a rejected row never hides an accepted one.
     """
-    body = [(F.col(name) if value is None else value).alias(name) for name, value in columns.items()]
+    body = [F.col(name) if value is None else value.alias(name) for name, value in columns.items()]
     rows = raw.filter(keep).select(*body, "source_system", F.col("load_dttm").alias("bronze_loaded_at"))
     newest = latest_per_key(rows, (key, "source_system"), "bronze_loaded_at")
     return newest.withColumn("updated_at", ntz(run_ts))

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from helpers import BY_NAME, rows, source
-from ledgermill.plans import bronze
+from ledgermill.plans import bronze, silver
 from ledgermill.plans.jobs import open_warehouse
 from ledgermill.sources import MAPPINGS, CsvSource, ParquetSource, select_mappings
 from ledgermill.sources.mappings import format_watermark, parse_watermark
@@ -107,6 +107,18 @@ def test_null_in_a_required_column_fails_the_load(spark, warehouse):
     assert load(warehouse, trx(spark, 1, 2)) == 1
 
 
+def test_a_crash_between_data_and_state_is_repaired_by_the_next_run(spark, warehouse, monkeypatch):
+    given = trx(spark, 1, 2, 3, posting_date=datetime(2024, 1, 5).date())
+    with monkeypatch.context() as broken:
+        broken.setattr(bronze.ControlTables, "write_watermark", lambda *_: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            load(warehouse, given)
+    assert trail(warehouse)[-1][1:3] == ("failed", 3)
+    assert load(warehouse, given) == 3
+    assert target(warehouse).count() == 6
+    assert silver.fact_transaction(target(warehouse), datetime(2024, 1, 31)).count() == 3
+
+
 def test_one_failure_does_not_stop_the_other_loads(spark, warehouse):
     class Mixed:
         def table(self, mapping, watermark=None):

@@ -3,6 +3,8 @@ from datetime import datetime, timedelta
 from decimal import Decimal
 
 import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
 
 from helpers import DAY, RUN, T0, T1, audit, frame, plan, raw, rows
 from ledgermill import schemas
@@ -97,6 +99,56 @@ def test_activity_metrics(spark):
     assert row.failed_event_count == 1
 
 
+def by_hand(accounts, cards, amounts, sessions, events):
+    """Zero-padded branches merged by max, computed row by row."""
+    branches = []
+    for customer in {c for c, _ in accounts.values()}:
+        owned = [(b, [k for k, at in cards if at == a] or [None]) for (a, _), (c, b) in accounts.items() if c == customer]
+        joined = [(b, k) for b, ks in owned for k in ks]
+        seen = {k for _, k in joined if k is not None}
+        branches.append((customer, (len(joined), len(seen), sum(b for b, _ in joined), 0, 0, 0, 0)))
+    for customer in {c for c, _ in amounts}:
+        own = [a for c, a in amounts if c == customer]
+        branches.append((customer, (0, 0, 0, len(own), sum(own), 0, 0)))
+    for customer in set(sessions):
+        branches.append((customer, (0, 0, 0, 0, 0, sessions.count(customer), 0)))
+    for customer in {c for c, _ in events}:
+        branches.append((customer, (0, 0, 0, 0, 0, 0, sum(1 for c, good in events if c == customer and not good))))
+    merged = {}
+    for customer, metrics in branches:
+        merged[customer] = tuple(map(max, merged.get(customer, metrics), metrics))
+    return merged
+
+
+ids = st.integers(1, 3)
+cents = st.integers(-3, 3)
+
+
+@settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(
+    accounts=st.dictionaries(st.tuples(st.sampled_from("ABC"), st.sampled_from("xy")), st.tuples(ids, cents), max_size=5),
+    cards=st.lists(st.tuples(st.integers(1, 4), st.sampled_from("ABCD")), max_size=6),
+    amounts=st.lists(st.tuples(ids, cents), max_size=4),
+    sessions=st.lists(ids, max_size=4),
+    events=st.lists(st.tuples(ids, st.booleans()), max_size=4),
+)
+def test_metrics_against_brute_force(spark, accounts, cards, amounts, sessions, events):
+    def small(rows, schema):
+        return spark.createDataFrame(rows, schema)
+
+    out = gold.customer_metrics(
+        small([(a, c, Decimal(b)) for (a, _), (c, b) in accounts.items()], "account_id string, customer_id int, balance decimal(18,2)"),
+        small(cards, "card_id bigint, account_id string"),
+        small([(c, Decimal(a), T0) for c, a in amounts], "customer_id int, amount decimal(18,2), trx_datetime timestamp_ntz"),
+        small([(c, T0, True) for c in sessions], "customer_id int, login_time timestamp_ntz, is_new_device boolean"),
+        small(events, "customer_id int, is_successful boolean"),
+    )
+    columns = ("account_count", "card_count", "total_balance", "trx_count", "trx_amount_total")
+    columns += ("session_count", "failed_event_count")
+    got = {r.customer_id: tuple(r[c] for c in columns) for r in out.collect()}
+    assert got == by_hand(accounts, cards, amounts, sessions, events)
+
+
 def stored(spark, tmp_path, name, df):
     df.write.parquet(str(tmp_path / name))
     return spark.read.parquet(str(tmp_path / name))
