@@ -21,8 +21,10 @@ from ledgermill.sources.mappings import MAPPINGS, Mapping
 from ledgermill.sources.seeds import risk_mcc_codes
 
 SHUFFLE_PARTITION_BYTES = 128 * 1024 * 1024
-PARQUET_EXPANSION = 4
-"""Shuffled rows are wider than the compressed columns they were read from."""
+PARQUET_EXPANSION = 2
+"""Shuffled rows are compressed too, but wider than the columns they were read from."""
+MAX_TASKS = 50_000
+SHUFFLE_TASKS, SCAN_BYTES = "spark.sql.shuffle.partitions", "spark.sql.files.maxPartitionBytes"
 PARALLEL_JOBS = 4
 
 
@@ -64,21 +66,24 @@ class Warehouse:
     # -- building ------------------------------------------------------------------------------
 
     @contextmanager
-    def _shuffles_for(self, tables: Iterable[str]) -> Iterator[None]:
-        """Raise the number of shuffle partitions to what the largest stored input calls for.
+    def _sized_for(self, tables: Iterable[str]) -> Iterator[None]:
+        """Fit the number of scan and shuffle tasks to the largest stored input.
 
-        Adaptive execution merges small partitions but starts from this number; too few of them
-        would spill at any size of cluster.
+        Adaptive execution merges small shuffle partitions but never raises their number, and too few
+        would spill at any size of cluster. Too many are no better: a shuffle has one block per pair
+        of tasks, so past ``MAX_TASKS`` the tasks grow instead.
         """
-        setting = "spark.sql.shuffle.partitions"
-        before = self.spark.conf.get(setting)
-        size = max((self.lake.size_in_bytes(t) for t in tables), default=0)
-        wanted = -(-size * PARQUET_EXPANSION // SHUFFLE_PARTITION_BYTES)
-        self.spark.conf.set(setting, str(max(int(before), wanted)))
+        conf, size = self.spark.conf, max((self.lake.size_in_bytes(t) for t in tables), default=0)
+        before = {name: conf.get(name) for name in (SHUFFLE_TASKS, SCAN_BYTES)}
+        wanted = min(MAX_TASKS, -(-size * PARQUET_EXPANSION // SHUFFLE_PARTITION_BYTES))
+        scan_bytes = self.spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(before[SCAN_BYTES])
+        conf.set(SHUFFLE_TASKS, str(max(int(before[SHUFFLE_TASKS]), wanted)))
+        conf.set(SCAN_BYTES, str(max(scan_bytes, -(-size // MAX_TASKS))))
         try:
             yield
         finally:
-            self.spark.conf.set(setting, before)
+            for name, value in before.items():
+                conf.set(name, value)
 
     def build(self, tables: Iterable[Table], run_ts: datetime) -> None:
         """Build tables that do not read one another."""
@@ -89,7 +94,7 @@ class Warehouse:
             self.lake.replace(rows, table.name, table.sort, table.month_of, table.by_month)
             self.lake.drop_old_versions(table.name)
 
-        with self._shuffles_for({name for t in tables for name in t.reads}):
+        with self._sized_for({name for t in tables for name in t.reads}):
             _side_by_side(one, tables)
 
     def load_seed(self, csv_path: str | None = None) -> None:
@@ -104,7 +109,7 @@ class Warehouse:
         run: such a dimension is refused.
         """
         customers = self.read("silver.dim_customer")
-        with self._shuffles_for(["silver.dim_customer", HISTORY]):
+        with self._sized_for(["silver.dim_customer", HISTORY]):
             if not quality.duplicates(customers, "customer_id").isEmpty():
                 raise ValueError("silver.dim_customer holds several rows per customer_id; no snapshot taken")
             before = self.lake.read_history(HISTORY, only_open=True) if self.lake.exists(HISTORY) else None

@@ -6,9 +6,9 @@ import pytest
 from helpers import RUN, plan, raw, rows
 from ledgermill.__main__ import main
 from ledgermill.operators.quality import ChecksFailed
-from ledgermill.plans import bronze, jobs, silver
+from ledgermill.plans import bronze, gold, jobs, silver
 from ledgermill.plans.jobs import open_warehouse
-from ledgermill.plans.tables import GOLD, HISTORY, SILVER, VIEW, select_tables
+from ledgermill.plans.tables import GOLD, HISTORY, SEED, SILVER, VIEW, select_tables
 from ledgermill.sources import Lake
 from ledgermill.sources.lake import shared_dir
 from ledgermill.testing.bindings import BoundSource, TestTables
@@ -70,6 +70,22 @@ def test_month_folders_are_pruned(built):
     assert "ym#" in plan(part).split("PartitionFilters")[1].split("]")[0]
 
 
+def test_filters_and_columns_reach_the_scan(built):
+    warehouse, _, _ = built
+    build = plan(silver.fact_transaction(warehouse.read("bronze.payments_transactions_raw"), RUN))
+    for pushed in ("GreaterThan(trx_id,0)", "GreaterThan(customer_id,0)", "Not(EqualTo(account_id,"):
+        assert pushed in build
+    daily = warehouse.read("silver.fact_transaction").groupBy("customer_id", "trx_date").agg({"amount": "sum"})
+    assert "ReadSchema: struct<customer_id:int,trx_date:date,amount:decimal(18,2)>" in plan(daily)
+
+
+def test_widening_mart_is_written_without_a_shuffle(built):
+    warehouse, _, _ = built
+    mart = gold.mcc_risk_enriched(warehouse.read("silver.fact_transaction"), warehouse.read(SEED), RUN)
+    assert "hashpartitioning" not in plan(mart)
+    assert [t.name for t in GOLD if t.by_month] == ["gold.mcc_risk_enriched_transactions"]
+
+
 def test_selection():
     assert [t.name for t in select_tables(["tag:gold"])] == [t.name for t in GOLD]
     assert [t.name for t in select_tables(["gold.customer_360", "dim_card"])] == ["silver.dim_card", "gold.customer_360"]
@@ -152,14 +168,22 @@ def test_one_large_month_is_split_into_files(spark, tmp_path):
     assert values == sorted(values)
 
 
-def test_shuffle_partitions_follow_the_stored_size(spark, tmp_path, monkeypatch):
+def test_tasks_follow_the_stored_size(spark, tmp_path, monkeypatch):
     warehouse = open_warehouse(spark, str(tmp_path))
     warehouse.lake.replace(silver.dim_customer(raw(spark, "crm_customers", {}), RUN), "silver.dim_customer")
-    setting, before = "spark.sql.shuffle.partitions", spark.conf.get("spark.sql.shuffle.partitions")
+    size = warehouse.lake.size_in_bytes("silver.dim_customer")
+    names = (jobs.SHUFFLE_TASKS, jobs.SCAN_BYTES)
+    before = [spark.conf.get(name) for name in names]
+    with warehouse._sized_for(["silver.dim_customer"]):  # small: as configured
+        assert spark.conf.get(names[0]) == before[0]
     monkeypatch.setattr(jobs, "SHUFFLE_PARTITION_BYTES", 64)
-    with warehouse._shuffles_for(["silver.dim_customer"]):
-        assert int(spark.conf.get(setting)) > int(before)
-    assert spark.conf.get(setting) == before
+    with warehouse._sized_for(["silver.dim_customer"]):  # large: more partitions
+        assert int(spark.conf.get(names[0])) == -(-2 * size // 64) > int(before[0])
+    monkeypatch.setattr(jobs, "MAX_TASKS", 9)
+    monkeypatch.setattr(warehouse.lake, "size_in_bytes", lambda _: 9 << 30)
+    with warehouse._sized_for(["silver.dim_customer"]):  # huge: larger tasks
+        assert [spark.conf.get(name) for name in names] == ["9", str(1 << 30)]
+    assert [spark.conf.get(name) for name in names] == before
 
 
 def test_shared_folder_is_the_one_the_session_names(spark):
