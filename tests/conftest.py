@@ -16,6 +16,7 @@ def spark(tmp_path_factory):
         **{
             "spark.checkpoint.dir": str(tmp_path_factory.mktemp("shared")),
             "spark.driver.memory": "8g",
+            "spark.sql.maxMetadataStringLength": "1000",
             "spark.sql.warehouse.dir": str(tmp_path_factory.mktemp("sql")),
         },
     )
