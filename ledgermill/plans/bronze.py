@@ -153,7 +153,7 @@ def load_mapping(lake: Lake, source, mapping: Mapping, full_refresh: bool = Fals
         by_key = mapping.strategy == "anti_join" and not full_refresh
         source_rows = source.table(mapping, None if by_key else last)
         if by_key:
-            loaded = lake.read(mapping.target_table, mapping.raw_schema)
+            loaded = lake.read(mapping.target_table, mapping.raw_schema, or_empty=True)
             source_rows = not_loaded(source_rows, mapping.watermark, loaded)
         else:
             source_rows = above(source_rows, mapping.watermark, last)

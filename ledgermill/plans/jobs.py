@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable, Iterator
 from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
-from datetime import datetime
+from datetime import date, datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,7 +14,7 @@ from ledgermill import schemas
 from ledgermill.operators import history_changes, quality
 from ledgermill.plans import bronze, gold
 from ledgermill.plans.silver import CUSTOMER_CHECK_COLUMNS
-from ledgermill.plans.tables import HISTORY, SEED, SILVER, VIEW, Table, select_tables
+from ledgermill.plans.tables import HISTORY, SCHEMAS, SEED, SILVER, VIEW, Table, select_tables
 from ledgermill.sources.files import read_csv
 from ledgermill.sources.lake import Lake
 from ledgermill.sources.mappings import MAPPINGS, Mapping
@@ -50,11 +50,16 @@ class Warehouse:
         if table in (bronze.STATE, bronze.AUDIT):
             return self.control.read(table)
         if table == HISTORY:
-            return self.lake.read_history(table)
+            return self.lake.read_history(table, schemas.CUSTOMER_SCD2)
         for mapping in self.registry:
             if table == mapping.target_table:
-                return self.lake.read(table, mapping.raw_schema)
-        return self.lake.read(table)
+                return self.lake.read(table, mapping.raw_schema, or_empty=True)
+        return self.lake.read(table, SCHEMAS[table])
+
+    def read_days(self, table: str, first: date, last: date) -> DataFrame:
+        """Rows of a month-partitioned table by date range; other months are not opened."""
+        (known,) = [t for t in select_tables([table]) if t.month_of]
+        return self.lake.read_days(known.name, known.schema, known.month_of, first, last)
 
     def dashboard(self, as_of: datetime | None = None) -> DataFrame:
         """The operations view, computed on read."""
@@ -112,7 +117,9 @@ class Warehouse:
         with self._sized_for(["silver.dim_customer", HISTORY]):
             if not quality.duplicates(customers, "customer_id").isEmpty():
                 raise ValueError("silver.dim_customer holds several rows per customer_id; no snapshot taken")
-            before = self.lake.read_history(HISTORY, only_open=True) if self.lake.exists(HISTORY) else None
+            before = None
+            if self.lake.exists(HISTORY):
+                before = self.lake.read_history(HISTORY, schemas.CUSTOMER_SCD2, only_open=True)
             changes = history_changes(before, customers, "customer_id", CUSTOMER_CHECK_COLUMNS, run_ts)
             self.lake.write_history(changes, HISTORY, ("customer_id",))
 

@@ -7,7 +7,9 @@ from dataclasses import dataclass
 from datetime import datetime
 
 from pyspark.sql import DataFrame
+from pyspark.sql import types as T
 
+from ledgermill import schemas
 from ledgermill.operators import quality
 from ledgermill.plans import gold, silver
 
@@ -15,6 +17,7 @@ from ledgermill.plans import gold, silver
 @dataclass(frozen=True)
 class Table:
     name: str
+    schema: T.StructType
     build: Callable[..., DataFrame]
     """Called with the frames of ``reads`` in order, then the run time."""
     reads: tuple[str, ...]
@@ -40,11 +43,33 @@ class Table:
 
 # Inputs, sort keys and month columns are the storage contract.
 SILVER: tuple[Table, ...] = (
-    Table("silver.dim_customer", silver.dim_customer, ("bronze.crm_customers_raw",), ("customer_id",), key="customer_id"),
-    Table("silver.dim_account", silver.dim_account, ("bronze.core_accounts_raw",), ("account_id",), key="account_id"),
-    Table("silver.dim_card", silver.dim_card, ("bronze.card_cards_raw",), ("card_id",), key="card_id"),
+    Table(
+        "silver.dim_customer",
+        schemas.DIM_CUSTOMER,
+        silver.dim_customer,
+        ("bronze.crm_customers_raw",),
+        ("customer_id",),
+        key="customer_id",
+    ),
+    Table(
+        "silver.dim_account",
+        schemas.DIM_ACCOUNT,
+        silver.dim_account,
+        ("bronze.core_accounts_raw",),
+        ("account_id",),
+        key="account_id",
+    ),
+    Table(
+        "silver.dim_card",
+        schemas.DIM_CARD,
+        silver.dim_card,
+        ("bronze.card_cards_raw",),
+        ("card_id",),
+        key="card_id",
+    ),
     Table(
         "silver.fact_transaction",
+        schemas.FACT_TRANSACTION,
         silver.fact_transaction,
         ("bronze.payments_transactions_raw",),
         ("trx_date", "customer_id", "trx_id"),
@@ -54,6 +79,7 @@ SILVER: tuple[Table, ...] = (
     ),
     Table(
         "silver.fact_app_session",
+        schemas.FACT_APP_SESSION,
         silver.fact_app_session,
         ("bronze.mobile_app_sessions_raw",),
         ("session_date", "customer_id", "session_id"),
@@ -62,6 +88,7 @@ SILVER: tuple[Table, ...] = (
     ),
     Table(
         "silver.fact_app_event",
+        schemas.FACT_APP_EVENT,
         silver.fact_app_event,
         ("bronze.mobile_app_events_raw",),
         ("event_date", "customer_id", "event_id"),
@@ -73,6 +100,7 @@ SILVER: tuple[Table, ...] = (
 GOLD: tuple[Table, ...] = (
     Table(
         "gold.customer_360",
+        schemas.CUSTOMER_360,
         gold.customer_360,
         (
             "silver.dim_customer",
@@ -87,6 +115,7 @@ GOLD: tuple[Table, ...] = (
     ),
     Table(
         "gold.daily_transaction_summary",
+        schemas.DAILY_TRANSACTION_SUMMARY,
         gold.daily_transaction_summary,
         ("silver.fact_transaction",),
         ("customer_id", "trx_date"),
@@ -94,6 +123,7 @@ GOLD: tuple[Table, ...] = (
     ),
     Table(
         "gold.mcc_risk_enriched_transactions",
+        schemas.MCC_RISK_ENRICHED_TRANSACTIONS,
         gold.mcc_risk_enriched,
         ("silver.fact_transaction", "reference.risk_mcc_codes"),
         ("trx_date", "customer_id", "trx_id"),
@@ -105,6 +135,7 @@ GOLD: tuple[Table, ...] = (
 VIEW = "gold.pipeline_operations_dashboard"
 HISTORY = "silver.customer_scd2"
 SEED = "reference.risk_mcc_codes"
+SCHEMAS = {t.name: t.schema for t in (*SILVER, *GOLD)} | {SEED: schemas.RISK_MCC_CODES}
 
 
 def select_tables(select: Iterable[str] | None = None) -> list[Table]:

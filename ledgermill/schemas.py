@@ -120,3 +120,153 @@ def raw_schema(source: T.StructType, renames: dict[str, str]) -> T.StructType:
     """Raw table = source columns (renamed where the mapping says so) + provenance."""
     fields = [T.StructField(renames.get(f.name, f.name), f.dataType, f.nullable) for f in source]
     return T.StructType(fields + PROVENANCE.fields)
+
+
+# Output columns of the silver and gold tables, in contract order.
+
+LINEAGE = (("source_system", TEXT), ("bronze_loaded_at", TS), ("updated_at", TS))
+WIDE_MONEY = T.DecimalType(38, 2)
+
+DIM_CUSTOMER = _struct(
+    ("customer_id", INT),
+    ("full_name", TEXT),
+    ("phone_hash", TEXT),
+    ("email_hash", TEXT),
+    ("birth_date", DATE),
+    ("city", TEXT),
+    ("segment", TEXT),
+    ("registration_date", DATE),
+    ("status", TEXT),
+    *LINEAGE,
+)
+
+DIM_ACCOUNT = _struct(
+    ("account_id", TEXT),
+    ("customer_id", INT),
+    ("product_type", TEXT),
+    ("currency", TEXT),
+    ("balance", MONEY),
+    ("opened_date", DATE),
+    ("closed_date", DATE),
+    ("status", TEXT),
+    *LINEAGE,
+)
+
+DIM_CARD = _struct(
+    ("card_id", LONG),
+    ("account_id", TEXT),
+    ("card_pan_hash", TEXT),
+    ("card_product", TEXT),
+    ("expiry_date", DATE),
+    ("embossed_name", TEXT),
+    ("card_status", TEXT),
+    ("issue_date", DATE),
+    *LINEAGE,
+)
+
+FACT_TRANSACTION = _struct(
+    ("trx_id", LONG),
+    ("account_id", TEXT),
+    ("customer_id", INT),
+    ("card_id", LONG),
+    ("trx_datetime", TS),
+    ("trx_date", DATE),
+    ("trx_type", TEXT),
+    ("amount", MONEY),
+    ("currency", TEXT),
+    ("channel", TEXT),
+    ("merchant_category_code", TEXT),
+    ("counterparty_name", TEXT),
+    ("status", TEXT),
+    ("posting_date", DATE),
+    *LINEAGE,
+)
+
+FACT_APP_SESSION = _struct(
+    ("session_id", TEXT),
+    ("customer_id", INT),
+    ("login_time", TS),
+    ("logout_time", TS),
+    ("session_date", DATE),
+    ("device_type", TEXT),
+    ("app_version", TEXT),
+    ("ip_address", TEXT),
+    ("os_version", TEXT),
+    ("is_new_device", FLAG),
+    *LINEAGE,
+)
+
+FACT_APP_EVENT = _struct(
+    ("event_id", LONG),
+    ("session_id", TEXT),
+    ("customer_id", INT),
+    ("event_time", TS),
+    ("event_date", DATE),
+    ("event_type", TEXT),
+    ("event_data_raw", TEXT),
+    ("is_successful", FLAG),
+    ("error_message", TEXT),
+    *LINEAGE,
+)
+
+CUSTOMER_SCD2 = T.StructType(
+    DIM_CUSTOMER.fields
+    + _struct(("scd_id", TEXT), ("scd_updated_at", TS), ("valid_from", TS), ("valid_to", TS)).fields
+)
+
+CUSTOMER_360 = _struct(
+    ("customer_id", INT),
+    ("full_name", TEXT),
+    ("segment", TEXT),
+    ("city", TEXT),
+    ("status", TEXT),
+    ("account_count", LONG),
+    ("card_count", LONG),
+    ("total_balance", WIDE_MONEY),
+    ("trx_count", LONG),
+    ("trx_amount_total", WIDE_MONEY),
+    ("trx_amount_max", MONEY),
+    ("last_trx_datetime", TS),
+    ("session_count", LONG),
+    ("last_login_time", TS),
+    ("new_device_session_count", LONG),
+    ("failed_event_count", LONG),
+    ("refreshed_at", TS),
+)
+
+DAILY_TRANSACTION_SUMMARY = _struct(
+    ("customer_id", INT),
+    ("trx_date", DATE),
+    ("trx_count", LONG),
+    ("trx_amount_total", WIDE_MONEY),
+    ("trx_amount_max", MONEY),
+    ("unique_channels", LONG),
+    ("unique_mcc", LONG),
+    ("refreshed_at", TS),
+)
+
+MCC_RISK_ENRICHED_TRANSACTIONS = _struct(
+    ("trx_id", LONG),
+    ("customer_id", INT),
+    ("trx_date", DATE),
+    ("trx_datetime", TS),
+    ("amount", MONEY),
+    ("currency", TEXT),
+    ("channel", TEXT),
+    ("merchant_category_code", TEXT),
+    ("mcc_category", TEXT),
+    ("mcc_risk_weight", INT),
+    ("risk_weighted_amount", T.DoubleType()),
+    ("refreshed_at", TS),
+)
+
+PIPELINE_OPERATIONS_DASHBOARD = _struct(
+    ("layer", TEXT),
+    ("mapping_name", TEXT),
+    ("last_status", TEXT),
+    ("last_rows_loaded", LONG),
+    ("last_run_at", TS),
+    ("failed_runs_7d", LONG),
+    ("pipeline_health", TEXT),
+    ("refreshed_at", TS),
+)

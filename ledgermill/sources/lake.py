@@ -93,23 +93,25 @@ class Lake:
 
     # -- reads ---------------------------------------------------------------------------------
 
-    def read(self, table: str, schema: T.StructType | None = None) -> DataFrame:
-        """The current version; with a schema, a table never written reads as empty."""
+    # Schemas are declared: nothing is inferred from files, and a folder without any is an empty table.
+
+    def read(self, table: str, schema: T.StructType, or_empty: bool = False) -> DataFrame:
+        """The current version; with ``or_empty``, a table never written reads as empty."""
         folder = self.current(table)
         if folder:
-            reader = self.spark.read.schema(schema) if schema else self.spark.read
-            return reader.parquet(folder).drop(MONTH)
-        if schema is None:
-            raise FileNotFoundError(f"table {table} does not exist under {self.root}")
-        return empty_frame(self.spark, schema)
+            return self.spark.read.schema(schema).parquet(folder).drop(MONTH)
+        if or_empty:
+            return empty_frame(self.spark, schema)
+        raise FileNotFoundError(f"table {table} does not exist under {self.root}")
 
-    def read_days(self, table: str, day: str, first: date, last: date) -> DataFrame:
+    def read_days(self, table: str, schema: T.StructType, day: str, first: date, last: date) -> DataFrame:
         """Rows of a month-partitioned table by date range; opens the folders of those months only."""
+        schema = T.StructType([*schema, T.StructField(MONTH, T.IntegerType())])
         months = F.col(MONTH).between(first.year * 100 + first.month, last.year * 100 + last.month)
         days = F.col(day).between(F.lit(first), F.lit(last))
-        return self.spark.read.parquet(self.current(table)).filter(months & days).drop(MONTH)
+        return self.spark.read.schema(schema).parquet(self.current(table)).filter(months & days).drop(MONTH)
 
-    def read_history(self, table: str, only_open: bool = False) -> DataFrame:
+    def read_history(self, table: str, schema: T.StructType, only_open: bool = False) -> DataFrame:
         """Open versions of the last run, and all versions closed by it or by an earlier run."""
         versions = self.versions(table)
         if not versions:
@@ -118,12 +120,14 @@ class Lake:
         if not only_open:
             folders += [f"{v}/{OPEN}=false" for v in versions]
         present = [f for f in folders if path_exists(self.spark, f)]
-        # a run may leave no version open or close none; the schema comes from what is there
-        schema = self.spark.read.parquet(versions[0]).drop(OPEN).schema
         return self.spark.read.schema(schema).parquet(*present) if present else empty_frame(self.spark, schema)
 
     # -- writes --------------------------------------------------------------------------------
 
+    def _write(self, df: DataFrame, folder: str, partition: str | None = None) -> None:
+        writer = df.write.mode("append").option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "true")
+        (writer.partitionBy(partition) if partition else writer).parquet(folder)
+
     def replace(
         self,
         df: DataFrame,
@@ -145,19 +149,18 @@ class Lake:
             df = df.sortWithinPartitions(MONTH, *sort)
         elif sort:
             df = df.sortWithinPartitions(*sort)
-        writer = df.write.partitionBy(MONTH) if month_of else df.write
-        writer.parquet(self._next(table))
+        self._write(df, self._next(table), MONTH if month_of else None)
 
     def append(self, df: DataFrame, table: str, sort: Sequence[str] = ()) -> None:
         """Add rows to the current version, or start the first one."""
         if sort:
             df = df.sortWithinPartitions(*sort)
-        df.write.mode("append").parquet(self.current(table) or self._next(table))
+        self._write(df, self.current(table) or self._next(table))
 
     def write_history(self, changes: DataFrame, table: str, sort: Sequence[str] = ()) -> None:
         """One run's open and newly closed versions; what earlier runs closed is not rewritten."""
         changes = changes.withColumn(OPEN, F.col("valid_to").isNull())
-        changes.sortWithinPartitions(OPEN, *sort).write.partitionBy(OPEN).parquet(self._next(table))
+        self._write(changes.sortWithinPartitions(OPEN, *sort), self._next(table), OPEN)
 
     def drop_old_versions(self, table: str, keep: int = 2) -> None:
         """Free the space of replaced versions, and of runs that died before the oldest one kept.

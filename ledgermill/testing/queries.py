@@ -218,8 +218,8 @@ def stored_fact_transaction(t: TestTables) -> DataFrame:
     """Written in month folders, sorted, and read back over its whole date range."""
     lake, table = _scratch(t).lake, SILVER[3]
     lake.replace(fact_transaction(t), table.name, table.sort, table.month_of)
-    span = lake.read(table.name).agg(F.min("trx_date"), F.max("trx_date")).first()
-    return lake.read_days(table.name, "trx_date", *span)
+    span = lake.read(table.name, table.schema).agg(F.min("trx_date"), F.max("trx_date")).first()
+    return lake.read_days(table.name, table.schema, "trx_date", *span)
 
 
 @_register

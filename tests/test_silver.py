@@ -1,56 +1,22 @@
 from datetime import date, datetime
 from decimal import Decimal
 
+import pytest
+
 from helpers import DAY, RUN, T0, T1, T2, raw, rows
+from ledgermill import schemas
 from ledgermill.plans import silver
+from ledgermill.plans.tables import GOLD, SILVER
 from ledgermill.testing.bindings import TestTables
 from ledgermill.testing.queries import QUERIES
 
-COLUMNS = {
-    "dim_customer": "customer_id int, full_name string, phone_hash string, email_hash string, birth_date date, "
-    "city string, segment string, registration_date date, status string, source_system string, "
-    "bronze_loaded_at timestamp_ntz, updated_at timestamp_ntz",
-    "dim_account": "account_id string, customer_id int, product_type string, currency string, "
-    "balance decimal(18,2), opened_date date, closed_date date, status string, source_system string, "
-    "bronze_loaded_at timestamp_ntz, updated_at timestamp_ntz",
-    "dim_card": "card_id bigint, account_id string, card_pan_hash string, card_product string, expiry_date date, "
-    "embossed_name string, card_status string, issue_date date, source_system string, "
-    "bronze_loaded_at timestamp_ntz, updated_at timestamp_ntz",
-    "fact_transaction": "trx_id bigint, account_id string, customer_id int, card_id bigint, "
-    "trx_datetime timestamp_ntz, trx_date date, trx_type string, amount decimal(18,2), currency string, "
-    "channel string, merchant_category_code string, counterparty_name string, status string, posting_date date, "
-    "source_system string, bronze_loaded_at timestamp_ntz, updated_at timestamp_ntz",
-    "fact_app_session": "session_id string, customer_id int, login_time timestamp_ntz, logout_time timestamp_ntz, "
-    "session_date date, device_type string, app_version string, ip_address string, os_version string, "
-    "is_new_device boolean, source_system string, bronze_loaded_at timestamp_ntz, updated_at timestamp_ntz",
-    "fact_app_event": "event_id bigint, session_id string, customer_id int, event_time timestamp_ntz, "
-    "event_date date, event_type string, event_data_raw string, is_successful boolean, error_message string, "
-    "source_system string, bronze_loaded_at timestamp_ntz, updated_at timestamp_ntz",
-    "customer_scd2": "customer_id int, full_name string, phone_hash string, email_hash string, birth_date date, "
-    "city string, segment string, registration_date date, status string, source_system string, "
-    "bronze_loaded_at timestamp_ntz, updated_at timestamp_ntz, scd_id string, scd_updated_at timestamp_ntz, "
-    "valid_from timestamp_ntz, valid_to timestamp_ntz",
-    "customer_360": "customer_id int, full_name string, segment string, city string, status string, "
-    "account_count bigint, card_count bigint, total_balance decimal(38,2), trx_count bigint, "
-    "trx_amount_total decimal(38,2), trx_amount_max decimal(18,2), last_trx_datetime timestamp_ntz, "
-    "session_count bigint, last_login_time timestamp_ntz, new_device_session_count bigint, "
-    "failed_event_count bigint, refreshed_at timestamp_ntz",
-    "daily_transaction_summary": "customer_id int, trx_date date, trx_count bigint, "
-    "trx_amount_total decimal(38,2), trx_amount_max decimal(18,2), unique_channels bigint, unique_mcc bigint, "
-    "refreshed_at timestamp_ntz",
-    "mcc_risk_enriched_transactions": "trx_id bigint, customer_id int, trx_date date, trx_datetime timestamp_ntz, "
-    "amount decimal(18,2), currency string, channel string, merchant_category_code string, mcc_category string, "
-    "mcc_risk_weight int, risk_weighted_amount double, refreshed_at timestamp_ntz",
-    "pipeline_operations_dashboard": "layer string, mapping_name string, last_status string, "
-    "last_rows_loaded bigint, last_run_at timestamp_ntz, failed_runs_7d bigint, pipeline_health string, "
-    "refreshed_at timestamp_ntz",
-}
-
-
-def test_output_contract(spark):
-    for name, columns in COLUMNS.items():
-        df = QUERIES[name](spark, "/root/testdata/sf0.001")
-        assert ", ".join(f"{c} {t}" for c, t in df.dtypes) == columns, name
+MODELS = [t.name.split(".")[1] for t in (*SILVER, *GOLD)] + ["customer_scd2", "pipeline_operations_dashboard"]
+
+
+@pytest.mark.parametrize("name", MODELS)
+def test_output_contract(spark, name):
+    declared = getattr(schemas, name.upper())
+    assert QUERIES[name](spark, "/root/testdata/sf0.001").dtypes == [(f.name, f.dataType.simpleString()) for f in declared]
 
 
 def test_customer_cleansing_and_hashing(spark):
