@@ -1,0 +1,83 @@
+import random
+import re
+
+import pytest
+
+from ledgermill.llm.license_scan import BASE, evaluate, expression, identifiers, license_scan, postfix
+
+
+def brute(text):
+    lower = "".join(c.lower() if c.isascii() else c for c in text or "")
+    words = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", lower)
+    places = [(i, label) for phrase, label in BASE.items() for i in range(len(words)) if words[i : i + len(phrase.split())] == phrase.split()]
+    starts = [i for i, _ in places]
+    return len(words), len(places), min(starts, default=None), max(starts, default=None), ",".join(sorted({x for _, x in places}))
+
+
+def test_base_equals_brute_force(spark):
+    rng = random.Random(2)
+    words = ["CC", "by", "cc", "General", "public", "license", "all", "rights", "reserved", "é", "x1", "licenseé", "lesser"]
+    rows = [(i, "".join(rng.choice(words) + rng.choice([" ", "-", "\n", ", ", "", "_"]) for _ in range(rng.randrange(60)))) for i in range(300)]
+    rows += [(None, None), (400, ""), (401, "cc by"), (402, "all rights reserved " * 20000), (402, "all rights reserved")]
+    docs = spark.createDataFrame([(*r, "c") for r in rows], "doc_id long, text string, labels string")
+    got = license_scan(docs).collect()
+    assert sorted([tuple(r)[:6] for r in got], key=str) == sorted([(d, *brute(t)) for d, t in rows], key=str)
+    assert all(set(filter(None, r.base_labels.split(","))) <= set(r.labels.split(",")) and 0 <= r.score <= 1 for r in got)
+    assert license_scan(docs.limit(0)).collect() == []
+
+
+def nested(tree):
+    """Weight of a tree of ('op', left, right) by its definition."""
+    if isinstance(tree, str):
+        return evaluate([tree])[0]
+    op, a, b = tree
+    x, y = nested(a), nested(b)
+    return x / 2 if op == "with" else min(x, y) if op == "or" else max(x, y)
+
+
+def test_parser_equals_trees():
+    rng = random.Random(3)
+
+    def tree(depth):
+        if depth == 0 or rng.random() < 0.2:
+            return rng.choice(["mit", "gpl-3.0", "apache-2.0", "mpl-2.0", "odd"])
+        return (rng.choice(["and", "or"]), tree(depth - 1), tree(depth - 1))
+
+    def text(t):
+        return t if isinstance(t, str) else f"({text(t[1])} {t[0]} {text(t[2])})"
+
+    for _ in range(300):
+        t = tree(4)
+        assert expression(text(t).encode())[0] == nested(t)
+
+
+@pytest.mark.parametrize(
+    "line,steps",
+    [
+        ("mit or gpl-2.0 and isc", "mit gpl-2.0 isc and or"),
+        ("mit and gpl-2.0 or isc", "mit gpl-2.0 and isc or"),
+        ("gpl-2.0 with x and mit", "gpl-2.0 x with mit and"),
+        ("(mit or isc) and bsd */", "mit isc or bsd and"),
+        ("mit or", "mit"),
+        ("mit and isc or", "mit isc and"),
+        ("(mit or isc", "mit isc or"),
+        ("mit isc", "mit"),
+        ("or mit", ""),
+        ("", ""),
+        ("mit )", "mit"),
+    ],
+)
+def test_expressions(line, steps):
+    assert postfix(identifiers(line.encode())) == steps.split()
+
+
+def test_tags_and_notices(spark):
+    rows = [
+        (1, "// SPDX-License-Identifier: GPL-2.0-or-later WITH Classpath-exception-2.0 OR MIT\nint x;"),
+        (2, "under the Apache\n * License, Version 2.0"),
+        (3, "GNU Lesser General Public License"),
+        (4, "nothing"),
+    ]
+    got = {r.doc_id: r for r in license_scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got[1].labels == "gpl-2.0,mit" and got[1].score == 0.2 and got[2].labels == "apache-2.0"
+    assert got[3].labels == "gpl,lgpl" and got[3].n_base == 1 and got[3].first_word == 2 and got[4].score == 0
