@@ -1,0 +1,108 @@
+import random
+import re
+
+import numpy as np
+import pyarrow as pa
+import pytest
+
+from ledgermill.llm import minhash
+from ledgermill.llm.components import components
+from ledgermill.llm.minhash import CHUNKS, RADIUS, SLOTS, chunk_keys, minhash_dedup, shared_keys
+
+
+def shingle_set(text):
+    words = re.findall(r"[^\x20\x09-\x0D]+", "".join(c.lower() if c.isascii() else c for c in text or ""))
+    if len(words) < 5:
+        return {tuple(words)} if words else set()
+    return {tuple(words[i : i + 5]) for i in range(len(words) - 4)}
+
+
+def brute(rows):
+    sets = [(d, shingle_set(t)) for d, t in rows]
+    parent = {d: d for d, _ in sets if d is not None}
+
+    def top(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for i, (a, x) in enumerate(sets):
+        for b, y in sets[:i]:
+            if a is not None and b is not None and x and y and 100 * len(x & y) >= 75 * len(x | y):
+                low, high = sorted((top(a), top(b)))
+                parent[high] = low
+    out = []
+    for d, s in sets:
+        c = None if d is None else top(d)
+        out.append((d, len(s), c, d is None or c == d))
+    return sorted(out, key=str)
+
+
+def corpus(seed, n=260):
+    rng = random.Random(seed)
+    word = lambda: rng.choice("abcdefgh") + str(rng.randrange(50))
+    shared = [word() for _ in range(60)]
+    texts = []
+    while len(texts) < n:
+        base = [word() for _ in range(rng.choice([3, 8, 60, 200]))]
+        if rng.random() < 0.4:
+            base[2:2] = shared
+        for _ in range(rng.choice([1, 1, 2, 15])):
+            copy = list(base)
+            for _ in range(rng.choice([0, 0, 1, 2, 4, 8]) * len(base) // 100):
+                copy[rng.randrange(len(copy))] = word()
+            texts.append(" ".join(copy).upper() if rng.random() < 0.1 else "\n".join(copy))
+            base = copy if rng.random() < 0.5 else base
+    ids = rng.sample(range(10_000), len(texts))
+    rows = list(zip(ids, texts))
+    return rows + [(20_000, None), (20_001, ""), (20_002, "a b"), (20_003, "A  b"), (20_004, "b a"), rows[0], (rows[1][0], rows[5][1]), (None, rows[2][1]), (None, None)]
+
+
+@pytest.mark.parametrize("block", [1_000, 4])
+def test_components_equal_brute_force(spark, monkeypatch, block):
+    monkeypatch.setattr(minhash, "BLOCK", block)
+    monkeypatch.setattr(minhash, "BROADCAST_IDS", 1_000_000 if block == 4 else 3)
+    rows = corpus(block)
+    docs = spark.createDataFrame([(*r, 1) for r in rows], "doc_id long, text string, key int").repartition(7)
+    assert sorted(map(tuple, minhash_dedup(docs).collect()), key=str) == brute(rows)
+
+
+def test_no_documents(spark):
+    assert minhash_dedup(spark.createDataFrame([], "doc_id long, text string")).collect() == []
+
+
+def test_signatures_within_the_radius_share_a_key():
+    rng = np.random.default_rng(1)
+    a = rng.integers(0, 1 << 16, (400, SLOTS)).astype(np.uint16)
+    b = a.copy()
+    for i in range(400):
+        at = rng.choice(SLOTS, RADIUS, replace=False)
+        b[i, at] += 1
+    x, y = chunk_keys(a), chunk_keys(b)
+    assert x.shape[1] == CHUNKS * 15
+    assert all(np.isin(x[i], y[i]).any() for i in range(400))
+
+
+def test_shared_keys_does_not_depend_on_batches():
+    rng = random.Random(2)
+    rows = sorted((rng.randrange(12), d) for d in range(40))
+    expected = set()
+    for k, d in rows:
+        same = [e for j, e in rows if j == k]
+        if len(same) > 1:
+            expected.add((k, d, min(same)))
+    names = ["key", "doc_id", "least"]
+    for size in (1, 2, 3, 7, 40):
+        parts = [rows[i : i + size] for i in range(0, len(rows), size)]
+        batches = [
+            pa.RecordBatch.from_arrays([pa.array([k for k, _ in p]), pa.array([d for _, d in p]), pa.array([None] * len(p), pa.int64())], names)
+            for p in parts
+        ]
+        got = [tuple(r.values()) for b in shared_keys(iter(batches)) for r in b.to_pylist()]
+        assert len(got) == len(expected) and set(got) == expected
+
+
+def test_components_of_a_chain_and_a_hub(spark):
+    chain = [(i, i + 1) for i in range(100, 160)] + [(5, i) for i in range(300, 340)] + [(340, 339)]
+    got = dict(map(tuple, components(spark.createDataFrame(chain, "a long, b long")).collect()))
+    assert got == {**{i: 100 for i in range(100, 161)}, **{i: 5 for i in [5, *range(300, 341)]}}
