@@ -2,11 +2,73 @@
 
 from __future__ import annotations
 
+import os
+import uuid
+
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from ledgermill.llm.decontamination import without_leaks
+from ledgermill.llm.jobs import read, shared_folder
+from ledgermill.llm.minhash import minhash_dedup
+from ledgermill.llm.packing import best_fit_packing
+from ledgermill.llm.queries import PACK_END, PACK_TOKENIZER
+from ledgermill.llm.substring_dedup import substring_dedup
+from ledgermill.llm.toxicity import toxicity
+
+
+def only(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """The rows of ``docs`` whose id is in ``ids``; a null id is like any other."""
+    wanted = ids.select(F.col("doc_id").alias("_wanted")).distinct()
+    return docs.join(wanted, F.col("doc_id").cast("long").eqNullSafe(F.col("_wanted")), "left_semi")
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Rejected documents go; the model learns from the labels of the documents given."""
+    return only(docs, toxicity(docs, read(spark, sf_dir, "labels")).filter("predicted = 0"))
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of near copies the document of smallest id stays."""
+    return only(docs, minhash_dedup(docs).filter("kept"))
+
+
+def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Passages that stand earlier go from the text; every document stays, and ``n_chars`` follows."""
+    found = substring_dedup(docs, carry=[c for c in docs.columns if c != "text"])
+    text = F.col("kept_text").cast("string")
+    changed = {"text": text, "n_chars": F.when(F.col("n_removed") > 0, F.length(text)).otherwise(F.col("carried.n_chars"))}
+    return found.select(
+        *(changed.get(f.name, F.col(f"carried.`{f.name}`")).cast(f.dataType).alias(f.name) for f in docs.schema)
+    )
+
+
+def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a passage of the benchmark go."""
+    return without_leaks(docs, read(spark, sf_dir, "benchmark"))
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return best_fit_packing(docs, public_tokenizers.path(PACK_TOKENIZER), PACK_END)
+
+
+STAGES = [
+    ("toxicity", drop_toxic),
+    ("near_duplicates", drop_near_duplicates),
+    ("substring_dedup", cut_repeats),
+    ("decontamination", drop_leaks),
+    ("packing", pack),
+]
 
-STAGES = []
+#: The learned scores, similarity joins and token ids have no form in SQL; the tests hold each stage against plain Python.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs = read(spark, sf_dir, "documents")
+    folder = os.path.join(shared_folder(spark), f"pipeline-{uuid.uuid4().hex}")
+    for name, stage in STAGES[:-1]:
+        stage(spark, docs, sf_dir).write.parquet(f"{folder}/{name}")
+        docs = spark.read.parquet(f"{folder}/{name}")
+    return STAGES[-1][1](spark, docs, sf_dir)

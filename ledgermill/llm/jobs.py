@@ -18,18 +18,26 @@ def read(spark: SparkSession, folder: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{table}.parquet")
 
 
-def checkpointed(frame: DataFrame) -> DataFrame:
-    """Cut the lineage through the folder that ``spark.checkpoint.dir`` names; all executors reach it.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that ``spark.checkpoint.dir`` names, which all executors reach.
 
     Only a session that names none and runs in local mode gets a folder of its own.
     """
-    spark = frame.sparkSession
-    context = spark.sparkContext
-    if not context.getCheckpointDir():
-        configured = spark.conf.get("spark.checkpoint.dir", None)
-        if not configured and not context.master.startswith("local"):
+    configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not configured:
+        if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder that every executor can reach")
-        context.setCheckpointDir(configured or tempfile.mkdtemp(prefix="ledgermill-llm-"))
+        configured = tempfile.mkdtemp(prefix="ledgermill-llm-")
+        spark.sparkContext.setCheckpointDir(configured)
+    return configured
+
+
+def checkpointed(frame: DataFrame) -> DataFrame:
+    """Cut the lineage through the shared folder."""
+    context = frame.sparkSession.sparkContext
+    folder = shared_folder(frame.sparkSession)
+    if not context.getCheckpointDir():
+        context.setCheckpointDir(folder)
     return frame.checkpoint(eager=True)
 
 
