@@ -7,11 +7,16 @@ functions. It is cut into ``CHUNKS`` chunks of ``WIDTH`` slots. If two signature
 pairs within the radius share a key. Two documents of similarity 0.75 are beyond the radius once in 6,000
 cases, of 0.8 once in 300,000. Links are then confirmed on the full shingle sets.
 
-Which pairs are looked at: documents of equal sets are one class, whose smallest id stands for it. Only
-links that join components matter, so first every key's documents are held against the smallest id among
-them; then, for keys whose documents still lie in different components, against each other, except within
-a component. That finds the same components as all pairs would. Keys are reduced in the task that makes
-them, to one document each, before they are shuffled; the rest are dealt by document.
+Pairs are never listed. Documents of equal sets are one class, whose smallest id stands for it. Every key
+has a center, the document whose keys are the most shared; the documents of all keys with one center are a
+cell, so two documents that share a key share a cell. A copied original tends to be the center, and linking
+every document to its centers joins most copies at once. What is left are cells whose documents lie in
+several components: there signatures are held against each other, and documents within the radius of one in
+another component are compared on their full sets, block by block if the cell is large. A block gives links
+that span what it found connected, not all links. That finds the same components as all pairs would.
+
+A key that a task finds in several documents of a batch is sent on once and its documents are dealt by id,
+so a key that a third of all rows have loads no task more than others.
 """
 
 from __future__ import annotations
@@ -36,8 +41,11 @@ RADIUS = CHUNKS * (ERRORS + 1) - 1
 
 KEPT_SLOTS = np.array(list(combinations(range(WIDTH), WIDTH - ERRORS)))
 
-BLOCK = 1_000
-"""Documents of one key that are compared in one place; more are compared block by block."""
+SIGNATURE_BLOCK, TEXT_BLOCK = 1_000, 250
+"""Documents of one cell whose signatures, and whose texts, are compared in one place; of more, every two blocks are."""
+
+COLUMNS = 4_096
+"""Shingles of a block that are counted at once."""
 
 BROADCAST_IDS = 1_000_000
 """Up to so many ids (8 bytes each) are broadcast to pick the texts to compare; beyond, texts are joined as they are."""
@@ -112,7 +120,9 @@ def chunk_keys(signatures: np.ndarray) -> np.ndarray:
 
 
 def local_keys(batch: pa.RecordBatch) -> pa.RecordBatch:
-    """key, doc_id, least of each signature's keys: ``least`` is the batch's smallest id of the key, null for that id itself."""
+    """key, doc_id, shared: each signature's keys. Of a key with several documents in the batch, one row that
+    does not know of the others (``shared`` false) goes on for all of them; other batches may have the key too.
+    """
     ids = np.asarray(batch["doc_id"])
     rows = np.frombuffer(b"".join(batch["signature"].to_pylist()), np.uint16).reshape(-1, SLOTS)
     keys, docs = chunk_keys(rows).ravel(), np.repeat(ids, CHUNKS * len(KEPT_SLOTS))
@@ -120,79 +130,116 @@ def local_keys(batch: pa.RecordBatch) -> pa.RecordBatch:
     keys, docs = keys[order], docs[order]
     new = np.ones(len(keys), bool)
     new[1:] = keys[1:] != keys[:-1]
-    least = docs[np.flatnonzero(new)][np.cumsum(new) - 1]
-    use = new | (docs != np.roll(docs, 1))  # one document may give a key twice only if its signature has equal slots
-    columns = [pa.array(keys[use].view(np.int64)), pa.array(docs[use]), pa.array(least[use], mask=new[use])]
-    return pa.RecordBatch.from_arrays(columns, ["key", "doc_id", "least"])
+    size = np.diff(np.append(np.flatnonzero(new), len(keys)))[np.cumsum(new) - 1]
+    several = size > 1
+    key = np.concatenate([keys[new], keys[several]]).view(np.int64)
+    shared = np.repeat([False, True], [new.sum(), several.sum()])
+    columns = [pa.array(key), pa.array(np.concatenate([docs[new], docs[several]])), pa.array(shared)]
+    return pa.RecordBatch.from_arrays(columns, ["key", "doc_id", "shared"])
 
 
 def shared_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """key, doc_id, least of keys that several documents have, from rows sorted by key and id.
+    """key, doc_id of the keys that several documents have, from rows sorted by key and id.
 
-    Rows that know their batch's least id pass; of the others, those of one key follow each other, and the
-    first of them has the least id of all. Only that row is remembered from batch to batch.
+    Rows that are known to be shared pass. Of the others, those of one key follow each other; only the last
+    row is remembered from batch to batch.
     """
-    last: tuple[int, int, bool] | None = None  # key, least id, whether that row was given out
+    last: tuple[int, int, bool] | None = None  # key, id, whether that row was given out
     for batch in batches:
-        known = batch["least"].is_valid().to_numpy(zero_copy_only=False)
-        yield pa.RecordBatch.from_arrays([c.filter(pa.array(known)) for c in batch.columns], batch.schema.names)
-        keys, docs = (np.asarray(batch[c])[~known] for c in ("key", "doc_id"))
-        if not len(keys):
-            continue
-        if last and last[0] == keys[0]:
-            keys, docs = np.concatenate([[last[0]], keys]), np.concatenate([[last[1]], docs])
-            given = last[2]
-        else:
+        known = np.asarray(batch["shared"].to_numpy(zero_copy_only=False), bool)
+        keys, docs = (np.asarray(batch[c]) for c in ("key", "doc_id"))
+        out = [(keys[known], docs[known])]
+        keys, docs = keys[~known], docs[~known]
+        if len(keys):
             given = False
-        new = np.ones(len(keys), bool)
-        new[1:] = keys[1:] != keys[:-1]
-        head = np.flatnonzero(new)
-        several = np.diff(np.append(head, len(keys))) > 1
-        group = np.cumsum(new) - 1
-        use = several[group]
-        last = (int(keys[-1]), int(docs[head[-1]]), bool(several[-1]) or (given and len(head) == 1))
-        if given:
-            use[0] = False
-        least = docs[head][group]
-        yield pa.RecordBatch.from_arrays([pa.array(keys[use]), pa.array(docs[use]), pa.array(least[use])], ["key", "doc_id", "least"])
-
-
-def pairs_across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """a, b of documents that share a key and a place, lie in different components and within the radius.
-
-    Rows come sorted by key and place; those of a place, at most two blocks, are held until it is complete.
-    """
-    names = ["key", "place", "doc_id", "component", "own", "signature"]
+            if last and last[0] == keys[0]:
+                keys, docs = np.concatenate([[last[0]], keys]), np.concatenate([[last[1]], docs])
+                given = last[2]
+            same = np.zeros(len(keys) + 1, bool)
+            same[1:-1] = keys[1:] == keys[:-1]
+            use = same[:-1] | same[1:]
+            last = (int(keys[-1]), int(docs[-1]), bool(use[-1]))
+            use[0] &= not given
+            out.append((keys[use], docs[use]))
+        yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*out)], ["key", "doc_id"])
+
+
+def places(batches: Iterator[pa.RecordBatch], columns: list[str]) -> Iterator[pa.Table]:
+    """The rows of each place (center, place) in turn, from rows sorted by it; a place holds two blocks at most."""
     rest: pa.Table | None = None
+    for batch in batches:
+        rows = pa.Table.from_batches([batch]).select(["center", "place", *columns])
+        rows = rows if rest is None else pa.concat_tables([rest, rows])
+        center, place = (rows[c].to_numpy() for c in ("center", "place"))
+        cuts = [0, *(np.flatnonzero((center[1:] != center[:-1]) | (place[1:] != place[:-1])) + 1)]
+        for a, b in zip(cuts, cuts[1:]):
+            yield rows.slice(a, b - a)
+        rest = rows.slice(cuts[-1])
+    if rest is not None and rest.num_rows:
+        yield rest
+
 
-    def compare(rows: pa.Table) -> pa.RecordBatch:
-        key, place, doc, label, own = (np.asarray(rows[c].combine_chunks()) for c in names[:5])
+def across(label: np.ndarray, own: np.ndarray) -> np.ndarray:
+    """Which pairs of a place to compare: of different components and, where two blocks meet, of different blocks."""
+    pairs = label[:, None] != label[None, :]
+    return pairs & (own[:, None] != own[None, :]) if own[0] >= 0 else pairs
+
+
+def near_across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """center, doc_id of documents within the radius of one of the same cell in another component."""
+    for rows in places(batches, ["doc_id", "component", "own", "signature"]):
+        doc, label, own = (rows[c].to_numpy() for c in ("doc_id", "component", "own"))
         sig = np.frombuffer(b"".join(rows["signature"].to_pylist()), np.uint16).reshape(-1, SLOTS)
-        found, i = [], np.arange(len(key))
-        for step in range(1, len(key)):
-            i = i[: np.searchsorted(i, len(key) - step)]
-            i = i[(key[i] == key[i + step]) & (place[i] == place[i + step])]
-            if not len(i):
-                break
-            # a place of two blocks holds pairs across them; pairs within a block have a place of their own
-            use = i[(label[i] != label[i + step]) & ((own[i] != own[i + step]) | (own[i] < 0))]
-            use = use[(sig[use] != sig[use + step]).sum(1) <= RADIUS]
-            found.append(np.stack([np.minimum(doc[use], doc[use + step]), np.maximum(doc[use], doc[use + step])]))
-        pairs = np.unique(np.concatenate(found, 1), axis=1) if found else np.zeros((2, 0), np.int64)
-        return pa.RecordBatch.from_arrays([pa.array(pairs[0], pa.int64()), pa.array(pairs[1], pa.int64())], ["a", "b"])
+        use = across(label, own)
+        near = np.zeros(len(doc), bool)
+        for i in np.flatnonzero(use.any(1)):
+            near[i] = ((sig[use[i]] != sig[i]).sum(1) <= RADIUS).any()
+        if near.any():
+            yield pa.RecordBatch.from_arrays([rows["center"].combine_chunks().filter(pa.array(near)), pa.array(doc[near])], ["center", "doc_id"])
 
-    for batch in batches:
-        rows = pa.Table.from_batches([batch]).select(names)
-        if rest is not None:
-            rows = pa.concat_tables([rest, rows])
-        key, place = (np.asarray(rows[c].combine_chunks()) for c in names[:2])
-        ends = np.flatnonzero((key[1:] != key[:-1]) | (place[1:] != place[:-1]))
-        cut = int(ends[-1]) + 1 if len(ends) else 0
-        if cut:
-            yield compare(rows.slice(0, cut))
-        rest = rows.slice(cut)
-    if rest is not None and rest.num_rows:
-        yield compare(rest)
+
+def intersections(sets: list[np.ndarray]) -> np.ndarray:
+    """The size of the intersection of every two sets: products of 0 and 1 over the shingles that two sets have."""
+    every = np.concatenate(sets)
+    row = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+    _, column, count = np.unique(every, return_inverse=True, return_counts=True)
+    number = np.cumsum(count > 1) - 1
+    use = count[column] > 1
+    row, column = row[use], number[column[use]]
+    order = np.argsort(column, kind="stable")
+    row, column = row[order], column[order]
+    out = np.zeros((len(sets), len(sets)))
+    for low in range(0, int(number[-1]) + 1 if len(number) else 0, COLUMNS):
+        a, b = np.searchsorted(column, [low, low + COLUMNS])
+        part = np.zeros((len(sets), COLUMNS), np.float32)
+        part[row[a:b], column[a:b] - low] = 1
+        out += part @ part.T
+    return out
+
+
+def spanning(linked: np.ndarray) -> np.ndarray:
+    """For every row of a symmetric matrix of links, the first row that it reaches."""
+    reach, label = linked | np.eye(len(linked), dtype=bool), np.arange(len(linked))
+    while True:
+        least = np.where(reach, label[None, :], len(label)).min(1)
+        least = least[least]
+        if (least == label).all():
+            return label
+        label = least
+
+
+def linked_across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """a, b: links that connect what the full sets of a place's documents show to be connected."""
+    for rows in places(batches, ["doc_id", "component", "own", "text"]):
+        doc, label, own = (rows[c].to_numpy() for c in ("doc_id", "component", "own"))
+        use = across(label, own)
+        if len(doc) < 2 or not use.any():
+            continue
+        sets = list(shingles(rows["text"]))
+        size, both = np.array([len(s) for s in sets]), intersections(sets)
+        root = spanning(use & (both > 0) & (100 * both >= PERCENT * (size[:, None] + size[None, :] - both)))
+        moved = root != np.arange(len(doc))
+        yield pa.RecordBatch.from_arrays([pa.array(doc[root[moved]]), pa.array(doc[moved])], ["a", "b"])
 
 
 def confirm(batch: pa.RecordBatch) -> pa.RecordBatch:
@@ -205,14 +252,19 @@ def confirm(batch: pa.RecordBatch) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([batch["a"].filter(keep), batch["b"].filter(keep)], ["a", "b"])
 
 
+def only(texts: DataFrame, ids: DataFrame) -> DataFrame:
+    """The texts of ``ids`` if those are few enough to be broadcast, else all; the join that follows picks them."""
+    if ids.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS:
+        return texts.join(F.broadcast(ids), "doc_id", "left_semi")
+    return texts
+
+
 def confirmed(pairs: DataFrame, texts: DataFrame, sizes: DataFrame) -> DataFrame:
     """Those of ``pairs`` (a, b) that are linked. Pairs whose set sizes alone rule a link out need no text."""
     size = lambda c: sizes.select(F.col("doc_id").alias(c), F.col("n_shingles").alias(f"n_{c}"))
     possible = 100 * F.least("n_a", "n_b") >= PERCENT * F.greatest("n_a", "n_b")
     pairs = checkpointed(pairs.join(size("a"), "a").join(size("b"), "b").filter(possible).select("a", "b").distinct())
-    ids = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-    if ids.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS:
-        texts = texts.join(F.broadcast(ids), "doc_id", "left_semi")
+    texts = only(texts, pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct())
     text = lambda c: texts.select(F.col("doc_id").alias(c), F.col("text").alias(f"text_{c}"))
     rows = pairs.join(text("a"), "a").join(text("b"), "b").select("a", "b", "text_a", "text_b")
     return checkpointed(by_batch(rows, confirm, "a long, b long").distinct())
@@ -230,18 +282,26 @@ def within_radius(pairs: DataFrame, signatures: DataFrame) -> DataFrame:
     return by_batch(rows, near, "a long, b long")
 
 
-def placed(members: DataFrame) -> DataFrame:
-    """``members`` of mixed keys with the places they are compared in.
+def placed(cells: DataFrame, block: int, tasks: int) -> DataFrame:
+    """Rows of cells (center, doc_id, ...) with the places they are compared in, sorted by place.
 
-    Up to ``BLOCK`` documents of a key have one place. More are cut into blocks by a hash of their id, with
+    Up to ``block`` documents of a cell have one place. More are cut into blocks by a hash of their id, with
     a place for each two blocks; ``own`` is a row's block there, and below 0 where a block meets itself.
     """
-    counts = members.groupBy("key").agg(F.ceil(F.count("*") / F.lit(BLOCK)).cast("int").alias("blocks"))
-    rows = members.join(counts, "key").withColumn("own", F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int"))
+    counts = cells.groupBy("center").agg(F.ceil(F.count("*") / F.lit(block)).cast("int").alias("blocks"))
+    rows = cells.join(counts, "center").withColumn("own", F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int"))
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    low, high = F.least("own", "other"), F.greatest("own", "other")
-    place = low.cast("long") * F.col("blocks") + high
-    return rows.withColumn("place", place).withColumn("own", F.when(F.col("own") == F.col("other"), -1).otherwise(F.col("own"))).drop("other", "blocks")
+    place = F.least("own", "other").cast("long") * F.col("blocks") + F.greatest("own", "other")
+    rows = rows.withColumn("place", place).withColumn("own", F.when(F.col("own") == F.col("other"), -1).otherwise(F.col("own")))
+    return rows.drop("other", "blocks").repartition(tasks, "center", "place").sortWithinPartitions("center", "place", "doc_id")
+
+
+def centers(members: DataFrame) -> DataFrame:
+    """center, doc_id: the cells. A key's center is the document whose keys have the most documents."""
+    counts = members.groupBy("key").agg(F.count("*").alias("n"))
+    weight = members.join(counts, "key").groupBy("doc_id").agg(F.sum("n").alias("weight"))
+    best = members.join(weight, "doc_id").groupBy("key").agg(F.max_by("doc_id", F.struct("weight", -F.col("doc_id"))).alias("center"))
+    return checkpointed(members.join(best, "key").select("center", "doc_id").distinct())
 
 
 def minhash_dedup(docs: DataFrame) -> DataFrame:
@@ -263,23 +323,25 @@ def minhash_dedup(docs: DataFrame) -> DataFrame:
     same = known.join(classes.select("n_shingles", "left", "right", F.col("doc_id").alias("b")), ["n_shingles", "left", "right"])
     same = same.select(F.col("doc_id").alias("a"), "b").filter("a <> b")
 
-    keys = by_batch(classes.select("doc_id", "signature"), local_keys, "key long, doc_id long, least long")
-    dealt = F.when(F.col("least").isNull(), F.lit(0)).otherwise(F.col("doc_id"))
+    keys = by_batch(classes.select("doc_id", "signature"), local_keys, "key long, doc_id long, shared boolean")
+    dealt = F.when(F.col("shared"), F.col("doc_id")).otherwise(F.lit(0))
     n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     keys = keys.repartition(n, F.col("key"), dealt).sortWithinPartitions("key", "doc_id")
-    members = checkpointed(keys.mapInArrow(shared_keys, "key long, doc_id long, least long"))
+    members = checkpointed(keys.mapInArrow(shared_keys, "key long, doc_id long").distinct())
 
-    stars = members.filter("doc_id <> least").select(F.col("least").alias("a"), F.col("doc_id").alias("b")).distinct()
-    stars = checkpointed(within_radius(stars, signatures))
+    cells = centers(members)
+    stars = within_radius(cells.filter("center <> doc_id").select(F.col("center").alias("a"), F.col("doc_id").alias("b")), signatures)
     links = confirmed(stars, texts, sizes)
 
     found = components(links)
-    own = members.select("key", "doc_id").join(found, members["doc_id"] == found["node"], "left")
-    own = own.select("key", "doc_id", F.coalesce("component", "doc_id").alias("component"))
-    mixed = own.groupBy("key").agg(F.min("component").alias("x"), F.max("component").alias("y")).filter("x <> y").select("key")
-    across = placed(own.join(mixed, "key", "left_semi")).join(signatures, "doc_id")
-    across = across.repartition(n, "key", "place").sortWithinPartitions("key", "place", "doc_id").mapInArrow(pairs_across, "a long, b long")
-    links = links.union(confirmed(across.distinct().join(stars, ["a", "b"], "left_anti"), texts, sizes))
+    own = cells.join(found, cells["doc_id"] == found["node"], "left")
+    own = own.select("center", "doc_id", F.coalesce("component", "doc_id").alias("component"))
+    mixed = own.groupBy("center").agg(F.min("component").alias("x"), F.max("component").alias("y")).filter("x <> y").select("center")
+    own = checkpointed(own.join(mixed, "center", "left_semi"))
+    near = placed(own.join(signatures, "doc_id"), SIGNATURE_BLOCK, n).mapInArrow(near_across, "center long, doc_id long").distinct()
+    near = checkpointed(own.join(near, ["center", "doc_id"]))
+    compared = placed(near.join(only(texts, near.select("doc_id").distinct()), "doc_id"), TEXT_BLOCK, n)
+    links = links.union(compared.mapInArrow(linked_across, "a long, b long"))
 
     found = components(links.union(same))
     joined = rows.select("doc_id", "n_shingles").join(found, F.col("doc_id") == F.col("node"), "left")

@@ -60,7 +60,9 @@ def corpus(seed, n=260):
 
 @pytest.mark.parametrize("block", [1_000, 4])
 def test_components_equal_brute_force(spark, monkeypatch, block):
-    monkeypatch.setattr(minhash, "BLOCK", block)
+    monkeypatch.setattr(minhash, "SIGNATURE_BLOCK", block)
+    monkeypatch.setattr(minhash, "TEXT_BLOCK", block)
+    monkeypatch.setattr(minhash, "COLUMNS", block)
     monkeypatch.setattr(minhash, "BROADCAST_IDS", 1_000_000 if block == 4 else 3)
     rows = corpus(block)
     docs = spark.createDataFrame([(*r, 1) for r in rows], "doc_id long, text string, key int").repartition(7)
@@ -85,23 +87,30 @@ def test_signatures_within_the_radius_share_a_key():
 
 def test_shared_keys_does_not_depend_on_batches():
     rng = random.Random(2)
-    rows = sorted((rng.randrange(12), d) for d in range(40))
-    expected = set()
-    for k, d in rows:
-        same = [e for j, e in rows if j == k]
-        if len(same) > 1:
-            expected.add((k, d, min(same)))
-    names = ["key", "doc_id", "least"]
+    rows = sorted({(rng.randrange(12), d) for d in range(40)})
+    expected = {(k, d) for k, d in rows if sum(j == k for j, _ in rows) > 1}
     for size in (1, 2, 3, 7, 40):
         parts = [rows[i : i + size] for i in range(0, len(rows), size)]
         batches = [
-            pa.RecordBatch.from_arrays([pa.array([k for k, _ in p]), pa.array([d for _, d in p]), pa.array([None] * len(p), pa.int64())], names)
+            pa.RecordBatch.from_arrays([pa.array([k for k, _ in p]), pa.array([d for _, d in p]), pa.array([False] * len(p))], ["key", "doc_id", "shared"])
             for p in parts
         ]
         got = [tuple(r.values()) for b in shared_keys(iter(batches)) for r in b.to_pylist()]
         assert len(got) == len(expected) and set(got) == expected
 
 
+def test_intersections_and_spanning():
+    rng = np.random.default_rng(3)
+    sets = [np.unique(rng.integers(0, 40, rng.integers(1, 30)).astype(np.uint64)) for _ in range(25)]
+    assert [[len(np.intersect1d(a, b)) for b in sets] for a in sets if len(a)] == (
+        minhash.intersections(sets) + np.diag([len(s) for s in sets]) - np.diag(np.diag(minhash.intersections(sets)))
+    ).tolist()
+    links = np.zeros((6, 6), bool)
+    for a, b in ((5, 4), (4, 2), (3, 1)):
+        links[a, b] = links[b, a] = True
+    assert minhash.spanning(links).tolist() == [0, 1, 2, 1, 2, 2]
+
+
 def test_components_of_a_chain_and_a_hub(spark):
     chain = [(i, i + 1) for i in range(100, 160)] + [(5, i) for i in range(300, 340)] + [(340, 339)]
     got = dict(map(tuple, components(spark.createDataFrame(chain, "a long, b long")).collect()))
