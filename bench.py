@@ -10,6 +10,7 @@ import json
 import os
 import statistics
 import sys
+import tempfile
 import time
 from pathlib import Path
 
@@ -41,7 +42,8 @@ def main() -> None:
     cpus = os.environ.get("BENCH_CPUS", str(os.cpu_count()))
     runs = int(os.environ.get("BENCH_RUNS", "3"))
     only = os.environ.get("BENCH_QUERIES")
-    extra = {"spark.driver.memory": os.environ.get("BENCH_MEMORY", "16g")}
+    scratch = tempfile.mkdtemp(prefix="bench-")  # of this machine, which is the whole cluster here
+    extra = {"spark.driver.memory": os.environ.get("BENCH_MEMORY", "16g"), "spark.checkpoint.dir": scratch}
     spark = build_session(f"local[{cpus}]", int(cpus), **extra)
     spark.sparkContext.setLogLevel("ERROR")
 

@@ -34,8 +34,9 @@ def history_changes(
 ) -> DataFrame:
     """Open versions after this run plus the versions this run closes.
 
-    ``open_versions`` and ``current`` hold one row per ``key``. Versions closed by earlier runs are
-    no input: they never change, so neither the join nor the next write has to carry them.
+    ``open_versions`` and ``current`` hold one row per ``key``. Versions closed by earlier runs need not
+    be given: they never change, so neither the join nor the next write has to carry them. Those that are
+    given come back as they are.
 
     One full outer join decides every case: a key on the right only opens a version; on the left
     only closes one; on both sides with a moved check column does both; otherwise the old row stays
@@ -47,8 +48,12 @@ def history_changes(
 
     columns = fresh.columns
     old, new = F.col("old"), F.col("new")
-    pairs = open_versions.select(F.col(key).alias("_key"), F.struct(*columns).alias("old")).join(
-        fresh.select(F.col(key).alias("_key"), F.struct(*columns).alias("new")), "_key", "full_outer"
+    # closed versions meet nothing, each under a name of its own, so that none of them gather
+    done = F.when(F.col("valid_to").isNotNull(), F.col("scd_id")).otherwise("")
+    pairs = open_versions.select(F.col(key).alias("_key"), done.alias("_done"), F.struct(*columns).alias("old")).join(
+        fresh.select(F.col(key).alias("_key"), F.lit("").alias("_done"), F.struct(*columns).alias("new")),
+        ["_key", "_done"],
+        "full_outer",
     )
 
     moved = reduce(or_, [~old[c].eqNullSafe(new[c]) for c in check_columns])
@@ -56,6 +61,7 @@ def history_changes(
     gone = F.array(closed if close_deleted else old)
     outcome = (
         F.when(old.isNull(), F.array(new))
+        .when(old["valid_to"].isNotNull(), F.array(old))
         .when(new.isNull(), gone)
         .when(moved, F.array(closed, new))
         .otherwise(F.array(old))
@@ -71,10 +77,5 @@ def scd2_check(
     run_ts: datetime,
     close_deleted: bool = True,
 ) -> DataFrame:
-    """The whole history after this run: closed versions pass through, the rest is re-decided."""
-    if previous is None:
-        return history_changes(None, current, key, check_columns, run_ts, close_deleted)
-    changes = history_changes(
-        previous.filter(F.col("valid_to").isNull()), current, key, check_columns, run_ts, close_deleted
-    )
-    return previous.filter(F.col("valid_to").isNotNull()).unionByName(changes)
+    """The whole history after this run, from the whole history before it, read once."""
+    return history_changes(previous, current, key, check_columns, run_ts, close_deleted)

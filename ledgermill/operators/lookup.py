@@ -1,19 +1,35 @@
-"""Left join to a small reference table."""
+"""Left join to a reference table."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-MAX_BROADCAST_ROWS = 10_000
-"""A four-digit merchant code has at most this many values."""
+BROADCAST_BYTES = 32 * 1024 * 1024
+"""Bound of a broadcast reference, in bytes of its values."""
 
+VALUE_BYTES, ROW_BYTES = 8, 32
 
-def join_reference(facts: DataFrame, reference: DataFrame, on: Column) -> DataFrame:
-    """Broadcast ``reference`` if it is counted to be small, else let the planner choose.
 
-    The count stops one row past the bound. Beyond the bound Spark shuffles both sides, and adaptive
-    execution may split a hot code, since the facts are the preserved side of the left join.
+def reference_bytes(reference: DataFrame) -> int:
+    """Bytes of all values, added up, not estimated: texts by length, other values and rows at a fixed size."""
+    texts = [f.name for f in reference.schema if isinstance(f.dataType, (T.StringType, T.BinaryType))]
+    fixed = ROW_BYTES + VALUE_BYTES * (len(reference.columns) - len(texts))
+    size = F.lit(fixed).cast("long")
+    for name in texts:
+        size = size + F.coalesce(F.octet_length(name), F.lit(0)).cast("long")
+    return reference.agg(F.sum(size).alias("bytes")).first()["bytes"] or 0
+
+
+def fits_broadcast(reference: DataFrame) -> bool:
+    return reference_bytes(reference) <= BROADCAST_BYTES
+
+
+def join_reference(facts: DataFrame, reference: DataFrame, on: Column, broadcast: bool) -> DataFrame:
+    """Broadcast ``reference`` if it was found to fit, else let the planner choose.
+
+    Shuffled, adaptive execution may split a hot code, since the facts are the preserved side of the left
+    join; the facts then lose the order they were stored in.
     """
-    small = reference.limit(MAX_BROADCAST_ROWS + 1).count() <= MAX_BROADCAST_ROWS
-    return facts.join(F.broadcast(reference) if small else reference, on, "left")
+    return facts.join(F.broadcast(reference) if broadcast else reference, on, "left")

@@ -90,7 +90,7 @@ def run_checks(
         try:
             return bool(check()), None
         except Exception as error:
-            return False, str(error)[:1000]
+            return False, str(error)
 
     with ThreadPoolExecutor(PARALLEL_CHECKS) as pool:
         results = [(name, *verdict) for name, verdict in zip(checks, pool.map(run, checks.values()))]

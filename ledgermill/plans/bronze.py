@@ -8,19 +8,18 @@ from datetime import datetime, timezone
 from typing import Any
 from uuid import uuid4
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgermill import schemas
 from ledgermill.functions import empty_frame, literal_frame, ntz, required, to_seconds
+from ledgermill.session import tasks_for
 from ledgermill.sources.files import CsvSource
-from ledgermill.sources.lake import Lake, path_exists
+from ledgermill.sources.lake import Lake, SourceLake, path_exists
 from ledgermill.sources.mappings import (
     MAPPINGS,
     Mapping,
-    format_watermark,
-    parse_watermark,
     select_mappings,
 )
 
@@ -43,9 +42,15 @@ def above(source: DataFrame, key: str, watermark: Any) -> DataFrame:
     return source.filter(F.col(key) > literal)
 
 
-def not_loaded(source: DataFrame, key: str, loaded: DataFrame) -> DataFrame:
-    """Rows whose key the raw table lacks. Repeated keys collapse before the shuffle."""
-    return source.join(loaded.select(key).distinct(), key, "left_anti")
+def not_loaded(source: DataFrame, key: str, loaded: DataFrame, tasks: int | None = None) -> DataFrame:
+    """Rows whose key the raw table lacks.
+
+    With ``tasks``, both sides are dealt to so many tasks; else repeated keys collapse before a shuffle
+    of the session's size.
+    """
+    if tasks is None:
+        return source.join(loaded.select(key).distinct(), key, "left_anti")
+    return source.repartition(tasks, key).join(loaded.select(key).repartition(tasks, key), key, "left_anti")
 
 
 def stamped(source: DataFrame, mapping: Mapping, load_ts: datetime) -> DataFrame:
@@ -87,18 +92,18 @@ class ControlTables:
         return rows.select(*[f.name for f in schema])
 
     def last_watermark(self, mapping: Mapping) -> Any:
-        row = latest_state(self.read(STATE), mapping.name).first()
-        return None if row is None else parse_watermark(row["watermark_value"], mapping.watermark_type)
+        row = latest_state(self.read(STATE), mapping.name).select(F.col("watermark_value").cast(mapping.key_type)).first()
+        return None if row is None else row[0]
 
     def write_watermark(self, mapping: Mapping, value: Any) -> None:
-        kind = mapping.watermark_type
+        """The mark is stored as text, as Spark casts it."""
         self._append(
             STATE,
             schemas.LOAD_STATE,
             {
                 "mapping_name": mapping.name,
-                "watermark_value": format_watermark(value, kind),
-                "watermark_type": kind,
+                "watermark_value": value,
+                "watermark_type": mapping.watermark_type,
                 "updated_at": utc_now(),
             },
         )
@@ -107,9 +112,19 @@ class ControlTables:
         self._append(AUDIT, schemas.LOAD_AUDIT, row)
 
 
+def typed_marks() -> list[Column]:
+    """Marks in the order of their type: numbers and times by value, other text as text."""
+    kind, mark = F.col("watermark_type"), F.col("watermark_value")
+    return [
+        F.when(kind == "int", mark.cast("decimal(38,0)")),
+        F.when(kind == "datetime", mark.cast("timestamp_ntz")),
+        mark,
+    ]
+
+
 def latest_state(state: DataFrame, mapping_name: str) -> DataFrame:
-    """The newest state row of a mapping: a top-1, not a sort of the table."""
-    newest_first = [F.col("updated_at").desc(), F.col("watermark_value").desc()]
+    """The newest state row of a mapping: a top-1, not a sort of the table. Of one moment, the highest mark."""
+    newest_first = [c.desc_nulls_last() for c in (F.col("updated_at"), *typed_marks())]
     return state.filter(F.col("mapping_name") == mapping_name).orderBy(*newest_first).limit(1)
 
 
@@ -119,18 +134,18 @@ def latest_state(state: DataFrame, mapping_name: str) -> DataFrame:
 def load_mapping(lake: Lake, source, mapping: Mapping, full_refresh: bool = False) -> int:
     """Load one mapping and return the number of rows written.
 
-    One job reads, stamps, counts, takes the highest key and writes. The order is data, then state,
-    then audit: after a crash in between, the next run reads the rows again and the silver layer
-    drops the copies.
+    One job reads, stamps, counts, takes the highest key and writes. A source that bounds its readers
+    (``staged``) is first copied as it comes, and the copy is read by as many tasks as it fills. The order
+    is data, then state, then audit: after a crash in between, the next run reads the rows again and the
+    silver layer drops the copies.
     """
     control = ControlTables(lake)
     started = utc_now()
-    last = new = None
+    last = new = staging = None
     rows = 0
 
     def audit(status: str, error: str | None = None) -> None:
         finished = utc_now()
-        marks = [None if v is None else format_watermark(v, mapping.watermark_type) for v in (last, new)]
         control.write_audit(
             {
                 "run_id": str(uuid4()),
@@ -139,8 +154,8 @@ def load_mapping(lake: Lake, source, mapping: Mapping, full_refresh: bool = Fals
                 "load_mode": "full_refresh" if full_refresh else "incremental",
                 "status": status,
                 "rows_loaded": rows,
-                "last_watermark": marks[0],
-                "new_watermark": marks[1],
+                "last_watermark": last,
+                "new_watermark": new,
                 "started_at": started,
                 "finished_at": finished,
                 "duration_ms": int((finished - started).total_seconds() * 1000),
@@ -154,9 +169,13 @@ def load_mapping(lake: Lake, source, mapping: Mapping, full_refresh: bool = Fals
         source_rows = source.table(mapping, None if by_key else last)
         if by_key:
             loaded = lake.read(mapping.target_table, mapping.raw_schema, or_empty=True)
-            source_rows = not_loaded(source_rows, mapping.watermark, loaded)
+            tasks = tasks_for(lake.spark, lake.size_in_bytes(mapping.target_table))
+            source_rows = not_loaded(source_rows, mapping.watermark, loaded, tasks)
         else:
             source_rows = above(source_rows, mapping.watermark, last)
+        if getattr(source, "staged", False):
+            staging = lake.stage(source_rows, mapping.target_table)
+            source_rows = lake.spark.read.schema(source_rows.schema).parquet(staging)
 
         key = mapping.renames.get(mapping.watermark, mapping.watermark)
         seen = Observation()
@@ -165,16 +184,21 @@ def load_mapping(lake: Lake, source, mapping: Mapping, full_refresh: bool = Fals
         out = out.observe(seen, F.count(F.lit(1)).alias("rows"), F.max(key).alias("high"))
         (lake.replace if full_refresh else lake.append)(out, mapping.target_table)
 
-        rows, high = seen.get["rows"], seen.get["high"]
-        if high is not None and (new is None or high > new):
-            new = high
-        if new is not None and new != last:
+        rows = seen.get["rows"]
+        new = max((mark for mark in (last, seen.get["high"]) if mark is not None), default=None)
+        if new != last:
             control.write_watermark(mapping, new)
         if full_refresh:
             lake.drop_old_versions(mapping.target_table)
     except Exception as error:
-        audit("failed", str(error)[:MAX_ERROR_TEXT])
+        try:
+            audit("failed", str(error)[:MAX_ERROR_TEXT])
+        except Exception as unwritten:
+            error.add_note(f"and its audit row was not written: {unwritten}")
         raise
+    finally:
+        if staging:
+            lake.drop_staged(staging)
     audit("success")
     return rows
 
@@ -189,13 +213,17 @@ def run_bronze(
     """Load the selected mappings side by side; every load ends before the first error is raised."""
     selected = select_mappings(mappings, registry)
     with ThreadPoolExecutor(len(selected)) as pool:
-        running = {m.name: pool.submit(load_mapping, lake, source, m, full_refresh) for m in selected}
-    return {name: done.result() for name, done in running.items()}
+        running = [(m.name, pool.submit(load_mapping, lake, source, m, full_refresh)) for m in selected]
+    return {name: done.result() for name, done in running}
+
 
+def load_sources(spark: SparkSession, csv_folder: str, target_folder: str, multi_line: Iterable[str] = ()) -> None:
+    """Replace the Parquet copies of the six source tables by the CSV extracts.
 
-def load_sources(spark: SparkSession, csv_folder: str, target_folder: str) -> None:
-    """Replace the Parquet copies of the six source tables by the CSV extracts."""
-    source = CsvSource(spark, csv_folder)
+    Each table gets a new version, which counts once all of it is written: a bad extract leaves the old one.
+    """
+    source, lake = CsvSource(spark, csv_folder, multi_line), SourceLake(spark, target_folder)
     extracts = [(m.source_table, source.table(m)) for m in MAPPINGS]
     for name, rows in extracts:
-        rows.write.mode("overwrite").parquet(f"{target_folder}/{name}")
+        lake.replace(rows, name)
+        lake.drop_old_versions(name)

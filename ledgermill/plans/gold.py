@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgermill.functions import ntz
-from ledgermill.operators import join_reference, merge_metrics
+from ledgermill.operators import fits_broadcast, join_reference, merge_metrics
 
 UNKNOWN_MCC_CATEGORY, UNKNOWN_MCC_WEIGHT = "Unknown", 30
 DASHBOARD_DAYS = 7
@@ -171,11 +171,23 @@ def daily_transaction_summary(fact_transaction: DataFrame, run_ts: datetime) ->
     )
 
 
+def risk_lookup(risk_codes: DataFrame) -> DataFrame:
+    return risk_codes.select(F.col("mcc_code").cast("string").alias("_code"), "mcc_category", "risk_weight")
+
+
+def mcc_keeps_months(fact_transaction: DataFrame, risk_codes: DataFrame) -> bool:
+    """Whether the enriched transactions are built without a shuffle, task by task from the month folders."""
+    return fits_broadcast(risk_lookup(risk_codes))
+
+
 def mcc_risk_enriched(fact_transaction: DataFrame, risk_codes: DataFrame, run_ts: datetime) -> DataFrame:
     """Transactions with the risk class of their merchant code, matched as text without trimming."""
-    codes = risk_codes.select(F.col("mcc_code").cast("string").alias("_code"), "mcc_category", "risk_weight")
+    codes = risk_lookup(risk_codes)
     weight = F.coalesce("risk_weight", F.lit(UNKNOWN_MCC_WEIGHT))
-    return join_reference(fact_transaction, codes, F.col("merchant_category_code") == F.col("_code")).select(
+    joined = join_reference(
+        fact_transaction, codes, F.col("merchant_category_code") == F.col("_code"), fits_broadcast(codes)
+    )
+    return joined.select(
         "trx_id",
         "customer_id",
         "trx_date",

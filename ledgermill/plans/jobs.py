@@ -2,9 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable, Iterator
+from collections.abc import Callable, Iterable
 from concurrent.futures import ThreadPoolExecutor
-from contextlib import contextmanager
 from datetime import date, datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,16 +14,13 @@ from ledgermill.operators import history_changes, quality
 from ledgermill.plans import bronze, gold
 from ledgermill.plans.silver import CUSTOMER_CHECK_COLUMNS
 from ledgermill.plans.tables import HISTORY, SCHEMAS, SEED, SILVER, VIEW, Table, select_tables
+from ledgermill.session import TASK_BYTES, own_session, tasks_for
 from ledgermill.sources.files import read_csv
 from ledgermill.sources.lake import Lake
 from ledgermill.sources.mappings import MAPPINGS, Mapping
 from ledgermill.sources.seeds import risk_mcc_codes
 
-SHUFFLE_PARTITION_BYTES = 128 * 1024 * 1024
-PARQUET_EXPANSION = 2
-"""Shuffled rows are compressed too, but wider than the columns they were read from."""
-MAX_TASKS = 50_000
-SHUFFLE_TASKS, SCAN_BYTES = "spark.sql.shuffle.partitions", "spark.sql.files.maxPartitionBytes"
+SHUFFLE_TASKS_AT_ONCE = 50_000
 PARALLEL_JOBS = 4
 
 
@@ -37,10 +33,32 @@ def _side_by_side(work: Callable[[Table], object], tables: list[Table]) -> None:
             job.result()
 
 
+def _slice(df: DataFrame, column: str | None, i: int, n: int) -> DataFrame:
+    """Rows of slice ``i`` of ``n`` by the hash of ``column``; a frame without that column is no part of the cut."""
+    if n == 1 or column not in df.columns:
+        return df
+    return df.filter(F.pmod(F.xxhash64(column), F.lit(n)) == i)
+
+
 class Warehouse:
-    def __init__(self, lake: Lake, registry: Iterable[Mapping] = MAPPINGS):
+    """A warehouse under one folder.
+
+    Shuffles are sized for tasks of about ``task_bytes``. A build that would need more than
+    ``shuffle_tasks_at_once`` of them, which is more than a shuffle service handles well, runs as several
+    slices of its key's hash, one after the other, each with tasks of the same size; each slice reads the
+    inputs again.
+    """
+
+    def __init__(
+        self,
+        lake: Lake,
+        registry: Iterable[Mapping] = MAPPINGS,
+        task_bytes: int = TASK_BYTES,
+        shuffle_tasks_at_once: int = SHUFFLE_TASKS_AT_ONCE,
+    ):
         self.lake, self.spark = lake, lake.spark
         self.registry = tuple(registry)
+        self.task_bytes, self.shuffle_tasks_at_once = task_bytes, shuffle_tasks_at_once
         self.control = bronze.ControlTables(lake)
 
     # -- reading -------------------------------------------------------------------------------
@@ -70,41 +88,37 @@ class Warehouse:
 
     # -- building ------------------------------------------------------------------------------
 
-    @contextmanager
-    def _sized_for(self, tables: Iterable[str]) -> Iterator[None]:
-        """Fit the number of scan and shuffle tasks to the largest stored input.
+    def sized_for(self, tables: Iterable[str]) -> tuple[Warehouse, int]:
+        """This warehouse in a session of its own, whose shuffles fit the largest stored input, and the slices to build in.
 
         Adaptive execution merges small shuffle partitions but never raises their number, and too few
-        would spill at any size of cluster. Too many are no better: a shuffle has one block per pair
-        of tasks, so past ``MAX_TASKS`` the tasks grow instead.
+        would spill at any size of cluster. Other queries and builds keep their settings.
         """
-        conf, size = self.spark.conf, max((self.lake.size_in_bytes(t) for t in tables), default=0)
-        before = {name: conf.get(name) for name in (SHUFFLE_TASKS, SCAN_BYTES)}
-        wanted = min(MAX_TASKS, -(-size * PARQUET_EXPANSION // SHUFFLE_PARTITION_BYTES))
-        scan_bytes = self.spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(before[SCAN_BYTES])
-        conf.set(SHUFFLE_TASKS, str(max(int(before[SHUFFLE_TASKS]), wanted)))
-        conf.set(SCAN_BYTES, str(max(scan_bytes, -(-size // MAX_TASKS))))
-        try:
-            yield
-        finally:
-            for name, value in before.items():
-                conf.set(name, value)
+        size = max((self.lake.size_in_bytes(t) for t in tables), default=0)
+        tasks = tasks_for(self.spark, size, self.task_bytes)
+        slices = -(-tasks // self.shuffle_tasks_at_once)
+        session = own_session(self.spark, -(-tasks // slices))
+        lake = type(self.lake)(session, self.lake.root)
+        return Warehouse(lake, self.registry, self.task_bytes, self.shuffle_tasks_at_once), slices
 
     def build(self, tables: Iterable[Table], run_ts: datetime) -> None:
         """Build tables that do not read one another."""
         tables = list(tables)
+        sized, slices = self.sized_for({name for t in tables for name in t.reads})
 
         def one(table: Table) -> None:
-            rows = table.build(*[self.read(t) for t in table.reads], run_ts)
-            self.lake.replace(rows, table.name, table.sort, table.month_of, table.by_month)
-            self.lake.drop_old_versions(table.name)
+            inputs = [sized.read(t) for t in table.reads]
+            n = slices if table.slice_by else 1
+            parts = [table.build(*[_slice(df, table.slice_by, i, n) for df in inputs], run_ts) for i in range(n)]
+            by_month = table.by_month is not None and table.by_month(*inputs)
+            sized.lake.replace(parts, table.name, table.sort, table.month_of, by_month)
+            sized.lake.drop_old_versions(table.name)
 
-        with self._sized_for({name for t in tables for name in t.reads}):
-            _side_by_side(one, tables)
+        _side_by_side(one, tables)
 
     def load_seed(self, csv_path: str | None = None) -> None:
         codes = read_csv(self.spark, csv_path, schemas.RISK_MCC_CODES) if csv_path else risk_mcc_codes(self.spark)
-        self.lake.replace(codes.coalesce(1), SEED)
+        self.lake.replace(codes, SEED)
         self.lake.drop_old_versions(SEED)
 
     def snapshot(self, run_ts: datetime) -> None:
@@ -113,20 +127,22 @@ class Warehouse:
         A customer id that two source systems share would open two versions, and more with every
         run: such a dimension is refused.
         """
-        customers = self.read("silver.dim_customer")
-        with self._sized_for(["silver.dim_customer", HISTORY]):
-            if not quality.duplicates(customers, "customer_id").isEmpty():
-                raise ValueError("silver.dim_customer holds several rows per customer_id; no snapshot taken")
-            before = None
-            if self.lake.exists(HISTORY):
-                before = self.lake.read_history(HISTORY, schemas.CUSTOMER_SCD2, only_open=True)
-            changes = history_changes(before, customers, "customer_id", CUSTOMER_CHECK_COLUMNS, run_ts)
-            self.lake.write_history(changes, HISTORY, ("customer_id",))
+        sized, _ = self.sized_for(["silver.dim_customer", HISTORY])
+        customers = sized.read("silver.dim_customer")
+        if not quality.duplicates(customers, "customer_id").isEmpty():
+            raise ValueError("silver.dim_customer holds several rows per customer_id; no snapshot taken")
+        before = None
+        if sized.lake.exists(HISTORY):
+            before = sized.lake.read_history(HISTORY, schemas.CUSTOMER_SCD2, only_open=True)
+        changes = history_changes(before, customers, "customer_id", CUSTOMER_CHECK_COLUMNS, run_ts)
+        sized.lake.write_history(changes, HISTORY, ("customer_id",))
 
     # -- checking ------------------------------------------------------------------------------
 
     def test(self, tables: Iterable[Table], raise_on_failure: bool = True) -> DataFrame:
-        checks = {title: check for t in tables for title, check in t.checks(self.read).items()}
+        tables = list(tables)
+        sized, _ = self.sized_for(t.name for t in tables)
+        checks = {title: check for t in tables for title, check in t.checks(sized.read).items()}
         return quality.run_checks(self.spark, checks, raise_on_failure)
 
     def verify(self, raise_on_failure: bool = True) -> DataFrame:
@@ -188,13 +204,14 @@ class Warehouse:
         skip_bronze: bool = False,
         skip_test: bool = False,
         seed_csv: str | None = None,
+        test_before_snapshot: bool = False,
     ) -> DataFrame:
         """Everything, and the health report at the end."""
         if not skip_bronze:
             self.run_bronze(source, full_refresh=full_refresh)
-        self.run_transform(run_ts, skip_test=skip_test, seed_csv=seed_csv)
+        self.run_transform(run_ts, None, skip_test, seed_csv, test_before_snapshot)
         return self.verify()
 
 
-def open_warehouse(spark: SparkSession, root: str, registry: Iterable[Mapping] = MAPPINGS) -> Warehouse:
-    return Warehouse(Lake(spark, root), registry)
+def open_warehouse(spark: SparkSession, root: str, registry: Iterable[Mapping] = MAPPINGS, **sizes: int) -> Warehouse:
+    return Warehouse(Lake(spark, root), registry, **sizes)

@@ -23,8 +23,10 @@ class Table:
     reads: tuple[str, ...]
     sort: tuple[str, ...]
     month_of: str | None = None
-    by_month: bool = False
-    """The rows come from the month folders of an input without a shuffle in between."""
+    by_month: Callable[..., bool] | None = None
+    """Called with the frames of ``reads``: whether the rows come from an input's month folders without a shuffle."""
+    slice_by: str | None = None
+    """Column whose hash cuts a build that is too large for one shuffle; inputs without it are read whole."""
     key: str | None = None
     """Column that must be unique and not null."""
     rules: tuple[tuple[str, Callable[[DataFrame], DataFrame]], ...] = ()
@@ -50,6 +52,7 @@ SILVER: tuple[Table, ...] = (
         ("bronze.crm_customers_raw",),
         ("customer_id",),
         key="customer_id",
+        slice_by="customer_id",
     ),
     Table(
         "silver.dim_account",
@@ -58,6 +61,7 @@ SILVER: tuple[Table, ...] = (
         ("bronze.core_accounts_raw",),
         ("account_id",),
         key="account_id",
+        slice_by="account_id",
     ),
     Table(
         "silver.dim_card",
@@ -66,6 +70,7 @@ SILVER: tuple[Table, ...] = (
         ("bronze.card_cards_raw",),
         ("card_id",),
         key="card_id",
+        slice_by="card_id",
     ),
     Table(
         "silver.fact_transaction",
@@ -75,6 +80,7 @@ SILVER: tuple[Table, ...] = (
         ("trx_date", "customer_id", "trx_id"),
         month_of="trx_date",
         key="trx_id",
+        slice_by="trx_id",
         rules=(("without negative amounts", quality.negative_amounts),),
     ),
     Table(
@@ -85,6 +91,7 @@ SILVER: tuple[Table, ...] = (
         ("session_date", "customer_id", "session_id"),
         month_of="session_date",
         key="session_id",
+        slice_by="session_id",
     ),
     Table(
         "silver.fact_app_event",
@@ -94,6 +101,7 @@ SILVER: tuple[Table, ...] = (
         ("event_date", "customer_id", "event_id"),
         month_of="event_date",
         key="event_id",
+        slice_by="event_id",
     ),
 )
 
@@ -112,6 +120,7 @@ GOLD: tuple[Table, ...] = (
         ),
         ("customer_id",),
         key="customer_id",
+        slice_by="customer_id",
     ),
     Table(
         "gold.daily_transaction_summary",
@@ -120,6 +129,7 @@ GOLD: tuple[Table, ...] = (
         ("silver.fact_transaction",),
         ("customer_id", "trx_date"),
         month_of="trx_date",
+        slice_by="customer_id",
     ),
     Table(
         "gold.mcc_risk_enriched_transactions",
@@ -128,7 +138,8 @@ GOLD: tuple[Table, ...] = (
         ("silver.fact_transaction", "reference.risk_mcc_codes"),
         ("trx_date", "customer_id", "trx_id"),
         month_of="trx_date",
-        by_month=True,
+        by_month=gold.mcc_keeps_months,
+        slice_by="trx_id",
     ),
 )
 

@@ -14,6 +14,27 @@ SETTINGS = {
 }
 
 
+SHUFFLE_TASKS = "spark.sql.shuffle.partitions"
+TASK_BYTES = 128 * 1024 * 1024
+PARQUET_EXPANSION = 2
+"""Shuffled rows are compressed too, but wider than the columns they were read from."""
+
+
+def tasks_for(spark: SparkSession, size: int, task_bytes: int = TASK_BYTES) -> int:
+    """Shuffle tasks of about ``task_bytes`` for ``size`` stored bytes; at least those of the session."""
+    return max(int(spark.conf.get(SHUFFLE_TASKS)), -(-size * PARQUET_EXPANSION // task_bytes))
+
+
+def own_session(spark: SparkSession, shuffle_tasks: int) -> SparkSession:
+    """A session with the settings of ``spark`` and its own number of shuffle tasks, on the same cluster."""
+    session = spark.newSession()
+    for name, value in spark.conf.getAll.items():
+        if session.conf.isModifiable(name):
+            session.conf.set(name, value)
+    session.conf.set(SHUFFLE_TASKS, str(shuffle_tasks))
+    return session
+
+
 def build_session(master: str | None = None, shuffle_partitions: int | None = None, **extra: str) -> SparkSession:
     builder = SparkSession.builder.appName("ledgermill")
     if master:

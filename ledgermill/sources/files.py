@@ -2,20 +2,24 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from ledgermill.sources.lake import path_exists
+from ledgermill.sources.lake import SourceLake, path_exists
 from ledgermill.sources.mappings import Mapping
 
 
-def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+def read_csv(spark: SparkSession, path: str, schema: T.StructType, multi_line: bool = False) -> DataFrame:
     """A header CSV with a declared schema; a bad field fails the job.
 
     An empty field is NULL and a quoted empty field an empty text. By default Spark reads both as
     NULL, since both equal its null text; no field equals the one set here.
     Quotes inside a field are doubled, as in JSON columns; without ``escape='"'`` Spark would split
     such a field at its commas and shift the columns after it.
+    With ``multi_line``, quoted fields may hold line breaks; a file is then read by one task, since only
+    its beginning tells which line breaks are quoted. Give such an extract as a folder of several files.
     """
     if not path_exists(spark, path):
         raise FileNotFoundError(f"missing input file: {path}")
@@ -29,25 +33,28 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
         .option("nullValue", "\u0000")
         .option("emptyValue", "")
         .option("mode", "FAILFAST")
+        .option("multiLine", multi_line)
         .csv(path)
     )
 
 
 class CsvSource:
-    """``<folder>/<source table>.csv``."""
+    """``<folder>/<source table>.csv``; tables named in ``multi_line`` have line breaks in quoted fields."""
 
-    def __init__(self, spark: SparkSession, folder: str):
-        self.spark, self.folder = spark, folder
+    def __init__(self, spark: SparkSession, folder: str, multi_line: Iterable[str] = ()):
+        self.spark, self.folder, self.multi_line = spark, folder, frozenset(multi_line)
 
     def table(self, mapping: Mapping, watermark: object = None) -> DataFrame:
-        return read_csv(self.spark, f"{self.folder}/{mapping.source_table}.csv", mapping.source_schema)
+        name = mapping.source_table
+        return read_csv(self.spark, f"{self.folder}/{name}.csv", mapping.source_schema, name in self.multi_line)
 
 
 class ParquetSource:
-    """``<folder>/<source table>`` as Parquet."""
+    """``<folder>/<source table>`` as Parquet: its last complete version, or the files of the folder itself."""
 
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self.folder = spark, folder
 
     def table(self, mapping: Mapping, watermark: object = None) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{mapping.source_table}")
+        version = SourceLake(self.spark, self.folder).current(mapping.source_table)
+        return self.spark.read.parquet(version or f"{self.folder}/{mapping.source_table}")

@@ -10,6 +10,7 @@ from __future__ import annotations
 import tempfile
 from collections.abc import Iterator, Sequence
 from datetime import date
+from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,6 +20,11 @@ from ledgermill.functions import empty_frame, month_key
 
 MONTH = "ym"
 OPEN = "is_open"
+BASE = "_BASE"
+"""Marks a version of a history table that holds all closed rows, not only those its run closed."""
+COMPACT_AFTER = 10
+"""Closed rows of so many runs are written together by the next one."""
+STAGED_FILE_ROWS = 5_000_000
 
 
 def _fs(spark: SparkSession, path: str):
@@ -118,19 +124,47 @@ class Lake:
             raise FileNotFoundError(f"table {table} does not exist under {self.root}")
         folders = [f"{versions[-1]}/{OPEN}=true"]
         if not only_open:
-            folders += [f"{v}/{OPEN}=false" for v in versions]
+            folders += self._closed(versions)
         present = [f for f in folders if path_exists(self.spark, f)]
         return self.spark.read.schema(schema).parquet(*present) if present else empty_frame(self.spark, schema)
 
+    def _closed(self, versions: Sequence[str]) -> list[str]:
+        """Folders that together hold all closed rows, newest first."""
+        folders = []
+        for version in reversed(versions):
+            folders.append(f"{version}/{OPEN}=false")
+            if path_exists(self.spark, f"{version}/{BASE}"):
+                break
+        return folders
+
     # -- writes --------------------------------------------------------------------------------
 
-    def _write(self, df: DataFrame, folder: str, partition: str | None = None) -> None:
-        writer = df.write.mode("append").option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "true")
+    def _write(self, df: DataFrame, folder: str, partition: str | None = None, last: bool = True) -> None:
+        """Only the ``last`` write into a folder makes it count."""
+        mark = "true" if last else "false"
+        writer = df.write.mode("append").option("mapreduce.fileoutputcommitter.marksuccessfuljobs", mark)
         (writer.partitionBy(partition) if partition else writer).parquet(folder)
 
+    def stage(self, df: DataFrame, table: str) -> str:
+        """A copy of rows as they come, beside the table: for sources that few tasks may read at a time."""
+        folder = f"{self.root}/_staged/{table}-{uuid4().hex}"
+        df.write.option("maxRecordsPerFile", STAGED_FILE_ROWS).parquet(folder)
+        return folder
+
+    def drop(self) -> None:
+        """Everything under the root."""
+        self._delete(self.root)
+
+    def drop_staged(self, folder: str) -> None:
+        self._delete(folder)
+
+    def _delete(self, folder: str) -> None:
+        fs, hadoop_path = _fs(self.spark, folder)
+        fs.delete(hadoop_path, True)
+
     def replace(
         self,
-        df: DataFrame,
+        df: DataFrame | Sequence[DataFrame],
         table: str,
         sort: Sequence[str] = (),
         month_of: str | None = None,
@@ -141,15 +175,18 @@ class Lake:
         ``rebalance`` brings the rows of a month together and lets adaptive execution cut a large
         month into files of the advisory size; hashing by month alone would give it to one task.
         ``by_month`` says that the tasks hold rows of few months already, so no shuffle is needed.
+        Several frames are written one after the other into one version, which counts after the last.
         """
-        if month_of:
-            df = df.withColumn(MONTH, month_key(month_of))
-            if not by_month:
-                df = df.hint("rebalance", F.col(MONTH))
-            df = df.sortWithinPartitions(MONTH, *sort)
-        elif sort:
-            df = df.sortWithinPartitions(*sort)
-        self._write(df, self._next(table), MONTH if month_of else None)
+        parts, folder = [df] if isinstance(df, DataFrame) else list(df), self._next(table)
+        for i, part in enumerate(parts):
+            if month_of:
+                part = part.withColumn(MONTH, month_key(month_of))
+                if not by_month:
+                    part = part.hint("rebalance", F.col(MONTH))
+                part = part.sortWithinPartitions(MONTH, *sort)
+            elif sort:
+                part = part.sortWithinPartitions(*sort)
+            self._write(part, folder, MONTH if month_of else None, last=i == len(parts) - 1)
 
     def append(self, df: DataFrame, table: str, sort: Sequence[str] = ()) -> None:
         """Add rows to the current version, or start the first one."""
@@ -158,9 +195,27 @@ class Lake:
         self._write(df, self.current(table) or self._next(table))
 
     def write_history(self, changes: DataFrame, table: str, sort: Sequence[str] = ()) -> None:
-        """One run's open and newly closed versions; what earlier runs closed is not rewritten."""
+        """One run's open and newly closed versions.
+
+        What earlier runs closed stays where it is, and is written together once in ``COMPACT_AFTER`` runs.
+        Open rows of runs before the last two are freed.
+        """
+        versions, folder = self.versions(table), self._next(table)
+        closed = self._closed(versions)
+        if len(closed) >= COMPACT_AFTER:
+            present = [f for f in closed if path_exists(self.spark, f)]
+            if present:
+                changes = changes.unionByName(self.spark.read.schema(changes.schema).parquet(*present))
+            fs, hadoop_path = _fs(self.spark, f"{folder}/{BASE}")
+            fs.create(hadoop_path).close()
         changes = changes.withColumn(OPEN, F.col("valid_to").isNull())
-        self._write(changes.sortWithinPartitions(OPEN, *sort), self._next(table), OPEN)
+        self._write(changes.sortWithinPartitions(OPEN, *sort), folder, OPEN)
+        for old in self.versions(table)[:-2]:
+            self._delete(f"{old}/{OPEN}=true")
+        kept = {f.rsplit("/", 1)[0] for f in self._closed(self.versions(table)[:-1])}
+        for old in self.versions(table)[:-2]:
+            if old not in kept:
+                self._delete(old)
 
     def drop_old_versions(self, table: str, keep: int = 2) -> None:
         """Free the space of replaced versions, and of runs that died before the oldest one kept.
@@ -171,5 +226,11 @@ class Lake:
         for number in self._numbers(table):
             folder = self._folder(table, number)
             if kept and folder < kept[0]:
-                fs, hadoop_path = _fs(self.spark, folder)
-                fs.delete(hadoop_path, True)
+                self._delete(folder)
+
+
+class SourceLake(Lake):
+    """Copies of source tables, in a folder each: a table's name is its folder."""
+
+    def path(self, table: str) -> str:
+        return f"{self.root}/{table}"

@@ -3,15 +3,16 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
-from dataclasses import dataclass, field
-from datetime import datetime
-from typing import Any
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import types as T
 
 from ledgermill import schemas
 
 
+STRATEGIES = ("watermark", "anti_join")
+
+
 @dataclass(frozen=True)
 class Mapping:
     name: str
@@ -25,7 +26,7 @@ class Mapping:
     renames: dict[str, str] = field(default_factory=dict)
     strategy: str = "watermark"
     """``watermark`` reads keys above the last one loaded. ``anti_join`` reads every key the raw table
-    lacks; use it for string keys that do not grow with time."""
+    lacks; choose it (``with_strategy``, ``--strategy``) for string keys that do not grow with time."""
 
     @property
     def target_table(self) -> str:
@@ -35,10 +36,15 @@ class Mapping:
     def raw_schema(self) -> T.StructType:
         return schemas.raw_schema(self.source_schema, self.renames)
 
+    @property
+    def key_type(self) -> T.DataType:
+        return self.source_schema[self.watermark].dataType
+
     @property
     def watermark_type(self) -> str:
+        """The kind of mark as the load state names it."""
         kinds = {T.IntegerType: "int", T.LongType: "int", T.TimestampNTZType: "datetime"}
-        return kinds.get(type(self.source_schema[self.watermark].dataType), "str")
+        return kinds.get(type(self.key_type), "str")
 
 
 # Names, source systems, watermark keys and sort orders are the load contract.
@@ -71,8 +77,18 @@ MAPPINGS: tuple[Mapping, ...] = (
 )
 
 
+def with_strategy(strategies: dict[str, str], mappings: Iterable[Mapping] = MAPPINGS) -> tuple[Mapping, ...]:
+    """``mappings`` with another strategy for those named."""
+    for mapping in select_mappings(list(strategies), mappings) if strategies else ():
+        if strategies.get(mapping.name, strategies.get(mapping.target_table)) not in STRATEGIES:
+            raise ValueError(f"{mapping.name}: strategy must be one of {', '.join(STRATEGIES)}")
+    return tuple(
+        replace(m, strategy=strategies.get(m.name, strategies.get(m.target_table, m.strategy))) for m in mappings
+    )
+
+
 def select_mappings(names: Iterable[str] | None = None, mappings: Iterable[Mapping] = MAPPINGS) -> list[Mapping]:
-    """All mappings, or those asked for by mapping name or target table."""
+    """All mappings, or those asked for by mapping name or target table; one named twice is loaded once."""
     known: dict[str, Mapping] = {}
     for mapping in mappings:
         known[mapping.name] = known[mapping.target_table] = mapping
@@ -81,12 +97,4 @@ def select_mappings(names: Iterable[str] | None = None, mappings: Iterable[Mappi
     unknown = [n for n in names if n not in known]
     if unknown:
         raise ValueError(f"unknown mapping {unknown[0]!r}; valid: {', '.join(sorted(known))}")
-    return [known[n] for n in names]
-
-
-def parse_watermark(text: str, kind: str) -> Any:
-    return {"int": int, "datetime": datetime.fromisoformat}.get(kind, str)(text)
-
-
-def format_watermark(value: Any, kind: str) -> str:
-    return value.isoformat(sep=" ") if kind == "datetime" else str(value)
+    return list({known[n].name: known[n] for n in names}.values())

@@ -25,19 +25,15 @@ SYSTEMS = {
 }
 
 
-def connection_options(
-    system: str, user: str = "postgres", password: str = "postgres", env: Dict[str, str] = os.environ
-) -> dict[str, str]:
-    """JDBC options of a system; ``<SYSTEM>_DB_HOST``, ``_PORT`` and ``_NAME`` override the defaults."""
+def connection_options(system: str, env: Dict[str, str] = os.environ) -> dict[str, str]:
+    """JDBC options of a system; ``<SYSTEM>_DB_HOST``, ``_PORT``, ``_NAME``, ``_USER`` and ``_PASSWORD`` override the defaults."""
     port, name = SYSTEMS[system]
-    prefix = f"{system.upper()}_DB_"
-    host = env.get(prefix + "HOST", "localhost")
-    port, name = env.get(prefix + "PORT", port), env.get(prefix + "NAME", name)
+    given = {key: env.get(f"{system.upper()}_DB_{key}") for key in ("HOST", "PORT", "NAME", "USER", "PASSWORD")}
     return {
-        "url": f"jdbc:postgresql://{host}:{port}/{name}",
+        "url": f"jdbc:postgresql://{given['HOST'] or 'localhost'}:{given['PORT'] or port}/{given['NAME'] or name}",
         "driver": "org.postgresql.Driver",
-        "user": user,
-        "password": password,
+        "user": given["USER"] or "postgres",
+        "password": given["PASSWORD"] or "postgres",
     }
 
 
@@ -45,33 +41,42 @@ def sql_literal(value: Any) -> str:
     return str(value) if isinstance(value, int) else "'" + str(value).replace("'", "''") + "'"
 
 
-def range_predicates(key: str, bounds: Sequence[Any]) -> list[str]:
-    """Disjoint predicates that together match every row; ``bounds`` ascend in the source's own order.
+def range_predicates(key: str, bounds: Sequence[Any], high: Any = None) -> list[str]:
+    """Disjoint predicates that together match every row up to ``high``; ``bounds`` ascend in the source's own order.
 
-    The last range is open, so rows that arrive after the bounds were taken are read as well.
+    Without ``high`` the last range is open.
     """
-    if not bounds:
-        return ["1 = 1"]
     marks = [sql_literal(b) for b in bounds]
-    between = [f"{key} > {low} AND {key} <= {high}" for low, high in zip(marks, marks[1:])]
-    return [f"{key} <= {marks[0]} OR {key} IS NULL", *between, f"{key} > {marks[-1]}"]
+    top = "" if high is None else f"{key} <= {sql_literal(high)}"
+    if not marks:
+        return [f"{top} OR {key} IS NULL" if top else "1 = 1"]
+    between = [f"{key} > {low} AND {key} <= {up}" for low, up in zip(marks, marks[1:])]
+    last = f"{key} > {marks[-1]}" + (f" AND {top}" if top else "")
+    return [f"{key} <= {marks[0]} OR {key} IS NULL", *between, last]
 
 
-def bounds_query(table: str, key: str, where: str, step: int) -> str:
-    """Every ``step``-th key, ascending: an index scan at the source, a few short rows for the driver."""
-    return (
-        f"SELECT {key} FROM (SELECT {key}, ROW_NUMBER() OVER (ORDER BY {key}) AS rn "
-        f"FROM {table} WHERE {where}) ranked WHERE MOD(rn, {step}) = 0 ORDER BY {key}"
-    )
+def cut_points(sample: Sequence[Any], splits: int) -> list[Any]:
+    """Keys that cut an ascending sample into ``splits`` parts of about the same size."""
+    points = [sample[len(sample) * i // splits - 1] for i in range(1, splits) if len(sample) * i // splits]
+    return list(dict.fromkeys(points))
 
 
 class JdbcSource:
-    """Reads mapping tables in key ranges of ``rows_per_split`` rows, at most ``max_splits`` of them.
+    """Reads mapping tables in key ranges of about ``rows_per_split`` rows.
 
-    However large the cluster, it opens at most ``max_connections`` connections at a time: a task
-    reads its ranges one after the other.
+    The highest key is looked up first and bounds every range, so all ranges read the same state of an
+    ascending key: rows that arrive meanwhile lie above the mark and are read by the next load. Where to
+    cut is read off a sample at the source, ``SAMPLED`` keys a range; the source counts and sorts nothing
+    else. Past ``max_splits`` ranges, ranges hold more rows: a task streams its range, so that costs time
+    on one connection, not memory.
+
+    However large the cluster, the reading stage opens at most ``max_connections`` connections; a load
+    copies what it reads and goes on from the copy with all tasks (``staged``).
     """
 
+    staged = True
+    SAMPLED = 20
+
     def __init__(
         self,
         spark: SparkSession,
@@ -88,15 +93,30 @@ class JdbcSource:
     def _query(self, system: str, sql: str) -> list:
         return self.spark.read.format("jdbc").options(**self.options(system)).option("query", sql).load().collect()
 
+    def _rows(self, mapping: Mapping) -> int:
+        """The source's own estimate of the table's rows."""
+        found = self._query(
+            mapping.system, f"SELECT cast(reltuples AS BIGINT) AS n FROM pg_class WHERE oid = '{mapping.source_table}'::regclass"
+        )
+        return max(0, found[0][0]) if found else 0
+
+    def _sample(self, mapping: Mapping, where: str, percent: float) -> list[Any]:
+        key, table = mapping.watermark, mapping.source_table
+        rows = self._query(mapping.system, f"SELECT {key} FROM {table} TABLESAMPLE SYSTEM ({percent:.6f}) WHERE {where} ORDER BY {key}")
+        return [row[0] for row in rows]
+
     def _splits(self, mapping: Mapping, watermark: Any) -> list[str]:
         key = mapping.watermark
-        where = "1 = 1" if watermark is None else f"{key} > {sql_literal(watermark)}"
-        rows = self._query(mapping.system, f"SELECT COUNT(*) AS n FROM {mapping.source_table} WHERE {where}")[0][0]
-        step = max(self.rows_per_split, -(-rows // self.max_splits))
-        if rows <= step:
-            return range_predicates(key, [])
-        bounds = self._query(mapping.system, bounds_query(mapping.source_table, key, where, step))
-        return range_predicates(key, [row[0] for row in bounds])
+        above = f"{key} IS NOT NULL" if watermark is None else f"{key} > {sql_literal(watermark)}"
+        high = self._query(mapping.system, f"SELECT MAX({key}) AS high FROM {mapping.source_table} WHERE {above}")[0][0]
+        rows = self._rows(mapping)
+        splits = min(self.max_splits, -(-rows // self.rows_per_split))
+        if high is None or splits <= 1:
+            return range_predicates(key, [], high)
+        percent = min(100.0, 100.0 * self.SAMPLED * splits / rows)
+        sample = self._sample(mapping, f"{above} AND {key} <= {sql_literal(high)}", percent)
+        # above a mark, only that part of the sample is left, and as many fewer ranges are needed
+        return range_predicates(key, cut_points(sample, min(splits, -(-len(sample) // self.SAMPLED))), high)
 
     def table(self, mapping: Mapping, watermark: Any = None) -> DataFrame:
         options = self.options(mapping.system)

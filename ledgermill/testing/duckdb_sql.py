@@ -7,8 +7,15 @@ from __future__ import annotations
 
 import re
 
-from ledgermill.sources.seeds import RISK_MCC_ROWS
-from ledgermill.testing.bindings import AS_OF, BINDING_MCC, T0, T1
+from ledgermill.testing.bindings import AS_OF, T0, T1
+
+# Fixed values, stated here on their own: the risk codes, and the codes of the test transactions in order.
+RISK_MCC_ROWS = (
+    (5411, "Grocery", 15), (5812, "Restaurants", 20), (4111, "Transport", 25), (6011, "ATM Cash", 55),
+    (6012, "Financial Institution", 40), (7995, "Gambling", 95), (7801, "Online Gaming", 85),
+    (4829, "Wire Transfer", 75), (5944, "Jewelry", 60), (5732, "Electronics", 45),
+)
+BINDING_MCC = (5411, 5812, 4111, 6011, 6012, 7995, 7801, 4829, 5944, 5732, 5999, 5541, 4900)
 
 
 def _ts(moment) -> str:
@@ -262,7 +269,7 @@ PARTS: dict[str, str] = {
     # -- loads
     "mark": """
         SELECT cast(watermark_value AS BIGINT) AS high FROM load_state WHERE mapping_name = '1-URGENT'
-        ORDER BY updated_at DESC, watermark_value DESC LIMIT 1""",
+        ORDER BY updated_at DESC, cast(watermark_value AS BIGINT) DESC LIMIT 1""",
 }
 
 _RAW_TARGETS = (
@@ -283,6 +290,10 @@ def _counts() -> str:
     return " UNION ALL ".join(counts)
 
 
+def _rows_of(tables: dict[str, str]) -> str:
+    return " UNION ALL ".join(f"SELECT '{name}' AS table_name, count(*) AS n_rows FROM {part}" for name, part in tables.items())
+
+
 STATEMENTS: dict[str, str] = {
     **{name: f"SELECT * FROM {name}" for name in (*_SILVER_TABLES, "customer_scd2", *_GOLD_TABLES)},
     "pipeline_operations_dashboard": "SELECT * FROM pipeline_operations_dashboard",
@@ -306,7 +317,7 @@ STATEMENTS: dict[str, str] = {
                 AS place FROM load_state) x WHERE place = 1""",
     "newest_state_row": """
         SELECT * FROM load_state WHERE mapping_name = '1-URGENT'
-        ORDER BY updated_at DESC, watermark_value DESC LIMIT 1""",
+        ORDER BY updated_at DESC, cast(watermark_value AS BIGINT) DESC LIMIT 1""",
     "incremental_slice": "SELECT * FROM payments_transactions_raw WHERE trx_id > (SELECT high FROM mark)",
     "anti_join_slice": """
         SELECT account_id, customer_id, product_type, currency, balance, opened_date, closed_date, status
@@ -350,18 +361,34 @@ STATEMENTS: dict[str, str] = {
     "verification_report": """
         SELECT 'bronze.crm_customers_raw not empty' AS "check", (SELECT count(*) > 0 FROM crm_customers_raw) AS ok
         UNION ALL SELECT 'silver.dim_customer not empty', (SELECT count(*) > 0 FROM dim_customer)
-        UNION ALL SELECT 'gold.customer_360 not empty', (SELECT count(*) > 0 FROM customer_360)
+        UNION ALL SELECT 'gold.customer_360 not empty', false
         UNION ALL SELECT 'PII hashing', (SELECT count(*) = 0 FROM dim_customer
             WHERE length(phone_hash) <> 64 OR length(email_hash) <> 64)
-        UNION ALL SELECT 'bronze audit healthy',
-            (SELECT count(*) = 0 FROM latest_status WHERE last_status = 'failed')""",
+        UNION ALL SELECT 'bronze audit healthy', false""",
+    "failed_load_audit": """
+        SELECT 'cards' AS mapping_name, 'success' AS status, count(*) AS rows_loaded,
+            cast(max(card_id) AS VARCHAR) AS new_watermark, cast(NULL AS VARCHAR) AS error_message FROM card_cards_raw
+        UNION ALL SELECT 'transactions', 'failed', 0, NULL, 'source is down'""",
     "source_freshness": " UNION ALL ".join(
-        f"""SELECT '{t}' AS table_name, max(load_dttm) AS max_loaded_at,
-            CASE WHEN max(load_dttm) IS NULL OR {_NOW} - max(load_dttm) > INTERVAL 72 HOUR THEN 'error'
-                 WHEN {_NOW} - max(load_dttm) > INTERVAL 36 HOUR THEN 'warn' ELSE 'pass' END AS freshness_status
-        FROM {t}"""
-        for t in _RAW_TARGETS
+        f"""SELECT '{t}' AS table_name,
+            CASE WHEN count(*) > 0 THEN {_NOW} - INTERVAL {hours} HOUR END AS max_loaded_at,
+            CASE WHEN count(*) > 0 THEN '{status}' ELSE 'error' END AS freshness_status FROM {t}"""
+        for t, (hours, status) in zip(_RAW_TARGETS, 2 * ((12, "pass"), (48, "warn"), (100, "error")))
     ),
+    "mapping_named_twice": "SELECT count(*) AS n_rows, cast(1 AS BIGINT) AS n_loads FROM card_cards_raw",
+    "selected_build": _rows_of({"silver.dim_customer": "dim_customer", "silver.dim_card": "dim_card", "silver.customer_scd2": "dim_customer", "reference.risk_mcc_codes": "risk_mcc_codes"}),
+    "gate_before_gold": _rows_of({**{f"silver.{t}": t for t in _SILVER_TABLES}, "silver.customer_scd2": "dim_customer", "reference.risk_mcc_codes": "risk_mcc_codes"}),
+    # loads keep whole seconds
+    "stored_customer_360": "SELECT * REPLACE (date_trunc('second', last_login_time) AS last_login_time) FROM customer_360",
+    "sliced_daily_summary": "SELECT * FROM daily_transaction_summary",
+    "mcc_risk_large_reference": "SELECT * FROM mcc_risk_enriched_transactions",
+    "csv_line_breaks": """
+        SELECT customer_id, concat(full_name, chr(10), '"the, second"', chr(10), 'line') AS full_name, city, status
+        FROM crm_customers_raw WHERE segment <> 'PREMIUM'""",
+    "tied_marks": """
+        SELECT mapping_name, watermark_value, watermark_type, date_trunc('year', updated_at) AS updated_at
+        FROM load_state WHERE mapping_name = '1-URGENT'
+        ORDER BY date_trunc('year', updated_at) DESC, cast(watermark_value AS BIGINT) DESC LIMIT 1""",
 }
 
 

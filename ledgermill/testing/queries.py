@@ -2,17 +2,22 @@
 
 from __future__ import annotations
 
+import atexit
+import contextlib
 from collections.abc import Callable
+from datetime import timedelta
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ledgermill.functions import ntz
 from ledgermill.operators import latest_per_key, quality
 from ledgermill.plans import bronze, gold, silver
 from ledgermill.plans.jobs import Warehouse, open_warehouse
-from ledgermill.plans.tables import GOLD, HISTORY, SILVER
-from ledgermill.sources import MAPPINGS, CsvSource, Mapping, risk_mcc_codes, select_mappings, shared_dir
+from ledgermill.operators.quality import ChecksFailed
+from ledgermill.plans.tables import GOLD, HISTORY, SEED, SILVER
+from ledgermill.sources import MAPPINGS, CsvSource, Lake, Mapping, risk_mcc_codes, select_mappings, shared_dir
 from ledgermill.testing.bindings import (
     AS_OF,
     BoundSource,
@@ -32,9 +37,21 @@ def _register(query: Callable[[TestTables], DataFrame]) -> Callable[[TestTables]
     return query
 
 
-def _scratch(t: TestTables) -> Warehouse:
+def _scratch(t: TestTables, **sizes: int) -> Warehouse:
     """A new, empty warehouse in the folder the executors share."""
-    return open_warehouse(t.spark, f"{shared_dir(t.spark)}/ledgermill-{uuid4().hex}")
+    return open_warehouse(t.spark, _scratch_folder(t.spark), **sizes)
+
+
+def _scratch_folder(spark: SparkSession) -> str:
+    """A new folder, removed when the application ends: results are read from it until then."""
+    folder = f"{shared_dir(spark)}/ledgermill-{uuid4().hex}"
+    atexit.register(_remove, spark, folder)
+    return folder
+
+
+def _remove(spark: SparkSession, folder: str) -> None:
+    with contextlib.suppress(Exception):  # the application may have been stopped before
+        Lake(spark, folder).drop()
 
 
 # -- silver --------------------------------------------------------------------------------------
@@ -205,7 +222,7 @@ def incremental_load(t: TestTables) -> DataFrame:
 def csv_extract_load(t: TestTables) -> DataFrame:
     """Events as a CSV extract, with JSON in a quoted column, loaded into the raw table."""
     (events,) = select_mappings(["mobile_events"])
-    folder = f"{shared_dir(t.spark)}/ledgermill-{uuid4().hex}"
+    folder = _scratch_folder(t.spark)
     as_extract = {"header": True, "escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
     BoundSource(t).table(events).write.options(**as_extract).csv(f"{folder}/{events.source_table}.csv")
     warehouse = _scratch(t)
@@ -290,21 +307,150 @@ def failing_mappings(t: TestTables) -> DataFrame:
 
 @_register
 def verification_report(t: TestTables) -> DataFrame:
-    checks = {
-        "bronze.crm_customers_raw not empty": lambda: not t.raw("crm_customers_raw").isEmpty(),
-        "silver.dim_customer not empty": lambda: not dim_customer(t).isEmpty(),
-        "gold.customer_360 not empty": lambda: not customer_360(t).isEmpty(),
-        "PII hashing": lambda: quality.malformed_hashes(dim_customer(t)).isEmpty(),
-        "bronze audit healthy": lambda: failing_mappings(t).isEmpty(),
-    }
-    return quality.run_checks(t.spark, checks, raise_on_failure=False).drop("detail")
+    """The warehouse's own report where one load failed and no mart was built."""
+    warehouse, source = _scratch(t), BoundSource(t)
+    warehouse.run_bronze(source, ["crm_customers"])
+    with contextlib.suppress(OSError):
+        warehouse.run_bronze(_Broken(source, "transactions"), ["transactions"])
+    warehouse.build([SILVER[0]], AS_OF)
+    return warehouse.verify(raise_on_failure=False).drop("detail")
+
+
+@_register
+def failed_load_audit(t: TestTables) -> DataFrame:
+    """A load that fails beside one that works: both end, each with its audit row."""
+    warehouse = _scratch(t)
+    with contextlib.suppress(OSError):
+        warehouse.run_bronze(_Broken(BoundSource(t), "transactions"), ["transactions", "cards"])
+    return warehouse.read(bronze.AUDIT).select("mapping_name", "status", "rows_loaded", "new_watermark", "error_message")
+
+
+class _Broken:
+    """A source that cannot read one table."""
+
+    def __init__(self, source: BoundSource, name: str):
+        self.source, self.name = source, name
+
+    def table(self, mapping: Mapping, watermark: object = None) -> DataFrame:
+        if mapping.name == self.name:
+            raise OSError("source is down")
+        return self.source.table(mapping)
+
+
+LOADED_HOURS_AGO = (12, 48, 100)
 
 
 @_register
 def source_freshness(t: TestTables) -> DataFrame:
+    """Raw tables loaded 12, 48 and 100 hours before: two each pass, warn and are an error."""
+    warehouse = _scratch(t)
+    for i, mapping in enumerate(MAPPINGS):
+        loaded = AS_OF - timedelta(hours=LOADED_HOURS_AGO[i % 3])
+        raw = t.raw(mapping.target).withColumn("load_dttm", ntz(loaded))
+        warehouse.lake.replace(raw, mapping.target_table)
+    return warehouse.freshness(AS_OF)
+
+
+# -- runs ----------------------------------------------------------------------------------------
+
+
+@_register
+def mapping_named_twice(t: TestTables) -> DataFrame:
+    """By name and by target at once: one load, one audit row, every card once."""
+    warehouse = _scratch(t)
+    warehouse.run_bronze(BoundSource(t), ["cards", "bronze.card_cards_raw"])
+    cards, audit = (warehouse.read(name).agg(F.count(F.lit(1)).alias("n")) for name in ("bronze.card_cards_raw", bronze.AUDIT))
+    return cards.select(F.col("n").alias("n_rows")).crossJoin(audit.select(F.col("n").alias("n_loads")))
+
+
+def _stored(warehouse: Warehouse) -> DataFrame:
+    """Which tables exist, with their number of rows."""
     stacked = None
-    for mapping in select_mappings():
-        one = quality.freshness(t.raw(mapping.target), AS_OF)
-        one = one.select(F.lit(mapping.target).alias("table_name"), "*")
-        stacked = one if stacked is None else stacked.unionByName(one)
+    for name in [table.name for table in (*SILVER, *GOLD)] + [HISTORY, SEED]:
+        if warehouse.lake.exists(name):
+            one = warehouse.read(name).agg(F.count(F.lit(1)).alias("n_rows")).select(F.lit(name).alias("table_name"), "n_rows")
+            stacked = one if stacked is None else stacked.unionByName(one)
     return stacked
+
+
+@_register
+def selected_build(t: TestTables) -> DataFrame:
+    """Two tables selected: they, the seed and the history are stored, and nothing else."""
+    warehouse = _scratch(t)
+    warehouse.run_bronze(BoundSource(t), ["crm_customers", "cards", "core_accounts"])
+    warehouse.run_transform(AS_OF, ["dim_customer", "silver.dim_card"])
+    return _stored(warehouse)
+
+
+class _Negative(_Broken):
+    """A source whose amounts are negative."""
+
+    def table(self, mapping: Mapping, watermark: object = None) -> DataFrame:
+        rows = self.source.table(mapping)
+        return rows.withColumn("amount", -F.col("amount")) if mapping.name == self.name else rows
+
+
+@_register
+def gate_before_gold(t: TestTables) -> DataFrame:
+    """A failing silver test: silver and history are stored, no mart is."""
+    warehouse = _scratch(t)
+    with contextlib.suppress(ChecksFailed):
+        warehouse.run_pipeline(_Negative(BoundSource(t), "transactions"), AS_OF)
+    return _stored(warehouse)
+
+
+@_register
+def stored_customer_360(t: TestTables) -> DataFrame:
+    """The mart's rows as the pipeline stores them."""
+    warehouse = _scratch(t)
+    warehouse.run_pipeline(BoundSource(t), AS_OF)
+    return warehouse.read("gold.customer_360")
+
+
+@_register
+def sliced_daily_summary(t: TestTables) -> DataFrame:
+    """Built in several slices, as a table too large for one shuffle is."""
+    warehouse = _scratch(t, task_bytes=1 << 14, shuffle_tasks_at_once=64)
+    warehouse.lake.replace(fact_transaction(t), "silver.fact_transaction", month_of="trx_date")
+    (table,) = [g for g in GOLD if g.name == "gold.daily_transaction_summary"]
+    warehouse.build([table], AS_OF)
+    return warehouse.read(table.name)
+
+
+@_register
+def mcc_risk_large_reference(t: TestTables) -> DataFrame:
+    """A reference past the broadcast bound: the seed as a CSV, and a code that no merchant has for every line item."""
+    fillers = t.parquet("lineitem").select(
+        (F.col("l_orderkey") * 10 + F.col("l_linenumber") + 100_000).cast("int").alias("mcc_code"),
+        F.repeat(F.lit("no merchant "), F.lit(100)).alias("mcc_category"),
+        F.lit(1).alias("risk_weight"),
+    )
+    folder = _scratch_folder(t.spark)
+    risk_mcc_codes(t.spark).unionByName(fillers).write.option("header", True).csv(f"{folder}/codes")
+    warehouse = _scratch(t)
+    warehouse.load_seed(f"{folder}/codes")
+    warehouse.lake.replace(fact_transaction(t), "silver.fact_transaction", month_of="trx_date")
+    (table,) = [g for g in GOLD if g.name == "gold.mcc_risk_enriched_transactions"]
+    warehouse.build([table], AS_OF)
+    return warehouse.read(table.name)
+
+
+@_register
+def csv_line_breaks(t: TestTables) -> DataFrame:
+    """Customers whose names hold line breaks and quotes, through a CSV extract."""
+    (customers,) = select_mappings(["crm_customers"])
+    source = BoundSource(t).table(customers).filter(F.col("segment") != "PREMIUM")
+    source = source.withColumn("full_name", F.concat(F.col("full_name"), F.lit('\n"the, second"\nline')))
+    folder = _scratch_folder(t.spark)
+    as_extract = {"header": True, "escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False, "emptyValue": '""'}
+    source.write.options(**as_extract).csv(f"{folder}/{customers.source_table}.csv")
+    warehouse = _scratch(t)
+    warehouse.run_bronze(CsvSource(t.spark, folder, [customers.source_table]), [customers.name])
+    return warehouse.read(customers.target_table).select("customer_id", "full_name", "city", "status")
+
+
+@_register
+def tied_marks(t: TestTables) -> DataFrame:
+    """Marks of one moment: the highest number wins, not the last text."""
+    state = load_state(t).withColumn("updated_at", F.date_trunc("year", "updated_at").cast("timestamp_ntz"))
+    return bronze.latest_state(state, STATE_MAPPING)

@@ -1,6 +1,8 @@
+import re
 from dataclasses import replace
 from datetime import datetime
 from decimal import Decimal
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -9,8 +11,8 @@ from helpers import BY_NAME, rows, source
 from ledgermill.plans import bronze, silver
 from ledgermill.plans.jobs import open_warehouse
 from ledgermill.sources import MAPPINGS, CsvSource, ParquetSource, select_mappings
-from ledgermill.sources.mappings import format_watermark, parse_watermark
-from ledgermill.sources.relational import JdbcSource, bounds_query, connection_options, range_predicates
+from ledgermill.sources.mappings import with_strategy
+from ledgermill.sources.relational import JdbcSource, connection_options, cut_points, range_predicates
 
 
 class Fixed:
@@ -161,18 +163,41 @@ def test_mark_is_pushed_to_the_scan(spark, tmp_path):
 
 def test_selection():
     assert [m.name for m in select_mappings(["cards", "bronze.crm_customers_raw"])] == ["cards", "crm_customers"]
+    assert [m.name for m in select_mappings(["cards", "bronze.card_cards_raw", "cards"])] == ["cards"]
     assert len(select_mappings()) == 6
     with pytest.raises(ValueError, match="unknown mapping 'nope'.*bronze.card_cards_raw"):
         select_mappings(["nope"])
 
 
 @pytest.mark.parametrize(
-    ("value", "kind", "text"),
-    [(7, "int", "7"), ("ACC9", "str", "ACC9"), (datetime(2024, 1, 2, 3, 4, 5), "datetime", "2024-01-02 03:04:05")],
+    ("name", "key", "value", "text"),
+    [
+        ("cards", "card_id", 7, "7"),
+        ("core_accounts", "account_id", "ACC9", "ACC9"),
+        ("transactions", "trx_datetime", datetime(2024, 1, 2, 3, 4, 5), "2024-01-02 03:04:05"),
+    ],
 )
-def test_watermark_text(value, kind, text):
-    assert format_watermark(value, kind) == text
-    assert parse_watermark(text, kind) == value
+def test_watermark_text(warehouse, name, key, value, text):
+    mapping = replace(BY_NAME[name], watermark=key)
+    warehouse.control.write_watermark(mapping, value)
+    assert warehouse.read(bronze.STATE).first()["watermark_value"] == text
+    assert warehouse.control.last_watermark(mapping) == value
+
+
+def test_strategies_are_chosen_by_name():
+    chosen = {m.name: m.strategy for m in with_strategy({"mobile_sessions": "anti_join", "bronze.core_accounts_raw": "anti_join"})}
+    assert [n for n, s in chosen.items() if s == "anti_join"] == ["core_accounts", "mobile_sessions"]
+    with pytest.raises(ValueError, match="strategy must be"):
+        with_strategy({"cards": "guess"})
+    with pytest.raises(ValueError, match="unknown mapping"):
+        with_strategy({"nope": "anti_join"})
+
+
+def test_anti_join_is_sized_to_the_stored_table(spark):
+    new = bronze.not_loaded(spark.range(9), "id", spark.range(4), 13)
+    assert rows(new) == [(4,), (5,), (6,), (7,), (8,)]
+    final = new._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert final.count("hashpartitioning(id") == len(re.findall(r"hashpartitioning\(id#\d+L, 13\)", final)) == 2
 
 
 def test_watermark_types():
@@ -183,11 +208,11 @@ def test_newest_state_wins_ties_settled(spark):
     at = datetime(2024, 1, 1)
     schema = "mapping_name string, watermark_value string, watermark_type string, updated_at timestamp_ntz"
     state = spark.createDataFrame(
-        [("m", "1", "int", at.replace(day=2)), ("m", "9", "int", at), ("n", "3", "int", at), ("n", "4", "int", at)],
+        [("m", "1", "int", at.replace(day=2)), ("m", "9", "int", at), ("n", "9", "int", at), ("n", "10", "int", at)],
         schema,
     )
     assert bronze.latest_state(state, "m").first()["watermark_value"] == "1"
-    assert bronze.latest_state(state, "n").first()["watermark_value"] == "4"
+    assert bronze.latest_state(state, "n").first()["watermark_value"] == "10"
     plan = bronze.latest_state(state, "m")._jdf.queryExecution().executedPlan().toString()
     assert "TakeOrderedAndProject" in plan
 
@@ -256,41 +281,99 @@ def test_connection_options_and_overrides():
     assert connection_options("mobile", env=env)["url"] == "jdbc:postgresql://h:1/d"
 
 
-def test_key_ranges_cover_every_row_once(spark):
+@pytest.mark.parametrize("high", [None, "zz"])
+def test_key_ranges_cover_every_row_once(spark, high):
     words = spark.createDataFrame([(w,) for w in ["a", "b", "b'c", "c", "zz", None]], "k string")
     numbers = spark.range(20).selectExpr("id AS k")
-    for df, bounds in ((words, ["b", "b'c", "x"]), (numbers, [3, 11]), (numbers, [])):
+    for df, bounds, top in ((words, ["b", "b'c", "x"], high), (numbers, [3, 11], high and 19), (numbers, [], high and 19)):
         # Spark SQL writes a quote inside a literal with a backslash
-        parts = [p.replace("''", "\\'") for p in range_predicates("k", bounds)]
+        parts = [p.replace("''", "\\'") for p in range_predicates("k", bounds, top)]
         assert len(parts) == len(bounds) + 1
         assert sum(df.filter(p).count() for p in parts) == df.count()
 
 
-def test_bounds_are_every_nth_key(spark):
-    spark.range(1, 11).selectExpr("id AS k").createOrReplaceTempView("numbered")
-    assert [r.k for r in spark.sql(bounds_query("numbered", "k", "k > 2", 3)).collect()] == [5, 8]
+def test_rows_above_the_highest_key_wait_for_the_next_load(spark):
+    parts = range_predicates("id", [3], 7)
+    assert [spark.range(20).filter(p).count() for p in parts] == [4, 4]
+
+
+def test_cut_points_are_evenly_spread():
+    assert cut_points(range(1, 11), 5) == [2, 4, 6, 8]
+    assert cut_points([1, 1, 1, 1], 4) == [1] and cut_points([], 3) == [] and cut_points([5], 1) == []
 
 
 class ViewSource(JdbcSource):
-    """Answers the split queries from a temporary view instead of a database."""
+    """Answers the split queries from a temporary view instead of a database; the sample is every key."""
 
     def _query(self, system, sql):
         return self.spark.sql(sql).collect()
 
+    def _rows(self, mapping):
+        return self.spark.table(mapping.source_table).count()
+
+    def _sample(self, mapping, where, percent):
+        keys = self.spark.table(mapping.source_table).filter(where).select(mapping.watermark)
+        return [r[0] for r in keys.orderBy(mapping.watermark).collect()]
+
 
-@pytest.mark.parametrize(("mark", "expected"), [(None, 10), (400, 6)])
+@pytest.mark.parametrize(("mark", "expected"), [(None, 10), (400, 10)])
 def test_splits_hold_equal_numbers_of_rows(spark, mark, expected):
     keys = spark.range(1, 1001).selectExpr("if(id <= 500, id, id * 1000) AS trx_id")  # half the keys far apart
     keys.createOrReplaceTempView("transactions")
     parts = ViewSource(spark, rows_per_split=100)._splits(BY_NAME["transactions"], mark)
-    assert len(parts) == expected + 1  # the last range waits for rows that arrive meanwhile
+    assert len(parts) == expected
     new = bronze.above(keys, "trx_id", mark)
     counts = [new.filter(p).count() for p in parts]
-    assert sum(counts) == new.count() and set(counts[:-1]) == {100}
+    assert sum(counts) == new.count() and set(counts) == {new.count() // expected}
 
 
 def test_small_and_huge_tables_bound_the_number_of_splits(spark):
     spark.range(1000).selectExpr("cast(id AS string) AS session_id").createOrReplaceTempView("app_sessions")
     sessions = BY_NAME["mobile_sessions"]
-    assert ViewSource(spark)._splits(sessions, None) == ["1 = 1"]
+    assert ViewSource(spark)._splits(sessions, None) == ["session_id <= '999' OR session_id IS NULL"]
     assert len(ViewSource(spark, rows_per_split=1, max_splits=4)._splits(sessions, "100")) <= 5
+    spark.range(0).selectExpr("cast(id AS string) AS session_id").createOrReplaceTempView("app_sessions")
+    assert ViewSource(spark)._splits(sessions, None) == ["1 = 1"]
+
+
+def test_staged_source_is_copied_and_laid_out_again(spark, warehouse, tmp_path):
+    class Few(CsvSource):
+        staged = True
+
+        def table(self, mapping, watermark=None):
+            return super().table(mapping, watermark).coalesce(1)
+
+    write_extracts(tmp_path)
+    assert warehouse.run_bronze(Few(spark, str(tmp_path)), ["transactions"]) == {"transactions": 1}
+    assert list((Path(warehouse.lake.root) / "_staged").iterdir()) == []
+
+
+def test_bad_extract_leaves_the_old_copy(spark, tmp_path):
+    write_extracts(tmp_path)
+    target = str(tmp_path / "sources")
+    bronze.load_sources(spark, str(tmp_path), target)
+    (tmp_path / "cards.csv").write_text(HEADERS["cards"] + "\nnot-a-number,ACC1,a,b,2027-01-01,c,d,2024-01-01\n")
+    with pytest.raises(Exception):
+        bronze.load_sources(spark, str(tmp_path), target)
+    assert ParquetSource(spark, target).table(BY_NAME["cards"]).count() == 1
+
+
+def test_line_breaks_in_quoted_fields(spark, tmp_path, warehouse):
+    write_extracts(tmp_path)
+    (tmp_path / "customers.csv").write_text(HEADERS["customers"] + '\n1,"Ann\n""B""",,,,,x,,\n', encoding="utf-8")
+    assert warehouse.run_bronze(CsvSource(spark, str(tmp_path), ["customers"]), ["crm_customers"]) == {"crm_customers": 1}
+    assert target(warehouse, "crm_customers").first().full_name == 'Ann\n"B"'
+
+
+def test_unwritten_audit_does_not_hide_the_failure(spark, warehouse, monkeypatch):
+    class Down:
+        def table(self, mapping, watermark=None):
+            raise OSError("source is down")
+
+    def unwritable(self, row):
+        raise OSError("disk full")
+
+    monkeypatch.setattr(bronze.ControlTables, "write_audit", unwritable)
+    with pytest.raises(OSError, match="source is down") as caught:
+        warehouse.run_bronze(Down(), ["cards"])
+    assert "disk full" in caught.value.__notes__[0]

@@ -244,7 +244,7 @@ def test_reference_beyond_the_bound_is_not_broadcast(spark, monkeypatch):
     spark.conf.set(setting, "-1")  # leave the choice to the hint
     try:
         small = gold.mcc_risk_enriched(fact, codes, RUN)
-        monkeypatch.setattr(lookup, "MAX_BROADCAST_ROWS", 3)
+        monkeypatch.setattr(lookup, "BROADCAST_BYTES", 3)
         large = gold.mcc_risk_enriched(fact, codes, RUN)
         assert "BroadcastHashJoin" in plan(small) and "SortMergeJoin" in plan(large)
         assert rows(small) == rows(large)

@@ -138,6 +138,17 @@ def test_ambiguous_customers_are_refused(spark, tmp_path):
     assert spans(warehouse) == [(1, "a", T0, None)]
 
 
+def test_many_runs_keep_two_open_copies_and_few_closed_folders(spark, tmp_path):
+    warehouse, expected = open_warehouse(spark, str(tmp_path)), []
+    for i in range(24):
+        snapshot(warehouse, T0 + timedelta(i), {"segment": f"s{i % 7}"}, {"customer_id": 2, "segment": "same"})
+        open_copies = list((tmp_path / "silver" / "customer_scd2").glob("v=*/is_open=true"))
+        assert len(open_copies) <= 2
+    assert len(list((tmp_path / "silver" / "customer_scd2").glob("v=*/is_open=false"))) <= 12
+    expected = [(1, f"s{i % 7}", T0 + timedelta(i), T0 + timedelta(i + 1) if i < 23 else None) for i in range(24)]
+    assert sorted(spans(warehouse), key=str) == sorted([*expected, (2, "same", T0, None)], key=str)
+
+
 def test_interrupted_snapshot_leaves_the_last_one(spark, tmp_path):
     warehouse = open_warehouse(spark, str(tmp_path))
     snapshot(warehouse, T0, {"segment": "a"})

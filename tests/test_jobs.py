@@ -1,15 +1,18 @@
 from datetime import date, timedelta
 from decimal import Decimal
+from pathlib import Path
 
 import pytest
 from pyspark.sql import types as T
 
 from helpers import RUN, plan, raw, rows
 from ledgermill.__main__ import main
+from ledgermill.operators import lookup, quality
 from ledgermill.operators.quality import ChecksFailed
-from ledgermill.plans import bronze, gold, jobs, silver
+from ledgermill.plans import bronze, gold, silver
 from ledgermill.plans.jobs import open_warehouse
 from ledgermill.plans.tables import GOLD, HISTORY, SEED, SILVER, VIEW, select_tables
+from ledgermill.session import SHUFFLE_TASKS
 from ledgermill.sources import Lake
 from ledgermill.sources.lake import shared_dir
 from ledgermill.testing.bindings import BoundSource, TestTables
@@ -193,22 +196,58 @@ def test_one_large_month_is_split_into_files(spark, tmp_path):
     assert values == sorted(values)
 
 
-def test_tasks_follow_the_stored_size(spark, tmp_path, monkeypatch):
+def test_tasks_follow_the_stored_size(spark, tmp_path):
     warehouse = open_warehouse(spark, str(tmp_path))
     warehouse.lake.replace(silver.dim_customer(raw(spark, "crm_customers", {}), RUN), "silver.dim_customer")
     size = warehouse.lake.size_in_bytes("silver.dim_customer")
-    names = (jobs.SHUFFLE_TASKS, jobs.SCAN_BYTES)
-    before = [spark.conf.get(name) for name in names]
-    with warehouse._sized_for(["silver.dim_customer"]):  # small: as configured
-        assert spark.conf.get(names[0]) == before[0]
-    monkeypatch.setattr(jobs, "SHUFFLE_PARTITION_BYTES", 64)
-    with warehouse._sized_for(["silver.dim_customer"]):  # large: more partitions
-        assert int(spark.conf.get(names[0])) == -(-2 * size // 64) > int(before[0])
-    monkeypatch.setattr(jobs, "MAX_TASKS", 9)
-    monkeypatch.setattr(warehouse.lake, "size_in_bytes", lambda _: 9 << 30)
-    with warehouse._sized_for(["silver.dim_customer"]):  # huge: larger tasks
-        assert [spark.conf.get(name) for name in names] == ["9", str(1 << 30)]
-    assert [spark.conf.get(name) for name in names] == before
+    before = int(spark.conf.get(SHUFFLE_TASKS))
+
+    def tasks(**sizes):
+        sized, slices = open_warehouse(spark, str(tmp_path), **sizes).sized_for(["silver.dim_customer"])
+        assert sized.spark.conf.get("spark.sql.session.timeZone") == "UTC"
+        return int(sized.spark.conf.get(SHUFFLE_TASKS)), slices
+
+    assert tasks() == (before, 1)  # small: as configured
+    wanted = -(-2 * size // 64)
+    assert tasks(task_bytes=64) == (wanted, 1) and wanted > before  # large: more partitions
+    n, slices = tasks(task_bytes=64, shuffle_tasks_at_once=50)  # huge: slices of as large tasks
+    assert n <= 50 and slices == -(-wanted // 50) and n * slices >= wanted
+    assert int(spark.conf.get(SHUFFLE_TASKS)) == before
+
+
+def test_tests_are_sized_too(spark, tmp_path, monkeypatch):
+    warehouse = open_warehouse(spark, str(tmp_path), task_bytes=64)
+    warehouse.lake.replace(silver.dim_customer(raw(spark, "crm_customers", {}), RUN), "silver.dim_customer")
+    seen = []
+    monkeypatch.setattr(quality, "duplicates", lambda df, c: seen.append(df.sparkSession.conf.get(SHUFFLE_TASKS)) or df.limit(0))
+    warehouse.test([SILVER[0]])
+    assert int(seen[0]) == -(-2 * warehouse.lake.size_in_bytes("silver.dim_customer") // 64)
+
+
+def test_slices_build_the_same_rows(built, spark, tmp_path):
+    warehouse, _, _ = built
+    cut = open_warehouse(spark, str(tmp_path), task_bytes=1 << 14, shuffle_tasks_at_once=8)
+    for name in {n for t in (*SILVER, *GOLD) for n in t.reads}:
+        cut.lake.replace(warehouse.read(name), name)
+    assert cut.sized_for(["silver.fact_transaction"])[1] > 2
+    for table in (*SILVER[2:4], *GOLD):
+        cut.build([table], RUN)
+        dropped = ("updated_at", "refreshed_at")
+        assert rows(cut.read(table.name).drop(*dropped)) == rows(warehouse.read(table.name).drop(*dropped)), table.name
+
+
+def test_large_reference_is_laid_out_by_month(built, spark, tmp_path, monkeypatch):
+    """Beyond the broadcast bound the join shuffles; files per month stay as few as tables by month have."""
+    warehouse, _, _ = built
+    (table,) = [t for t in GOLD if t.name == "gold.mcc_risk_enriched_transactions"]
+    other = open_warehouse(spark, str(tmp_path))
+    for name in table.reads:
+        other.lake.replace(warehouse.read(name), name, month_of="trx_date" if "fact" in name else None)
+    monkeypatch.setattr(lookup, "BROADCAST_BYTES", 10)
+    other.build([table], RUN)
+    months = list(Path(other.lake.current(table.name)).glob("ym=*"))
+    assert len(months) > 50 and all(len(list(m.glob("*.parquet"))) == 1 for m in months)
+    assert rows(other.read(table.name).drop("refreshed_at")) == rows(warehouse.read(table.name).drop("refreshed_at"))
 
 
 def test_shared_folder_is_the_one_the_session_names(spark):
@@ -224,7 +263,14 @@ def test_command_line(spark, tmp_path, capsys):
     assert main(["verify", "--root", root]) == 1
     given = ["--source", "csv", "--source-dir", str(tmp_path)]
     assert main(["pipeline", "--root", root, *given, "--full-refresh"]) == 0
-    assert main(["transform", "--root", root, "--select", "tag:gold", "--skip-test"]) == 0
+    assert main(["transform", "--root", root, "--select", "tag:gold", "--skip-test", "--full-refresh"]) == 0
+    assert main(["seed", "--root", root]) == 0 and main(["snapshot", "--root", root]) == 0
+    assert main(["test", "--root", root, "--select", "tag:silver"]) == 0
+    assert "card_id unique" in capsys.readouterr().out
+    assert main(["bronze", "--root", root, *given, "--mapping", "mobile_sessions", "--strategy", "mobile_sessions=anti_join"]) == 0
+    assert "mobile_sessions: 0 rows" in capsys.readouterr().out
+    assert main(["transform", "--root", root]) == 0
+    assert "bronze audit healthy" in capsys.readouterr().out
     assert main(["verify", "--root", root]) == 0
     assert main(["dashboard", "--root", root]) == 0
     assert "healthy" in capsys.readouterr().out

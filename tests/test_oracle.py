@@ -43,14 +43,14 @@ def canonical(columns, rows):
 
 
 def test_every_query_has_a_statement():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(entry.QUERIES) <= set(entry.oracle_sql())
 
 
 def test_entry(spark):
     assert entry.entry(spark).count() > 0
 
 
-@pytest.mark.parametrize("name", list(entry.queries()))
+@pytest.mark.parametrize("name", list(entry.QUERIES))
 def test_matches_duckdb(spark, duck, name):
     frame = entry.queries()[name](spark, DATA)
     result = duck.execute(entry.oracle_sql()[name])
