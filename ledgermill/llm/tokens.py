@@ -9,7 +9,7 @@ from functools import cache
 import numpy as np
 from tokenizers import Tokenizer
 
-CACHE_PIECES = 400_000
+CACHE_PIECES = 600_000
 
 PIECE = re.compile(r"[ \t\n\x0b\x0c\r]*[^ \t\n\x0b\x0c\r]+|[ \t\n\x0b\x0c\r]+")
 """A run of ASCII white space with what follows it. No token of a byte-level or word BPE spans two."""
@@ -18,34 +18,80 @@ UNSAFE = re.compile(r"[\x1c-\x1f\x85\xa0\u1680\u180e\u2000-\u200f\u2028\u2029\u2
 """White space outside ASCII, and the start of special tokens: such texts are encoded in one call."""
 
 
-class Pieces(dict):
-    """Ids of pieces as bytes, encoded when first asked for; emptied when full, so memory is bounded."""
+SIMPLE = re.compile(r"([ \n]?)([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?*$%&#|]*)")
+"""Pieces of letters that no normal form changes, and signs: how they are cut needs no general rules."""
+
+PROBES = ("a", " the", "\nThe", " Straße,", "Été..", " ÀB!!", "\nñandú;$", " x###", "Zwölf|", " de%%%", " ndednd$$$", "éaux:", "\nØre?")
+
+
+def byte_letters() -> dict[int, str]:
+    """The letter that stands for each byte in a byte-level vocabulary: itself if printable, else one from 256 on."""
+    shown = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    others = [b for b in range(256) if b not in shown]
+    return {b: chr(b) if b in shown else chr(256 + others.index(b)) for b in range(256)}
+
+
+BYTES = byte_letters()
+
+
+class Known(dict):
+    """Ids of strings as bytes, encoded when first asked for; emptied when full, so memory is bounded."""
 
     def __init__(self, encode):
         super().__init__()
         self.encode = encode
 
-    def __missing__(self, piece: str) -> bytes:
+    def __missing__(self, text: str) -> bytes:
         if len(self) >= CACHE_PIECES:
             self.clear()
-        ids = self[piece] = array("I", self.encode(piece, add_special_tokens=False).ids).tobytes()
+        ids = self[text] = self.encode(text)
         return ids
 
 
 class Encoder:
     """A tokenizer of the ``tokenizers`` library, with the ids of pieces remembered between white space.
 
-    The ids equal those of one call over the whole text; texts for which that is not certain get one.
+    The ids equal those of one call over the whole text; texts for which that is not certain get one. For
+    words of plain letters the tokenizer's model is asked directly, without its normalizer and splitter;
+    that is done only if it gives the same ids on ``PROBES``.
     """
 
     def __init__(self, path: str):
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self.pieces = Pieces(self.tokenizer.encode)
+        self.tokenize = self.tokenizer.model.tokenize
+        self.line = self.whole("\n")
+        self.words = Known(self.word)
+        self.pieces = Known(self.whole)
+        for self.lower in (False, True):
+            self.words.clear()
+            if all(self.piece(p) == self.whole(p) for p in PROBES):
+                self.pieces = Known(self.piece)
+                break
 
     def whole(self, text: str) -> bytes:
         return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
 
+    def word(self, text: str) -> bytes:
+        """Ids of a run of letters or of signs, or of letters after a space."""
+        coded = text.replace(" ", "Ġ") if text.isascii() else text.encode().decode("latin-1").translate(BYTES)
+        return array("I", [t.id for t in self.tokenize(coded)]).tobytes()
+
+    def piece(self, piece: str) -> bytes:
+        """Ids of a piece. In a vocabulary of lower case (``lower``) white space has none; else it is a letter too."""
+        m = SIMPLE.fullmatch(piece)
+        if m is None:
+            return self.whole(piece)
+        white, letters, signs = m.groups()
+        words = self.words
+        if self.lower:
+            ids = words[letters.lower()]
+        elif white == "\n":
+            ids = self.line + words[letters]
+        else:
+            ids = words[white + letters]
+        return ids + words[signs] if signs else ids
+
     def __call__(self, text: str | None) -> np.ndarray:
         if not text:
             return np.zeros(0, np.uint32)

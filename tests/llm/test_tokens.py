@@ -38,6 +38,16 @@ def test_pieces_equal_one_call_over_the_text(name):
     check()
     for text in TEXTS:
         assert encode(text).tolist() == whole(name, text)
+    words = st.text(st.sampled_from("abEZßÀÖØöøÿéç×÷ĲŒİ.,;:!?*$%&#|'-"), min_size=1, max_size=8)
+
+    @settings(max_examples=1500, deadline=None)
+    @given(st.lists(words, max_size=6), st.sampled_from([" ", "\n", "  ", " \n", "\t"]))
+    def check_words(parts, white):
+        text = white.join(parts)
+        assert encode(text).tolist() == whole(name, text)
+
+    check_words()
+    assert encode.pieces.encode == encode.piece
 
 
 @settings(max_examples=200, deadline=None)
