@@ -24,7 +24,10 @@ SAMPLE_ROWS, SAMPLE_CHARS, DICTIONARY_BYTES = 20_000, 2_000, 64 << 10
 TRAINED_BYTES = 32 << 20
 """Bound of all dictionaries together, which every task gets."""
 
-BLOCK, LEVEL, MIN_MARGIN = 2_000, 3, 0.01
+BLOCK, MIN_MARGIN = 2_000, 0.01
+LEVEL, MIN_MATCH = 6, 3
+"""Matches of three bytes: syllables tell languages apart, and the level's own least length is longer."""
+
 NO_LETTERS = re.compile(r"[\W\d_]+")
 
 
@@ -36,13 +39,14 @@ def letters(text: str | None) -> str:
 def learn_dictionaries(
     docs: DataFrame, rows: int = SAMPLE_ROWS, chars: int = SAMPLE_CHARS, size: int = DICTIONARY_BYTES
 ) -> dict[str, bytes]:
-    """A dictionary for each ``lang``, from rows of least hash: the same ones in every run.
+    """A dictionary for each ``lang``, the most frequent first, from rows of least hash: the same ones in every run.
 
     The rows are chosen on their ids; only the chosen rows' texts are read to the driver, at most ``rows``
     of ``chars`` characters.
     """
     known = docs.filter(F.col("lang").isNotNull() & F.col("doc_id").isNotNull())
-    n = known.select("lang").distinct().count()
+    counts = {r["lang"]: r["n"] for r in known.groupBy("lang").agg(F.count("*").alias("n")).collect()}
+    n = len(counts)
     if not n:
         return {}
     each, size = max(1, rows // n), max(256, min(size, TRAINED_BYTES // n))
@@ -53,7 +57,8 @@ def learn_dictionaries(
     parts: dict[str, list[bytes]] = {}
     for r in sorted(texts.collect(), key=lambda r: (r["lang"], r["doc_id"], r["text"] or "")):
         parts.setdefault(r["lang"], []).append(letters(r["text"]).encode())
-    return {lang: shared_out(found, size) for lang, found in parts.items() if any(found)}
+    order = sorted(parts, key=lambda lang: (-counts[lang], lang))
+    return {lang: shared_out(parts[lang], size) for lang in order if any(parts[lang])}
 
 
 def shared_out(parts: list[bytes], size: int) -> bytes:
@@ -65,11 +70,13 @@ def shared_out(parts: list[bytes], size: int) -> bytes:
 
 @cache
 def compressors(dictionaries: tuple[tuple[str, bytes], ...]) -> list[zstandard.ZstdCompressor]:
-    params = zstandard.ZstdCompressionParameters.from_level(LEVEL, write_content_size=0, write_checksum=0, write_dict_id=0)
+    params = zstandard.ZstdCompressionParameters.from_level(
+        LEVEL, min_match=MIN_MATCH, write_content_size=0, write_checksum=0, write_dict_id=0
+    )
     out = []
     for _, content in dictionaries:
         data = zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
-        data.precompute_compress(LEVEL)
+        data.precompute_compress(compression_params=params)
         out.append(zstandard.ZstdCompressor(dict_data=data, compression_params=params))
     return out
 
@@ -85,10 +92,10 @@ def language_id(docs: DataFrame, dictionaries: dict[str, bytes], min_margin: flo
 
     ``score`` is m / (m + min_margin) of the margin m, the part by which the best size is under the second.
     Defined cases: a text that is null or has no letter is ``und`` with score 0, and so are all texts if
-    nothing was learned; a tie goes to the first language in order and is rejected; with one language
+    nothing was learned; a tie goes to the language learned first and is rejected; with one language
     learned, the score is 1. Repeated rows give repeated results; extra columns are ignored.
     """
-    learned = tuple(sorted(dictionaries.items()))
+    learned = tuple(dictionaries.items())
 
     def classify(text: str | None) -> tuple[str, float, bool]:
         own = letters(text)

@@ -20,7 +20,7 @@ SCHEMA = "doc_id long, text string, lang string, rejected string"
 
 def test_held_out_accuracy_and_defined_cases(spark):
     rows = corpus(300)
-    extra = [(900, None, None, None), (901, "", None, None), (902, "12 !? _", None, None), (None, "schrengung eng", None, None)]
+    extra = [(900, None, None, None), (901, "", None, None), (902, "12 !? _", None, None), (None, "schrengung eng ungö schrung engschr ung öeng schrschr ungung ö", None, None)]
     extra += [(903, "eau oi " * 40000, "zz", None), (903, "eau oi " * 40000, None, None)]
     docs = spark.createDataFrame(rows + extra, SCHEMA)
     dictionaries = learn_dictionaries(spark.createDataFrame(rows[:150], SCHEMA))
