@@ -30,8 +30,8 @@ FLOORS = {"log_words": 0.3, "word_length": 0.25, "symbols": 0.1, "dup_lines": 0.
 SUPPORT, STEPS = 0.75, 3
 """Part of a group that an estimate is made of, and how often it is improved."""
 
-CUTOFF = 60.0
-"""Squared distance from which a row is an outlier; under a normal law with 5 statistics, one in 10^11 is."""
+CUTOFF = 52.0
+"""Squared distance from which a row is an outlier; under a normal law with 5 statistics, one in 10^9 is."""
 
 MEDIAN_CHI2 = 4.351
 """Median of chi squared with 5 degrees of freedom: scales distances to those of a normal law."""
