@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgermill.llm.decontamination import without_leaks
-from ledgermill.llm.jobs import read, shared_folder
+from ledgermill.llm.jobs import read, shared_folder, ship
 from ledgermill.llm.minhash import minhash_dedup
 from ledgermill.llm.packing import best_fit_packing
 from ledgermill.llm.queries import PACK_END, PACK_TOKENIZER
@@ -53,12 +53,16 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return best_fit_packing(docs, public_tokenizers.path(PACK_TOKENIZER), PACK_END)
 
 
+def _stage(work):
+    return lambda spark, docs, sf_dir: work(ship(spark), docs, sf_dir)
+
+
 STAGES = [
-    ("toxicity", drop_toxic),
-    ("near_duplicates", drop_near_duplicates),
-    ("substring_dedup", cut_repeats),
-    ("decontamination", drop_leaks),
-    ("packing", pack),
+    ("toxicity", _stage(drop_toxic)),
+    ("near_duplicates", _stage(drop_near_duplicates)),
+    ("substring_dedup", _stage(cut_repeats)),
+    ("decontamination", _stage(drop_leaks)),
+    ("packing", _stage(pack)),
 ]
 
 #: The learned scores, similarity joins and token ids have no form in SQL; the tests hold each stage against plain Python.

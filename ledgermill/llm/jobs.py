@@ -3,17 +3,35 @@
 from __future__ import annotations
 
 import tempfile
+import zipfile
 from collections.abc import Callable, Iterator
 from math import ceil
+from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+SHIPPED: dict[str, Path] = {}
+
 SHARD_BYTES = 16 << 20
 """Bytes of text in a shard, the unit that one Python call holds in memory."""
 
 
+def ship(spark: SparkSession) -> SparkSession:
+    """Give the package to the Python workers, wherever they run; once for each application."""
+    context = spark.sparkContext
+    if SHIPPED.get(context.applicationId) is None:
+        package = Path(__file__).resolve().parents[1]
+        archive = Path(tempfile.mkdtemp(prefix="ledgermill-package-")) / "ledgermill.zip"
+        with zipfile.ZipFile(archive, "w") as out:
+            for file in sorted(package.rglob("*.py")):
+                out.write(file, str(file.relative_to(package.parent)))
+        context.addPyFile(str(archive))
+        SHIPPED[context.applicationId] = archive
+    return spark
+
+
 def read(spark: SparkSession, folder: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{table}.parquet")
 

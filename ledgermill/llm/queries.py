@@ -10,7 +10,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from ledgermill.llm.decontamination import leaks
-from ledgermill.llm.jobs import read, shared_folder
+from ledgermill.llm.jobs import read, shared_folder, ship
 from ledgermill.llm.language_id import held_out, language_id, learn_dictionaries
 from ledgermill.llm.language_model import language_model
 from ledgermill.llm.license_scan import license_scan
@@ -70,8 +70,12 @@ def op10_language_model(spark: SparkSession, folder: str) -> DataFrame:
     return language_model(read(spark, folder, "documents"))
 
 
+def _query(work: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+    return lambda spark, folder: work(ship(spark), folder)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f
+    f.__name__: _query(f)
     for f in (
         op1_substring_dedup,
         op2_minhash,
