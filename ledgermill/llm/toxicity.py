@@ -3,8 +3,8 @@
 1. Terms: words that labelled toxic documents hold far more often than the others, counted over every
    labelled training document.
 2. Matching: the terms are a trie. A Levenshtein automaton for each word of a text walks it, and leaves a
-   branch as soon as no term below can be within the allowed distance. Exact and misspelled terms weigh
-   by how closely they match.
+   branch as soon as no term below can be within the allowed distance. Misspelled terms weigh half. So do
+   words that begin with a learned stem.
 3. Context: a hit within quotation marks, or near a word that reports speech, counts apart from one that
    is the text's own.
 4. A logistic model over the sums, fitted on a bounded sample of labelled training documents.
@@ -20,7 +20,7 @@ from functools import cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ledgermill.llm.jobs import by_batch, checkpointed, remainder
@@ -28,8 +28,11 @@ from ledgermill.llm.jobs import by_batch, checkpointed, remainder
 MAX_TERMS = 4_000
 """Bound of the lexicon: the terms of largest weight."""
 
-MIN_DOCS, MIN_ODDS = 3, 3.0
-"""A term occurs in so many toxic documents, and its smoothed log odds are at least this."""
+MIN_DOCS = 3
+"""A term occurs in so many toxic documents at least."""
+
+STEM, STEM_SIZES = "*", range(4, 10)
+"""Beginnings of words are counted like words: a family of words may share what its members are too rare to show."""
 
 SAMPLE_ROWS = 50_000
 """Bound of the labelled rows the model is fitted on, those of least hash."""
@@ -52,73 +55,95 @@ NEAR, QUOTED_WORDS = 4, 60
 TOKEN = re.compile(r"\w+|[\"“”„«»‘’‹›]")
 WORD = re.compile(r"\w+")
 
-FEATURES = ("own", "quoted", "misspelled", "heaviest", "density")
+FEATURES = ("own", "quoted", "misspelled", "heaviest", "different", "density")
+"""Of the different hits: sums of weights of a text's own ones, quoted ones and own misspelled ones; the heaviest; how
+many own ones; and all hits as a part of the words."""
 
 
 def allowed(term: str) -> int:
     """Edits that still leave a term recognisable: none in short ones."""
-    return 0 if len(term) < 5 else 1 if len(term) < 10 else 2
+    return 0 if len(term) < 5 else 1
+
+
+class Node:
+    """A node of the trie: the nodes below, and the term that ends here if it may be misspelled."""
+
+    __slots__ = ("below", "term")
+
+    def __init__(self):
+        self.below: dict[str, Node] = {}
+        self.term: str | None = None
+
+    def follow(self, rest: str) -> str | None:
+        """The term at the end of ``rest``."""
+        node = self
+        for c in rest:
+            node = node.below.get(c)
+            if node is None:
+                return None
+        return node.term
 
 
 class Trie:
-    """The lexicon. A node maps a character to a node; ``None`` holds the term that ends there."""
+    """The lexicon: terms, and stems (marked by a star) that match words which begin with them."""
 
     def __init__(self, terms: dict[str, float]):
-        self.terms, self.root = terms, {}
-        # Of k + 1 pieces of a term within k edits, one is left whole: the first as the word's beginning,
-        # the last as its end, one between anywhere. Words with no such piece need no walk.
-        self.first: dict[int, set[str]] = {}
-        self.last: dict[int, set[str]] = {}
-        self.between: dict[int, set[str]] = {}
-        for term in terms:
-            node = self.root
-            for c in term:
-                node = node.setdefault(c, {})
-            node[None] = term
-            pieces = self.cut(term)
-            if len(pieces) > 1:
-                for kind, own in ((self.first, pieces[:1]), (self.last, pieces[-1:]), (self.between, pieces[1:-1])):
-                    for piece in own:
-                        kind.setdefault(len(piece), set()).add(piece)
-        self.longest = max(map(len, terms), default=0) + 2
-
-    @staticmethod
-    def cut(term: str) -> list[str]:
-        n = allowed(term) + 1
-        return [term[len(term) * i // n : len(term) * (i + 1) // n] for i in range(n)]
-
-    def may_match(self, word: str) -> bool:
-        return (
-            any(word[:n] in pieces for n, pieces in self.first.items())
-            or any(word[-n:] in pieces for n, pieces in self.last.items())
-            or any(word[i : i + n] in pieces for n, pieces in self.between.items() for i in range(1, len(word) - n + 1))
-        )
-
-    def match(self, word: str) -> tuple[str, int] | None:
-        """The nearest term and its distance; the heavier term on a tie. ``None`` if none is near enough."""
+        self.stems = {t[:-1]: w for t, w in terms.items() if t.endswith(STEM)}
+        self.stem_sizes = sorted({len(s) for s in self.stems}, reverse=True)
+        self.terms, self.root = {t: w for t, w in terms.items() if not t.endswith(STEM)}, Node()
+        # One edit leaves the first or the second half of a term as it is: words with neither need no walk.
+        self.halves: dict[int, tuple[set[str], set[str]]] = {}
+        for term in self.terms:
+            if allowed(term):
+                first, last = self.halves.setdefault(len(term), (set(), set()))
+                first.add(term[: len(term) // 2])
+                last.add(term[len(term) // 2 :])
+                node = self.root
+                for c in term:
+                    node = node.below.setdefault(c, Node())
+                node.term = term
+
+    def match(self, word: str) -> tuple[float, int] | None:
+        """Weight and edits of the nearest term; the heavier one on a tie; else of the longest stem, as one edit."""
         if word in self.terms:
-            return word, 0
-        if len(word) < 4 or len(word) > self.longest or not self.may_match(word):
-            return None
-        best: tuple[int, float, str] | None = None
-        # the automaton's state: the edits needed to reach each position of the word
-        stack = [(self.root, tuple(range(len(word) + 1)))]
-        while stack:
-            node, state = stack.pop()
-            for c, below in node.items():
-                if c is None:
-                    if state[-1] <= allowed(below):
-                        found = (state[-1], -self.terms[below], below)
-                        best = found if best is None or found < best else best
-                    continue
-                edits = state[0] + 1
-                after = [edits]
-                for i, own in enumerate(word):
-                    edits = min(edits + 1, state[i + 1] + 1, state[i] + (own != c))
-                    after.append(edits)
-                if min(after) <= 2:
-                    stack.append((below, tuple(after)))
-        return None if best is None else (best[2], best[0])
+            return self.terms[word], 0
+        if self.has_half(word):
+            found = self.one_edit(word)
+            if found:
+                return max(self.terms[t] for t in found), 1
+        for n in self.stem_sizes:
+            if len(word) > n and word[:n] in self.stems:
+                return self.stems[word[:n]], 1
+        return None
+
+    def has_half(self, word: str) -> bool:
+        for n in (len(word) - 1, len(word), len(word) + 1):
+            halves = self.halves.get(n)
+            if halves and (word[: n // 2] in halves[0] or word[n // 2 - n :] in halves[1]):
+                return True
+        return False
+
+    def one_edit(self, word: str) -> set[str]:
+        """The terms one edit away: the word's Levenshtein automaton and the trie, walked together.
+
+        The automaton is in its first row as long as the trie has the word's own characters. From each
+        place there, the edits lead to its second row, where the rest of the word must follow as it is.
+        """
+        found, node = set(), self.root
+        for i in range(len(word) + 1):
+            rest, after = word[i:], word[i + 1 :]
+            for c, below in node.below.items():
+                if not rest or rest[0] in below.below:  # the word lacks c
+                    found.add(below.follow(rest))
+                if rest and c != rest[0] and (not after or after[0] in below.below):  # another character for c
+                    found.add(below.follow(after))
+            if rest:
+                found.add(node.follow(after))  # a character too many
+                node = node.below.get(rest[0])
+                if node is None:
+                    break
+        found.discard(None)
+        return found
 
 
 def quoted_places(tokens: list[str]) -> set[int]:
@@ -167,20 +192,23 @@ def features(text: str | None, terms: tuple[tuple[str, float], ...]) -> tuple[fl
         return (0.0,) * len(FEATURES)
     tokens, hits = TOKEN.findall(lower), set(hits)
     quoted = quoted_places(tokens)
-    own = others = misspelled = heaviest = 0.0
+    own: dict[str, float] = {}
+    others: dict[str, float] = {}
+    misspelled = heaviest = 0.0
     n = 0
     for i, token in enumerate(tokens):
         if token in hits:
-            term, edits = known.get(token) or trie.match(token)
-            weight = trie.terms[term] / (1 + edits)
+            weight, edits = known.get(token) or trie.match(token)
+            weight /= 1 + edits
             n += 1
-            misspelled += weight * (edits > 0)
             heaviest = max(heaviest, weight)
             if i in quoted or not REPORTS.isdisjoint(tokens[max(0, i - NEAR) : i + NEAR + 1]):
-                others += weight
+                others[token] = weight
             else:
-                own += weight
-    return math.log1p(own), math.log1p(others), math.log1p(misspelled), heaviest, n / max(1, len(words))
+                if edits and token not in own:
+                    misspelled += weight
+                own[token] = weight
+    return sum(own.values()), sum(others.values()), misspelled, heaviest, math.log1p(len(own)), n / max(1, len(words))
 
 
 def with_labels(docs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -198,13 +226,17 @@ def training(column: str = "doc_id") -> Column:
 def learn_terms(labelled: DataFrame) -> dict[str, float]:
     """Terms and weights from (text, toxic): the log odds of a word to be in a toxic document.
 
-    Every task counts the words of its batches before the shuffle.
+    Words and beginnings of words count if chance would not give them to one of all words counted. Every task counts the words of its batches before the shuffle.
     """
 
     def count(batch: pa.RecordBatch) -> pa.RecordBatch:
         toxic, clean = Counter(), Counter()
         for text, label in zip(batch["text"].to_pylist(), batch["toxic"].to_pylist()):
-            (toxic if label else clean).update(set(WORD.findall((text or "").lower())))
+            words = set(WORD.findall((text or "").lower()))
+            found = toxic if label else clean
+            found.update(words)
+            for n in STEM_SIZES:
+                found.update({w[:n] + STEM for w in words if len(w) > n})
         words = sorted(toxic.keys() | clean.keys())
         return pa.RecordBatch.from_pydict(
             {"word": words, "toxic": [toxic[w] for w in words], "clean": [clean[w] for w in words]},
@@ -217,9 +249,19 @@ def learn_terms(labelled: DataFrame) -> dict[str, float]:
         return {}
     counts = by_batch(labelled.select("text", F.when(F.col("toxic") > 0, 1).otherwise(0).alias("toxic")), count, "word string, toxic long, clean long")
     counts = counts.groupBy("word").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
+    seen = Observation()
+    counts = counts.observe(seen, F.count(F.lit(1)).alias("words"))
+    # how unlikely so many toxic documents are by chance, as the exponent of a binomial's tail
+    share, both = n_toxic / (n_toxic + n_clean), F.col("toxic") + F.col("clean")
+    part = F.col("toxic") / both
+    clean_part = F.when(F.col("clean") > 0, F.col("clean") * F.log((1 - part) / F.lit(1 - share + 1e-12))).otherwise(0.0)
+    evidence = F.col("toxic") * F.log(part / F.lit(share)) + clean_part
+    found = counts.filter((F.col("toxic") >= MIN_DOCS) & (F.length("word") >= 3) & (part > share))
+    found = checkpointed(found.withColumn("evidence", evidence))
     odds = F.log((F.col("toxic") + 0.5) / F.lit(n_toxic + 1.0)) - F.log((F.col("clean") + 0.5) / F.lit(n_clean + 1.0))
-    found = counts.filter((F.col("toxic") >= MIN_DOCS) & (F.length("word") >= 3)).withColumn("odds", odds).filter(F.col("odds") >= MIN_ODDS)
-    best = found.orderBy(F.desc(F.col("odds") * F.log1p("toxic")), "word").limit(MAX_TERMS).collect()
+    # as many words as there are must not give one by chance
+    found = found.filter(F.col("evidence") >= math.log(max(2, seen.get["words"]))).withColumn("odds", odds)
+    best = found.orderBy(F.desc("evidence"), "word").limit(MAX_TERMS).collect()
     return {r["word"]: round(r["odds"], 6) for r in best}
 
 

@@ -27,13 +27,18 @@ def test_walk_equals_distances_to_every_term():
             at = rng.randrange(len(text) + 1)
             text[at : at + rng.randrange(2)] = rng.choice(["", "a", "b", "x"])
         text = "".join(text)
-        near = [(distance(text, t), -w, t) for t, w in terms.items() if distance(text, t) <= allowed(t)]
+        near = [(distance(text, t), -w) for t, w in terms.items() if distance(text, t) <= allowed(t)]
         if text in terms:
-            assert trie.match(text) == (text, 0)
+            assert trie.match(text) == (terms[text], 0)
         elif len(text) < 4:
             assert trie.match(text) is None
         else:
-            assert trie.match(text) == ((min(near)[2], min(near)[0]) if near else None), text
+            assert trie.match(text) == ((-min(near)[1], min(near)[0]) if near else None), text
+
+
+def test_stems_match_beginnings():
+    trie = Trie({"wort*": 2.0, "worthy": 5.0})
+    assert trie.match("wortx") == (2.0, 1) and trie.match("worthy") == (5.0, 0) and trie.match("wort") is None
 
 
 def test_quotes_and_reports_are_told_apart():
@@ -41,7 +46,7 @@ def test_quotes_and_reports_are_told_apart():
     own, quoted, wrong = (dict(zip(FEATURES, features(t, terms))) for t in ("you rotten thing", 'a "very rotten" b', "rottten"))
     assert own["own"] > 0 == own["quoted"] and quoted["quoted"] > 0 == quoted["own"] and wrong["misspelled"] > 0
     assert dict(zip(FEATURES, features("she said rotten", terms)))["own"] == 0
-    assert features(None, terms) == features("", terms) == (0.0,) * len(FEATURES)
+    assert features(None, terms) == features("", terms) == features("a b", terms) == (0.0,) * len(FEATURES)
     assert quoted_places(['"', "a", '"', "b", "«", "c", "»", '"', "d"]) == {1, 5}
 
 
