@@ -1,3 +1,47 @@
-"""DuckDB statements for the queries that SQL can express."""
+"""DuckDB statements for the queries that SQL can express.
 
-STATEMENTS: dict[str, str] = {}
+The others depend on learned models, token ids or covariance estimates, or (decontamination) would join
+every window of every document with every item; their tests hold them against plain Python.
+"""
+
+_LOWER = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_WORDS = r"[^\x20\x09-\x0D]+"
+
+
+def _runs(n: int) -> str:
+    """Runs of ``n`` words of ``words`` (doc_id, i, word): doc_id, i of the first, run, size."""
+    frame = f"OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN CURRENT ROW AND {n - 1} FOLLOWING)"
+    return f"SELECT doc_id, i, string_agg(word, ' ') {frame} AS run, count(*) {frame} AS size FROM words"
+
+
+def _words(text: str) -> str:
+    return f"""
+        lists AS (SELECT doc_id, coalesce(regexp_extract_all({text}, '{_WORDS}'), []) AS list FROM documents),
+        words AS (SELECT doc_id, unnest(list) AS word, unnest(range(len(list))) AS i FROM lists)"""
+
+
+STATEMENTS: dict[str, str] = {
+    "op1_substring_dedup": f"""
+        WITH {_words('text')},
+        windows AS (SELECT doc_id, i, row_number() OVER (PARTITION BY run ORDER BY doc_id, i) AS place
+                    FROM ({_runs(20)}) r WHERE size = 20),
+        gone AS (SELECT DISTINCT doc_id, unnest(range(i, i + 20)) AS i FROM windows WHERE place > 1),
+        kept AS (SELECT doc_id, string_agg(word, ' ' ORDER BY i) AS text FROM words ANTI JOIN gone USING (doc_id, i)
+                 GROUP BY doc_id)
+        SELECT doc_id, len(list) AS n_words, coalesce(n, 0) AS n_removed, sha256(coalesce(text, '')) AS kept_sha256
+        FROM lists LEFT JOIN kept USING (doc_id)
+        LEFT JOIN (SELECT doc_id, count(*) AS n FROM gone GROUP BY doc_id) g USING (doc_id)""",
+    "op2_minhash": f"""
+        WITH RECURSIVE {_words(_LOWER)},
+        shingles AS (SELECT DISTINCT doc_id, run FROM ({_runs(5)}) r JOIN lists USING (doc_id)
+                     WHERE size = 5 OR (i = 0 AND len(list) < 5)),
+        sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+        shared AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS common FROM shingles x JOIN shingles y USING (run)
+                   WHERE x.doc_id <> y.doc_id GROUP BY x.doc_id, y.doc_id),
+        links AS (SELECT a, b FROM shared JOIN sizes p ON p.doc_id = a JOIN sizes q ON q.doc_id = b
+                  WHERE 100 * common >= 75 * (p.n + q.n - common)),
+        reached AS (SELECT doc_id, doc_id AS other FROM lists
+                    UNION SELECT r.doc_id, l.b FROM reached r JOIN links l ON l.a = r.other)
+        SELECT doc_id, coalesce(n, 0) AS n_shingles, min(other) AS component_id, doc_id = min(other) AS kept
+        FROM reached LEFT JOIN sizes USING (doc_id) GROUP BY doc_id, n""",
+}
