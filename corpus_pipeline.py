@@ -21,7 +21,7 @@ from ledgermill.llm.toxicity import toxicity
 def only(docs: DataFrame, ids: DataFrame) -> DataFrame:
     """The rows of ``docs`` whose id is in ``ids``; a null id is like any other."""
     wanted = ids.select(F.col("doc_id").alias("_wanted")).distinct()
-    return docs.join(wanted, F.col("doc_id").cast("long").eqNullSafe(F.col("_wanted")), "left_semi")
+    return docs.join(wanted, docs["doc_id"].cast("long").eqNullSafe(wanted["_wanted"]), "left_semi")
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -243,7 +243,8 @@ def substring_dedup(
     shard = F.pmod(F.xxhash64(F.col("doc_id").cast("long"), F.col("text")), F.lit(n)).cast("int")
     columns = [F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").cast("binary").alias("text")]
     if carry is not None:
-        columns.append(F.struct(*[F.col(c) for c in carry], F.lit(None).cast("int").alias("_")).alias("carried"))
+        carried = [F.col(f"`{c}`") for c in carry] or [F.lit(None).cast("int").alias("nothing")]
+        columns.append(F.struct(*carried).alias("carried"))
     sharded = docs.select(shard.alias("shard"), *columns).repartition(n, "shard")
 
     def narrowed(part: pa.Table, told: pa.Table, length: int) -> Shard:
