@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 SHIPPED: dict[str, Path] = {}
 
-SHARD_BYTES = 16 << 20
+SHARD_BYTES = 8 << 20
 """Bytes of text in a shard, the unit that one Python call holds in memory."""
 
 

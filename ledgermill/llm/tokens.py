@@ -9,7 +9,7 @@ from functools import cache
 import numpy as np
 from tokenizers import Tokenizer
 
-CACHE_PIECES = 600_000
+CACHE_PIECES = 300_000
 
 PIECE = re.compile(r"[ \t\n\x0b\x0c\r]*[^ \t\n\x0b\x0c\r]+|[ \t\n\x0b\x0c\r]+")
 """A run of ASCII white space with what follows it. No token of a byte-level or word BPE spans two."""

@@ -15,8 +15,8 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter
+from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -31,7 +31,7 @@ MAX_TERMS = 4_000
 MIN_DOCS = 3
 """A term occurs in so many toxic documents at least."""
 
-STEM, STEM_SIZES = "*", range(4, 10)
+STEM, STEM_SIZES = "*", (4, 6, 8)
 """Beginnings of words are counted like words: a family of words may share what its members are too rare to show."""
 
 SAMPLE_ROWS = 50_000
@@ -40,7 +40,8 @@ SAMPLE_ROWS = 50_000
 BROADCAST_LABELS = 2_000_000
 """Up to so many labels (16 bytes each) are broadcast; beyond, both sides are shuffled."""
 
-CACHE_WORDS = 500_000
+CACHE_WORDS = 200_000
+"""Words whose match a task remembers."""
 
 #: Words that report what others say.
 REPORTS = frozenset(
@@ -170,13 +171,8 @@ class ToxicModel:
     scale: tuple[float, ...]
 
 
-@cache
-def trie_of(terms: tuple[tuple[str, float], ...]) -> tuple[Trie, dict]:
-    return Trie(dict(terms)), {}
-
-
-def features(text: str | None, terms: tuple[tuple[str, float], ...]) -> tuple[float, ...]:
-    trie, known = trie_of(terms)
+def features(text: str | None, trie: Trie, known: dict) -> tuple[float, ...]:
+    """The sums of one text; ``known`` remembers the matches of words."""
     lower = (text or "").lower()
     hits = []
     words = WORD.findall(lower)
@@ -282,12 +278,15 @@ def fit(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2) -> tuple[np.ndarray,
 
 
 def text_features(docs: DataFrame, terms: tuple[tuple[str, float], ...]) -> DataFrame:
-    def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-        found = list(zip(*(features(t, terms) for t in batch["text"].to_pylist()))) or [[]] * len(FEATURES)
-        return pa.RecordBatch.from_arrays([batch["doc_id"], *(pa.array(f, pa.float64()) for f in found)], ["doc_id", *FEATURES])
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        trie, known = Trie(dict(terms)), {}  # of this task: a worker holds nothing on to the next
+        for batch in batches:
+            found = list(zip(*(features(t, trie, known) for t in batch["text"].to_pylist()))) or [[]] * len(FEATURES)
+            columns = [batch["doc_id"], *(pa.array(f, pa.float64()) for f in found)]
+            yield pa.RecordBatch.from_arrays(columns, ["doc_id", *FEATURES])
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.make_valid_utf8("text").alias("text"))
-    return by_batch(rows, work, "doc_id long, " + ", ".join(f"{f} double" for f in FEATURES))
+    return rows.mapInArrow(run, "doc_id long, " + ", ".join(f"{f} double" for f in FEATURES))
 
 
 def score_column(model: ToxicModel) -> Column:

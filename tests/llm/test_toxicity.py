@@ -42,11 +42,13 @@ def test_stems_match_beginnings():
 
 
 def test_quotes_and_reports_are_told_apart():
-    terms = (("rotten", 5.0),)
-    own, quoted, wrong = (dict(zip(FEATURES, features(t, terms))) for t in ("you rotten thing", 'a "very rotten" b', "rottten"))
+    def sums(text):
+        return dict(zip(FEATURES, features(text, Trie({"rotten": 5.0}), {})))
+
+    own, quoted, wrong = map(sums, ("you rotten thing", 'a "very rotten" b', "rottten"))
     assert own["own"] > 0 == own["quoted"] and quoted["quoted"] > 0 == quoted["own"] and wrong["misspelled"] > 0
-    assert dict(zip(FEATURES, features("she said rotten", terms)))["own"] == 0
-    assert features(None, terms) == features("", terms) == features("a b", terms) == (0.0,) * len(FEATURES)
+    assert sums("she said rotten")["own"] == 0
+    assert sums(None) == sums("") == sums("a b") == dict.fromkeys(FEATURES, 0.0)
     assert quoted_places(['"', "a", '"', "b", "«", "c", "»", '"', "d"]) == {1, 5}
 
 
