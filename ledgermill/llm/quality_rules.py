@@ -5,7 +5,8 @@ window is shuffled. For every language and source, a minimum-covariance-determin
 transformed statistics is found by concentration steps: from medians and quartiles, then again and again
 from the ``SUPPORT`` part of the rows that lie nearest by Mahalanobis distance. A row far outside its
 group's estimate is rejected. Groups reach the estimate only as sums and counts per distance bin, so a
-source with a third of all rows costs no more than any other.
+source with a third of all rows costs no more than any other. A source too small for an estimate of its
+own is judged by its language's, a language too small by that of all rows.
 """
 
 from __future__ import annotations
@@ -37,7 +38,10 @@ MEDIAN_CHI2 = 4.351
 """Median of chi squared with 5 degrees of freedom: scales distances to those of a normal law."""
 
 MIN_GROUP = 40
-"""Groups of fewer rows have no estimate of their own; their rows are judged by the base rules alone."""
+"""Groups of fewer rows have no estimate of their own; their rows are judged by a pooled one."""
+
+ANY = "any"
+"""The language or source of a pool; those of rows begin with "=" or are "null"."""
 
 BINS_PER_OCTAVE = 16
 BROADCAST_GROUPS = 50_000
@@ -152,23 +156,11 @@ def quantile_bins(rows: DataFrame, part: float) -> DataFrame:
     return cumulated.filter(F.col("upto") >= F.lit(part) * F.col("total")).groupBy("language", "origin").agg(F.min("bin").alias("edge"))
 
 
-def quality_rules(docs: DataFrame) -> DataFrame:
-    """doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept, distance of every row.
-
-    ``docs`` has doc_id, text, lang and source. ``distance`` is the squared distance, scaled so that half
-    of a group is under ``MEDIAN_CHI2``. Defined cases: a null text has no words and fails the base rules;
-    null languages and sources are groups of their own; rows of groups with fewer than ``MIN_GROUP`` rows
-    that pass the base rules have no distance (null) and are kept. Only rows that pass the base rules
-    make the estimates. Repeated rows count as often as they occur; extra columns are ignored.
-    """
-    failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
-    rows = checkpointed(base_statistics(docs).withColumn("base_failed", failed).withColumns(transformed()))
-    passed = rows.filter(~F.col("base_failed"))
-    sizes = start(passed).filter(F.col("size") >= MIN_GROUP)
+def estimates(own: DataFrame, sizes: DataFrame) -> tuple[DataFrame, bool]:
+    """language, origin and the estimate ``e`` of the groups of ``own`` in ``sizes``, and whether they are few."""
     small = sizes.limit(BROADCAST_GROUPS + 1).count() <= BROADCAST_GROUPS
     hint = F.broadcast if small else (lambda x: x)
     groups = checkpointed(sizes.drop("size"))
-    own = passed.select("language", "origin", *NAMES)
     for _ in range(STEPS):
         found = distances(own, groups, small)
         near = found.join(hint(quantile_bins(found, SUPPORT)), ["language", "origin"]).filter(distance_bin() <= F.col("edge"))
@@ -177,14 +169,52 @@ def quality_rules(docs: DataFrame) -> DataFrame:
     scale = middle.withColumn("scale", F.lit(MEDIAN_CHI2) / F.pow(F.lit(2.0), (F.col("edge") + 1) / F.lit(BINS_PER_OCTAVE))).drop("edge")
     # floors keep the estimate from shrinking to a point; distances are scaled down to it, never up
     scale = scale.withColumn("scale", F.least(F.col("scale"), F.lit(1.0)))
-    estimates = groups.join(scale, ["language", "origin"])
-    judged = rows.join(hint(triangular(estimates)), ["language", "origin"], "left")
+    found = triangular(groups.join(scale, ["language", "origin"]))
+    e = F.struct(*[c for c in found.columns if c not in ("language", "origin")])
+    return checkpointed(found.select("language", "origin", e.alias("e"))), small
+
+
+def quality_rules(docs: DataFrame) -> DataFrame:
+    """doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept, distance of every row.
+
+    ``docs`` has doc_id, text, lang and source. ``distance`` is the squared distance, scaled so that half
+    of a group is under ``MEDIAN_CHI2``. Defined cases: a null text has no words and fails the base rules;
+    null languages and sources are groups of their own; rows of groups with fewer than ``MIN_GROUP`` rows
+    that pass the base rules are judged by the estimate of all such rows of their language or, if these are
+    as few, of all languages; if so few pass in all, none has a distance (null) and all are kept. Only rows
+    that pass the base rules make the estimates. Repeated rows count as often as they occur; extra columns
+    are ignored.
+    """
+    failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
+    rows = checkpointed(base_statistics(docs).withColumn("base_failed", failed).withColumns(transformed()))
+    own = rows.filter(~F.col("base_failed")).select("language", "origin", *NAMES)
+    sizes = checkpointed(start(own))
+    judged = rows
+    of_group, small = estimates(own, sizes.filter(F.col("size") >= MIN_GROUP))
+    judged = judged.join(F.broadcast(of_group) if small else of_group, ["language", "origin"], "left")
+    # pools are made only of the languages that have a small group, and of all rows if such a language is small
+    pooled = sizes.groupBy("language").agg(F.sum("size").alias("n"), F.min("size").alias("least")).filter(F.col("least") < MIN_GROUP)
+    large, least = pooled.filter(F.col("n") >= MIN_GROUP).select("language"), pooled.agg(F.min("n")).first()[0]
+    pools = []
+    if least is not None:
+        few = large.limit(BROADCAST_GROUPS + 1).count() <= BROADCAST_GROUPS
+        members = own.join(F.broadcast(large) if few else large, "language", "left_semi").withColumn("origin", F.lit(ANY))
+        of_language, few = estimates(members, start(members))
+        of_language = of_language.select("language", F.col("e").alias("e_language"))
+        judged = judged.join(F.broadcast(of_language) if few else of_language, "language", "left")
+        pools.append("e_language")
+    if least is not None and least < MIN_GROUP:
+        members = own.withColumns({"language": F.lit(ANY), "origin": F.lit(ANY)})
+        of_all, _ = estimates(members, start(members).filter(F.col("size") >= MIN_GROUP))
+        judged = judged.join(F.broadcast(of_all.select(F.col("e").alias("e_all"))), F.lit(True), "left")
+        pools.append("e_all")
+    judged = judged.withColumn("e", F.coalesce("e", *pools)).drop(*pools)
     z = []
     for i, name in enumerate(NAMES):
-        left = reduce(lambda a, k: a - F.col(f"l_{i}{k}") * F.col(f"z_{k}"), range(i), F.col(name) - F.col(f"m_{name}"))  # noqa: B023
-        judged = judged.withColumn(f"z_{i}", left / F.col(f"l_{i}{i}"))
+        left = reduce(lambda a, k: a - F.col(f"e.l_{i}{k}") * F.col(f"z_{k}"), range(i), F.col(name) - F.col(f"e.m_{name}"))  # noqa: B023
+        judged = judged.withColumn(f"z_{i}", left / F.col(f"e.l_{i}{i}"))
         z.append(F.col(f"z_{i}") * F.col(f"z_{i}"))
-    distance = F.when(~F.col("base_failed"), reduce(lambda a, b: a + b, z) * F.col("scale"))
+    distance = F.when(~F.col("base_failed"), reduce(lambda a, b: a + b, z) * F.col("e.scale"))
     kept = ~F.col("base_failed") & (F.coalesce(distance, F.lit(0.0)) <= CUTOFF)
     return judged.select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", kept.alias("kept"), distance.alias("distance")

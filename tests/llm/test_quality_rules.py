@@ -54,6 +54,19 @@ def test_small_groups_and_no_rows(spark):
     assert quality_rules(docs.limit(0)).collect() == []
 
 
+def test_junk_in_small_groups_goes(spark):
+    rng = random.Random(3)
+    words = lambda n: " ".join("".join(rng.choice("abcde") for _ in range(rng.randrange(2, 9))) for _ in range(n))
+    rows = [(i, words(rng.randrange(60, 200)), "en", "large" if i < 2 * MIN_GROUP else f"site{i}") for i in range(3 * MIN_GROUP)]
+    rows += [(500 + i, words(100), lang, "s") for i, lang in enumerate(["fr", "fr", None])]
+    # in a small group of a large language, in a language of few rows, and without either
+    junk = [(600 + i, words(60) + " $$$" * 60, lang, source) for i, (lang, source) in enumerate([("en", "site90"), ("fr", "s"), (None, None)])]
+    docs = spark.createDataFrame(rows + junk, "doc_id long, text string, lang string, source string")
+    got = {r.doc_id: r for r in quality_rules(docs).collect()}
+    assert len(got) == len(rows + junk) and all(r.distance is not None for r in got.values())
+    assert {d for d, r in got.items() if not r.kept} == {600, 601, 602}
+
+
 def test_no_python_in_the_plan(spark):
     docs = spark.createDataFrame([(1, "a", "en", "s")], "doc_id long, text string, lang string, source string")
     plan = quality_rules(docs)._jdf.queryExecution().executedPlan().toString()
