@@ -18,27 +18,60 @@ from ledgermill.llm.substring_dedup import substring_dedup
 from ledgermill.llm.toxicity import toxicity
 
 
-def only(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """The rows of ``docs`` whose id is in ``ids``; a null id is like any other."""
-    wanted = ids.select(F.col("doc_id").alias("_wanted")).distinct()
-    return docs.join(wanted, docs["doc_id"].cast("long").eqNullSafe(wanted["_wanted"]), "left_semi")
+def unused(docs: DataFrame, name: str) -> str:
+    """``name``, made longer until no column has it."""
+    while name.lower() in {c.lower() for c in docs.columns}:
+        name += "_"
+    return name
+
+
+def keyed(docs: DataFrame, ordered: bool) -> tuple[DataFrame, str]:
+    """``docs``, written with a unique number for each row, and that column's name.
+
+    An id may be null or stand in many rows, so rows are decided on by number. ``ordered`` numbers rise with
+    the id, null first; rows of one id are dealt by their place in the input, so none is too many for a task.
+    """
+    key = unused(docs, "_row")
+    rows = docs.withColumn(key, F.monotonically_increasing_id())
+    if ordered:
+        order = [F.col("doc_id").cast("long"), F.col(key)]
+        n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        rows = rows.repartitionByRange(n, *order).sortWithinPartitions(*order).withColumn(key, F.monotonically_increasing_id())
+    path = os.path.join(shared_folder(docs.sparkSession), f"rows-{uuid.uuid4().hex}")
+    rows.write.parquet(path)
+    return docs.sparkSession.read.parquet(path), key
+
+
+def only(docs: DataFrame, found: DataFrame, key: str) -> DataFrame:
+    """The rows of ``docs`` whose number is in ``found``, without it."""
+    return docs.join(found.select(key), key, "left_semi").drop(key)
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rejected documents go; the model learns from the labels of the documents given."""
-    return only(docs, toxicity(docs, read(spark, sf_dir, "labels")).filter("predicted = 0"))
+    """Rejected rows go; the model learns from the labels of the documents given."""
+    rows, key = keyed(docs, ordered=False)
+    return only(rows, toxicity(rows, read(spark, sf_dir, "labels"), key).filter("predicted = 0"), key)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near copies the document of smallest id stays."""
-    return only(docs, minhash_dedup(docs).filter("kept"))
+    """Of each group of near copies the row of smallest id stays, of one id the first; a null id is the smallest."""
+    rows, key = keyed(docs, ordered=True)
+    found = minhash_dedup(rows.select(F.col(key).alias("doc_id"), "text")).filter("kept")
+    return only(rows, found.select(F.col("doc_id").alias(key)), key)
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Passages that stand earlier go from the text; every document stays, and ``n_chars`` follows."""
-    found = substring_dedup(docs, carry=[c for c in docs.columns if c != "text"])
+    """Passages that stand earlier go from the text; every row stays, and ``n_chars`` follows."""
+    rows, key = keyed(docs, ordered=True)
+    own_id = unused(rows, "_doc_id")
+    rows = rows.withColumnsRenamed({"doc_id": own_id, key: "doc_id"})
+    found = substring_dedup(rows, carry=[c for c in rows.columns if c not in ("doc_id", "text")])
     text = F.col("kept_text").cast("string")
-    changed = {"text": text, "n_chars": F.when(F.col("n_removed") > 0, F.length(text)).otherwise(F.col("carried.n_chars"))}
+    changed = {
+        "doc_id": F.col(f"carried.{own_id}"),
+        "text": text,
+        "n_chars": F.when(F.col("n_removed") > 0, F.length(text)).otherwise(F.col("carried.n_chars")),
+    }
     return found.select(
         *(changed.get(f.name, F.col(f"carried.`{f.name}`")).cast(f.dataType).alias(f.name) for f in docs.schema)
     )

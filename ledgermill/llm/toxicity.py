@@ -277,16 +277,16 @@ def fit(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2) -> tuple[np.ndarray,
     return w, center, scale
 
 
-def text_features(docs: DataFrame, terms: tuple[tuple[str, float], ...]) -> DataFrame:
+def text_features(docs: DataFrame, terms: tuple[tuple[str, float], ...], keys: list[str]) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         trie, known = Trie(dict(terms)), {}  # of this task: a worker holds nothing on to the next
         for batch in batches:
             found = list(zip(*(features(t, trie, known) for t in batch["text"].to_pylist()))) or [[]] * len(FEATURES)
-            columns = [batch["doc_id"], *(pa.array(f, pa.float64()) for f in found)]
-            yield pa.RecordBatch.from_arrays(columns, ["doc_id", *FEATURES])
+            columns = [*(batch[k] for k in keys), *(pa.array(f, pa.float64()) for f in found)]
+            yield pa.RecordBatch.from_arrays(columns, [*keys, *FEATURES])
 
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.make_valid_utf8("text").alias("text"))
-    return rows.mapInArrow(run, "doc_id long, " + ", ".join(f"{f} double" for f in FEATURES))
+    rows = docs.select(*keys, F.make_valid_utf8("text").alias("text"))
+    return rows.mapInArrow(run, ", ".join([f"`{k}` long" for k in keys] + [f"{f} double" for f in FEATURES]))
 
 
 def score_column(model: ToxicModel) -> Column:
@@ -296,18 +296,21 @@ def score_column(model: ToxicModel) -> Column:
     return F.lit(1.0) / (F.lit(1.0) + F.exp(-z))
 
 
-def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
+def toxicity(docs: DataFrame, labels: DataFrame, key: str | None = None) -> DataFrame:
     """doc_id, held_out, score, predicted of every row of ``docs`` (doc_id, text), learned from ``labels``.
 
+    With ``key``, a column of whole numbers, that column comes back too, so that rows of one id can be told apart.
+
     Learned only from rows outside the fold that ``held_out`` marks. Defined cases: null and empty texts
     have no hit and the score of a text without one; with no toxic label to learn from, no term is known
     and every score is the (smoothed) share of toxic labels. Null labels and ids teach nothing. Repeated
     rows give repeated results; extra columns are ignored.
     """
-    own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.make_valid_utf8(F.col("text").cast("string")).alias("text"))
+    keys = ["doc_id"] + ([key] if key else [])
+    own = docs.select(*(F.col(k).cast("long").alias(k) for k in keys), F.make_valid_utf8(F.col("text").cast("string")).alias("text"))
     labelled = with_labels(own.filter(training()), labels.select("doc_id", "toxic"))
     terms = tuple(sorted(learn_terms(labelled).items()))
-    scored = checkpointed(text_features(own, terms))
+    scored = checkpointed(text_features(own, terms, keys))
     sample = with_labels(scored.filter(training()), labels.select("doc_id", "toxic"))
     sample = sample.orderBy(F.xxhash64("doc_id"), "doc_id", *FEATURES).limit(SAMPLE_ROWS).select(*FEATURES, "toxic").collect()
     x = np.array([[r[f] for f in FEATURES] for r in sample], float).reshape(-1, len(FEATURES))
@@ -318,5 +321,5 @@ def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
     else:
         w, center, scale = fit(x, y)
     model = ToxicModel(terms, *(tuple(map(float, v)) for v in (w, center, scale)))
-    score = scored.select("doc_id", (remainder("doc_id", 5) == 0).alias("held_out"), score_column(model).alias("score"))
+    score = scored.select(*keys, (remainder("doc_id", 5) == 0).alias("held_out"), score_column(model).alias("score"))
     return score.withColumn("predicted", F.when(F.col("score") >= 0.5, 1).otherwise(0).cast("int"))

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from test_decontamination import brute as leaks_of
 from test_minhash import brute as groups_of
 from test_tokens import best_fit, whole
+from test_toxicity import corpus
 
 from ledgermill.llm.toxicity import toxicity
 
@@ -92,3 +93,25 @@ def test_nulls_and_no_rows(spark, stages):
         odd = spark.createDataFrame([(None, None, None, None, None), (1, None, None, None, None), (2, "", "en", "s", 0)], stages[0].schema)
         assert stage(spark, odd, FOLDER).count() == 3, name
         assert stage(spark, odd.limit(0), FOLDER).count() == 0, name
+
+
+def test_rows_of_null_and_repeated_ids_are_decided_alone(spark, tmp_path):
+    stage, many = dict(corpus_pipeline.STAGES), 10**9
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    rows, marks = corpus(600)
+    spark.createDataFrame(marks, "doc_id long, toxic int, quality int").write.parquet(str(tmp_path / "labels.parquet"))
+    added = [(i, t, "en", "added", len(t)) for i in (None, many) for t in ("zounds", "yuckfoo", "abc")]
+    known = [(i, t, "en", "s", len(t)) for i, t, _ in rows]
+    got = stage["toxicity"](spark, spark.createDataFrame(known + added, schema), str(tmp_path)).filter("source = 'added'")
+    assert sorted(((r.doc_id, r.text) for r in got.collect()), key=str) == sorted([(None, "abc"), (many, "abc")], key=str)
+
+    words = lambda c, n=60: " ".join(f"{c}{i}" for i in range(n))
+    docs = lambda rows: spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in rows], schema)
+    copies = docs([(None, words("a")), (None, words("a")), (many, words("b")), (many, words("b")), (many, words("c")), (many + 1, words("a")), (many + 1, words("c"))])
+    got = [(r.doc_id, r.text) for r in stage["near_duplicates"](spark, copies, FOLDER).collect()]
+    assert sorted(got, key=str) == sorted([(None, words("a")), (many, words("b")), (many, words("c"))], key=str)
+
+    repeats = docs([(i, f"{words(c, 30)} {words(f'{c}{k}', 30)}") for i, c in ((None, "a"), (many, "b")) for k in "xy"])
+    got = [r.text for r in stage["substring_dedup"](spark, repeats, FOLDER).collect()]
+    assert len(got) == 4 and [sum(words(c, 30) in t for t in got) for c in "ab"] == [1, 1]
+    assert all(sum(words(f"{c}{k}", 30) in t for t in got) == 1 for c in "ab" for k in "xy")
