@@ -1,7 +1,7 @@
 """Toxicity: a learned lexicon, matched in spite of misspelling, with quotation told from abuse.
 
 1. Terms: words that labelled toxic documents hold far more often than the others, counted over every
-   labelled training document.
+   labelled training document, each distinct text once. All terms that chance does not explain are kept.
 2. Matching: the terms are a trie. A Levenshtein automaton for each word of a text walks it, and leaves a
    branch as soon as no term below can be within the allowed distance. Misspelled terms weigh half. So do
    words that begin with a learned stem.
@@ -25,9 +25,6 @@ from pyspark.sql import functions as F
 
 from ledgermill.llm.jobs import by_batch, checkpointed, remainder
 
-MAX_TERMS = 4_000
-"""Bound of the lexicon: the terms of largest weight."""
-
 MIN_DOCS = 3
 """A term occurs in so many toxic documents at least."""
 
@@ -40,6 +37,11 @@ SAMPLE_ROWS = 50_000
 BROADCAST_LABELS = 2_000_000
 """Up to so many labels (16 bytes each) are broadcast; beyond, both sides are shuffled."""
 
+BROADCAST_TEXTS = 2_000_000
+"""Up to so many hashes of copied texts (16 bytes each) are broadcast; beyond, only those of many copies are."""
+
+MANY_COPIES = 1_000
+
 CACHE_WORDS = 200_000
 """Words whose match a task remembers."""
 
@@ -219,32 +221,51 @@ def training(column: str = "doc_id") -> Column:
     return remainder(column, 5) != 0
 
 
+def counted_once(labelled: DataFrame) -> DataFrame:
+    """text, toxic, weight: the rows of one text weigh 1 together, whatever their labels."""
+    rows = labelled.withColumn("_text", F.xxhash64("text"))
+    copies = checkpointed(rows.groupBy("_text").agg(F.count("*").alias("n")).filter("n > 1"))
+    if copies.limit(BROADCAST_TEXTS + 1).count() <= BROADCAST_TEXTS:
+        rows = rows.join(F.broadcast(copies), "_text", "left")
+    else:
+        # texts of many copies are few, and would be too many rows for the task they were dealt to
+        many = copies.filter(F.col("n") > MANY_COPIES).withColumnRenamed("n", "many")
+        dealt = rows.join(F.broadcast(many), "_text", "left")
+        rest = dealt.filter("many is null").join(copies, "_text", "left").select("text", "toxic", "n")
+        rows = rest.union(dealt.filter("many is not null").select("text", "toxic", F.col("many").alias("n")))
+    return rows.select("text", "toxic", (F.lit(1.0) / F.coalesce("n", F.lit(1))).alias("weight"))
+
+
 def learn_terms(labelled: DataFrame) -> dict[str, float]:
     """Terms and weights from (text, toxic): the log odds of a word to be in a toxic document.
 
-    Words and beginnings of words count if chance would not give them to one of all words counted. Every task counts the words of its batches before the shuffle.
+    Words and beginnings of words count if chance would not give them to one of all words counted. Copies of a
+    text share one count. Every task counts the words of its batches before the shuffle.
     """
+    labelled = counted_once(labelled.select("text", F.when(F.col("toxic") > 0, 1).otherwise(0).alias("toxic")))
 
     def count(batch: pa.RecordBatch) -> pa.RecordBatch:
         toxic, clean = Counter(), Counter()
-        for text, label in zip(batch["text"].to_pylist(), batch["toxic"].to_pylist()):
+        for text, label, weight in zip(*(batch[c].to_pylist() for c in ("text", "toxic", "weight"))):
             words = set(WORD.findall((text or "").lower()))
             found = toxic if label else clean
-            found.update(words)
             for n in STEM_SIZES:
-                found.update({w[:n] + STEM for w in words if len(w) > n})
+                words |= {w[:n] + STEM for w in words if len(w) > n and not w.endswith(STEM)}
+            for w in words:
+                found[w] += weight
         words = sorted(toxic.keys() | clean.keys())
         return pa.RecordBatch.from_pydict(
             {"word": words, "toxic": [toxic[w] for w in words], "clean": [clean[w] for w in words]},
-            pa.schema([("word", pa.string()), ("toxic", pa.int64()), ("clean", pa.int64())]),
+            pa.schema([("word", pa.string()), ("toxic", pa.float64()), ("clean", pa.float64())]),
         )
 
-    totals = {r["toxic"]: r["n"] for r in labelled.groupBy((F.col("toxic") > 0).alias("toxic")).agg(F.count("*").alias("n")).collect()}
+    totals = {r["toxic"]: r["n"] for r in labelled.groupBy((F.col("toxic") > 0).alias("toxic")).agg(F.round(F.sum("weight"), 6).alias("n")).collect()}
     n_toxic, n_clean = totals.get(True, 0), totals.get(False, 0)
     if not n_toxic:
         return {}
-    counts = by_batch(labelled.select("text", F.when(F.col("toxic") > 0, 1).otherwise(0).alias("toxic")), count, "word string, toxic long, clean long")
-    counts = counts.groupBy("word").agg(F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
+    counts = by_batch(labelled, count, "word string, toxic double, clean double")
+    # rounded, so that the order of the sums does not show
+    counts = counts.groupBy("word").agg(F.round(F.sum("toxic"), 6).alias("toxic"), F.round(F.sum("clean"), 6).alias("clean"))
     seen = Observation()
     counts = counts.observe(seen, F.count(F.lit(1)).alias("words"))
     # how unlikely so many toxic documents are by chance, as the exponent of a binomial's tail
@@ -257,8 +278,7 @@ def learn_terms(labelled: DataFrame) -> dict[str, float]:
     odds = F.log((F.col("toxic") + 0.5) / F.lit(n_toxic + 1.0)) - F.log((F.col("clean") + 0.5) / F.lit(n_clean + 1.0))
     # as many words as there are must not give one by chance
     found = found.filter(F.col("evidence") >= math.log(max(2, seen.get["words"]))).withColumn("odds", odds)
-    best = found.orderBy(F.desc("evidence"), "word").limit(MAX_TERMS).collect()
-    return {r["word"]: round(r["odds"], 6) for r in best}
+    return {r["word"]: round(r["odds"], 6) for r in found.select("word", "odds").collect()}
 
 
 def fit(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

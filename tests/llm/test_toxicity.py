@@ -4,7 +4,7 @@ import zlib
 
 import pytest
 
-from ledgermill.llm.toxicity import FEATURES, Trie, allowed, features, quoted_places, toxicity
+from ledgermill.llm.toxicity import FEATURES, Trie, allowed, features, learn_terms, quoted_places, toxicity
 
 
 def distance(a, b):
@@ -87,3 +87,12 @@ def test_nothing_to_learn(spark, marks):
     labels = spark.createDataFrame(marks, "doc_id long, toxic int, quality int")
     assert [r.predicted for r in toxicity(docs, labels).collect()] == [0, 0]
     assert toxicity(docs.limit(0), labels).collect() == []
+
+
+def test_all_terms_are_kept_and_copies_count_once(spark):
+    terms = {f"{a}{b}{c}" for a in "bcdfghklmnprst" for b in string.ascii_lowercase for c in string.ascii_lowercase[:13]}
+    rows = [(f"{' '.join(sorted(terms))} only{i}", 1) for i in range(40)] + [(f"calm{i}", 0) for i in range(40)]
+    rows += [("copied message", 1)] * 40
+    found = learn_terms(spark.createDataFrame(rows, "text string, toxic int"))
+    assert len(terms) > 4000 and terms <= found.keys()
+    assert not {"copied", "message"} & found.keys()
