@@ -9,6 +9,8 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
+from ledgermill.llm.conversation_repair import damaged, repair_report
+from ledgermill.llm.conversation_trie import prefix_trie, rebuilt, turns_of
 from ledgermill.llm.decontamination import leaks
 from ledgermill.llm.jobs import read, shared_folder, ship
 from ledgermill.llm.language_id import held_out, language_id, learn_dictionaries
@@ -70,6 +72,15 @@ def op10_language_model(spark: SparkSession, folder: str) -> DataFrame:
     return language_model(read(spark, folder, "documents"))
 
 
+def op11_conversation_repair(spark: SparkSession, folder: str) -> DataFrame:
+    conversations = read(spark, folder, "conversations")
+    return repair_report(conversations, damaged(conversations))
+
+
+def op12_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
+    return prefix_trie(*rebuilt(turns_of(read(spark, folder, "conversations"))))
+
+
 def _query(work: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     return lambda spark, folder: work(ship(spark), folder)
 
@@ -87,5 +98,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_toxicity,
         op9_language_id,
         op10_language_model,
+        op11_conversation_repair,
+        op12_prefix_trie,
     )
 }

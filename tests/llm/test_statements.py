@@ -13,7 +13,8 @@ FOLDER = "/root/testdata/sf0.01"
 def test_matches_duckdb(spark, name):
     frame = QUERIES[name](spark, FOLDER)
     connection = duckdb.connect()
-    connection.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{FOLDER}/documents.parquet')")
+    for table in ("documents", "conversations"):
+        connection.execute(f"CREATE VIEW {table} AS SELECT * FROM read_parquet('{FOLDER}/{table}.parquet')")
     result = connection.execute(STATEMENTS[name])
     assert [d[0] for d in result.description] == frame.columns
     assert sorted(result.fetchall()) == sorted(map(tuple, frame.collect()))
