@@ -119,13 +119,10 @@ def chunk_keys(signatures: np.ndarray) -> np.ndarray:
     return mix(packed ^ kinds).reshape(len(signatures), -1)
 
 
-def local_keys(batch: pa.RecordBatch) -> pa.RecordBatch:
-    """key, doc_id, shared: each signature's keys. Of a key with several documents in the batch, one row that
-    does not know of the others (``shared`` false) goes on for all of them; other batches may have the key too.
+def sent_on(keys: np.ndarray, docs: np.ndarray) -> pa.RecordBatch:
+    """key, doc_id, shared of a batch's keys. Of a key with several documents in the batch, one row that does not
+    know of the others (``shared`` false) goes on for all of them; other batches may have the key too.
     """
-    ids = np.asarray(batch["doc_id"])
-    rows = np.frombuffer(b"".join(batch["signature"].to_pylist()), np.uint16).reshape(-1, SLOTS)
-    keys, docs = chunk_keys(rows).ravel(), np.repeat(ids, CHUNKS * len(KEPT_SLOTS))
     order = np.lexsort((docs, keys))
     keys, docs = keys[order], docs[order]
     new = np.ones(len(keys), bool)
@@ -138,6 +135,12 @@ def local_keys(batch: pa.RecordBatch) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(columns, ["key", "doc_id", "shared"])
 
 
+def local_keys(batch: pa.RecordBatch) -> pa.RecordBatch:
+    """key, doc_id, shared: each signature's keys; see ``sent_on``."""
+    rows = np.frombuffer(b"".join(batch["signature"].to_pylist()), np.uint16).reshape(-1, SLOTS)
+    return sent_on(chunk_keys(rows).ravel(), np.repeat(np.asarray(batch["doc_id"]), CHUNKS * len(KEPT_SLOTS)))
+
+
 def shared_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """key, doc_id of the keys that several documents have, from rows sorted by key and id.
 

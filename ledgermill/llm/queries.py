@@ -17,6 +17,7 @@ from ledgermill.llm.language_id import held_out, language_id, learn_dictionaries
 from ledgermill.llm.language_model import language_model
 from ledgermill.llm.license_scan import license_scan
 from ledgermill.llm.minhash import minhash_dedup
+from ledgermill.llm.ngram_join import ngram_join
 from ledgermill.llm.packing import best_fit_packing
 from ledgermill.llm.quality_rules import quality_rules
 from ledgermill.llm.substring_dedup import substring_dedup
@@ -81,6 +82,10 @@ def op12_prefix_trie(spark: SparkSession, folder: str) -> DataFrame:
     return prefix_trie(*rebuilt(turns_of(read(spark, folder, "conversations"))))
 
 
+def op13_ngram_join(spark: SparkSession, folder: str) -> DataFrame:
+    return ngram_join(read(spark, folder, "documents"))
+
+
 def _query(work: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
     return lambda spark, folder: work(ship(spark), folder)
 
@@ -100,5 +105,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op10_language_model,
         op11_conversation_repair,
         op12_prefix_trie,
+        op13_ngram_join,
     )
 }

@@ -20,6 +20,23 @@ def _words(text: str) -> str:
         words AS (SELECT doc_id, unnest(list) AS word, unnest(range(len(list))) AS i FROM lists)"""
 
 
+def _similar(percent: int, more: str = "") -> str:
+    """Documents with the smallest id that links of similar shingle sets reach."""
+    return f"""
+        WITH RECURSIVE {_words(_LOWER)},
+        shingles AS (SELECT DISTINCT doc_id, run FROM ({_runs(5)}) r JOIN lists USING (doc_id)
+                     WHERE size = 5 OR (i = 0 AND len(list) < 5)),
+        sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+        shared AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS common FROM shingles x JOIN shingles y USING (run)
+                   WHERE x.doc_id <> y.doc_id GROUP BY x.doc_id, y.doc_id),
+        links AS (SELECT a, b FROM shared JOIN sizes p ON p.doc_id = a JOIN sizes q ON q.doc_id = b
+                  WHERE 100 * common >= {percent} * (p.n + q.n - common)),
+        reached AS (SELECT doc_id, doc_id AS other FROM lists
+                    UNION SELECT r.doc_id, l.b FROM reached r JOIN links l ON l.a = r.other)
+        SELECT doc_id, coalesce(n, 0) AS n_shingles, min(other) AS component_id{more}
+        FROM reached LEFT JOIN sizes USING (doc_id) GROUP BY doc_id, n"""
+
+
 def _crc32(text: str) -> str:
     """Of an ASCII text: the bytes shifted through the reflected polynomial, bit by bit."""
     bit = "lambda x, _: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384::BIGINT) ELSE x >> 1 END"
@@ -60,19 +77,8 @@ STATEMENTS: dict[str, str] = {
         SELECT doc_id, len(list) AS n_words, coalesce(n, 0) AS n_removed, sha256(coalesce(text, '')) AS kept_sha256
         FROM lists LEFT JOIN kept USING (doc_id)
         LEFT JOIN (SELECT doc_id, count(*) AS n FROM gone GROUP BY doc_id) g USING (doc_id)""",
-    "op2_minhash": f"""
-        WITH RECURSIVE {_words(_LOWER)},
-        shingles AS (SELECT DISTINCT doc_id, run FROM ({_runs(5)}) r JOIN lists USING (doc_id)
-                     WHERE size = 5 OR (i = 0 AND len(list) < 5)),
-        sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
-        shared AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS common FROM shingles x JOIN shingles y USING (run)
-                   WHERE x.doc_id <> y.doc_id GROUP BY x.doc_id, y.doc_id),
-        links AS (SELECT a, b FROM shared JOIN sizes p ON p.doc_id = a JOIN sizes q ON q.doc_id = b
-                  WHERE 100 * common >= 75 * (p.n + q.n - common)),
-        reached AS (SELECT doc_id, doc_id AS other FROM lists
-                    UNION SELECT r.doc_id, l.b FROM reached r JOIN links l ON l.a = r.other)
-        SELECT doc_id, coalesce(n, 0) AS n_shingles, min(other) AS component_id, doc_id = min(other) AS kept
-        FROM reached LEFT JOIN sizes USING (doc_id) GROUP BY doc_id, n""",
+    "op2_minhash": _similar(75, ", doc_id = min(other) AS kept"),
+    "op13_ngram_join": _similar(80),
     # States of the way that is left: n nothing yet, s after a system row, u after a user row, a after an assistant row.
     "op11_conversation_repair": f"""
         WITH RECURSIVE kinds AS (
