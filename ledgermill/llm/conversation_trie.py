@@ -228,7 +228,6 @@ def prefix_trie(turns: DataFrame, convs: DataFrame) -> DataFrame:
         F.min_by("parent", "depth").alias("parent"),
         F.sum("own").alias("saved"),
     )
-    chains = checkpointed(chains)
     attached = chains.filter("parent is not null").groupBy(F.col("parent").alias("key")).agg(F.count("*").alias("attached"))
     leaf = F.when(F.col("attached").isNull(), 1).otherwise(0).cast("long")
     chains = chains.join(attached.withColumnRenamed("key", "last"), "last", "left").withColumn("leaf", leaf).drop("attached")
