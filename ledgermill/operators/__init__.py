@@ -2,5 +2,14 @@ from ledgermill.operators.history import history_changes, scd2_check
 from ledgermill.operators.latest import latest_per_key
 from ledgermill.operators.lookup import fits_broadcast, join_reference
 from ledgermill.operators.merge import merge_metrics
+from ledgermill.operators.skew import spread_join
 
-__all__ = ["fits_broadcast", "history_changes", "join_reference", "latest_per_key", "merge_metrics", "scd2_check"]
+__all__ = [
+    "fits_broadcast",
+    "history_changes",
+    "join_reference",
+    "latest_per_key",
+    "merge_metrics",
+    "scd2_check",
+    "spread_join",
+]

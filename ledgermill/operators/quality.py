@@ -5,6 +5,8 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping
 from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime
+from threading import Lock
+from typing import TypeVar
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,6 +18,8 @@ WARN_AFTER_HOURS, ERROR_AFTER_HOURS = 36, 72
 HASH_LENGTH = 64
 PARALLEL_CHECKS = 4
 
+T_ = TypeVar("T_")
+
 
 def duplicates(df: DataFrame, column: str) -> DataFrame:
     """Non-null values that occur more than once, with their counts."""
@@ -27,8 +31,18 @@ def nulls(df: DataFrame, column: str) -> DataFrame:
     return df.filter(F.col(column).isNull())
 
 
+def negative_amount() -> Column:
+    return F.col("amount") < 0
+
+
 def negative_amounts(fact_transaction: DataFrame) -> DataFrame:
-    return fact_transaction.filter(F.col("amount") < 0).select("trx_id", "amount")
+    return fact_transaction.filter(negative_amount()).select("trx_id", "amount")
+
+
+def broken_rules(df: DataFrame, rules: Mapping[str, Column]) -> set[str]:
+    """Which of the rules some row breaks: one aggregate, whose tasks each send one row, over one scan."""
+    found = df.agg(*[F.max(F.coalesce(rule, F.lit(False))).alias(f"r{i}") for i, rule in enumerate(rules.values())]).first()
+    return {title for i, title in enumerate(rules) if found[f"r{i}"]}
 
 
 def not_empty(df: DataFrame) -> DataFrame:
@@ -72,6 +86,25 @@ def freshness(raw: DataFrame, as_of: datetime) -> DataFrame:
     return newest.withColumn("freshness_status", status)
 
 
+def once(work: Callable[[], T_]) -> Callable[[], T_]:
+    """``work`` done by the first of several checks that ask for it; what it raises, all of them get."""
+    lock, done = Lock(), []
+
+    def result() -> T_:
+        with lock:
+            if not done:
+                try:
+                    done.append((work(), None))
+                except Exception as error:
+                    done.append((None, error))
+        value, error = done[0]
+        if error:
+            raise error
+        return value
+
+    return result
+
+
 class ChecksFailed(RuntimeError):
     def __init__(self, report: DataFrame, failed: list[str]):
         super().__init__("failed checks: " + ", ".join(failed))

@@ -30,20 +30,28 @@ def hot_keys(rows: DataFrame, key: str, tasks: int) -> DataFrame:
 
 
 def spread_join(rows: DataFrame, other: DataFrame, key: str, spread: Sequence[str | Column], how: str = "inner") -> DataFrame:
-    """``rows`` joined to ``other`` on ``key`` (``how``: inner or left); rows of hot keys are dealt over many tasks.
+    """``rows`` joined to ``other`` on ``key`` (``how``: inner, left or right); rows of hot keys are dealt over many tasks.
 
     A row of a hot key takes one of the key's parts by the hash of ``spread``, columns that tell rows apart and
     are the same whenever a task runs again; rows of ``other`` with that key go to each part. Rows with a null
-    key are dealt alike. ``rows`` is read once more to count its keys.
+    key are dealt alike. ``rows`` is read once more to count its keys. A right join keeps a row of ``other``
+    without a match once: a hot key has matches, so what its parts lack is no row of the result.
     """
-    if how not in ("inner", "left"):
+    if how not in ("inner", "left", "right"):
         raise ValueError(how)
     tasks = int(rows.sparkSession.conf.get(SHUFFLE_TASKS))
     hot = hot_keys(rows, key, tasks)
-    number = F.xxhash64(*spread)
-    parts = F.when(F.col(key).isNull(), F.lit(tasks)).otherwise(F.coalesce("_parts", F.lit(1)))
     hot = F.broadcast(hot.withColumnRenamed("parts", "_parts"))
-    left = rows.join(hot, key, "left").withColumn("_part", F.pmod(number, parts).cast("int")).drop("_parts")
-    right = other.filter(F.col(key).isNotNull()).join(hot, key, "left")
-    right = right.withColumn("_part", F.explode(F.sequence(F.lit(0), F.coalesce("_parts", F.lit(1)) - 1))).drop("_parts")
-    return left.join(right, [key, "_part"], how).drop("_part")
+    if how == "left":
+        parts = F.when(F.col(key).isNull(), F.lit(tasks)).otherwise(F.coalesce("_parts", F.lit(1)))
+    else:
+        rows, parts = rows.filter(F.col(key).isNotNull()), F.coalesce("_parts", F.lit(1))
+    dealt = rows.join(hot, key, "left").withColumn("_part", F.pmod(F.xxhash64(*spread), parts).cast("int")).drop("_parts")
+    if how != "right":
+        other = other.filter(F.col(key).isNotNull())
+    copies = other.join(hot, key, "left").withColumn("_parts", F.coalesce("_parts", F.lit(1)))
+    copies = copies.withColumn("_part", F.explode(F.sequence(F.lit(0), F.col("_parts") - 1)))
+    if how != "right":
+        return dealt.join(copies.drop("_parts"), [key, "_part"], how).drop("_part")
+    joined = dealt.withColumn("_matched", F.lit(True)).join(copies, [key, "_part"], "right")
+    return joined.filter("_matched OR _parts = 1").drop("_part", "_parts", "_matched")

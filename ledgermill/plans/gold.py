@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgermill.functions import ntz
-from ledgermill.operators import fits_broadcast, join_reference, merge_metrics
+from ledgermill.operators import fits_broadcast, join_reference, merge_metrics, spread_join
 
 UNKNOWN_MCC_CATEGORY, UNKNOWN_MCC_WEIGHT = "Unknown", 30
 DASHBOARD_DAYS = 7
@@ -20,40 +20,31 @@ def _rows() -> Column:
     return F.count(F.lit(1))
 
 
-def accounts_by_customer(dim_account: DataFrame, dim_card: DataFrame, per_account: bool = False) -> DataFrame:
-    """Count and balance over accounts left-joined to their cards.
+def holdings(dim_account: DataFrame, dim_card: DataFrame) -> DataFrame:
+    """customer_id, balance, card_id: one row for each account and card of it, and for an account without cards.
 
-    The contract counts joined rows: an account with two cards counts twice and so does its balance.
-    ``per_account=True`` counts each account once. Cards shrink to one row per account before the
-    join, so an account with very many cards is one row on either side of it.
+    One join serves every metric of accounts and cards. Cards of an account that holds a large part of all
+    cards are dealt over many tasks by their own key, and the account's row goes to each of them.
     """
-    cards = dim_card.groupBy("account_id").agg(_rows().alias("cards"))
-    copies = F.lit(1) if per_account else F.greatest(F.coalesce("cards", F.lit(0)), F.lit(1))
-    return (
-        dim_account.select("account_id", "customer_id", "balance")
-        .join(cards, "account_id", "left")
-        .select("customer_id", "balance", copies.cast("decimal(18,0)").alias("copies"))
-        .groupBy("customer_id")
-        .agg(
-            F.sum("copies").cast("bigint").alias("account_count"),
-            F.sum(F.col("balance") * F.col("copies")).cast(WIDE_MONEY).alias("total_balance"),
-        )
-    )
+    cards = dim_card.select("account_id", "card_id")
+    accounts = dim_account.select("account_id", "customer_id", "balance")
+    joined = spread_join(cards, accounts, "account_id", ["card_id"], "right")
+    return joined.select("customer_id", "balance", "card_id")
 
 
-def cards_by_customer(dim_account: DataFrame, dim_card: DataFrame) -> DataFrame:
-    """Distinct cards per customer.
+def holdings_by_customer(dim_account: DataFrame, dim_card: DataFrame, per_account: bool = False) -> DataFrame:
+    """Count and balance of accounts, and distinct cards.
 
-    An inner join, because adaptive execution can split a hot account on both of its sides, which an
-    outer join allows on the preserved side only.
+    The contract counts the joined rows: an account with two cards counts twice and so does its balance.
+    ``per_account=True`` counts each account once, from the accounts alone.
     """
-    owners = dim_account.select("account_id", "customer_id")
-    return (
-        dim_card.select("account_id", "card_id")
-        .join(owners, "account_id")
-        .groupBy("customer_id")
-        .agg(F.count_distinct("card_id").alias("card_count"))
-    )
+    owned = holdings(dim_account, dim_card)
+    cards = F.count_distinct("card_id").alias("card_count")
+    counts = (_rows().alias("account_count"), F.sum(F.col("balance").cast(WIDE_MONEY)).cast(WIDE_MONEY).alias("total_balance"))
+    if not per_account:
+        return owned.groupBy("customer_id").agg(*counts, cards)
+    accounts = dim_account.groupBy("customer_id").agg(*counts)
+    return accounts.join(owned.groupBy("customer_id").agg(cards), "customer_id")
 
 
 def transactions_by_customer(fact_transaction: DataFrame) -> DataFrame:
@@ -90,8 +81,7 @@ def customer_metrics(
     """One row per customer id that occurs in any table.
 
     The metrics are merged by max over zero-padded branches, so a negative total is lifted to zero
-    unless the customer occurs in accounts only. The card branch belongs to the account branch and
-    must not count as another one: it is padded with NULL.
+    unless the customer occurs in accounts only.
     """
     zero, none = F.lit(0), F.lit(None)
     kinds = {
@@ -108,14 +98,11 @@ def customer_metrics(
         "failed_event_count": ("bigint", zero),
     }
     defaults = {name: value.cast(kind) for name, (kind, value) in kinds.items()}
-    cards = cards_by_customer(dim_account, dim_card)
-    absent = {name: none.cast(kind) for name, (kind, _) in kinds.items() if name not in cards.columns}
     return merge_metrics(
         "customer_id",
         defaults,
         [
-            accounts_by_customer(dim_account, dim_card, per_account),
-            cards.withColumns(absent),
+            holdings_by_customer(dim_account, dim_card, per_account),
             transactions_by_customer(fact_transaction),
             sessions_by_customer(fact_app_session),
             events_by_customer(fact_app_event),

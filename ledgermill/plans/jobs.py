@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgermill import schemas
-from ledgermill.operators import history_changes, quality
+from ledgermill.operators import history_changes, quality, spread_join
 from ledgermill.plans import bronze, gold
 from ledgermill.plans.silver import CUSTOMER_CHECK_COLUMNS
 from ledgermill.plans.tables import HISTORY, SCHEMAS, SEED, SILVER, VIEW, Table, select_tables
@@ -18,6 +18,7 @@ from ledgermill.session import TASK_BYTES, own_session, tasks_for
 from ledgermill.sources.files import read_csv
 from ledgermill.sources.lake import Lake
 from ledgermill.sources.mappings import MAPPINGS, Mapping
+from ledgermill.sources.slices import Cutter, cut_settings
 from ledgermill.sources.seeds import risk_mcc_codes
 
 SHUFFLE_TASKS_AT_ONCE = 50_000
@@ -33,20 +34,13 @@ def _side_by_side(work: Callable[[Table], object], tables: list[Table]) -> None:
             job.result()
 
 
-def _slice(df: DataFrame, column: str | None, i: int, n: int) -> DataFrame:
-    """Rows of slice ``i`` of ``n`` by the hash of ``column``; a frame without that column is no part of the cut."""
-    if n == 1 or column not in df.columns:
-        return df
-    return df.filter(F.pmod(F.xxhash64(column), F.lit(n)) == i)
-
-
 class Warehouse:
     """A warehouse under one folder.
 
     Shuffles are sized for tasks of about ``task_bytes``. A build that would need more than
     ``shuffle_tasks_at_once`` of them, which is more than a shuffle service handles well, runs as several
-    slices of its key's hash, one after the other, each with tasks of the same size; each slice reads the
-    inputs again.
+    slices of its key's hash, one after the other, each with tasks of the same size. So do tests of a key
+    and snapshots. The inputs are copied once, cut by slice; each slice then reads its own part only.
     """
 
     def __init__(
@@ -97,22 +91,48 @@ class Warehouse:
         size = max((self.lake.size_in_bytes(t) for t in tables), default=0)
         tasks = tasks_for(self.spark, size, self.task_bytes)
         slices = -(-tasks // self.shuffle_tasks_at_once)
-        session = own_session(self.spark, -(-tasks // slices))
+        session = own_session(self.spark, -(-tasks // slices), **(cut_settings(slices) if slices > 1 else {}))
         lake = type(self.lake)(session, self.lake.root)
         return Warehouse(lake, self.registry, self.task_bytes, self.shuffle_tasks_at_once), slices
 
+    def cut_inputs(self, table: Table, cutter: Cutter) -> list[list[DataFrame]]:
+        """The inputs of each slice of a build, in the order of ``table.reads``."""
+        via = {name: (column, owner) for name, column, owner in table.owned}
+        inputs = []
+        for name in table.reads:
+            rows = self.read(name)
+            if table.slice_by in rows.columns:
+                inputs.append(cutter.by(rows, name, table.slice_by).parts())
+            elif name in via:
+                column, owner = via[name]
+                spread = [c for c in rows.columns if c != column]
+
+                def owned(part: DataFrame, owners: DataFrame, column=column, spread=spread) -> DataFrame:
+                    return spread_join(part, owners, column, spread)
+
+                inputs.append(cutter.by_owner(rows, name, column, self.read(owner), table.slice_by, owned).parts())
+            else:
+                inputs.append([rows] * cutter.n)
+        return [list(parts) for parts in zip(*inputs)]
+
     def build(self, tables: Iterable[Table], run_ts: datetime) -> None:
         """Build tables that do not read one another."""
         tables = list(tables)
         sized, slices = self.sized_for({name for t in tables for name in t.reads})
 
+        def write(table: Table, slices_of_inputs: list[list[DataFrame]], by_month: bool) -> None:
+            parts = [table.build(*inputs, run_ts) for inputs in slices_of_inputs]
+            sized.lake.replace(parts, table.name, table.sort, table.month_of, by_month)
+            sized.lake.drop_old_versions(table.name)
+
         def one(table: Table) -> None:
             inputs = [sized.read(t) for t in table.reads]
-            n = slices if table.slice_by else 1
-            parts = [table.build(*[_slice(df, table.slice_by, i, n) for df in inputs], run_ts) for i in range(n)]
             by_month = table.by_month is not None and table.by_month(*inputs)
-            sized.lake.replace(parts, table.name, table.sort, table.month_of, by_month)
-            sized.lake.drop_old_versions(table.name)
+            if slices == 1 or not table.slice_by or by_month:  # by month, nothing is shuffled
+                write(table, [inputs], by_month)
+                return
+            with Cutter(sized.lake, slices) as cutter:
+                write(table, sized.cut_inputs(table, cutter), False)
 
         _side_by_side(one, tables)
 
@@ -127,22 +147,43 @@ class Warehouse:
         A customer id that two source systems share would open two versions, and more with every
         run: such a dimension is refused.
         """
-        sized, _ = self.sized_for(["silver.dim_customer", HISTORY])
-        customers = sized.read("silver.dim_customer")
-        if not quality.duplicates(customers, "customer_id").isEmpty():
-            raise ValueError("silver.dim_customer holds several rows per customer_id; no snapshot taken")
-        before = None
+        sized, slices = self.sized_for(["silver.dim_customer", HISTORY])
+        customers, before = sized.read("silver.dim_customer"), None
         if sized.lake.exists(HISTORY):
             before = sized.lake.read_history(HISTORY, schemas.CUSTOMER_SCD2, only_open=True)
-        changes = history_changes(before, customers, "customer_id", CUSTOMER_CHECK_COLUMNS, run_ts)
-        sized.lake.write_history(changes, HISTORY, ("customer_id",))
+        with Cutter(sized.lake, slices) as cutter:
+            parts = [(before, customers)]
+            if slices > 1:
+                new = cutter.by(customers, "customers", "customer_id").parts()
+                old = cutter.by(before, "history", "customer_id").parts() if before is not None else [None] * slices
+                parts = list(zip(old, new))
+            if not all(quality.duplicates(new, "customer_id").isEmpty() for _, new in parts):
+                raise ValueError("silver.dim_customer holds several rows per customer_id; no snapshot taken")
+            changes = [history_changes(old, new, "customer_id", CUSTOMER_CHECK_COLUMNS, run_ts) for old, new in parts]
+            sized.lake.write_history(changes, HISTORY, ("customer_id",))
 
     # -- checking ------------------------------------------------------------------------------
 
     def test(self, tables: Iterable[Table], raise_on_failure: bool = True) -> DataFrame:
+        """All rules about single rows of a table in one scan of it; keys are counted, in slices if need be."""
         tables = list(tables)
-        sized, _ = self.sized_for(t.name for t in tables)
-        checks = {title: check for t in tables for title, check in t.checks(sized.read).items()}
+        sized, slices = self.sized_for(t.name for t in tables)
+        checks: dict[str, Callable[[], bool]] = {}
+
+        def unique(table: Table) -> bool:
+            keys = sized.read(table.name).select(table.key)
+            if slices == 1:
+                return quality.duplicates(keys, table.key).isEmpty()
+            with Cutter(sized.lake, slices) as cutter:
+                return all(quality.duplicates(part, table.key).isEmpty() for part in cutter.by(keys, table.name, table.key).parts())
+
+        for table in tables:
+            rules = table.row_rules()
+            broken = quality.once(lambda table=table, rules=rules: quality.broken_rules(sized.read(table.name), rules))
+            for title in rules:
+                checks[f"{table.name} {title}"] = lambda title=title, broken=broken: title not in broken()
+            if table.key:
+                checks[f"{table.name} {table.key} unique"] = lambda table=table: unique(table)
         return quality.run_checks(self.spark, checks, raise_on_failure)
 
     def verify(self, raise_on_failure: bool = True) -> DataFrame:

@@ -25,13 +25,14 @@ def tasks_for(spark: SparkSession, size: int, task_bytes: int = TASK_BYTES) -> i
     return max(int(spark.conf.get(SHUFFLE_TASKS)), -(-size * PARQUET_EXPANSION // task_bytes))
 
 
-def own_session(spark: SparkSession, shuffle_tasks: int) -> SparkSession:
-    """A session with the settings of ``spark`` and its own number of shuffle tasks, on the same cluster."""
+def own_session(spark: SparkSession, shuffle_tasks: int, **settings: str) -> SparkSession:
+    """A session with the settings of ``spark``, its own number of shuffle tasks and ``settings``, on the same cluster."""
     session = spark.newSession()
     for name, value in spark.conf.getAll.items():
         if session.conf.isModifiable(name):
             session.conf.set(name, value)
-    session.conf.set(SHUFFLE_TASKS, str(shuffle_tasks))
+    for name, value in {SHUFFLE_TASKS: str(shuffle_tasks), **settings}.items():
+        session.conf.set(name, value)
     return session
 
 

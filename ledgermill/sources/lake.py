@@ -92,10 +92,11 @@ class Lake:
     def size_in_bytes(self, table: str) -> int:
         """Bytes of the current version, from the file listing."""
         folder = self.current(table)
-        if folder is None:
-            return 0
+        return self.bytes_under(folder) if folder else 0
+
+    def bytes_under(self, folder: str) -> int:
         fs, hadoop_path = _fs(self.spark, folder)
-        return fs.getContentSummary(hadoop_path).getLength()
+        return fs.getContentSummary(hadoop_path).getLength() if fs.exists(hadoop_path) else 0
 
     # -- reads ---------------------------------------------------------------------------------
 
@@ -145,9 +146,12 @@ class Lake:
         writer = df.write.mode("append").option("mapreduce.fileoutputcommitter.marksuccessfuljobs", mark)
         (writer.partitionBy(partition) if partition else writer).parquet(folder)
 
+    def staging_folder(self, name: str) -> str:
+        return f"{self.root}/_staged/{name}-{uuid4().hex}"
+
     def stage(self, df: DataFrame, table: str) -> str:
         """A copy of rows as they come, beside the table: for sources that few tasks may read at a time."""
-        folder = f"{self.root}/_staged/{table}-{uuid4().hex}"
+        folder = self.staging_folder(table)
         df.write.option("maxRecordsPerFile", STAGED_FILE_ROWS).parquet(folder)
         return folder
 
@@ -194,22 +198,24 @@ class Lake:
             df = df.sortWithinPartitions(*sort)
         self._write(df, self.current(table) or self._next(table))
 
-    def write_history(self, changes: DataFrame, table: str, sort: Sequence[str] = ()) -> None:
-        """One run's open and newly closed versions.
+    def write_history(self, changes: DataFrame | Sequence[DataFrame], table: str, sort: Sequence[str] = ()) -> None:
+        """One run's open and newly closed versions, in one frame or several that are written one after the other.
 
         What earlier runs closed stays where it is, and is written together once in ``COMPACT_AFTER`` runs.
         Open rows of runs before the last two are freed.
         """
+        parts = [changes] if isinstance(changes, DataFrame) else list(changes)
         versions, folder = self.versions(table), self._next(table)
         closed = self._closed(versions)
         if len(closed) >= COMPACT_AFTER:
             present = [f for f in closed if path_exists(self.spark, f)]
             if present:
-                changes = changes.unionByName(self.spark.read.schema(changes.schema).parquet(*present))
+                parts.append(self.spark.read.schema(parts[0].schema).parquet(*present))
             fs, hadoop_path = _fs(self.spark, f"{folder}/{BASE}")
             fs.create(hadoop_path).close()
-        changes = changes.withColumn(OPEN, F.col("valid_to").isNull())
-        self._write(changes.sortWithinPartitions(OPEN, *sort), folder, OPEN)
+        for i, part in enumerate(parts):
+            part = part.withColumn(OPEN, F.col("valid_to").isNull())
+            self._write(part.sortWithinPartitions(OPEN, *sort), folder, OPEN, last=i == len(parts) - 1)
         for old in self.versions(table)[:-2]:
             self._delete(f"{old}/{OPEN}=true")
         kept = {f.rsplit("/", 1)[0] for f in self._closed(self.versions(table)[:-1])}

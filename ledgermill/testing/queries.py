@@ -109,10 +109,7 @@ def _silver_inputs(t: TestTables) -> list[DataFrame]:
 
 @_register
 def account_metrics(t: TestTables) -> DataFrame:
-    accounts, cards = dim_account(t), dim_card(t)
-    by_account = gold.accounts_by_customer(accounts, cards)
-    by_card = gold.cards_by_customer(accounts, cards)
-    return by_account.join(by_card, "customer_id", "left").fillna(0, ["card_count"])
+    return gold.holdings_by_customer(dim_account(t), dim_card(t))
 
 
 @_register

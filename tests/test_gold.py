@@ -5,6 +5,7 @@ from decimal import Decimal
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from helpers import DAY, RUN, T0, T1, audit, frame, plan, raw, rows
 from ledgermill import schemas
@@ -165,31 +166,38 @@ def test_merge_adds_no_exchange(spark, tmp_path):
     assert "Exchange" not in above_union
 
 
+def test_accounts_and_cards_are_scanned_once(spark, tmp_path):
+    accounts = stored(spark, tmp_path, "a", silver.dim_account(raw(spark, "core_accounts", {}), RUN))
+    cards = stored(spark, tmp_path, "c", silver.dim_card(raw(spark, "cards", {}), RUN))
+    metrics = plan(gold.holdings_by_customer(accounts, cards))
+    assert metrics.count("FileScan") == 2 and "Expand" not in metrics
+    assert "ReadSchema: struct<card_id:bigint,account_id:string>" in metrics
+
+
 def test_a_hot_account_is_split(spark, tmp_path):
-    """One account holds a third of the cards: its join partition is read by several tasks."""
-    accounts = stored(spark, tmp_path, "a", spark.range(20_000).selectExpr("concat('A', id) AS account_id", "id % 90 AS customer_id"))
-    owned = spark.range(0, 600_000, 1, 8).selectExpr("id AS card_id", "concat('A', if(id % 3 = 0, 7, id % 20000)) AS account_id")
+    """One account holds a third of the cards, in a join that nothing but their salt splits: no task has much more than its share."""
+    owners = spark.range(20_000).selectExpr("concat('A', id) AS account_id", "id % 90 AS customer_id", "cast(1 AS decimal(18,2)) AS balance")
+    accounts = stored(spark, tmp_path, "a", owners)
+    owned = spark.range(0, 300_000, 1, 8).selectExpr("id AS card_id", "concat('A', if(id % 3 = 0, 7, id % 20000)) AS account_id")
     cards = stored(spark, tmp_path, "c", owned)
-    settings = {
-        "spark.sql.autoBroadcastJoinThreshold": "-1",
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k",
-        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "128k",
-        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
-    }
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}
     before = {name: spark.conf.get(name) for name in settings}
     for name, value in settings.items():
         spark.conf.set(name, value)
     try:
-        out = gold.cards_by_customer(accounts, cards)
-        got = {r.customer_id: r.card_count for r in out.collect()}
-        assert "skew=true" in plan(out)
+        by_task = gold.holdings(accounts, cards).groupBy(F.spark_partition_id()).count()
+        assert by_task.agg(F.max("count")).first()[0] < 2 * 300_000 / 8
+        out = gold.holdings_by_customer(accounts, cards)
+        got = {r.customer_id: (r.card_count, r.account_count, r.total_balance) for r in out.collect()}
     finally:
         for name, value in before.items():
             spark.conf.set(name, value)
-    rest = [i for i in range(600_000) if i % 3]
-    expected = Counter((i % 20000) % 90 for i in rest)
-    expected[7] += 200_000
-    assert got == expected
+    cards_of = Counter(7 if i % 3 == 0 else i % 20_000 for i in range(300_000))
+    expected = Counter()
+    for account, n in cards_of.items():
+        expected[account % 90] += n
+    without = Counter(a % 90 for a in range(20_000) if a not in cards_of)
+    assert got == {c: (expected[c], expected[c] + without[c], expected[c] + without[c]) for c in range(90)}
 
 
 def test_daily_summary(spark):

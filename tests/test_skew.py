@@ -18,7 +18,7 @@ def frames(spark):
     )
 
 
-@pytest.mark.parametrize("how", ["inner", "left"])
+@pytest.mark.parametrize("how", ["inner", "left", "right"])
 def test_equals_the_plain_join(frames, how):
     rows, other = frames
     got = spread_join(rows, other, "key", ["id"], how)
