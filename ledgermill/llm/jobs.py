@@ -59,6 +59,13 @@ def checkpointed(frame: DataFrame) -> DataFrame:
     return frame.checkpoint(eager=True)
 
 
+def unused(docs: DataFrame, name: str) -> str:
+    """``name``, made longer until no column has it."""
+    while name.lower() in {c.lower() for c in docs.columns}:
+        name += "_"
+    return name
+
+
 def utf8(column: str | Column) -> Column:
     """The text's bytes; a null is empty."""
     column = F.col(column) if isinstance(column, str) else column

@@ -26,14 +26,33 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgermill.llm.components import components
-from ledgermill.llm.jobs import by_batch, checkpointed, utf8
-from ledgermill.llm.text import U64, chunks, inside, mix, random_words, span_hashes
-
-SHINGLE, PERCENT = 5, 75
+from ledgermill.llm.jobs import by_batch, checkpointed, unused
+from ledgermill.llm.similar import (
+    across,
+    by_place,
+    centers,
+    classes_of,
+    fingerprint,
+    first_rows,
+    links_at,
+    members_of,
+    mixed_cells,
+    placed,
+    places,
+    row_components,
+    sent_on,
+    shingles,
+    similar_sizes,
+    star_places,
+    tagged,
+)
+from ledgermill.llm.text import U64, mix, random_words
+from ledgermill.operators.skew import spread_join
+
+PERCENT = 75
 
 CHUNKS, WIDTH, ERRORS = 8, 6, 2
 SLOTS = CHUNKS * WIDTH
@@ -44,27 +63,12 @@ KEPT_SLOTS = np.array(list(combinations(range(WIDTH), WIDTH - ERRORS)))
 SIGNATURE_BLOCK, TEXT_BLOCK = 1_000, 250
 """Documents of one cell whose signatures, and whose texts, are compared in one place; of more, every two blocks are."""
 
-COLUMNS = 4_096
-"""Shingles of a block that are counted at once."""
-
-BROADCAST_IDS = 1_000_000
-"""Up to so many ids (8 bytes each) are broadcast to pick the texts to compare; beyond, texts are joined as they are."""
+ROWS = "doc_id long, tag long, n_shingles long, left long, right long, signature binary"
 
+WORD = r"[^\x20\x09-\x0D]"
 
-def shingles(column: pa.ChunkedArray | pa.Array, size: int = SHINGLE) -> Iterator[np.ndarray]:
-    """The distinct shingle hashes of each text, sorted. A text of fewer words is one shingle; of none, none."""
-    for texts in chunks(column):
-        words = texts.words(fold=True)
-        hashes, first = words.hashes(), words.first
-        runs = span_hashes(hashes, size)
-        for i in range(len(texts)):
-            a, b = first[i], first[i + 1]
-            if b - a >= size:
-                yield np.unique(runs[a : b - size + 1])
-            elif b > a:
-                yield mix(span_hashes(hashes[a:b], int(b - a)) + U64(b - a))
-            else:
-                yield np.zeros(0, U64)
+MOST_KEPT = 1_000_000
+"""Up to so many rows that stay (24 bytes each) are broadcast; beyond, all rows are joined by a shuffle."""
 
 
 def hash_functions(n: int = SLOTS) -> tuple[np.ndarray, np.ndarray]:
@@ -82,7 +86,7 @@ def signature(sets: list[np.ndarray], factors: np.ndarray, offsets: np.ndarray)
 
 
 def sketch(batch: pa.RecordBatch) -> pa.RecordBatch:
-    """doc_id, n_shingles, a 128-bit fingerprint of the set, and its signature (null for an empty set)."""
+    """doc_id, tag, n_shingles, a 128-bit fingerprint of the set, and its signature (null for an empty set)."""
     factors, offsets = hash_functions()
     counts, left, right, signatures = [], [], [], []
     held: list[np.ndarray] = []
@@ -92,8 +96,9 @@ def sketch(batch: pa.RecordBatch) -> pa.RecordBatch:
         made = iter(signature(filled, factors, offsets)) if filled else iter(())
         for s in held:
             counts.append(len(s))
-            left.append(int(mix(s).sum(dtype=U64).view(np.int64)))
-            right.append(int(mix(s ^ U64(0x5851F42D4C957F2D)).sum(dtype=U64).view(np.int64)))
+            own = fingerprint(s)
+            left.append(own[0])
+            right.append(own[1])
             signatures.append(next(made).tobytes() if len(s) else None)
         held.clear()
 
@@ -105,8 +110,8 @@ def sketch(batch: pa.RecordBatch) -> pa.RecordBatch:
             flush()
             size = 0
     flush()
-    columns = [batch["doc_id"], *(pa.array(c, pa.int64()) for c in (counts, left, right)), pa.array(signatures, pa.binary())]
-    return pa.RecordBatch.from_arrays(columns, ["doc_id", "n_shingles", "left", "right", "signature"])
+    made = [*(pa.array(c, pa.int64()) for c in (counts, left, right)), pa.array(signatures, pa.binary())]
+    return pa.RecordBatch.from_arrays([batch["doc_id"], batch["tag"], *made], ["doc_id", "tag", "n_shingles", "left", "right", "signature"])
 
 
 def chunk_keys(signatures: np.ndarray) -> np.ndarray:
@@ -119,75 +124,12 @@ def chunk_keys(signatures: np.ndarray) -> np.ndarray:
     return mix(packed ^ kinds).reshape(len(signatures), -1)
 
 
-def sent_on(keys: np.ndarray, docs: np.ndarray) -> pa.RecordBatch:
-    """key, doc_id, shared of a batch's keys. Of a key with several documents in the batch, one row that does not
-    know of the others (``shared`` false) goes on for all of them; other batches may have the key too.
-    """
-    order = np.lexsort((docs, keys))
-    keys, docs = keys[order], docs[order]
-    new = np.ones(len(keys), bool)
-    new[1:] = keys[1:] != keys[:-1]
-    size = np.diff(np.append(np.flatnonzero(new), len(keys)))[np.cumsum(new) - 1]
-    several = size > 1
-    key = np.concatenate([keys[new], keys[several]]).view(np.int64)
-    shared = np.repeat([False, True], [new.sum(), several.sum()])
-    columns = [pa.array(key), pa.array(np.concatenate([docs[new], docs[several]])), pa.array(shared)]
-    return pa.RecordBatch.from_arrays(columns, ["key", "doc_id", "shared"])
-
-
 def local_keys(batch: pa.RecordBatch) -> pa.RecordBatch:
     """key, doc_id, shared: each signature's keys; see ``sent_on``."""
     rows = np.frombuffer(b"".join(batch["signature"].to_pylist()), np.uint16).reshape(-1, SLOTS)
     return sent_on(chunk_keys(rows).ravel(), np.repeat(np.asarray(batch["doc_id"]), CHUNKS * len(KEPT_SLOTS)))
 
 
-def shared_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """key, doc_id of the keys that several documents have, from rows sorted by key and id.
-
-    Rows that are known to be shared pass. Of the others, those of one key follow each other; only the last
-    row is remembered from batch to batch.
-    """
-    last: tuple[int, int, bool] | None = None  # key, id, whether that row was given out
-    for batch in batches:
-        known = np.asarray(batch["shared"].to_numpy(zero_copy_only=False), bool)
-        keys, docs = (np.asarray(batch[c]) for c in ("key", "doc_id"))
-        out = [(keys[known], docs[known])]
-        keys, docs = keys[~known], docs[~known]
-        if len(keys):
-            given = False
-            if last and last[0] == keys[0]:
-                keys, docs = np.concatenate([[last[0]], keys]), np.concatenate([[last[1]], docs])
-                given = last[2]
-            same = np.zeros(len(keys) + 1, bool)
-            same[1:-1] = keys[1:] == keys[:-1]
-            use = same[:-1] | same[1:]
-            last = (int(keys[-1]), int(docs[-1]), bool(use[-1]))
-            use[0] &= not given
-            out.append((keys[use], docs[use]))
-        yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*out)], ["key", "doc_id"])
-
-
-def places(batches: Iterator[pa.RecordBatch], columns: list[str]) -> Iterator[pa.Table]:
-    """The rows of each place (center, place) in turn, from rows sorted by it; a place holds two blocks at most."""
-    rest: pa.Table | None = None
-    for batch in batches:
-        rows = pa.Table.from_batches([batch]).select(["center", "place", *columns])
-        rows = rows if rest is None else pa.concat_tables([rest, rows])
-        center, place = (rows[c].to_numpy() for c in ("center", "place"))
-        cuts = [0, *(np.flatnonzero((center[1:] != center[:-1]) | (place[1:] != place[:-1])) + 1)]
-        for a, b in zip(cuts, cuts[1:]):
-            yield rows.slice(a, b - a)
-        rest = rows.slice(cuts[-1])
-    if rest is not None and rest.num_rows:
-        yield rest
-
-
-def across(label: np.ndarray, own: np.ndarray) -> np.ndarray:
-    """Which pairs of a place to compare: of different components and, where two blocks meet, of different blocks."""
-    pairs = label[:, None] != label[None, :]
-    return pairs & (own[:, None] != own[None, :]) if own[0] >= 0 else pairs
-
-
 def near_across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """center, doc_id of documents within the radius of one of the same cell in another component."""
     for rows in places(batches, ["doc_id", "component", "own", "signature"]):
@@ -201,110 +143,38 @@ def near_across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([rows["center"].combine_chunks().filter(pa.array(near)), pa.array(doc[near])], ["center", "doc_id"])
 
 
-def intersections(sets: list[np.ndarray]) -> np.ndarray:
-    """The size of the intersection of every two sets: products of 0 and 1 over the shingles that two sets have."""
-    every = np.concatenate(sets)
-    row = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
-    _, column, count = np.unique(every, return_inverse=True, return_counts=True)
-    number = np.cumsum(count > 1) - 1
-    use = count[column] > 1
-    row, column = row[use], number[column[use]]
-    order = np.argsort(column, kind="stable")
-    row, column = row[order], column[order]
-    out = np.zeros((len(sets), len(sets)))
-    for low in range(0, int(number[-1]) + 1 if len(number) else 0, COLUMNS):
-        a, b = np.searchsorted(column, [low, low + COLUMNS])
-        part = np.zeros((len(sets), COLUMNS), np.float32)
-        part[row[a:b], column[a:b] - low] = 1
-        out += part @ part.T
-    return out
-
-
-def spanning(linked: np.ndarray) -> np.ndarray:
-    """For every row of a symmetric matrix of links, the first row that it reaches."""
-    reach, label = linked | np.eye(len(linked), dtype=bool), np.arange(len(linked))
-    while True:
-        least = np.where(reach, label[None, :], len(label)).min(1)
-        least = least[least]
-        if (least == label).all():
-            return label
-        label = least
-
-
-def linked_across(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """a, b: links that connect what the full sets of a place's documents show to be connected."""
-    for rows in places(batches, ["doc_id", "component", "own", "text"]):
-        doc, label, own = (rows[c].to_numpy() for c in ("doc_id", "component", "own"))
-        use = across(label, own)
-        if len(doc) < 2 or not use.any():
-            continue
-        sets = list(shingles(rows["text"]))
-        size, both = np.array([len(s) for s in sets]), intersections(sets)
-        root = spanning(use & (both > 0) & (100 * both >= PERCENT * (size[:, None] + size[None, :] - both)))
-        moved = root != np.arange(len(doc))
-        yield pa.RecordBatch.from_arrays([pa.array(doc[root[moved]]), pa.array(doc[moved])], ["a", "b"])
-
-
-def confirm(batch: pa.RecordBatch) -> pa.RecordBatch:
-    """The pairs whose shingle sets are similar enough."""
-    linked = []
-    for x, y in zip(shingles(batch["text_a"]), shingles(batch["text_b"])):
-        both = len(x) + len(y) - len(np.union1d(x, y))
-        linked.append(both > 0 and 100 * both >= PERCENT * (len(x) + len(y) - both))
-    keep = pa.array(linked, pa.bool_())
-    return pa.RecordBatch.from_arrays([batch["a"].filter(keep), batch["b"].filter(keep)], ["a", "b"])
-
-
-def only(texts: DataFrame, ids: DataFrame) -> DataFrame:
-    """The texts of ``ids`` if those are few enough to be broadcast, else all; the join that follows picks them."""
-    if ids.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS:
-        return texts.join(F.broadcast(ids), "doc_id", "left_semi")
-    return texts
-
-
-def confirmed(pairs: DataFrame, texts: DataFrame, sizes: DataFrame) -> DataFrame:
-    """Those of ``pairs`` (a, b) that are linked. Pairs whose set sizes alone rule a link out need no text."""
-    size = lambda c: sizes.select(F.col("doc_id").alias(c), F.col("n_shingles").alias(f"n_{c}"))
-    possible = 100 * F.least("n_a", "n_b") >= PERCENT * F.greatest("n_a", "n_b")
-    pairs = checkpointed(pairs.join(size("a"), "a").join(size("b"), "b").filter(possible).select("a", "b").distinct())
-    texts = only(texts, pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct())
-    text = lambda c: texts.select(F.col("doc_id").alias(c), F.col("text").alias(f"text_{c}"))
-    rows = pairs.join(text("a"), "a").join(text("b"), "b").select("a", "b", "text_a", "text_b")
-    return checkpointed(by_batch(rows, confirm, "a long, b long").distinct())
-
-
 def within_radius(pairs: DataFrame, signatures: DataFrame) -> DataFrame:
-    sig = lambda c: signatures.select(F.col("doc_id").alias(c), F.col("signature").alias(f"signature_{c}"))
+    sig = lambda c: signatures.select(F.col("doc_id").alias(c), F.col("signature").alias(f"signature_{c}"), F.col("n_shingles").alias(f"n_{c}"))
 
     def near(batch: pa.RecordBatch) -> pa.RecordBatch:
         x, y = (np.frombuffer(b"".join(batch[c].to_pylist()), np.uint16).reshape(-1, SLOTS) for c in ("signature_a", "signature_b"))
         keep = pa.array((x != y).sum(1) <= RADIUS)
         return pa.RecordBatch.from_arrays([batch["a"].filter(keep), batch["b"].filter(keep)], ["a", "b"])
 
-    rows = pairs.join(sig("a"), "a").join(sig("b"), "b").select("a", "b", "signature_a", "signature_b")
-    return by_batch(rows, near, "a long, b long")
-
+    rows = spread_join(pairs.join(sig("b"), "b"), sig("a"), "a", ["b"]).filter(similar_sizes("n_a", "n_b", PERCENT))
+    return by_batch(rows.select("a", "b", "signature_a", "signature_b"), near, "a long, b long")
 
-def placed(cells: DataFrame, block: int, tasks: int) -> DataFrame:
-    """Rows of cells (center, doc_id, ...) with the places they are compared in, sorted by place.
 
-    Up to ``block`` documents of a cell have one place. More are cut into blocks by a hash of their id, with
-    a place for each two blocks; ``own`` is a row's block there, and below 0 where a block meets itself.
-    """
-    counts = cells.groupBy("center").agg(F.ceil(F.count("*") / F.lit(block)).cast("int").alias("blocks"))
-    rows = cells.join(counts, "center").withColumn("own", F.pmod(F.xxhash64("doc_id"), F.col("blocks")).cast("int"))
-    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    place = F.least("own", "other").cast("long") * F.col("blocks") + F.greatest("own", "other")
-    rows = rows.withColumn("place", place).withColumn("own", F.when(F.col("own") == F.col("other"), -1).otherwise(F.col("own")))
-    return rows.drop("other", "blocks").repartition(tasks, "center", "place").sortWithinPartitions("center", "place", "doc_id")
+def class_links(classes: DataFrame, texts: DataFrame) -> DataFrame:
+    """a, b: links between ``classes`` (doc_id: their number, signature) that connect all that are connected."""
+    members = members_of(classes.select("doc_id", "signature"), local_keys)
+    signatures = classes.select("doc_id", "n_shingles", "signature")
+    cells = centers(members)
+    stars = checkpointed(cells.filter("center <> doc_id").select(F.col("center").alias("a"), F.col("doc_id").alias("b")))
+    stars = checkpointed(within_radius(stars, signatures))
+    links = links_at(star_places(stars, TEXT_BLOCK), classes, texts, PERCENT)
+    own = mixed_cells(cells, links)
+    near = by_place(placed(own.join(signatures.drop("n_shingles"), "doc_id"), SIGNATURE_BLOCK))
+    near = near.mapInArrow(near_across, "center long, doc_id long").distinct()
+    near = checkpointed(own.join(near, ["center", "doc_id"]))
+    return links.union(links_at(placed(near, TEXT_BLOCK), classes, texts, PERCENT))
 
 
-def centers(members: DataFrame) -> DataFrame:
-    """center, doc_id: the cells. A key's center is the document whose keys have the most documents."""
-    counts = members.groupBy("key").agg(F.count("*").alias("n"))
-    weight = members.join(counts, "key").groupBy("doc_id").agg(F.sum("n").alias("weight"))
-    best = members.join(weight, "doc_id").groupBy("key").agg(F.max_by("doc_id", F.struct("weight", -F.col("doc_id"))).alias("center"))
-    return checkpointed(members.join(best, "key").select("center", "doc_id").distinct())
+def sketched(docs: DataFrame, tag: Column | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The texts (doc_id, tag, text), a row without text for each (n_shingles, left, right), and the classes of equal sets."""
+    texts = tagged(docs, tag)
+    rows = checkpointed(by_batch(texts, sketch, ROWS))
+    return texts, rows, classes_of(rows, rows, "signature")
 
 
 def minhash_dedup(docs: DataFrame) -> DataFrame:
@@ -316,37 +186,33 @@ def minhash_dedup(docs: DataFrame) -> DataFrame:
     one shingle; rows with one id are one document, linked if any of them is, and all get its component;
     a row without an id has no links, no component (null) and is kept. Extra columns are ignored.
     """
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), utf8("text").alias("text"))
-    rows = checkpointed(by_batch(texts, sketch, "doc_id long, n_shingles long, left long, right long, signature binary"))
-    known = rows.filter("doc_id is not null and n_shingles > 0")
-    texts = texts.filter("doc_id is not null")
-    classes = checkpointed(known.groupBy("n_shingles", "left", "right").agg(F.min("doc_id").alias("doc_id"), F.first("signature").alias("signature")))
-    sizes = classes.select("doc_id", "n_shingles").groupBy("doc_id").agg(F.max("n_shingles").alias("n_shingles"))
-    signatures = classes.groupBy("doc_id").agg(F.max_by("signature", "n_shingles").alias("signature"))
-    same = known.join(classes.select("n_shingles", "left", "right", F.col("doc_id").alias("b")), ["n_shingles", "left", "right"])
-    same = same.select(F.col("doc_id").alias("a"), "b").filter("a <> b")
-
-    keys = by_batch(classes.select("doc_id", "signature"), local_keys, "key long, doc_id long, shared boolean")
-    dealt = F.when(F.col("shared"), F.col("doc_id")).otherwise(F.lit(0))
-    n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    keys = keys.repartition(n, F.col("key"), dealt).sortWithinPartitions("key", "doc_id")
-    members = checkpointed(keys.mapInArrow(shared_keys, "key long, doc_id long").distinct())
+    texts, rows, classes = sketched(docs.filter("doc_id is not null"))
+    found = row_components(rows, classes, class_links(classes, texts))
+    kept = found.withColumn("kept", F.col("component_id") == F.col("doc_id"))
+    without = by_batch(tagged(docs.filter("doc_id is null")), sketch, ROWS)
+    return kept.unionByName(
+        without.select("doc_id", "n_shingles", F.col("doc_id").alias("component_id"), F.lit(True).alias("kept"))
+    )
 
-    cells = centers(members)
-    stars = within_radius(cells.filter("center <> doc_id").select(F.col("center").alias("a"), F.col("doc_id").alias("b")), signatures)
-    links = confirmed(stars, texts, sizes)
-
-    found = components(links)
-    own = cells.join(found, cells["doc_id"] == found["node"], "left")
-    own = own.select("center", "doc_id", F.coalesce("component", "doc_id").alias("component"))
-    mixed = own.groupBy("center").agg(F.min("component").alias("x"), F.max("component").alias("y")).filter("x <> y").select("center")
-    own = checkpointed(own.join(mixed, "center", "left_semi"))
-    near = placed(own.join(signatures, "doc_id"), SIGNATURE_BLOCK, n).mapInArrow(near_across, "center long, doc_id long").distinct()
-    near = checkpointed(own.join(near, ["center", "doc_id"]))
-    compared = placed(near.join(only(texts, near.select("doc_id").distinct()), "doc_id"), TEXT_BLOCK, n)
-    links = links.union(compared.mapInArrow(linked_across, "a long, b long"))
 
-    found = components(links.union(same))
-    joined = rows.select("doc_id", "n_shingles").join(found, F.col("doc_id") == F.col("node"), "left")
-    component = F.coalesce("component", "doc_id")
-    return joined.select("doc_id", "n_shingles", component.alias("component_id"), F.coalesce(component == F.col("doc_id"), F.lit(True)).alias("kept"))
+def first_copies(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs`` that stay if of each group of near copies one does: all columns, as they are.
+
+    The row of smallest id stays, a null id being the smallest; of one id, the row of smallest hash; of equal
+    rows, one. Rows of one id are documents of their own here. A row without words is in no group and stays.
+    """
+    tag = F.xxhash64(*(F.col(f"`{c}`") for c in docs.columns))
+    texts, rows, classes = sketched(docs, tag)
+    first = first_rows(classes, class_links(classes, texts))
+    copies = rows.groupBy("doc_id", "tag").agg(F.count("*").alias("copies"))
+    same = copies["doc_id"].eqNullSafe(first["doc_id"]) & (copies["tag"] == first["tag"])
+    names = [unused(docs, name) for name in ("own_id", "own_tag", "own_copies")]
+    stay = checkpointed(copies.join(first, same, "left_semi").toDF(*names))
+    few = stay.limit(MOST_KEPT + 1).count() <= MOST_KEPT
+    own = unused(docs, "tag")
+    same = F.col("doc_id").cast("long").eqNullSafe(F.col(names[0])) & (F.col(own) == F.col(names[1]))
+    found = docs.withColumn(own, tag).join(F.broadcast(stay) if few else stay, same, "left")
+    wordless = ~F.coalesce(F.col("text").rlike(WORD), F.lit(False))
+    alone = found.filter(wordless | (F.col(names[2]) == 1))
+    several = found.filter(~wordless & (F.col(names[2]) > 1)).dropDuplicates(names[:2])
+    return alone.unionByName(several).select(*(F.col(f"`{c}`") for c in docs.columns))

@@ -5,9 +5,10 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from ledgermill.llm import minhash
+from ledgermill.llm import minhash, similar
 from ledgermill.llm.components import components
-from ledgermill.llm.minhash import CHUNKS, RADIUS, SLOTS, chunk_keys, minhash_dedup, shared_keys
+from ledgermill.llm.minhash import CHUNKS, RADIUS, SLOTS, chunk_keys, first_copies, minhash_dedup
+from ledgermill.llm.similar import intersections, shared_keys, spanning
 
 
 def shingle_set(text):
@@ -62,13 +63,35 @@ def corpus(seed, n=260):
 def test_components_equal_brute_force(spark, monkeypatch, block):
     monkeypatch.setattr(minhash, "SIGNATURE_BLOCK", block)
     monkeypatch.setattr(minhash, "TEXT_BLOCK", block)
-    monkeypatch.setattr(minhash, "COLUMNS", block)
-    monkeypatch.setattr(minhash, "BROADCAST_IDS", 1_000_000 if block == 4 else 3)
+    monkeypatch.setattr(similar, "BROADCAST_PLACES", 500_000 if block == 4 else 3)
     rows = corpus(block)
     docs = spark.createDataFrame([(*r, 1) for r in rows], "doc_id long, text string, key int").repartition(7)
     assert sorted(map(tuple, minhash_dedup(docs).collect()), key=str) == brute(rows)
 
 
+def test_an_id_with_a_long_text_does_not_hide_its_short_one(spark):
+    rng = random.Random(5)
+    text = lambda n: [f"w{rng.randrange(9_000)}" for _ in range(n)]
+    long, short = text(300), text(60)
+    near = short[:30] + ["changed"] + short[31:]
+    rows = [(1, " ".join(long)), (1, " ".join(short)), (2, " ".join(near)), (3, " ".join(text(50)))]
+    got = minhash_dedup(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted(map(tuple, got)) == [(1, 56, 1, True), (1, 296, 1, True), (2, 56, 1, False), (3, 46, 3, True)]
+
+
+@pytest.mark.parametrize("few", [1_000_000, 1])
+def test_first_copies_keep_one_row_of_a_group(spark, monkeypatch, few):
+    """Rows are documents of their own, whatever their ids; columns of any name come back as they are."""
+    monkeypatch.setattr(minhash, "MOST_KEPT", few)
+    a, b = (" ".join(f"{c}{i}" for i in range(40)) for c in "ab")
+    rows = [(3, a, 1, "x"), (3, a, 1, "x"), (2, a + " more", 2, "y"), (None, b, 3, "z"), (5, b, 3, "z"), (7, None, 4, None), (7, None, 4, None), (8, " ", 5, "w"), (9, "one two", 6, "v"), (9, "other", 7, "v")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, tag int, own_id string")
+    kept = sorted(map(tuple, first_copies(docs).collect()), key=str)
+    assert kept == sorted([rows[2], rows[3], rows[5], rows[6], *rows[7:]], key=str)
+    twice = spark.createDataFrame([(4, a, 1, "x")] * 3, docs.schema)
+    assert list(map(tuple, first_copies(twice).collect())) == [(4, a, 1, "x")]
+
+
 def test_no_documents(spark):
     assert minhash_dedup(spark.createDataFrame([], "doc_id long, text string")).collect() == []
 
@@ -99,16 +122,17 @@ def test_shared_keys_does_not_depend_on_batches():
         assert len(got) == len(expected) and set(got) == expected
 
 
-def test_intersections_and_spanning():
+def test_intersections_and_spanning(monkeypatch):
+    monkeypatch.setattr(similar, "COLUMNS", 7)
     rng = np.random.default_rng(3)
     sets = [np.unique(rng.integers(0, 40, rng.integers(1, 30)).astype(np.uint64)) for _ in range(25)]
     assert [[len(np.intersect1d(a, b)) for b in sets] for a in sets if len(a)] == (
-        minhash.intersections(sets) + np.diag([len(s) for s in sets]) - np.diag(np.diag(minhash.intersections(sets)))
+        intersections(sets) + np.diag([len(s) for s in sets]) - np.diag(np.diag(intersections(sets)))
     ).tolist()
     links = np.zeros((6, 6), bool)
     for a, b in ((5, 4), (4, 2), (3, 1)):
         links[a, b] = links[b, a] = True
-    assert minhash.spanning(links).tolist() == [0, 1, 2, 1, 2, 2]
+    assert spanning(links).tolist() == [0, 1, 2, 1, 2, 2]
 
 
 def test_components_of_a_chain_and_a_hub(spark):
