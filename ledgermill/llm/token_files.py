@@ -29,6 +29,7 @@ from ledgermill.llm.jobs import SHARD_BYTES, by_batch, shard_count
 from ledgermill.llm.tokens import bits_for, encoder, pack, unpack, vocabulary
 
 BLOCK_IDS = 1 << 16
+HEAD_CHARS = 32
 HEADER = struct.Struct("<4sB3xIQ")
 MAGIC = b"LMT1"
 
@@ -75,10 +76,13 @@ class Block:
 def write_token_files(
     docs: DataFrame, folder: str, tokenizer: str, end_id: int, block_ids: int = BLOCK_IDS, shard_bytes: int = SHARD_BYTES
 ) -> None:
-    """Encode (doc_id, text) into ``folder``: ascending doc_id, then text, null ids and texts first.
+    """Encode (doc_id, text) into ``folder``: ascending doc_id, null ids first.
 
-    Each document ends with ``end_id``; a null text has that id alone. The texts are range-partitioned by
-    id, sorted by Spark and encoded as a stream, so a task holds one block, however many rows share an id.
+    Each document ends with ``end_id``; a null text has that id alone. A special token in a text has its own
+    id. The rows of one id are in the order of their first ``HEAD_CHARS`` characters, then of a hash, null
+    texts first. Rows are range-partitioned in that order, and equal rows by their place in the input, so no
+    task gets more than its share, whatever part of all rows has one id or one text. They are sorted by
+    Spark and encoded as a stream, so a task holds one block.
     """
     bits = bits_for(max(vocabulary(tokenizer), end_id + 1))
     end = np.array([end_id], np.uint32)
@@ -106,7 +110,10 @@ def write_token_files(
             yield row()
 
     own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.make_valid_utf8(F.col("text").cast("string")).alias("text"))
-    ordered = own.repartitionByRange(shard_count(own, "text", shard_bytes), "doc_id").sortWithinPartitions("doc_id", "text")
+    own = own.withColumn("head", F.substring("text", 1, HEAD_CHARS)).withColumn("hash", F.xxhash64("text"))
+    dealt = own.withColumn("place", F.monotonically_increasing_id())
+    dealt = dealt.repartitionByRange(shard_count(own, "text", shard_bytes), "doc_id", "head", "hash", "place")
+    ordered = dealt.sortWithinPartitions("doc_id", "head", "hash", "text").select("doc_id", "text")
     blocks = ordered.withColumn("shard", F.spark_partition_id()).mapInArrow(
         encode, "shard int, block int, first_id long, n_ids long, data binary"
     )

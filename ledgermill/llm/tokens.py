@@ -9,7 +9,7 @@ from functools import cache
 import numpy as np
 from tokenizers import Tokenizer
 
-CACHE_PIECES = 300_000
+CACHE_PIECES = 450_000
 
 PIECE = re.compile(r"[ \t\n\x0b\x0c\r]*[^ \t\n\x0b\x0c\r]+|[ \t\n\x0b\x0c\r]+")
 """A run of ASCII white space with what follows it. No token of a byte-level or word BPE spans two."""
@@ -51,14 +51,14 @@ class Known(dict):
 class Encoder:
     """A tokenizer of the ``tokenizers`` library, with the ids of pieces remembered between white space.
 
-    The ids equal those of one call over the whole text; texts for which that is not certain get one. For
+    The ids equal those of one call over the whole text; texts for which that is not certain get one, and so
+    do texts that may hold a special token, which has an id of its own as in that call. For
     words of plain letters the tokenizer's model is asked directly, without its normalizer and splitter;
     that is done only if it gives the same ids on ``PROBES``.
     """
 
     def __init__(self, path: str):
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
         self.tokenize = self.tokenizer.model.tokenize
         self.line = self.whole("\n")
         self.words = Known(self.word)

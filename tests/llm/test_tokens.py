@@ -19,7 +19,6 @@ WHOLE = {}
 def whole(name, text):
     if name not in WHOLE:
         WHOLE[name] = Tokenizer.from_file(public_tokenizers.path(name))
-        WHOLE[name].encode_special_tokens = True
     return WHOLE[name].encode(text or "", add_special_tokens=False).ids
 
 
@@ -31,7 +30,7 @@ def test_pieces_equal_one_call_over_the_text(name):
     encode = encoder(public_tokenizers.path(name))
 
     @settings(max_examples=400, deadline=None)
-    @given(st.lists(st.sampled_from([*TEXTS, "\x1c", "\x85", "​", "'s", "'", "ab", "Ab,", "...", "中文", "🙂", "ͅ", "İ"])).map("".join) | st.text())
+    @given(st.lists(st.sampled_from([*TEXTS, "<|endoftext|>", "<|startoftext|>", "<|", "|>", "\x1c", "\x85", "​", "'s", "'", "ab", "Ab,", "...", "中文", "🙂", "ͅ", "İ"])).map("".join) | st.text())
     def check(text):
         assert encode(text).tolist() == whole(name, text)
 
@@ -73,7 +72,7 @@ def corpus():
     rng = random.Random(6)
     rows = [(i, " ".join(rng.choice(["Word", "é", "x,", "yz", "\n"]) for _ in range(rng.randrange(400)))) for i in range(80)]
     rng.shuffle(rows)
-    return rows + [(None, "null id"), (100, None), (101, ""), (102, "long text " * 30000), (5, "again"), (5, "again")]
+    return rows + [(7, "a <|endoftext|> b"), (8, "<|startoftext|>x\n<|endoftext|>"), (None, "null id"), (100, None), (101, ""), (102, "long text " * 30000), (5, "again"), (5, "again")]
 
 
 def crc(ids):
@@ -94,6 +93,24 @@ def test_files_hold_every_document_in_order(spark, tmp_path, block_ids, shard_by
     assert got == expected
 
 
+def test_special_tokens_have_their_ids():
+    assert encoder(public_tokenizers.path(FILES[0]))("a <|endoftext|> b").tolist() == [320, 49407, 321]
+    assert encoder(public_tokenizers.path(FILES[1]))("a <|endoftext|> b").tolist() == [64, 220, 50256, 275]
+
+
+def test_a_hot_id_is_dealt_over_the_shards(spark, tmp_path):
+    """A third of the ids is null and a third of the rows equal: no shard holds much more than its share."""
+    rows = [(None if i % 3 == 0 else 7 if i % 3 == 1 else i, f"text {i} " * 20 if i % 3 != 1 else "same " * 30) for i in range(3_000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    write_token_files(docs, str(tmp_path / "t"), public_tokenizers.path(FILES[0]), 1, 300, 30_000)
+    shards = {r["shard"]: r["n"] for r in spark.read.parquet(str(tmp_path / "t")).groupBy("shard").agg({"n_ids": "sum"}).toDF("shard", "n").collect()}
+    assert len(shards) > 10 and max(shards.values()) < 3 * sum(shards.values()) / len(shards)
+    got = sorted(map(tuple, read_token_files(spark, str(tmp_path / "t")).collect()), key=lambda r: r[1])
+    assert [r[0] for r in got] == sorted((d for d, _ in rows), key=lambda d: (d is not None, d))
+    ends = [r[1] + r[2] for r in got]
+    assert [0, *ends[:-1]] == [r[1] for r in got]
+
+
 def test_no_documents(spark, tmp_path):
     docs = spark.createDataFrame([], "doc_id long, text string")
     write_token_files(docs, str(tmp_path / "t"), public_tokenizers.path(FILES[0]), 1)
