@@ -1,25 +1,28 @@
 """Language ID by compression: the language whose dictionary compresses a text best.
 
-Each language's dictionary is raw content, cut from a bounded sample of its training texts. A text is
-lower-cased, reduced to its letters and compressed in blocks, each alone, so that the dictionary and not
-the text's own beginning is what shortens it. The language with the smallest sum wins. The margin to the
+Each language's dictionary is raw content: passages from hashed places of whole training texts, chosen by hash.
+A text is lower-cased, reduced to its letters and compressed in blocks, each alone, so that the dictionary and
+not the text's own beginning is what shortens it. The language with the smallest sum wins. The margin to the
 runner-up decides the score, and a margin below ``min_margin`` is marked as rejected.
 """
 
 from __future__ import annotations
 
-import re
 from functools import cache
 
 import pyarrow as pa
+import regex
 import zstandard
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgermill.llm.jobs import by_batch, remainder
 
-SAMPLE_ROWS, SAMPLE_CHARS, DICTIONARY_BYTES = 20_000, 2_000, 64 << 10
-"""Bounds of the sample: rows in all languages, characters of one row, bytes of one dictionary."""
+DICTIONARY_BYTES, PASSAGE_CHARS = 64 << 10, 128
+"""Bytes of one dictionary, and characters that one row gives to it: so a dictionary is made of 512 rows or a few more."""
+
+SPARE = 2
+"""So many times the rows needed are expected to be chosen, as some have few letters; a sample is at most twice that."""
 
 TRAINED_BYTES = 32 << 20
 """Bound of all dictionaries together, which every task gets."""
@@ -28,44 +31,41 @@ BLOCK, MIN_MARGIN = 2_000, 0.01
 LEVEL, MIN_MATCH = 6, 3
 """Matches of three bytes: syllables tell languages apart, and the level's own least length is longer."""
 
-NO_LETTERS = re.compile(r"[\W\d_]+")
+NO_LETTERS = regex.compile(r"\P{L}+")
 
 
 def letters(text: str | None) -> str:
-    """The text in lower case, everything that is no letter a single space."""
+    """The text in lower case, everything that is no letter (Unicode categories L) a single space."""
     return NO_LETTERS.sub(" ", (text or "").lower()).strip()
 
 
-def learn_dictionaries(
-    docs: DataFrame, rows: int = SAMPLE_ROWS, chars: int = SAMPLE_CHARS, size: int = DICTIONARY_BYTES
-) -> dict[str, bytes]:
-    """A dictionary for each ``lang``, the most frequent first, from rows of least hash: the same ones in every run.
+def learn_dictionaries(docs: DataFrame, chars: int = PASSAGE_CHARS, size: int = DICTIONARY_BYTES) -> dict[str, bytes]:
+    """A dictionary for each ``lang``, the most frequent first: the same ones in every run.
 
-    The rows are chosen on their ids; only the chosen rows' texts are read to the driver, at most ``rows``
-    of ``chars`` characters.
+    A row is chosen if a hash of its id and text is under a threshold that follows from its language's rows, so
+    all rows are as likely and none is held against another. It gives ``chars`` characters from a place that
+    another hash names, anywhere in its text. Passages of equal hash (repeated rows) count once. Of the passages,
+    at most ``2 * SPARE`` times what the dictionaries hold are read to the driver, those of least hash; with more
+    languages than ``TRAINED_BYTES`` has room for, each dictionary is smaller. Rows without language, id or text
+    teach nothing.
     """
-    known = docs.filter(F.col("lang").isNotNull() & F.col("doc_id").isNotNull())
+    known = docs.filter(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & (F.length("text") > 0))
     counts = {r["lang"]: r["n"] for r in known.groupBy("lang").agg(F.count("*").alias("n")).collect()}
-    n = len(counts)
-    if not n:
+    if not counts:
         return {}
-    each, size = max(1, rows // n), max(256, min(size, TRAINED_BYTES // n))
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    chosen = known.select("lang", "doc_id").withColumn("_rank", F.row_number().over(order)).filter(F.col("_rank") <= each)
-    ids = sorted({r.doc_id for r in chosen.select("doc_id").collect()})
-    texts = known.filter(F.col("doc_id").isin(ids)).select("lang", "doc_id", F.substring("text", 1, chars).alias("text"))
+    size = max(256, min(size, TRAINED_BYTES // len(counts)))
+    rows = SPARE * max(1, size // chars)
+    wanted = [F.when(F.col("lang") == lang, F.lit(min(1.0, rows / n))) for lang, n in counts.items()]
+    number = F.xxhash64("doc_id", "text")
+    share = F.pmod(number, F.lit(1 << 40)) / F.lit(float(1 << 40))
+    place = F.pmod(F.xxhash64("text", "doc_id"), F.greatest(F.length("text") - chars, F.lit(0)) + 1) + 1
+    passage = F.substring("text", place.cast("int"), F.lit(chars))
+    chosen = known.filter(share < F.coalesce(*wanted)).select("lang", number.alias("number"), passage.alias("passage")).distinct()
     parts: dict[str, list[bytes]] = {}
-    for r in sorted(texts.collect(), key=lambda r: (r["lang"], r["doc_id"], r["text"] or "")):
-        parts.setdefault(r["lang"], []).append(letters(r["text"]).encode())
+    for r in chosen.orderBy("number", "lang", "passage").limit(2 * rows * len(counts)).collect():
+        parts.setdefault(r["lang"], []).append(letters(r["passage"]).encode())
     order = sorted(parts, key=lambda lang: (-counts[lang], lang))
-    return {lang: shared_out(parts[lang], size) for lang in order if any(parts[lang])}
-
-
-def shared_out(parts: list[bytes], size: int) -> bytes:
-    """``size`` bytes of the parts: about as many of each."""
-    each = max(64, size // max(1, len(parts)))
-    first = b" ".join(p[:each] for p in parts)
-    return (first + b" " + b" ".join(p[each:] for p in parts))[:size]
+    return {lang: b" ".join(parts[lang])[:size] for lang in order if any(parts[lang])}
 
 
 @cache
