@@ -24,29 +24,59 @@ from ledgermill.llm.jobs import by_batch, utf8
 #: The phrases every scan looks for and their labels.
 BASE = {"cc by": "cc-by", "general public license": "gpl", "all rights reserved": "reserved"}
 
-#: Further notices.
+#: Further notices, and the licenses they name.
 NOTICES = {
+    "academic free license": "afl-3.0",
+    "affero general public license": "agpl",
     "apache license": "apache-2.0",
-    "mit license": "mit",
-    "permission is hereby granted free of charge": "mit",
+    "artistic license": "artistic-2.0",
+    "boost software license": "bsl-1.0",
     "bsd license": "bsd",
-    "redistribution and use in source and binary forms": "bsd",
-    "mozilla public license": "mpl-2.0",
-    "lesser general public license": "lgpl",
-    "affero general public license": "agpl",
+    "business source license": "busl-1.1",
+    "common development and distribution license": "cddl-1.0",
     "creative commons attribution": "cc-by",
+    "creative commons attribution noncommercial": "cc-by-nc",
+    "creative commons attribution noderivatives": "cc-by-nd",
+    "creative commons attribution noncommercial sharealike": "cc-by-nc-sa",
     "creative commons attribution sharealike": "cc-by-sa",
     "creative commons zero": "cc0-1.0",
-    "released into the public domain": "public-domain",
+    "eclipse public license": "epl-2.0",
+    "european union public licence": "eupl-1.2",
+    "free documentation license": "gfdl",
+    "isc license": "isc",
+    "lesser general public license": "lgpl",
+    "library general public license": "lgpl",
+    "microsoft public license": "ms-pl",
+    "mit license": "mit",
+    "mozilla public license": "mpl-2.0",
+    "no rights reserved": "cc0-1.0",
+    "open data commons attribution license": "odc-by-1.0",
+    "open database license": "odbl-1.0",
+    "open software license": "osl-3.0",
+    "permission is hereby granted free of charge": "mit",
+    "permission to use copy modify and or distribute this software for any purpose": "isc",
     "proprietary and confidential": "proprietary",
+    "python software foundation license": "psf-2.0",
+    "redistribution and use in source and binary forms": "bsd",
+    "released into the public domain": "public-domain",
+    "server side public license": "sspl-1.0",
+    "sil open font license": "ofl-1.1",
+    "the unlicense": "unlicense",
+    "this is free and unencumbered software": "unlicense",
+    "zlib license": "zlib",
 }
 
-#: How much a license asks of the reader.
+#: How much a license asks of the reader, from nothing to everything.
 WEIGHTS = {
-    "public-domain": 0.05, "cc0-1.0": 0.05, "unlicense": 0.05, "mit": 0.2, "isc": 0.2, "bsd": 0.2, "bsd-2-clause": 0.2,
-    "bsd-3-clause": 0.2, "apache-2.0": 0.25, "cc-by": 0.3, "cc-by-4.0": 0.3, "mpl-2.0": 0.5, "cc-by-sa": 0.5, "cc-by-sa-4.0": 0.5,
-    "lgpl": 0.6, "lgpl-2.1": 0.6, "lgpl-3.0": 0.6, "gpl": 0.75, "gpl-2.0": 0.75, "gpl-3.0": 0.75, "agpl": 0.85, "agpl-3.0": 0.85,
-    "proprietary": 1.0, "reserved": 1.0,
+    "public-domain": 0.05, "cc0-1.0": 0.05, "unlicense": 0.05, "0bsd": 0.05, "wtfpl": 0.05, "mit-0": 0.05,
+    "mit": 0.2, "isc": 0.2, "zlib": 0.2, "bsl-1.0": 0.2, "x11": 0.2, "psf-2.0": 0.2, "python-2.0": 0.2,
+    "bsd": 0.2, "bsd-2-clause": 0.2, "bsd-3-clause": 0.2, "bsd-4-clause": 0.25, "apache-1.1": 0.25, "apache-2.0": 0.25, "afl-3.0": 0.25,
+    "cc-by": 0.3, "cc-by-3.0": 0.3, "cc-by-4.0": 0.3, "odc-by-1.0": 0.3, "ms-pl": 0.3, "ofl-1.1": 0.35, "artistic-1.0": 0.4, "artistic-2.0": 0.4,
+    "mpl-1.1": 0.5, "mpl-2.0": 0.5, "epl-1.0": 0.5, "epl-2.0": 0.5, "cddl-1.0": 0.5, "cddl-1.1": 0.5, "odbl-1.0": 0.5,
+    "cc-by-sa": 0.5, "cc-by-sa-3.0": 0.5, "cc-by-sa-4.0": 0.5, "lgpl": 0.6, "lgpl-2.0": 0.6, "lgpl-2.1": 0.6, "lgpl-3.0": 0.6, "eupl-1.2": 0.6,
+    "cc-by-nd": 0.65, "cc-by-nd-4.0": 0.65, "osl-3.0": 0.7, "gfdl": 0.7, "gfdl-1.3": 0.7, "gpl": 0.75, "gpl-1.0": 0.75, "gpl-2.0": 0.75, "gpl-3.0": 0.75,
+    "cc-by-nc": 0.8, "cc-by-nc-4.0": 0.8, "cc-by-nc-sa": 0.85, "cc-by-nc-sa-4.0": 0.85, "cc-by-nc-nd-4.0": 0.85,
+    "agpl": 0.85, "agpl-1.0": 0.85, "agpl-3.0": 0.85, "sspl-1.0": 0.9, "busl-1.1": 0.9, "proprietary": 1.0, "reserved": 1.0,
 }
 UNKNOWN = 0.9
 """An identifier behind a tag that is in no list."""
@@ -154,8 +184,11 @@ def scan(raw: bytes) -> tuple:
             last = word
             base.add(label)
     if b"spdx-license-identifier" in lower:
-        for m in TAG.finditer(lower):
-            weight, names = expression(lower[m.end() :].split(b"\n", 1)[0])
+        tags = list(TAG.finditer(lower))
+        for m, after in zip(tags, [*(t.start() for t in tags[1:]), len(lower)]):
+            # an expression ends with its line, and where the next tag stands: no byte is read twice
+            line_end = lower.find(b"\n", m.end(), after)
+            weight, names = expression(lower[m.end() : after if line_end < 0 else line_end])
             labels |= names
             score = max(score, weight)
     return len(words), n_base, first, last, ",".join(sorted(base)), ",".join(sorted(labels)), score

@@ -1,9 +1,10 @@
 import random
 import re
+import time
 
 import pytest
 
-from ledgermill.llm.license_scan import BASE, evaluate, expression, identifiers, license_scan, postfix
+from ledgermill.llm.license_scan import BASE, NOTICES, WEIGHTS, evaluate, expression, identifiers, license_scan, postfix, scan
 
 
 def brute(text):
@@ -26,6 +27,44 @@ def test_base_equals_brute_force(spark):
     assert license_scan(docs.limit(0)).collect() == []
 
 
+def test_labels_and_score_equal_brute_force(spark):
+    """Every notice and label, in texts of words of notices, with tags between."""
+    rng = random.Random(9)
+    phrases = list({**NOTICES, **BASE})
+    words = sorted({w for p in phrases for w in p.split()})
+    tags = ["SPDX-License-Identifier: MIT", "SPDX-License-Identifier: (GPL-2.0-only OR odd) AND ISC\n", "spdx-license-identifier:"]
+    rows = []
+    for i in range(300):
+        pieces = rng.choices(phrases, k=3) + rng.choices(words, k=12) + rng.choices(tags, k=rng.randrange(3))
+        rng.shuffle(pieces)
+        rows.append((i, "".join(p + rng.choice([" ", ", ", "\n"]) for p in pieces)))
+
+    def expected(text):
+        lower = "".join(c.lower() if c.isascii() else c for c in text)
+        line = " " + " ".join(re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", lower)) + " "
+        labels = {label for phrase, label in {**NOTICES, **BASE}.items() if f" {phrase} " in line}
+        score = max((WEIGHTS[x] for x in labels), default=0.0)
+        for part in re.split("spdx-license-identifier:", lower)[1:]:
+            weight, names = expression(part.split("\n")[0].encode())
+            labels, score = labels | names, max(score, weight)
+        return ",".join(sorted(labels)), score
+
+    got = {r.doc_id: (r.labels, r.score) for r in license_scan(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {i: expected(t) for i, t in rows}
+    assert {x for labels, _ in got.values() for x in labels.split(",")} >= set(NOTICES.values())
+    assert set(NOTICES.values()) | set(BASE.values()) <= set(WEIGHTS)
+
+
+def test_many_tags_take_time_in_proportion():
+    spent = []
+    for n in (4_000, 16_000):
+        text = b"SPDX-License-Identifier: MIT or ISC " * n
+        start = time.process_time()
+        assert scan(text)[5] == "isc,mit"
+        spent.append(time.process_time() - start)
+    assert spent[1] < 9 * max(spent[0], 0.02)
+
+
 def nested(tree):
     """Weight of a tree of ('op', left, right) by its definition."""
     if isinstance(tree, str):
