@@ -17,7 +17,7 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Callable, Iterator
-from functools import cache
+from functools import lru_cache
 from math import ceil
 from typing import NamedTuple
 
@@ -39,6 +39,9 @@ ITEM_BYTES = 4 << 20
 
 SIEVE_BITS = 20
 
+STRETCH = 1 << 14
+"""Words of a text whose windows are held at once, 256 bytes each: a text of any length takes no more."""
+
 
 class Item(NamedTuple):
     item_id: int | None
@@ -152,18 +155,29 @@ class Items:
         best: dict[tuple[int, int], Match] = {}
         for part in np.split(at, gaps):
             low, high = max(first, int(part[0]) - reach), min(last, int(part[-1]) + size + reach)
-            own = runs[low : high - size + 1]
+            for at_once in range(low, high, STRETCH):
+                self.in_stretch(runs, part, (at_once, min(high, at_once + STRETCH + reach)), (first, last), size, best, words.texts.first + row)
+        yield from best.values()
+
+    def in_stretch(
+        self, runs: np.ndarray, part: np.ndarray, stretch: tuple[int, int], text: tuple[int, int], size: int, best: dict, row: int
+    ) -> None:
+        """Add the windows that begin in the first ``STRETCH`` words of a stretch of a row to the ``best`` found there."""
+        (low, high), (first, last) = stretch, text
+        own = runs[low : high - size + 1]
+        within = part[(part >= low) & (part < low + len(own))] - low
+        if len(within):
             total = np.zeros((len(own) + 1, 64), np.int32)
             np.cumsum(signs(own), axis=0, out=total[1:])
             hit = np.zeros(len(own) + 1, np.int64)
-            hit[part - low + 1] = 1
+            hit[within + 1] = 1
             hit = np.cumsum(hit)
             for n, length in enumerate(self.lengths):
                 if length.size != size:
                     continue
                 # a document shorter than the item is one window
                 width = min(length.words, last - first) - size + 1
-                starts = np.arange(0, len(own) - width + 1)
+                starts = np.arange(0, min(STRETCH, len(own) - width + 1))
                 starts = starts[hit[starts + width] > hit[starts]]
                 if not len(starts):
                     continue
@@ -179,11 +193,10 @@ class Items:
                         start = low + s - first
                         old = best.get((n, i))
                         if old is None or (-value, start) < (-old.similarity, old.start):
-                            best[n, i] = Match(words.texts.first + row, length.items[i].item_id, start, width + size - 1, value)
-        yield from best.values()
+                            best[n, i] = Match(row, length.items[i].item_id, start, width + size - 1, value)
 
 
-@cache
+@lru_cache(maxsize=1)
 def items_of(rows: tuple[tuple[int | None, bytes], ...]) -> Items:
     return Items(list(rows))
 

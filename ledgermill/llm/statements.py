@@ -1,7 +1,7 @@
 """DuckDB statements for the queries that SQL can express.
 
-The others depend on learned models, token ids or covariance estimates, or (decontamination) would join
-every window of every document with every item; their tests hold them against plain Python.
+The others depend on learned models, token ids, covariance estimates or a parser; their tests hold them against
+plain Python.
 """
 
 _LOWER = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
@@ -79,6 +79,27 @@ STATEMENTS: dict[str, str] = {
         LEFT JOIN (SELECT doc_id, count(*) AS n FROM gone GROUP BY doc_id) g USING (doc_id)""",
     "op2_minhash": _similar(75, ", doc_id = min(other) AS kept"),
     "op13_ngram_join": _similar(80),
+    "op4_decontamination": f"""
+        WITH docs AS (SELECT doc_id, regexp_extract_all({_LOWER}, '{_WORDS}') AS list FROM documents WHERE text IS NOT NULL),
+        items AS (SELECT item_id, list, len(list) AS n, least(len(list), 5) AS size
+                  FROM (SELECT DISTINCT item_id, regexp_extract_all({_LOWER}, '{_WORDS}') AS list FROM benchmark WHERE text IS NOT NULL) b
+                  WHERE len(list) > 0),
+        item_runs AS (SELECT item_id, n, size, run, count(*) AS often
+                      FROM (SELECT *, array_to_string(list[p + 1:p + size], ' ') AS run FROM (SELECT *, unnest(range(n - size + 1)) AS p FROM items) i) r
+                      GROUP BY ALL),
+        runs AS (SELECT doc_id, words, size, p, array_to_string(list[p + 1:p + size], ' ') AS run
+                 FROM (SELECT doc_id, list, len(list) AS words, size, unnest(range(len(list) - size + 1)) AS p
+                       FROM docs, (SELECT DISTINCT size FROM items) s WHERE len(list) >= size) d),
+        hits AS (SELECT doc_id, item_id, size, run, p, often, n - size + 1 AS item_size, least(n, words) AS width, words
+                 FROM runs JOIN item_runs USING (size, run)),
+        shared AS (SELECT doc_id, item_id, size, item_size, width, start, run, least(count(*), often) AS common
+                   FROM (SELECT *, unnest(range(greatest(0, p - (width - size)), least(p, words - width) + 1)) AS start FROM hits) h
+                   GROUP BY doc_id, item_id, size, item_size, width, start, run, often),
+        windows AS (SELECT doc_id, item_id, start, width, sum(common) / (width - size + 1 + item_size - sum(common)) AS similarity
+                    FROM shared GROUP BY doc_id, item_id, start, width, size, item_size)
+        SELECT doc_id, item_id, start, width AS n_words, similarity
+        FROM (SELECT *, row_number() OVER (PARTITION BY doc_id, item_id ORDER BY similarity DESC, start) AS place
+              FROM windows WHERE similarity >= 0.75) w WHERE place = 1""",
     # States of the way that is left: n nothing yet, s after a system row, u after a user row, a after an assistant row.
     "op11_conversation_repair": f"""
         WITH RECURSIVE kinds AS (

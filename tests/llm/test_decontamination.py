@@ -2,8 +2,10 @@ import random
 import re
 from collections import Counter
 
+import pyarrow as pa
 import pytest
 
+from ledgermill.llm import decontamination
 from ledgermill.llm.decontamination import Items, leaks, without_leaks
 
 
@@ -89,3 +91,14 @@ def test_blocks_find_all_within_the_radius():
     which, item = length.within_radius(found)
     distance = np.bitwise_count(found[:, None] ^ length.fingerprints[None, :])
     assert set(zip(which.tolist(), item.tolist())) == set(zip(*(x.tolist() for x in np.nonzero(distance <= 23))))
+
+
+def test_stretches_of_a_text_give_what_the_whole_does(monkeypatch):
+    docs, items = corpus()
+    column = pa.array([t.encode() if t is not None else None for _, t in docs], pa.binary())
+    block = Items([(i, (t or "").encode()) for i, t in items])
+    whole = sorted(block.matches(column), key=str)
+    for stretch in (3, 50):
+        monkeypatch.setattr(decontamination, "STRETCH", stretch)
+        assert sorted(block.matches(column), key=str) == whole
+    assert len(whole) > 50

@@ -13,7 +13,7 @@ FOLDER = "/root/testdata/sf0.01"
 def test_matches_duckdb(spark, name):
     frame = QUERIES[name](spark, FOLDER)
     connection = duckdb.connect()
-    for table in ("documents", "conversations"):
+    for table in ("documents", "benchmark", "conversations"):
         connection.execute(f"CREATE VIEW {table} AS SELECT * FROM read_parquet('{FOLDER}/{table}.parquet')")
     result = connection.execute(STATEMENTS[name])
     assert [d[0] for d in result.description] == frame.columns
