@@ -10,35 +10,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgermill.llm.decontamination import without_leaks
-from ledgermill.llm.jobs import read, shared_folder, ship
-from ledgermill.llm.minhash import minhash_dedup
+from ledgermill.llm.jobs import read, shared_folder, ship, unused
+from ledgermill.llm.minhash import first_copies
 from ledgermill.llm.packing import best_fit_packing
 from ledgermill.llm.queries import PACK_END, PACK_TOKENIZER
 from ledgermill.llm.substring_dedup import substring_dedup
 from ledgermill.llm.toxicity import toxicity
 
 
-def unused(docs: DataFrame, name: str) -> str:
-    """``name``, made longer until no column has it."""
-    while name.lower() in {c.lower() for c in docs.columns}:
-        name += "_"
-    return name
-
-
-def keyed(docs: DataFrame, ordered: bool) -> tuple[DataFrame, str]:
-    """``docs``, written with a unique number for each row, and that column's name.
-
-    An id may be null or stand in many rows, so rows are decided on by number. ``ordered`` numbers rise with
-    the id, null first; rows of one id are dealt by their place in the input, so none is too many for a task.
-    """
+def keyed(docs: DataFrame) -> tuple[DataFrame, str]:
+    """``docs``, written with a unique number for each row, and that column's name: an id may stand in many rows."""
     key = unused(docs, "_row")
-    rows = docs.withColumn(key, F.monotonically_increasing_id())
-    if ordered:
-        order = [F.col("doc_id").cast("long"), F.col(key)]
-        n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        rows = rows.repartitionByRange(n, *order).sortWithinPartitions(*order).withColumn(key, F.monotonically_increasing_id())
     path = os.path.join(shared_folder(docs.sparkSession), f"rows-{uuid.uuid4().hex}")
-    rows.write.parquet(path)
+    docs.withColumn(key, F.monotonically_increasing_id()).write.parquet(path)
     return docs.sparkSession.read.parquet(path), key
 
 
@@ -48,27 +32,28 @@ def only(docs: DataFrame, found: DataFrame, key: str) -> DataFrame:
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rejected rows go; the model learns from the labels of the documents given."""
-    rows, key = keyed(docs, ordered=False)
+    """Rejected rows go; the model learns from the labels of the documents given.
+
+    Rows are decided on one by one, also those of one id or none; a row without text is judged as an empty one.
+    """
+    rows, key = keyed(docs)
     return only(rows, toxicity(rows, read(spark, sf_dir, "labels"), key).filter("predicted = 0"), key)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near copies the row of smallest id stays, of one id the first; a null id is the smallest."""
-    rows, key = keyed(docs, ordered=True)
-    found = minhash_dedup(rows.select(F.col(key).alias("doc_id"), "text")).filter("kept")
-    return only(rows, found.select(F.col("doc_id").alias(key)), key)
+    """Of each group of near copies the row of smallest id stays, a null id being the smallest; of equal rows, one."""
+    return first_copies(docs)
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Passages that stand earlier go from the text; every row stays, and ``n_chars`` follows."""
-    rows, key = keyed(docs, ordered=True)
-    own_id = unused(rows, "_doc_id")
-    rows = rows.withColumnsRenamed({"doc_id": own_id, key: "doc_id"})
-    found = substring_dedup(rows, carry=[c for c in rows.columns if c not in ("doc_id", "text")])
+    """Passages that stand in a row of smaller id, or earlier in the row, go from the text; ``n_chars`` follows.
+
+    Every row stays, a null text is null, and rows of one id cut nothing from each other.
+    """
+    found = substring_dedup(docs, carry=[c for c in docs.columns if c not in ("doc_id", "text")])
     text = F.col("kept_text").cast("string")
     changed = {
-        "doc_id": F.col(f"carried.{own_id}"),
+        "doc_id": F.col("doc_id"),
         "text": text,
         "n_chars": F.when(F.col("n_removed") > 0, F.length(text)).otherwise(F.col("carried.n_chars")),
     }
@@ -78,11 +63,12 @@ def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold a passage of the benchmark go."""
+    """Documents that hold a passage of the benchmark go; a row without text holds none."""
     return without_leaks(docs, read(spark, sf_dir, "benchmark"))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of every row and their places; a null text is its end id alone."""
     return best_fit_packing(docs, public_tokenizers.path(PACK_TOKENIZER), PACK_END)
 
 
