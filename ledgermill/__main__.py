@@ -52,7 +52,9 @@ def _parser() -> argparse.ArgumentParser:
     for sub in (transform, pipeline, seed):
         sub.add_argument("--seed-csv", help="risk codes to use instead of the built-in ones")
     command("verify", "health checks")
-    command("dashboard", "load health of the last seven days")
+    command("freshness", "age of the raw tables; fails if one is an error")
+    dashboard = command("dashboard", "load health of the last seven days")
+    dashboard.add_argument("--store", metavar="DATABASE", help="keep it as a view in a database of the session's catalog")
     return parser
 
 
@@ -105,6 +107,12 @@ def main(argv: list[str] | None = None) -> int:
             report.show(truncate=False)
         elif args.command == "verify":
             warehouse.verify().show(truncate=False)
+        elif args.command == "freshness":
+            found = warehouse.freshness(utc_now().replace(microsecond=0))
+            found.show(truncate=False)
+            return int(not found.filter("freshness_status = 'error'").isEmpty())
+        elif args.store:
+            print(warehouse.store_view(args.store))
         else:
             warehouse.dashboard().show(truncate=False)
     except ChecksFailed as failure:

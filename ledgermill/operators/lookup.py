@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ledgermill.operators.skew import spread_join
+
 BROADCAST_BYTES = 32 * 1024 * 1024
 """Bound of a broadcast reference, in bytes of its values."""
 
@@ -26,10 +30,12 @@ def fits_broadcast(reference: DataFrame) -> bool:
     return reference_bytes(reference) <= BROADCAST_BYTES
 
 
-def join_reference(facts: DataFrame, reference: DataFrame, on: Column, broadcast: bool) -> DataFrame:
-    """Broadcast ``reference`` if it was found to fit, else let the planner choose.
+def join_reference(facts: DataFrame, reference: DataFrame, code: str, spread: Sequence[str], broadcast: bool) -> DataFrame:
+    """``facts`` left-joined to ``reference`` on ``code``, which both have; ``spread`` tells facts apart.
 
-    Shuffled, adaptive execution may split a hot code, since the facts are the preserved side of the left
-    join; the facts then lose the order they were stored in.
+    A reference that was found to fit is broadcast. Else both are shuffled, facts of codes that hold a large part of
+    all facts, or of none, dealt over many tasks; the facts then lose the order they were stored in.
     """
-    return facts.join(F.broadcast(reference) if broadcast else reference, on, "left")
+    if broadcast:
+        return facts.join(F.broadcast(reference), code, "left")
+    return spread_join(facts, reference, code, spread, "left")

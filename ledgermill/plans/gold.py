@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgermill.functions import ntz
-from ledgermill.operators import fits_broadcast, join_reference, merge_metrics, spread_join
+from ledgermill.operators import count_few_values, fits_broadcast, join_reference, merge_metrics, spread_join
 
 UNKNOWN_MCC_CATEGORY, UNKNOWN_MCC_WEIGHT = "Unknown", 30
 DASHBOARD_DAYS = 7
@@ -145,21 +145,23 @@ def customer_360(
 
 
 def daily_transaction_summary(fact_transaction: DataFrame, run_ts: datetime) -> DataFrame:
+    """Transactions of a customer and day, with the distinct channels and merchant codes."""
+    coded, distinct = count_few_values(fact_transaction, {"channel": "unique_channels", "merchant_category_code": "unique_mcc"})
     return (
-        fact_transaction.groupBy("customer_id", "trx_date")
+        coded.groupBy("customer_id", "trx_date")
         .agg(
             _rows().alias("trx_count"),
             F.sum("amount").cast(WIDE_MONEY).alias("trx_amount_total"),
             F.max("amount").alias("trx_amount_max"),
-            F.count_distinct("channel").alias("unique_channels"),
-            F.count_distinct("merchant_category_code").alias("unique_mcc"),
+            *distinct,
         )
         .withColumn("refreshed_at", ntz(run_ts))
     )
 
 
 def risk_lookup(risk_codes: DataFrame) -> DataFrame:
-    return risk_codes.select(F.col("mcc_code").cast("string").alias("_code"), "mcc_category", "risk_weight")
+    code = F.col("mcc_code").cast("string").alias("merchant_category_code")
+    return risk_codes.select(code, "mcc_category", "risk_weight")
 
 
 def mcc_keeps_months(fact_transaction: DataFrame, risk_codes: DataFrame) -> bool:
@@ -167,13 +169,18 @@ def mcc_keeps_months(fact_transaction: DataFrame, risk_codes: DataFrame) -> bool
     return fits_broadcast(risk_lookup(risk_codes))
 
 
-def mcc_risk_enriched(fact_transaction: DataFrame, risk_codes: DataFrame, run_ts: datetime) -> DataFrame:
-    """Transactions with the risk class of their merchant code, matched as text without trimming."""
+def mcc_risk_enriched(
+    fact_transaction: DataFrame, risk_codes: DataFrame, run_ts: datetime, broadcast: bool | None = None
+) -> DataFrame:
+    """Transactions with the risk class of their merchant code, matched as text without trimming.
+
+    ``broadcast`` says what is known of the reference's size; unknown, it is measured.
+    """
     codes = risk_lookup(risk_codes)
     weight = F.coalesce("risk_weight", F.lit(UNKNOWN_MCC_WEIGHT))
-    joined = join_reference(
-        fact_transaction, codes, F.col("merchant_category_code") == F.col("_code"), fits_broadcast(codes)
-    )
+    if broadcast is None:
+        broadcast = fits_broadcast(codes)
+    joined = join_reference(fact_transaction, codes, "merchant_category_code", ["trx_id"], broadcast)
     return joined.select(
         "trx_id",
         "customer_id",
@@ -209,3 +216,15 @@ def operations_dashboard(load_audit: DataFrame, as_of: datetime) -> DataFrame:
     return by_mapping.select(
         F.lit("bronze").alias("layer"), "*", health.alias("pipeline_health"), ntz(as_of).alias("refreshed_at")
     )
+
+
+def dashboard_sql(load_audit: str) -> str:
+    """``operations_dashboard`` as the text of a stored view, whose clock runs when it is read."""
+    now = "CAST(date_trunc('second', localtimestamp()) AS TIMESTAMP_NTZ)"
+    last = lambda value: f"max_by({value}, CASE WHEN {value} IS NOT NULL THEN struct(started_at, run_id) END)"
+    return f"""
+        SELECT 'bronze' AS layer, *, CASE WHEN last_status = 'success' THEN 'healthy' ELSE 'degraded' END AS pipeline_health,
+               {now} AS refreshed_at
+        FROM (SELECT mapping_name, {last("status")} AS last_status, {last("rows_loaded")} AS last_rows_loaded,
+                     max(started_at) AS last_run_at, count_if(status = 'failed') AS failed_runs_7d
+              FROM {load_audit} WHERE started_at >= {now} - INTERVAL {DASHBOARD_DAYS} DAYS GROUP BY mapping_name)"""

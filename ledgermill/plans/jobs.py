@@ -14,7 +14,7 @@ from ledgermill.operators import history_changes, quality, spread_join
 from ledgermill.plans import bronze, gold
 from ledgermill.plans.silver import CUSTOMER_CHECK_COLUMNS
 from ledgermill.plans.tables import HISTORY, SCHEMAS, SEED, SILVER, VIEW, Table, select_tables
-from ledgermill.session import TASK_BYTES, own_session, tasks_for
+from ledgermill.session import SHUFFLE_TASKS, TASK_BYTES, own_session, tasks_for
 from ledgermill.sources.files import read_csv
 from ledgermill.sources.lake import Lake
 from ledgermill.sources.mappings import MAPPINGS, Mapping
@@ -80,6 +80,19 @@ class Warehouse:
         view.createOrReplaceTempView(VIEW.split(".")[1])
         return view
 
+    def store_view(self, database: str = "gold") -> str:
+        """Keep the operations view in the session's catalog, for every program that shares that catalog.
+
+        It reads the audit files where they are stored, and its clock runs when it is read.
+        """
+        folder = self.lake.path(bronze.AUDIT)
+        if not self.lake.holds(folder):
+            raise FileNotFoundError(f"no load has run under {self.lake.root}: there is no audit to show")
+        name = f"{database}.{VIEW.split('.')[1]}"
+        self.spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+        self.spark.sql(f"CREATE OR REPLACE VIEW {name} AS {gold.dashboard_sql(f'parquet.`{folder}`')}")
+        return name
+
     # -- building ------------------------------------------------------------------------------
 
     def sized_for(self, tables: Iterable[str]) -> tuple[Warehouse, int]:
@@ -119,10 +132,13 @@ class Warehouse:
         """Build tables that do not read one another."""
         tables = list(tables)
         sized, slices = self.sized_for({name for t in tables for name in t.reads})
+        large = sized.spark.conf.get(SHUFFLE_TASKS) != self.spark.conf.get(SHUFFLE_TASKS)
 
         def write(table: Table, slices_of_inputs: list[list[DataFrame]], by_month: bool) -> None:
-            parts = [table.build(*inputs, run_ts) for inputs in slices_of_inputs]
-            sized.lake.replace(parts, table.name, table.sort, table.month_of, by_month)
+            known = {"broadcast": by_month} if table.by_month else {}
+            parts = [table.build(*inputs, run_ts, **known) for inputs in slices_of_inputs]
+            in_ranges = large and not by_month
+            sized.lake.replace(parts, table.name, table.sort, table.month_of, by_month, in_ranges)
             sized.lake.drop_old_versions(table.name)
 
         def one(table: Table) -> None:

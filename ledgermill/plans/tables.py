@@ -25,7 +25,8 @@ class Table:
     sort: tuple[str, ...]
     month_of: str | None = None
     by_month: Callable[..., bool] | None = None
-    """Called with the frames of ``reads``: whether the rows come from an input's month folders without a shuffle."""
+    """Called with the frames of ``reads``: whether the rows come from an input's month folders without a shuffle.
+    ``build`` gets the answer as ``broadcast``, since it is a broadcast that avoids the shuffle."""
     slice_by: str | None = None
     """Column whose hash cuts a build that is too large for one shuffle; see ``owned`` for inputs without it."""
     owned: tuple[tuple[str, str, str], ...] = ()

@@ -9,6 +9,10 @@ from pyspark.sql import types as T
 
 from ledgermill.sources.lake import SourceLake, path_exists
 from ledgermill.sources.mappings import Mapping
+from ledgermill.sources.quoted import read_quoted
+
+
+OPTIONS = {"quote": '"', "escape": '"', "nullValue": "\u0000", "emptyValue": "", "mode": "FAILFAST"}
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType, multi_line: bool = False) -> DataFrame:
@@ -18,24 +22,15 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType, multi_line: b
     NULL, since both equal its null text; no field equals the one set here.
     Quotes inside a field are doubled, as in JSON columns; without ``escape='"'`` Spark would split
     such a field at its commas and shift the columns after it.
-    With ``multi_line``, quoted fields may hold line breaks; a file is then read by one task, since only
-    its beginning tells which line breaks are quoted. Give such an extract as a folder of several files.
+    With ``multi_line``, quoted fields may hold line breaks. One file is still read by as many tasks as it has
+    blocks (``sources.quoted``); only files that quote all fields that hold a quote may be read so.
     """
     if not path_exists(spark, path):
         raise FileNotFoundError(f"missing input file: {path}")
     optional = T.StructType([T.StructField(f.name, f.dataType) for f in schema])
-    return (
-        spark.read.schema(optional)
-        .option("header", True)
-        .option("enforceSchema", False)
-        .option("quote", '"')
-        .option("escape", '"')
-        .option("nullValue", "\u0000")
-        .option("emptyValue", "")
-        .option("mode", "FAILFAST")
-        .option("multiLine", multi_line)
-        .csv(path)
-    )
+    if multi_line:
+        return read_quoted(spark, path, optional, OPTIONS)
+    return spark.read.schema(optional).options(header=True, enforceSchema=False, **OPTIONS).csv(path)
 
 
 class CsvSource:

@@ -94,6 +94,9 @@ class Lake:
         folder = self.current(table)
         return self.bytes_under(folder) if folder else 0
 
+    def holds(self, folder: str) -> bool:
+        return path_exists(self.spark, folder)
+
     def bytes_under(self, folder: str) -> int:
         fs, hadoop_path = _fs(self.spark, folder)
         return fs.getContentSummary(hadoop_path).getLength() if fs.exists(hadoop_path) else 0
@@ -173,19 +176,25 @@ class Lake:
         sort: Sequence[str] = (),
         month_of: str | None = None,
         by_month: bool = False,
+        in_ranges: bool = False,
     ) -> None:
         """A new version, sorted inside each file and, with ``month_of``, split into month folders.
 
         ``rebalance`` brings the rows of a month together and lets adaptive execution cut a large
         month into files of the advisory size; hashing by month alone would give it to one task.
         ``by_month`` says that the tasks hold rows of few months already, so no shuffle is needed.
+        ``in_ranges`` deals rows by ranges of month and sort key instead: each file of a large month then
+        holds a few days, which its statistics show, and a read of one day opens one or two files of it.
+        It samples the rows first, which a table of small months would not repay.
         Several frames are written one after the other into one version, which counts after the last.
         """
         parts, folder = [df] if isinstance(df, DataFrame) else list(df), self._next(table)
         for i, part in enumerate(parts):
             if month_of:
                 part = part.withColumn(MONTH, month_key(month_of))
-                if not by_month:
+                if in_ranges:
+                    part = part.repartitionByRange(MONTH, *sort)
+                elif not by_month:
                     part = part.hint("rebalance", F.col(MONTH))
                 part = part.sortWithinPartitions(MONTH, *sort)
             elif sort:

@@ -55,6 +55,17 @@ def range_predicates(key: str, bounds: Sequence[Any], high: Any = None) -> list[
     return [f"{key} <= {marks[0]} OR {key} IS NULL", *between, last]
 
 
+def page_predicates(key: str, pages: int, splits: int, high: Any) -> list[str]:
+    """Disjoint predicates by the place of a row in its table, which together match every row up to ``high``.
+
+    Each takes as many of the table's ``pages`` as any other; the last one also what is added behind them.
+    """
+    cuts = [pages * i // splits for i in range(1, splits)]
+    places = [f"ctid < '({cuts[0]},0)'::tid", *(f"ctid >= '({a},0)'::tid AND ctid < '({b},0)'::tid" for a, b in zip(cuts, cuts[1:]))]
+    places.append(f"ctid >= '({cuts[-1]},0)'::tid")
+    return [f"{place} AND ({key} <= {sql_literal(high)} OR {key} IS NULL)" for place in places]
+
+
 def cut_points(sample: Sequence[Any], splits: int) -> list[Any]:
     """Keys that cut an ascending sample into ``splits`` parts of about the same size."""
     points = [sample[len(sample) * i // splits - 1] for i in range(1, splits) if len(sample) * i // splits]
@@ -72,10 +83,13 @@ class JdbcSource:
 
     However large the cluster, the reading stage opens at most ``max_connections`` connections; a load
     copies what it reads and goes on from the copy with all tasks (``staged``).
+
+    Of a table that was never analysed the source has no estimate of its rows, but always its pages: it is read
+    in ranges of pages, of which each holds ``ROWS_PER_PAGE`` rows or so.
     """
 
     staged = True
-    SAMPLED = 20
+    SAMPLED, ROWS_PER_PAGE = 20, 64
 
     def __init__(
         self,
@@ -100,6 +114,11 @@ class JdbcSource:
         )
         return max(0, found[0][0]) if found else 0
 
+    def _pages(self, mapping: Mapping) -> int:
+        return self._query(
+            mapping.system, f"SELECT pg_relation_size('{mapping.source_table}'::regclass) / cast(current_setting('block_size') AS BIGINT) AS n"
+        )[0][0]
+
     def _sample(self, mapping: Mapping, where: str, percent: float) -> list[Any]:
         key, table = mapping.watermark, mapping.source_table
         rows = self._query(mapping.system, f"SELECT {key} FROM {table} TABLESAMPLE SYSTEM ({percent:.6f}) WHERE {where} ORDER BY {key}")
@@ -109,9 +128,15 @@ class JdbcSource:
         key = mapping.watermark
         above = f"{key} IS NOT NULL" if watermark is None else f"{key} > {sql_literal(watermark)}"
         high = self._query(mapping.system, f"SELECT MAX({key}) AS high FROM {mapping.source_table} WHERE {above}")[0][0]
+        if high is None:
+            return range_predicates(key, [], high)
         rows = self._rows(mapping)
+        if not rows:
+            pages = self._pages(mapping)
+            splits = min(self.max_splits, -(-pages * self.ROWS_PER_PAGE // self.rows_per_split))
+            return page_predicates(key, pages, splits, high) if splits > 1 else range_predicates(key, [], high)
         splits = min(self.max_splits, -(-rows // self.rows_per_split))
-        if high is None or splits <= 1:
+        if splits <= 1:
             return range_predicates(key, [], high)
         percent = min(100.0, 100.0 * self.SAMPLED * splits / rows)
         sample = self._sample(mapping, f"{above} AND {key} <= {sql_literal(high)}", percent)

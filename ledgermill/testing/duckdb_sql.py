@@ -266,6 +266,9 @@ PARTS: dict[str, str] = {
               FROM load_audit WHERE started_at >= {_NOW} - INTERVAL 7 DAY GROUP BY mapping_name) r""",
     "latest_status": """
         SELECT mapping_name, arg_max(status, started_at) AS last_status FROM load_audit GROUP BY mapping_name""",
+    "keys": """
+        SELECT * FROM (VALUES ('dim_customer', 'customer_id'), ('dim_account', 'account_id'), ('dim_card', 'card_id'),
+            ('fact_transaction', 'trx_id'), ('fact_app_session', 'session_id'), ('fact_app_event', 'event_id')) AS x(t, k)""",
     # -- loads
     "mark": """
         SELECT cast(watermark_value AS BIGINT) AS high FROM load_state WHERE mapping_name = '1-URGENT'
@@ -294,6 +297,10 @@ def _rows_of(tables: dict[str, str]) -> str:
     return " UNION ALL ".join(f"SELECT '{name}' AS table_name, count(*) AS n_rows FROM {part}" for name, part in tables.items())
 
 
+_LINE_BREAKS = """
+    SELECT customer_id, concat(full_name, chr(10), '"the, second"', chr(10), 'line') AS full_name, segment, city, status
+    FROM crm_customers_raw"""
+
 STATEMENTS: dict[str, str] = {
     **{name: f"SELECT * FROM {name}" for name in (*_SILVER_TABLES, "customer_scd2", *_GOLD_TABLES)},
     "pipeline_operations_dashboard": "SELECT * FROM pipeline_operations_dashboard",
@@ -368,7 +375,7 @@ STATEMENTS: dict[str, str] = {
     "failed_load_audit": """
         SELECT 'cards' AS mapping_name, 'success' AS status, count(*) AS rows_loaded,
             cast(max(card_id) AS VARCHAR) AS new_watermark, cast(NULL AS VARCHAR) AS error_message FROM card_cards_raw
-        UNION ALL SELECT 'transactions', 'failed', 0, NULL, 'source is down'""",
+        UNION ALL SELECT 'transactions', 'failed', 0, NULL, left('source is down: ' || repeat('no answer, ', 200), 1000)""",
     "source_freshness": " UNION ALL ".join(
         f"""SELECT '{t}' AS table_name,
             CASE WHEN count(*) > 0 THEN {_NOW} - INTERVAL {hours} HOUR END AS max_loaded_at,
@@ -382,9 +389,22 @@ STATEMENTS: dict[str, str] = {
     "stored_customer_360": "SELECT * REPLACE (date_trunc('second', last_login_time) AS last_login_time) FROM customer_360",
     "sliced_daily_summary": "SELECT * FROM daily_transaction_summary",
     "mcc_risk_large_reference": "SELECT * FROM mcc_risk_enriched_transactions",
-    "csv_line_breaks": """
-        SELECT customer_id, concat(full_name, chr(10), '"the, second"', chr(10), 'line') AS full_name, city, status
-        FROM crm_customers_raw WHERE segment <> 'PREMIUM'""",
+    "mcc_risk_hot_code": f"""
+        SELECT trx_id, customer_id, trx_date, trx_datetime, amount, currency, channel, code AS merchant_category_code,
+            coalesce(mcc_category, 'Unknown') AS mcc_category, cast(coalesce(risk_weight, 30) AS INTEGER) AS mcc_risk_weight,
+            cast(amount AS DOUBLE) * (cast(coalesce(risk_weight, 30) AS DOUBLE) / 100.0) AS risk_weighted_amount,
+            {_NOW} AS refreshed_at
+        FROM (SELECT *, CASE WHEN trx_id % 3 = 0 THEN '5411' WHEN trx_id % 10 = 1 THEN NULL ELSE merchant_category_code END AS code
+              FROM fact_transaction) f LEFT JOIN risk_mcc_codes ON cast(mcc_code AS VARCHAR) = code""",
+    "sliced_customer_360": "SELECT * FROM customer_360",
+    "sliced_customer_history": "SELECT * FROM customer_scd2",
+    "sliced_tests": """
+        SELECT 'silver.' || t || ' ' || k || ' unique' AS "check", t <> 'dim_card' AS ok FROM keys
+        UNION ALL SELECT 'silver.' || t || ' ' || k || ' not null', true FROM keys
+        UNION ALL SELECT 'silver.fact_transaction without negative amounts', (SELECT count(*) = 0 FROM fact_transaction WHERE amount < 50000)""",
+    "stored_day_order": "SELECT cast(0 AS BIGINT) AS n_out_of_order, count(*) > 0 AS a_day_is_in_two_files_at_most FROM fact_transaction",
+    "csv_line_breaks": _LINE_BREAKS,
+    "csv_line_breaks_in_one_file": _LINE_BREAKS,
     "tied_marks": """
         SELECT mapping_name, watermark_value, watermark_type, date_trunc('year', updated_at) AS updated_at
         FROM load_state WHERE mapping_name = '1-URGENT'

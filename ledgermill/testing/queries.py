@@ -17,6 +17,7 @@ from ledgermill.plans import bronze, gold, silver
 from ledgermill.plans.jobs import Warehouse, open_warehouse
 from ledgermill.operators.quality import ChecksFailed
 from ledgermill.plans.tables import GOLD, HISTORY, SEED, SILVER
+from ledgermill.session import SHUFFLE_TASKS, own_session
 from ledgermill.sources import MAPPINGS, CsvSource, Lake, Mapping, risk_mcc_codes, select_mappings, shared_dir
 from ledgermill.testing.bindings import (
     AS_OF,
@@ -330,7 +331,7 @@ class _Broken:
 
     def table(self, mapping: Mapping, watermark: object = None) -> DataFrame:
         if mapping.name == self.name:
-            raise OSError("source is down")
+            raise OSError("source is down: " + "no answer, " * 200)
         return self.source.table(mapping)
 
 
@@ -414,36 +415,136 @@ def sliced_daily_summary(t: TestTables) -> DataFrame:
     return warehouse.read(table.name)
 
 
+def _in_slices(t: TestTables) -> Warehouse:
+    """A warehouse whose larger tables are built, tested and matched in several slices."""
+    return _scratch(t, task_bytes=1 << 15, shuffle_tasks_at_once=8)
+
+
+def _store_silver(warehouse: Warehouse, t: TestTables) -> None:
+    frames = [dim_customer(t), *_silver_inputs(t)]
+    for table, frame in zip(SILVER, frames):
+        warehouse.lake.replace(frame, table.name)
+
+
 @_register
-def mcc_risk_large_reference(t: TestTables) -> DataFrame:
-    """A reference past the broadcast bound: the seed as a CSV, and a code that no merchant has for every line item."""
+def sliced_customer_360(t: TestTables) -> DataFrame:
+    """Built in slices of customers; cards go to the slices of their accounts' owners."""
+    warehouse = _in_slices(t)
+    _store_silver(warehouse, t)
+    (table,) = [g for g in GOLD if g.name == "gold.customer_360"]
+    warehouse.build([table], AS_OF)
+    return warehouse.read(table.name)
+
+
+@_register
+def sliced_customer_history(t: TestTables) -> DataFrame:
+    """Snapshots whose customers and open versions are matched slice by slice."""
+    warehouse = _scratch(t, task_bytes=1 << 12, shuffle_tasks_at_once=4)
+    for run_ts, raw in customer_snapshots(t):
+        warehouse.lake.replace(silver.dim_customer(raw, run_ts), "silver.dim_customer")
+        warehouse.snapshot(run_ts)
+    return warehouse.read(HISTORY)
+
+
+@_register
+def sliced_tests(t: TestTables) -> DataFrame:
+    """The tests of the silver layer, keys in slices, over cards of which some are stored twice and lowered amounts."""
+    warehouse = _in_slices(t)
+    _store_silver(warehouse, t)
+    twice = dim_card(t).unionByName(dim_card(t).filter("card_id % 7 = 0"))
+    warehouse.lake.replace(twice, "silver.dim_card")
+    lowered = fact_transaction(t).withColumn("amount", (F.col("amount") - F.lit(50000)).cast("decimal(18,2)"))
+    warehouse.lake.replace(lowered, "silver.fact_transaction")
+    return warehouse.test(SILVER, raise_on_failure=False).drop("detail")
+
+
+@_register
+def stored_day_order(t: TestTables) -> DataFrame:
+    """Transactions of a large build: rows out of order within a file, and the most files of which one day is read."""
+    warehouse, table = _scratch(t, task_bytes=1 << 18), SILVER[3]
+    warehouse.lake.replace(t.raw("payments_transactions_raw"), "bronze.payments_transactions_raw")
+    warehouse.build([table], AS_OF)
+    stored = t.spark.read.schema(table.schema).parquet(warehouse.lake.current(table.name))
+    rows = stored.select(*table.sort, F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("i"))
+    place = Window.partitionBy("file").orderBy("i")
+    late = F.lag(F.struct(*table.sort)).over(place) > F.struct(*table.sort)
+    files = rows.withColumn("late", late).groupBy("file").agg(
+        F.count_if("late").alias("late"), F.min("trx_date").alias("first"), F.max("trx_date").alias("last")
+    )
+    days = rows.select("trx_date").distinct()
+    opened = days.join(files, F.col("trx_date").between(F.col("first"), F.col("last"))).groupBy("trx_date").agg(F.count("*").alias("n"))
+    worst = opened.agg((F.max("n") <= 2).alias("a_day_is_in_two_files_at_most"))
+    return files.agg(F.sum("late").alias("n_out_of_order")).join(worst)
+
+
+def _hot_facts(t: TestTables) -> DataFrame:
+    """A third of all transactions has one merchant code, a tenth none."""
+    code = F.when(F.col("trx_id") % 3 == 0, "5411").when(F.col("trx_id") % 10 == 1, F.lit(None)).otherwise(F.col("merchant_category_code"))
+    return fact_transaction(t).withColumn("merchant_category_code", code)
+
+
+def _large_reference(t: TestTables) -> DataFrame:
+    """The seed, and a code that no merchant has for every line item."""
     fillers = t.parquet("lineitem").select(
         (F.col("l_orderkey") * 10 + F.col("l_linenumber") + 100_000).cast("int").alias("mcc_code"),
         F.repeat(F.lit("no merchant "), F.lit(100)).alias("mcc_category"),
         F.lit(1).alias("risk_weight"),
     )
+    return risk_mcc_codes(t.spark).unionByName(fillers)
+
+
+def _enriched_by_large_reference(t: TestTables, facts: DataFrame) -> DataFrame:
     folder = _scratch_folder(t.spark)
-    risk_mcc_codes(t.spark).unionByName(fillers).write.option("header", True).csv(f"{folder}/codes")
+    _large_reference(t).write.option("header", True).csv(f"{folder}/codes")
     warehouse = _scratch(t)
     warehouse.load_seed(f"{folder}/codes")
-    warehouse.lake.replace(fact_transaction(t), "silver.fact_transaction", month_of="trx_date")
+    warehouse.lake.replace(facts, "silver.fact_transaction", month_of="trx_date")
     (table,) = [g for g in GOLD if g.name == "gold.mcc_risk_enriched_transactions"]
     warehouse.build([table], AS_OF)
     return warehouse.read(table.name)
 
 
 @_register
-def csv_line_breaks(t: TestTables) -> DataFrame:
-    """Customers whose names hold line breaks and quotes, through a CSV extract."""
+def mcc_risk_large_reference(t: TestTables) -> DataFrame:
+    """A reference past the broadcast bound, loaded from a CSV."""
+    return _enriched_by_large_reference(t, fact_transaction(t))
+
+
+@_register
+def mcc_risk_hot_code(t: TestTables) -> DataFrame:
+    """A reference past the broadcast bound, and a code that a third of the transactions has."""
+    return _enriched_by_large_reference(t, _hot_facts(t))
+
+
+def _with_line_breaks(t: TestTables) -> DataFrame:
+    (customers,) = select_mappings(["crm_customers"])
+    source = BoundSource(t).table(customers)
+    return source.withColumn("full_name", F.concat(F.col("full_name"), F.lit('\n"the, second"\nline')))
+
+
+AS_EXTRACT = {"header": True, "escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False, "emptyValue": '""'}
+
+
+def _load_line_breaks(t: TestTables, spark: SparkSession, extract: DataFrame) -> DataFrame:
     (customers,) = select_mappings(["crm_customers"])
-    source = BoundSource(t).table(customers).filter(F.col("segment") != "PREMIUM")
-    source = source.withColumn("full_name", F.concat(F.col("full_name"), F.lit('\n"the, second"\nline')))
     folder = _scratch_folder(t.spark)
-    as_extract = {"header": True, "escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False, "emptyValue": '""'}
-    source.write.options(**as_extract).csv(f"{folder}/{customers.source_table}.csv")
-    warehouse = _scratch(t)
-    warehouse.run_bronze(CsvSource(t.spark, folder, [customers.source_table]), [customers.name])
-    return warehouse.read(customers.target_table).select("customer_id", "full_name", "city", "status")
+    extract.write.options(**AS_EXTRACT).csv(f"{folder}/{customers.source_table}.csv")
+    warehouse = open_warehouse(spark, _scratch_folder(t.spark))
+    warehouse.run_bronze(CsvSource(spark, folder, [customers.source_table]), [customers.name])
+    return warehouse.read(customers.target_table).select("customer_id", "full_name", "segment", "city", "status")
+
+
+@_register
+def csv_line_breaks(t: TestTables) -> DataFrame:
+    """Customers whose names hold line breaks and quotes, through a CSV extract of several files."""
+    return _load_line_breaks(t, t.spark, _with_line_breaks(t))
+
+
+@_register
+def csv_line_breaks_in_one_file(t: TestTables) -> DataFrame:
+    """The same in one file, which many tasks read: blocks are small here, as a large file's are to it."""
+    session = own_session(t.spark, int(t.spark.conf.get(SHUFFLE_TASKS)), **{"spark.sql.files.maxPartitionBytes": "16k", "spark.sql.files.openCostInBytes": "0"})
+    return _load_line_breaks(t, session, _with_line_breaks(t).coalesce(1))
 
 
 @_register

@@ -327,6 +327,30 @@ def test_splits_hold_equal_numbers_of_rows(spark, mark, expected):
     assert sum(counts) == new.count() and set(counts) == {new.count() // expected}
 
 
+class NoEstimate(ViewSource):
+    """A table of a thousand pages that was never analysed."""
+
+    def _rows(self, mapping):
+        return 0
+
+    def _pages(self, mapping):
+        return 1_000
+
+
+def test_tables_without_statistics_are_read_by_pages(spark):
+    """Pages stand in a column of their own here, as no other table knows a row's place."""
+    rows = spark.range(1, 5_001).selectExpr("if(id % 10 = 0, null, id) AS trx_id", "id % 1003 AS page")
+    rows.createOrReplaceTempView("transactions")
+    parts = NoEstimate(spark, rows_per_split=6_400)._splits(BY_NAME["transactions"], None)
+    assert parts[0] == "ctid < '(100,0)'::tid AND (trx_id <= 4999 OR trx_id IS NULL)" and len(parts) == 10
+    assert parts[4] == "ctid >= '(400,0)'::tid AND ctid < '(500,0)'::tid AND (trx_id <= 4999 OR trx_id IS NULL)"
+    local = [re.sub(r"ctid (\S+) '\((\d+),0\)'::tid", r"page \1 \2", p) for p in parts]
+    counts = [rows.filter(p).count() for p in local]
+    assert sum(counts) == 5_000 and max(counts) < 600
+    assert NoEstimate(spark)._splits(BY_NAME["transactions"], None) == ["trx_id <= 4999 OR trx_id IS NULL"]
+    assert len(NoEstimate(spark, rows_per_split=1, max_splits=7)._splits(BY_NAME["transactions"], 3)) == 7
+
+
 def test_small_and_huge_tables_bound_the_number_of_splits(spark):
     spark.range(1000).selectExpr("cast(id AS string) AS session_id").createOrReplaceTempView("app_sessions")
     sessions = BY_NAME["mobile_sessions"]

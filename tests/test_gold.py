@@ -226,10 +226,17 @@ def test_daily_summary_with_one_hot_day(spark):
     hot = out.filter("customer_id = 1").first()
     assert (hot.trx_count, hot.unique_channels, hot.unique_mcc) == (10_000, 700, 300)
     assert out.count() == 20_001
-    # the distinct values of a group are spread by value, not gathered in the group's task
+    # a thousand values in all: they are spread by value, not gathered in the group's task
     assert "hashpartitioning(customer_id#" in plan(out) and plan(out).count("Exchange hashpartitioning") == 2
 
 
+def test_daily_summary_expands_no_rows(spark, tmp_path):
+    given = [{"trx_id": i, "posting_date": DAY, "customer_id": i, "channel": f"c{i % 3}"} for i in range(1, 40)]
+    facts = stored(spark, tmp_path, "f", silver.fact_transaction(raw(spark, "transactions", *given), RUN))
+    daily = plan(gold.daily_transaction_summary(facts, RUN))
+    assert "Expand" not in daily and daily.count("Exchange hashpartitioning") == 1
+
+
 MCC = [("5411", "Grocery", 15, 0.75), ("5999", "Unknown", 30, 1.5), ("0742", "Unknown", 30, 1.5)]
 MCC += [("5411 ", "Unknown", 30, 1.5), (None, "Unknown", 30, 1.5)]
 
@@ -255,11 +262,32 @@ def test_reference_beyond_the_bound_is_not_broadcast(spark, monkeypatch):
         monkeypatch.setattr(lookup, "BROADCAST_BYTES", 3)
         large = gold.mcc_risk_enriched(fact, codes, RUN)
         assert "BroadcastHashJoin" in plan(small) and "SortMergeJoin" in plan(large)
+        assert "SortMergeJoin" in plan(gold.mcc_risk_enriched(fact, codes, RUN, broadcast=False))
         assert rows(small) == rows(large)
     finally:
         spark.conf.set(setting, before)
 
 
+def test_a_hot_code_is_split(spark, tmp_path, monkeypatch):
+    """A third of the transactions has one code and a third none: no task of the join has much more than its share."""
+    monkeypatch.setattr(lookup, "BROADCAST_BYTES", 3)
+    code = F.when(F.col("trx_id") % 3 == 0, "5411").when(F.col("trx_id") % 3 == 1, F.concat(F.lit("x"), "trx_id"))
+    fact = silver.fact_transaction(raw(spark, "transactions", {"posting_date": DAY}), RUN).drop("trx_id", "merchant_category_code")
+    ids = spark.range(30_000).withColumnRenamed("id", "trx_id").withColumn("merchant_category_code", code)
+    fact = stored(spark, tmp_path, "f", fact.join(ids, F.lit(True)))
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}
+    before = {name: spark.conf.get(name) for name in settings}
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    try:
+        out = gold.mcc_risk_enriched(fact, risk_mcc_codes(spark), RUN)
+        assert out.groupBy(F.spark_partition_id()).count().agg(F.max("count")).first()[0] < 2 * 30_000 / 8
+        assert rows(out.groupBy("mcc_category").count()) == [("Grocery", 10_000), ("Unknown", 20_000)]
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+
+
 def runs(*entries):
     return [
         {"mapping_name": m, "status": s, "started_at": RUN - age, "rows_loaded": n, "run_id": str(i)}

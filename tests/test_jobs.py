@@ -15,6 +15,7 @@ from ledgermill.plans.tables import GOLD, HISTORY, SEED, SILVER, VIEW, select_ta
 from ledgermill.session import SHUFFLE_TASKS
 from ledgermill.sources import Lake
 from ledgermill.sources.lake import shared_dir
+from ledgermill.sources.slices import Cutter
 from ledgermill.testing.bindings import BoundSource, TestTables
 from test_bronze import write_extracts
 
@@ -59,6 +60,19 @@ def test_dashboard_is_a_view(built):
     assert warehouse.spark.table(VIEW.split(".")[1]).count() == 6
 
 
+def test_stored_view_is_the_dashboard(built):
+    """Another session of the catalog reads it by name; a second session of the same program stands for one here."""
+    warehouse, _, _ = built
+    name = warehouse.store_view("ops")
+    other = warehouse.spark.newSession().table(name)
+    now = warehouse.dashboard()
+    assert other.dtypes == now.dtypes
+    columns = [c for c in now.columns if c != "refreshed_at"]
+    assert rows(other, *columns) == rows(now, *columns)
+    with pytest.raises(FileNotFoundError, match="no load has run"):
+        open_warehouse(warehouse.spark, warehouse.lake.root + "-none").store_view()
+
+
 def test_freshness_of_all_raw_tables(built):
     warehouse, _, _ = built
     out = warehouse.freshness(bronze.utc_now())
@@ -236,6 +250,75 @@ def test_slices_build_the_same_rows(built, spark, tmp_path):
         assert rows(cut.read(table.name).drop(*dropped)) == rows(warehouse.read(table.name).drop(*dropped)), table.name
 
 
+def test_no_slice_reads_more_than_its_share(built, spark, tmp_path, monkeypatch):
+    """Every input of a sliced build, also one without the slice column, is read in parts that fit the tasks."""
+    warehouse, _, _ = built
+    (table,) = [t for t in GOLD if t.name == "gold.customer_360"]
+    cut = open_warehouse(spark, str(tmp_path), task_bytes=1 << 13, shuffle_tasks_at_once=16)
+    for name in table.reads:
+        cut.lake.replace(warehouse.read(name), name)
+    sized, n = cut.sized_for(table.reads)
+    assert n > 2
+    largest = max(cut.lake.size_in_bytes(name) for name in table.reads)
+    with Cutter(sized.lake, n) as cutter:
+        slices_of_inputs = sized.cut_inputs(table, cutter)
+        for made in cutter.made.values():
+            assert max(made.bytes(i) for i in range(n)) < 2 * largest / n + (1 << 14)
+        cards = table.reads.index("silver.dim_card")
+        owned = warehouse.read("silver.dim_card").join(warehouse.read("silver.dim_account"), "account_id", "left_semi")
+        assert sum(inputs[cards].count() for inputs in slices_of_inputs) == owned.count()
+        staged = Path(cutter.folder)
+        assert staged.exists()
+    assert not staged.exists()
+
+
+def test_tests_and_snapshots_run_in_slices(built, spark, tmp_path, monkeypatch):
+    warehouse, _, _ = built
+    cut = open_warehouse(spark, str(tmp_path), task_bytes=1 << 10, shuffle_tasks_at_once=4)
+    customers = warehouse.read("silver.dim_customer")
+    cut.lake.replace(customers, "silver.dim_customer")
+    _, n = cut.sized_for(["silver.dim_customer"])
+    seen = []
+    counted = quality.duplicates
+    monkeypatch.setattr(quality, "duplicates", lambda df, c: seen.append(df.count()) or counted(df, c))
+    cut.test([SILVER[0]])
+    assert len(seen) == n > 2 and sum(seen) == customers.count() and max(seen) < customers.count() / 2
+    seen.clear()
+    cut.snapshot(RUN)
+    cut.lake.replace(customers.filter("customer_id % 3 <> 0"), "silver.dim_customer")
+    cut.snapshot(RUN + timedelta(1))
+    assert len(seen) > 2 * 2 and max(seen) < customers.count() / 2
+    history = cut.read(HISTORY)
+    assert history.count() == customers.count()
+    assert history.filter("valid_to IS NOT NULL").count() == customers.filter("customer_id % 3 = 0").count()
+    cut.lake.replace(customers.union(customers), "silver.dim_customer")
+    with pytest.raises(ValueError, match="several rows per customer_id"):
+        cut.snapshot(RUN + timedelta(2))
+    with pytest.raises(ChecksFailed, match="customer_id unique"):
+        cut.test([SILVER[0]])
+
+
+def test_row_rules_take_one_scan_per_table(built, monkeypatch):
+    warehouse, _, _ = built
+    scans, rules = [], quality.broken_rules
+    monkeypatch.setattr(quality, "broken_rules", lambda df, r: scans.append(set(r)) or rules(df, r))
+    report = warehouse.test([SILVER[3]])
+    assert scans == [{"without negative amounts", "trx_id not null"}]
+    assert {r.check for r in report.collect()} == {f"silver.fact_transaction {t}" for t in ("without negative amounts", "trx_id not null", "trx_id unique")}
+
+
+def test_large_builds_lay_days_out_in_ranges(built, spark, tmp_path):
+    warehouse, _, _ = built
+    large = open_warehouse(spark, str(tmp_path), task_bytes=1 << 13)
+    name = "bronze.payments_transactions_raw"
+    large.lake.replace(warehouse.read(name), name)
+    large.build([SILVER[3]], RUN)
+    files = spark.read.parquet(large.lake.current(SILVER[3].name)).selectExpr("trx_date", "_metadata.file_path AS f").groupBy("f")
+    spans = sorted(tuple(r) for r in files.agg({"trx_date": "min"}).withColumnRenamed("min(trx_date)", "a").join(files.agg({"trx_date": "max"}), "f").select("a", "max(trx_date)").collect())
+    assert all(a[1] <= b[0] for a, b in zip(spans, spans[1:]))  # ranges meet in one day at most
+    assert rows(large.read(SILVER[3].name).drop("updated_at")) == rows(warehouse.read(SILVER[3].name).drop("updated_at"))
+
+
 def test_large_reference_is_laid_out_by_month(built, spark, tmp_path, monkeypatch):
     """Beyond the broadcast bound the join shuffles; files per month stay as few as tables by month have."""
     warehouse, _, _ = built
@@ -272,6 +355,12 @@ def test_command_line(spark, tmp_path, capsys):
     assert main(["transform", "--root", root]) == 0
     assert "bronze audit healthy" in capsys.readouterr().out
     assert main(["verify", "--root", root]) == 0
+    assert main(["freshness", "--root", root]) == 0
+    assert capsys.readouterr().out.count("pass") == 6
+    assert main(["freshness", "--root", str(tmp_path / "none")]) == 1
+    assert main(["dashboard", "--root", root, "--store", "ops_cli"]) == 0
+    assert "ops_cli.pipeline_operations_dashboard" in capsys.readouterr().out
+    assert spark.table("ops_cli.pipeline_operations_dashboard").count() == 6
     assert main(["dashboard", "--root", root]) == 0
     assert "healthy" in capsys.readouterr().out
     warehouse = open_warehouse(spark, root)

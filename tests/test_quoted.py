@@ -1,0 +1,84 @@
+import random
+
+import pytest
+from pyspark.sql import types as T
+
+from helpers import plan
+from ledgermill.session import own_session
+from ledgermill.sources.files import OPTIONS, read_csv
+from ledgermill.sources.quoted import lines, numbered_lines, records
+
+SCHEMA = T.StructType([T.StructField("id", T.IntegerType()), T.StructField("name", T.StringType()), T.StructField("note", T.StringType())])
+
+
+def blocks_of(spark, size):
+    """A session that reads files in blocks of ``size`` bytes."""
+    return own_session(spark, 4, **{"spark.sql.files.maxPartitionBytes": str(size), "spark.sql.files.openCostInBytes": "0"})
+
+
+def quoted(value):
+    if value is None:
+        return ""
+    return '"' + value.replace('"', '""') + '"' if value == "" or any(c in value for c in ',"\n\r') else value
+
+
+def extract(rows, end="\n"):
+    return "id,name,note" + end + "".join(",".join([str(i), quoted(a), quoted(b)]) + end for i, a, b in rows)
+
+
+def corpus(seed, n=400):
+    rng = random.Random(seed)
+    parts = ["a", "\n", '"', ",", "\n\n", "", "ü", '"\n"', "x" * 30, "\n" * 40]
+    text = lambda: rng.choice([None, "", "".join(rng.choice(parts) for _ in range(rng.randrange(6)))])
+    return [(i, text(), text()) for i in range(n)]
+
+
+@pytest.mark.parametrize("size", [64, 700, 1 << 20])
+def test_equals_the_reader_of_whole_files(spark, tmp_path, size):
+    path = str(tmp_path / "t.csv")
+    rows = corpus(size)
+    (tmp_path / "t.csv").write_text(extract(rows))
+    session = blocks_of(spark, size)
+    found = read_csv(session, path, SCHEMA, multi_line=True)
+    whole = spark.read.schema(SCHEMA).options(header=True, enforceSchema=False, multiLine=True, **OPTIONS).csv(path)
+    got = sorted(map(tuple, found.collect()))
+    assert got == sorted(map(tuple, whole.collect())) == rows
+    if size == 64:
+        assert lines(session, path).rdd.getNumPartitions() > 8
+        assert "multiLine" not in plan(found)
+
+
+def test_several_files_and_line_ends_of_two_characters(spark, tmp_path):
+    folder = tmp_path / "t.csv"
+    folder.mkdir()
+    for k in range(3):
+        (folder / f"part-{k}.csv").write_bytes(extract([(10 * k + i, f"n\n{k}", None) for i in range(5)], "\r\n").encode())
+    got = sorted(map(tuple, read_csv(blocks_of(spark, 20), str(folder), SCHEMA, multi_line=True).collect()))
+    assert got == [(10 * k + i, f"n\n{k}", None) for k in range(3) for i in range(5)]
+
+
+def test_lines_of_their_own_are_not_brought_together(spark, tmp_path):
+    (tmp_path / "t.csv").write_text(extract([(1, "a", "b"), (2, "a\nb\nc", "d"), (3, "e", "f")]))
+    rows = numbered_lines(lines(blocks_of(spark, 16), str(tmp_path / "t.csv"))).orderBy("block", "at").collect()
+    assert [(r.record, r.alone) for r in rows] == [(1, True), (2, True), (3, False), (3, False), (3, False), (4, True)]
+    assert records(lines(spark, str(tmp_path / "t.csv"))).count() == 4
+
+
+@pytest.mark.parametrize(
+    ("text", "message"),
+    [
+        ('id,name,note\n1,"a,b\n2,c,d\n', "unclosed quote"),
+        ("id,nome,note\n1,a,b\n", "unexpected header"),
+        ("id,name,note\nx,a,b\n", "MALFORMED|malformed"),
+    ],
+)
+def test_bad_files_fail(spark, tmp_path, text, message):
+    (tmp_path / "t.csv").write_text(text)
+    with pytest.raises(Exception, match=message):
+        read_csv(blocks_of(spark, 16), str(tmp_path / "t.csv"), SCHEMA, multi_line=True).collect()
+
+
+def test_empty_files(spark, tmp_path):
+    for text in ("", "id,name,note\n"):
+        (tmp_path / "t.csv").write_text(text)
+        assert read_csv(spark, str(tmp_path / "t.csv"), SCHEMA, multi_line=True).collect() == []
