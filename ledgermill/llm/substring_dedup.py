@@ -20,7 +20,7 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgermill.llm.jobs import SHARD_BYTES, shard_count
@@ -64,6 +64,8 @@ class Shard:
         ids = docs["doc_id"].combine_chunks()
         # a null id comes before all others
         self.doc_ids = np.asarray(ids.fill_null(np.iinfo(np.int64).min), dtype=np.int64)
+        self.tied = "tie" in docs.column_names
+        self.ties = np.asarray(docs["tie"].combine_chunks(), dtype=np.int64) if self.tied else np.zeros(len(self.doc_ids), np.int64)
         self.candidate = inside(self.first, window)
 
     def edges(self, hashes: np.ndarray) -> np.ndarray:
@@ -120,16 +122,20 @@ class Shard:
         which[order] = np.cumsum(new) - 1
         return start, row, h[new], c[new].astype(np.uint32), which
 
-    def least_doc(self, row: np.ndarray, which: np.ndarray, n: int) -> np.ndarray:
-        least = np.full(n, np.iinfo(np.int64).max)
-        np.minimum.at(least, which, self.doc_ids[row])
-        return least
+    def least_row(self, row: np.ndarray, which: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+        """Id and tie of the first row of each distinct window."""
+        order = np.lexsort((self.ties[row], self.doc_ids[row], which))
+        first = np.ones(len(order), bool)
+        first[1:] = which[order][1:] != which[order][:-1]
+        least = row[order[first]]
+        return self.doc_ids[least], self.ties[least]
 
     def removed(self, told: dict[int, bytes]) -> np.ndarray:
         """Per word: whether a window that starts earlier somewhere covers it."""
         start, row, hashes, _, which = self.windows()
-        least = self.least_doc(row, which, len(hashes))
-        later = self.bits(hashes, told)[which] | (self.doc_ids[row] > least[which])
+        least, tie = (v[which] for v in self.least_row(row, which, len(hashes)))
+        own = self.doc_ids[row]
+        later = self.bits(hashes, told)[which] | (own > least) | ((own == least) & (self.ties[row] > tie))
         order = np.lexsort((start, row, which))  # the same window again in one row
         again = np.zeros(len(order), bool)
         again[1:] = (which[order][1:] == which[order][:-1]) & (row[order][1:] == row[order][:-1])
@@ -145,11 +151,14 @@ class Shard:
             _, hashes, extra = self.anchors(length)
         else:
             _, row, hashes, low, which = self.windows()
-            extra = self.least_doc(row, which, len(hashes))
+            extra, ties = self.least_row(row, which, len(hashes))
         edges = self.edges(hashes)
         for bucket in np.flatnonzero(np.diff(edges)):
             a, b = edges[bucket], edges[bucket + 1]
-            more = np.packbits(extra[a:b]).tobytes() if length < self.window else low[a:b].tobytes() + extra[a:b].tobytes()
+            if length < self.window:
+                more = np.packbits(extra[a:b]).tobytes()
+            else:
+                more = low[a:b].tobytes() + extra[a:b].tobytes() + (ties[a:b].tobytes() if self.tied else b"")
             rows.append((int(bucket), shard, length, hashes[a:b].tobytes(), more))
         return table(rows, SENT_ARROW)
 
@@ -163,8 +172,8 @@ def table(rows: list[tuple], schema: pa.Schema) -> pa.Table:
     return pa.table([pa.array(c, f.type) for c, f in zip(columns, schema)], schema)
 
 
-def answer(sent: pa.Table, window: int) -> pa.Table:
-    """A bucket's answers: below the last level whether other shards have the hash; there, whether a smaller id has."""
+def answer(sent: pa.Table, window: int, tied: bool) -> pa.Table:
+    """A bucket's answers: below the last level whether other shards have the hash; there, whether an earlier row has."""
     rows = sent.to_pylist()
     if not rows:
         return table([], TOLD_ARROW)
@@ -182,13 +191,14 @@ def answer(sent: pa.Table, window: int) -> pa.Table:
         n = [len(h) for h in hashes]
         low = np.concatenate([np.frombuffer(r["extra"], np.uint32, k) for r, k in zip(rows, n)])
         doc = np.concatenate([np.frombuffer(r["extra"], np.int64, k, 4 * k) for r, k in zip(rows, n)])
-        order = np.lexsort((doc, low, every))
+        tie = np.concatenate([np.frombuffer(r["extra"], np.int64, k, 12 * k) for r, k in zip(rows, n)]) if tied else np.zeros(len(every), np.int64)
+        order = np.lexsort((tie, doc, low, every))
         h, c = every[order], low[order]
         new = np.ones(len(order), bool)
         new[1:] = (h[1:] != h[:-1]) | (c[1:] != c[:-1])
-        least = doc[order][np.flatnonzero(new)][np.cumsum(new) - 1]
+        least, first = (v[order][np.flatnonzero(new)][np.cumsum(new) - 1] for v in (doc, tie))
         yes = np.empty(len(order), bool)
-        yes[order] = doc[order] > least
+        yes[order] = (doc[order] > least) | ((doc[order] == least) & (tie[order] > first))
     pieces = np.split(yes, ends[:-1])
     return table([(r["shard"], level, bucket, np.packbits(p).tobytes()) for r, p in zip(rows, pieces)], TOLD_ARROW)
 
@@ -226,7 +236,11 @@ def results(docs: pa.Table, removed: np.ndarray, first: np.ndarray, edited: bool
 
 
 def substring_dedup(
-    docs: DataFrame, window: int = WINDOW, carry: list[str] | None = None, shard_bytes: int = SHARD_BYTES
+    docs: DataFrame,
+    window: int = WINDOW,
+    carry: list[str] | None = None,
+    shard_bytes: int = SHARD_BYTES,
+    tie: Column | None = None,
 ) -> DataFrame:
     """doc_id, n_words, n_removed, kept_sha256 of every row of ``docs`` (doc_id, text).
 
@@ -237,7 +251,8 @@ def substring_dedup(
 
     Defined cases: a null text has no words and stays null; a text of fewer than ``window`` words loses
     none; a null id counts as the smallest. Rows with one id do not remove each other's words, so
-    repeated rows all get the same result. Extra columns are ignored. No rows give no rows.
+    repeated rows all get the same result; with ``tie``, a number, rows of one id come one after the other
+    by it, and only rows of one number too do not. Extra columns are ignored. No rows give no rows.
     """
     n = shard_count(docs, "text", shard_bytes)
     shard = F.pmod(F.xxhash64(F.col("doc_id").cast("long"), F.col("text")), F.lit(n)).cast("int")
@@ -245,6 +260,9 @@ def substring_dedup(
     if carry is not None:
         carried = [F.col(f"`{c}`") for c in carry] or [F.lit(None).cast("int").alias("nothing")]
         columns.append(F.struct(*carried).alias("carried"))
+    tied = tie is not None
+    if tied:
+        columns.append(tie.cast("long").alias("tie"))
     sharded = docs.select(shard.alias("shard"), *columns).repartition(n, "shard")
 
     def narrowed(part: pa.Table, told: pa.Table, length: int) -> Shard:
@@ -265,7 +283,7 @@ def substring_dedup(
             sent = sharded.groupBy("shard").applyInArrow(begin, SENT)
         else:
             sent = sharded.groupBy("shard").cogroup(answers.groupBy("shard")).applyInArrow(at(length), SENT)
-        told = sent.repartition(n, "bucket").groupBy("bucket", "level").applyInArrow(lambda t: answer(t, window), TOLD)
+        told = sent.repartition(n, "bucket").groupBy("bucket", "level").applyInArrow(lambda t: answer(t, window, tied), TOLD)
         answers = (told if answers is None else answers.unionByName(told)).repartition(n, "shard")
 
     def finish(part: pa.Table, told: pa.Table) -> pa.Table:
