@@ -48,9 +48,11 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Passages that stand in a row of smaller id, or earlier in the row, go from the text; ``n_chars`` follows.
 
-    Every row stays, a null text is null, and rows of one id cut nothing from each other.
+    Every row stays and a null text is null. A null id is the smallest; rows of one id follow each other by a hash
+    of all their columns, and equal rows cut nothing from each other.
     """
-    found = substring_dedup(docs, carry=[c for c in docs.columns if c not in ("doc_id", "text")])
+    tie = F.xxhash64(*(F.col(f"`{c}`") for c in docs.columns))
+    found = substring_dedup(docs, carry=[c for c in docs.columns if c not in ("doc_id", "text")], tie=tie)
     text = F.col("kept_text").cast("string")
     changed = {
         "doc_id": F.col("doc_id"),
