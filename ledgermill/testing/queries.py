@@ -417,7 +417,7 @@ def sliced_daily_summary(t: TestTables) -> DataFrame:
 
 def _in_slices(t: TestTables) -> Warehouse:
     """A warehouse whose larger tables are built, tested and matched in several slices."""
-    return _scratch(t, task_bytes=1 << 15, shuffle_tasks_at_once=8)
+    return _scratch(t, task_bytes=1 << 17, shuffle_tasks_at_once=8)
 
 
 def _store_silver(warehouse: Warehouse, t: TestTables) -> None:
@@ -439,7 +439,7 @@ def sliced_customer_360(t: TestTables) -> DataFrame:
 @_register
 def sliced_customer_history(t: TestTables) -> DataFrame:
     """Snapshots whose customers and open versions are matched slice by slice."""
-    warehouse = _scratch(t, task_bytes=1 << 12, shuffle_tasks_at_once=4)
+    warehouse = _scratch(t, task_bytes=1 << 14, shuffle_tasks_at_once=4)
     for run_ts, raw in customer_snapshots(t):
         warehouse.lake.replace(silver.dim_customer(raw, run_ts), "silver.dim_customer")
         warehouse.snapshot(run_ts)
