@@ -42,21 +42,22 @@ def letters(text: str | None) -> str:
 def learn_dictionaries(docs: DataFrame, chars: int = PASSAGE_CHARS, size: int = DICTIONARY_BYTES) -> dict[str, bytes]:
     """A dictionary for each ``lang``, the most frequent first: the same ones in every run.
 
-    A row is chosen if a hash of its id and text is under a threshold that follows from its language's rows, so
-    all rows are as likely and none is held against another. It gives ``chars`` characters from a place that
+    A row is chosen if a hash of its id and text is under a threshold that follows from the number of different
+    rows of its language, so all are as likely and none is held against another. It gives ``chars`` characters from a place that
     another hash names, anywhere in its text. Passages of equal hash (repeated rows) count once. Of the passages,
     at most ``2 * SPARE`` times what the dictionaries hold are read to the driver, those of least hash; with more
     languages than ``TRAINED_BYTES`` has room for, each dictionary is smaller. Rows without language, id or text
     teach nothing.
     """
     known = docs.filter(F.col("lang").isNotNull() & F.col("doc_id").isNotNull() & (F.length("text") > 0))
-    counts = {r["lang"]: r["n"] for r in known.groupBy("lang").agg(F.count("*").alias("n")).collect()}
-    if not counts:
+    number = F.xxhash64("doc_id", "text")
+    found = known.groupBy("lang").agg(F.count("*").alias("n"), F.approx_count_distinct(number).alias("different")).collect()
+    if not found:
         return {}
+    counts = {r["lang"]: r["n"] for r in found}
     size = max(256, min(size, TRAINED_BYTES // len(counts)))
     rows = SPARE * max(1, size // chars)
-    wanted = [F.when(F.col("lang") == lang, F.lit(min(1.0, rows / n))) for lang, n in counts.items()]
-    number = F.xxhash64("doc_id", "text")
+    wanted = [F.when(F.col("lang") == r["lang"], F.lit(min(1.0, rows / r["different"]))) for r in found]
     share = F.pmod(number, F.lit(1 << 40)) / F.lit(float(1 << 40))
     place = F.pmod(F.xxhash64("text", "doc_id"), F.greatest(F.length("text") - chars, F.lit(0)) + 1) + 1
     passage = F.substring("text", place.cast("int"), F.lit(chars))
