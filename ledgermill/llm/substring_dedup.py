@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgermill.llm.jobs import SHARD_BYTES, shard_count
+from ledgermill.llm.jobs import SHARD_BYTES, release, shard_count
 from ledgermill.llm.text import U64, chunks, inside, span_hashes
 
 WINDOW = 20
@@ -272,10 +272,17 @@ def substring_dedup(
         return own
 
     def begin(key, part):
-        return Shard(part, window, n).sent(key[0].as_py(), lengths[0])
+        sent = Shard(part, window, n).sent(key[0].as_py(), lengths[0])
+        release()
+        return sent
 
     def at(length: int):
-        return lambda key, part, told: narrowed(part, told, length).sent(key[0].as_py(), length)
+        def send(key, part, told):
+            sent = narrowed(part, told, length).sent(key[0].as_py(), length)
+            release()
+            return sent
+
+        return send
 
     lengths, answers = levels(window), None
     for length in lengths:
@@ -288,7 +295,9 @@ def substring_dedup(
 
     def finish(part: pa.Table, told: pa.Table) -> pa.Table:
         own = narrowed(part, told, window)
-        return results(part, own.removed(told_by_level(told).get(window, {})), own.first, carry is not None)
+        done = results(part, own.removed(told_by_level(told).get(window, {})), own.first, carry is not None)
+        release()
+        return done
 
     schema = "doc_id long, n_words long, n_removed long, kept_sha256 string"
     if carry is not None:

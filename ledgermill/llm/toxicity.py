@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
-from ledgermill.llm.jobs import by_batch, checkpointed, remainder
+from ledgermill.llm.jobs import by_batch, checkpointed, release, remainder
 
 MIN_DOCS = 3
 """A term occurs in so many toxic documents at least."""
@@ -34,6 +34,9 @@ STEM, STEM_SIZES = "*", (4, 6, 8)
 SAMPLE_ROWS = 50_000
 """Bound of the labelled rows the model is fitted on, those of least hash."""
 
+TOXIC_ROW = 5.0
+"""A toxic document that is kept counts as so many others that are rejected."""
+
 BROADCAST_LABELS = 2_000_000
 """Up to so many labels (16 bytes each) are broadcast; beyond, both sides are shuffled."""
 
@@ -281,8 +284,11 @@ def learn_terms(labelled: DataFrame) -> dict[str, float]:
     return {r["word"]: round(r["odds"], 6) for r in found.select("word", "odds").collect()}
 
 
-def fit(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Weights (the first is the constant), centers and scales of a logistic model, by Newton steps."""
+def fit(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2, toxic: float = 1.0) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Weights (the first is the constant), centers and scales of a logistic model, by Newton steps.
+
+    A row of label 1 counts as ``toxic`` rows.
+    """
     center, scale = (x.mean(0), x.std(0)) if len(x) else (np.zeros(x.shape[1]), np.ones(x.shape[1]))
     scale = np.where(scale > 1e-9, scale, 1.0)
     z = np.hstack([np.ones((len(x), 1)), (x - center) / scale])
@@ -290,7 +296,8 @@ def fit(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2) -> tuple[np.ndarray,
     penalty = np.diag([1e-6] + [ridge] * x.shape[1]) * max(1, len(x))
     for _ in range(30):
         p = 1 / (1 + np.exp(-np.clip(z @ w, -30, 30)))
-        step = np.linalg.solve((z * (p * (1 - p))[:, None]).T @ z + penalty, z.T @ (y - p) - penalty @ w)
+        each = np.where(y > 0, toxic, 1.0)
+        step = np.linalg.solve((z * (each * p * (1 - p))[:, None]).T @ z + penalty, z.T @ (each * (y - p)) - penalty @ w)
         w += np.clip(step, -4, 4)
         if np.abs(step).max() < 1e-8:
             break
@@ -304,6 +311,8 @@ def text_features(docs: DataFrame, terms: tuple[tuple[str, float], ...], keys: l
             found = list(zip(*(features(t, trie, known) for t in batch["text"].to_pylist()))) or [[]] * len(FEATURES)
             columns = [*(batch[k] for k in keys), *(pa.array(f, pa.float64()) for f in found)]
             yield pa.RecordBatch.from_arrays(columns, [*keys, *FEATURES])
+        del trie, known
+        release()
 
     rows = docs.select(*keys, F.make_valid_utf8("text").alias("text"))
     return rows.mapInArrow(run, ", ".join([f"`{k}` long" for k in keys] + [f"{f} double" for f in FEATURES]))
@@ -339,7 +348,7 @@ def toxicity(docs: DataFrame, labels: DataFrame, key: str | None = None) -> Data
         share = (y.sum() + 0.5) / (len(y) + 2)
         w, center, scale = np.array([math.log(share / (1 - share))] + [0.0] * len(FEATURES)), np.zeros(len(FEATURES)), np.ones(len(FEATURES))
     else:
-        w, center, scale = fit(x, y)
+        w, center, scale = fit(x, y, toxic=TOXIC_ROW)
     model = ToxicModel(terms, *(tuple(map(float, v)) for v in (w, center, scale)))
     score = scored.select(*keys, (remainder("doc_id", 5) == 0).alias("held_out"), score_column(model).alias("score"))
     return score.withColumn("predicted", F.when(F.col("score") >= 0.5, 1).otherwise(0).cast("int"))
