@@ -30,12 +30,22 @@ def fits_broadcast(reference: DataFrame) -> bool:
     return reference_bytes(reference) <= BROADCAST_BYTES
 
 
+def occurring(reference: DataFrame, facts: DataFrame, code: str) -> DataFrame:
+    """The rows of ``reference`` whose code some fact has, found without a shuffle of it.
+
+    The distinct codes of the facts are broadcast; of more than may be, nothing is gained and all rows stay.
+    """
+    codes = facts.select(code).filter(F.col(code).isNotNull()).distinct()
+    return reference.join(F.broadcast(codes), code, "left_semi") if fits_broadcast(codes) else reference
+
+
 def join_reference(facts: DataFrame, reference: DataFrame, code: str, spread: Sequence[str], broadcast: bool) -> DataFrame:
     """``facts`` left-joined to ``reference`` on ``code``, which both have; ``spread`` tells facts apart.
 
-    A reference that was found to fit is broadcast. Else both are shuffled, facts of codes that hold a large part of
-    all facts, or of none, dealt over many tasks; the facts then lose the order they were stored in.
+    A reference that was found to fit is broadcast. Else both are shuffled, of the reference only the rows that facts
+    have a code for; facts of codes that hold a large part of all facts, or of none, are dealt over many tasks. The
+    facts then lose the order they were stored in.
     """
     if broadcast:
         return facts.join(F.broadcast(reference), code, "left")
-    return spread_join(facts, reference, code, spread, "left")
+    return spread_join(facts, occurring(reference, facts, code), code, spread, "left")

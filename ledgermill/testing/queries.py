@@ -493,11 +493,18 @@ def _large_reference(t: TestTables) -> DataFrame:
     return risk_mcc_codes(t.spark).unionByName(fillers)
 
 
+CODES_IN_FILE = 200_000
+"""A compressed file is read by one task."""
+
+
 def _enriched_by_large_reference(t: TestTables, facts: DataFrame) -> DataFrame:
+    """The extract is compressed, and freed once it is loaded."""
     folder = _scratch_folder(t.spark)
-    _large_reference(t).write.option("header", True).csv(f"{folder}/codes")
+    as_extract = {"header": True, "compression": "gzip", "maxRecordsPerFile": CODES_IN_FILE}
+    _large_reference(t).write.options(**as_extract).csv(f"{folder}/codes")
     warehouse = _scratch(t)
     warehouse.load_seed(f"{folder}/codes")
+    Lake(t.spark, folder).drop()
     warehouse.lake.replace(facts, "silver.fact_transaction", month_of="trx_date")
     (table,) = [g for g in GOLD if g.name == "gold.mcc_risk_enriched_transactions"]
     warehouse.build([table], AS_OF)

@@ -268,6 +268,20 @@ def test_reference_beyond_the_bound_is_not_broadcast(spark, monkeypatch):
         spark.conf.set(setting, before)
 
 
+def test_a_large_reference_is_cut_to_the_codes_of_the_facts(spark, monkeypatch):
+    seen, spread = [], lookup.spread_join
+    monkeypatch.setattr(lookup, "spread_join", lambda facts, reference, *how: seen.append(rows(reference)) or spread(facts, reference, *how))
+    given = [{"trx_id": i, "posting_date": DAY, "merchant_category_code": code} for i, (code, *_) in enumerate(MCC, 1)]
+    fact = silver.fact_transaction(raw(spark, "transactions", *given), RUN)
+    out = gold.mcc_risk_enriched(fact, risk_mcc_codes(spark), RUN, broadcast=False).orderBy("trx_id")
+    columns = ("merchant_category_code", "mcc_category", "mcc_risk_weight", "risk_weighted_amount")
+    assert [tuple(r) for r in out.select(*columns).collect()] == MCC
+    assert seen == [[("5411", "Grocery", 15)]]
+    monkeypatch.setattr(lookup, "BROADCAST_BYTES", 3)  # as many codes as may not be broadcast
+    assert rows(gold.mcc_risk_enriched(fact, risk_mcc_codes(spark), RUN, broadcast=False)) == rows(out)
+    assert len(seen[1]) == risk_mcc_codes(spark).count()
+
+
 def test_a_hot_code_is_split(spark, tmp_path, monkeypatch):
     """A third of the transactions has one code and a third none: no task of the join has much more than its share."""
     monkeypatch.setattr(lookup, "BROADCAST_BYTES", 3)
