@@ -18,7 +18,7 @@ from ledgermill.session import SHUFFLE_TASKS, TASK_BYTES, own_session, tasks_for
 from ledgermill.sources.files import read_csv
 from ledgermill.sources.lake import Lake
 from ledgermill.sources.mappings import MAPPINGS, Mapping
-from ledgermill.sources.slices import Cutter, cut_settings
+from ledgermill.sources.slices import MOST_SLICES, Cutter, cut_settings
 from ledgermill.sources.seeds import risk_mcc_codes
 
 SHUFFLE_TASKS_AT_ONCE = 50_000
@@ -41,6 +41,7 @@ class Warehouse:
     ``shuffle_tasks_at_once`` of them, which is more than a shuffle service handles well, runs as several
     slices of its key's hash, one after the other, each with tasks of the same size. So do tests of a key
     and snapshots. The inputs are copied once, cut by slice; each slice then reads its own part only.
+    There are at most ``MOST_SLICES``: of an input that would need more, the tasks grow with it instead.
     """
 
     def __init__(
@@ -99,12 +100,14 @@ class Warehouse:
         """This warehouse in a session of its own, whose shuffles fit the largest stored input, and the slices to build in.
 
         Adaptive execution merges small shuffle partitions but never raises their number, and too few
-        would spill at any size of cluster. Other queries and builds keep their settings.
+        would spill at any size of cluster. Other queries and builds keep their settings. A slice costs some
+        jobs whatever it holds, and each task that cuts writes a file for it: were there more with every larger
+        input, the jobs would grow with it and the files with its square.
         """
         size = max((self.lake.size_in_bytes(t) for t in tables), default=0)
         tasks = tasks_for(self.spark, size, self.task_bytes)
-        slices = -(-tasks // self.shuffle_tasks_at_once)
-        session = own_session(self.spark, -(-tasks // slices), **(cut_settings(slices) if slices > 1 else {}))
+        slices = min(-(-tasks // self.shuffle_tasks_at_once), MOST_SLICES)
+        session = own_session(self.spark, min(-(-tasks // slices), self.shuffle_tasks_at_once), **(cut_settings(slices) if slices > 1 else {}))
         lake = type(self.lake)(session, self.lake.root)
         return Warehouse(lake, self.registry, self.task_bytes, self.shuffle_tasks_at_once), slices
 

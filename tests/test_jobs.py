@@ -15,7 +15,8 @@ from ledgermill.plans.tables import GOLD, HISTORY, SEED, SILVER, VIEW, select_ta
 from ledgermill.session import SHUFFLE_TASKS
 from ledgermill.sources import Lake
 from ledgermill.sources.lake import shared_dir
-from ledgermill.sources.slices import Cutter
+from ledgermill.sources.slices import MOST_SLICES, Cutter
+from ledgermill.testing import queries
 from ledgermill.testing.bindings import BoundSource, TestTables
 from test_bronze import write_extracts
 
@@ -298,6 +299,31 @@ def test_tests_and_snapshots_run_in_slices(built, spark, tmp_path, monkeypatch):
         cut.test([SILVER[0]])
 
 
+def test_slices_do_not_grow_with_the_input(spark, tmp_path):
+    """Past their bound tasks grow, never the shuffle; every row is still in one slice."""
+    cut = open_warehouse(spark, str(tmp_path), task_bytes=1 << 4, shuffle_tasks_at_once=2)
+    given = [{"customer_id": i, "source_system": "two" if i % 10 else "one"} for i in range(1, 301)]
+    cut.lake.replace(silver.dim_customer(raw(spark, "crm_customers", *given), RUN), "silver.dim_customer")
+    sized, n = cut.sized_for(["silver.dim_customer"])
+    assert n == MOST_SLICES and sized.spark.conf.get(SHUFFLE_TASKS) == "2"
+    cut.test([SILVER[0]])
+    cut.snapshot(RUN)
+    assert sorted(r.customer_id for r in cut.read(HISTORY).select("customer_id").collect()) == list(range(1, 301))
+
+
+def test_extract_of_a_large_reference_is_compressed_and_freed(spark, tmp_path, monkeypatch):
+    spark.range(50).selectExpr("id AS l_orderkey", "1 AS l_linenumber").write.parquet(str(tmp_path / "lineitem.parquet"))
+    folders = (str(tmp_path / f"scratch-{i}") for i in range(9))
+    monkeypatch.setattr(queries, "_scratch_folder", lambda spark: next(folders))
+    load, seen = queries.Warehouse.load_seed, []
+    monkeypatch.setattr(queries.Warehouse, "load_seed", lambda self, path: seen.extend(f.name for f in Path(path).glob("part-*")) or load(self, path))
+    given = [{"trx_id": i, "posting_date": date(2024, 1, 1 + i % 28), "merchant_category_code": "5411"} for i in range(1, 40)]
+    out = queries._enriched_by_large_reference(TestTables(spark, str(tmp_path)), silver.fact_transaction(raw(spark, "transactions", *given), RUN))
+    assert rows(out.select("mcc_category").distinct()) == [("Grocery",)] and out.count() == 39
+    assert seen and all(name.endswith(".csv.gz") for name in seen)
+    assert not list(tmp_path.glob("scratch-*/codes"))
+
+
 def test_row_rules_take_one_scan_per_table(built, monkeypatch):
     warehouse, _, _ = built
     scans, rules = [], quality.broken_rules
