@@ -25,6 +25,8 @@ BASE = "_BASE"
 COMPACT_AFTER = 10
 """Closed rows of so many runs are written together by the next one."""
 STAGED_FILE_ROWS = 5_000_000
+CODEC = "zstd"
+"""Of everything written, copies in slices too: a third less than by Spark's default."""
 
 
 def _fs(spark: SparkSession, path: str):
@@ -146,7 +148,7 @@ class Lake:
     def _write(self, df: DataFrame, folder: str, partition: str | None = None, last: bool = True) -> None:
         """Only the ``last`` write into a folder makes it count."""
         mark = "true" if last else "false"
-        writer = df.write.mode("append").option("mapreduce.fileoutputcommitter.marksuccessfuljobs", mark)
+        writer = df.write.mode("append").option("compression", CODEC).option("mapreduce.fileoutputcommitter.marksuccessfuljobs", mark)
         (writer.partitionBy(partition) if partition else writer).parquet(folder)
 
     def staging_folder(self, name: str) -> str:
@@ -155,7 +157,7 @@ class Lake:
     def stage(self, df: DataFrame, table: str) -> str:
         """A copy of rows as they come, beside the table: for sources that few tasks may read at a time."""
         folder = self.staging_folder(table)
-        df.write.option("maxRecordsPerFile", STAGED_FILE_ROWS).parquet(folder)
+        df.write.option("compression", CODEC).option("maxRecordsPerFile", STAGED_FILE_ROWS).parquet(folder)
         return folder
 
     def drop(self) -> None:

@@ -299,6 +299,17 @@ def test_tests_and_snapshots_run_in_slices(built, spark, tmp_path, monkeypatch):
         cut.test([SILVER[0]])
 
 
+def test_every_stored_file_is_compressed_by_the_lakes_codec(built, spark, tmp_path):
+    warehouse, _, _ = built
+    control = (bronze.STATE, bronze.AUDIT)
+    files = [f for f in Path(warehouse.lake.root).rglob("*.parquet") if not any(str(f).startswith(warehouse.lake.path(c)) for c in control)]
+    assert len(files) > 15 and all(f.name.endswith(".zstd.parquet") for f in files)
+    with Cutter(Lake(spark, str(tmp_path)), 2) as cutter:
+        cutter.by(spark.range(20), "ids", "id")
+        cut = list(tmp_path.rglob("*.parquet"))
+        assert cut and all(f.name.endswith(".zstd.parquet") for f in cut)
+
+
 def test_slices_do_not_grow_with_the_input(spark, tmp_path):
     """Past their bound tasks grow, never the shuffle; every row is still in one slice."""
     cut = open_warehouse(spark, str(tmp_path), task_bytes=1 << 4, shuffle_tasks_at_once=2)
