@@ -34,6 +34,26 @@ def byte_letters() -> dict[int, str]:
 BYTES = byte_letters()
 
 
+CONTROLS = ("<|", "\x1c", "\x1d", "\x1e", "\x1f")
+"""What of ``UNSAFE`` an ASCII text can hold."""
+
+MIXED = ("\0", "\t", "\x0b", "\x0c", "\r", "  ", " \n", "\n ", "\n\n")
+"""A text without these has one space or line end between its words, if any."""
+
+
+def is_unsafe(text: str) -> bool:
+    if text.isascii():
+        return any(map(text.__contains__, CONTROLS))
+    return UNSAFE.search(text) is not None
+
+
+def pieces_of(text: str) -> list[str]:
+    """The matches of ``PIECE``; of a text that begins with white space, an empty one before them."""
+    if any(map(text.__contains__, MIXED)):
+        return PIECE.findall(text)
+    return text.replace(" ", "\0 ").replace("\n", "\0\n").split("\0")
+
+
 class Known(dict):
     """Ids of strings as bytes, encoded when first asked for; emptied when full, so memory is bounded."""
 
@@ -95,9 +115,9 @@ class Encoder:
     def __call__(self, text: str | None) -> np.ndarray:
         if not text:
             return np.zeros(0, np.uint32)
-        if UNSAFE.search(text):
+        if is_unsafe(text):
             return np.frombuffer(self.whole(text), np.uint32)
-        return np.frombuffer(b"".join(map(self.pieces.__getitem__, PIECE.findall(text))), np.uint32)
+        return np.frombuffer(b"".join(map(self.pieces.__getitem__, pieces_of(text))), np.uint32)
 
 
 @cache

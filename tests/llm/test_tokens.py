@@ -10,7 +10,7 @@ from tokenizers import Tokenizer
 
 from ledgermill.llm.packing import best_fit_packing, plan
 from ledgermill.llm.token_files import Block, encode_block, read_token_files, write_token_files
-from ledgermill.llm.tokens import bits_for, encoder, pack, unpack
+from ledgermill.llm.tokens import PIECE, UNSAFE, bits_for, encoder, is_unsafe, pack, pieces_of, unpack
 
 FILES = ("word_bpe_49k.json", "byte_bpe_50k.json")
 WHOLE = {}
@@ -93,6 +93,18 @@ def test_files_hold_every_document_in_order(spark, tmp_path, block_ids, shard_by
     assert got == expected
 
 
+@settings(max_examples=500, deadline=None)
+@given(st.text(st.sampled_from("ab,é \n\t\x0b\r\0\x1c\x1f\x85\u3000<|"), max_size=12) | st.lists(st.sampled_from(["a", "é,", "b\n", " "]), max_size=9).map(" ".join))
+def test_splitting_equals_the_expressions(text):
+    assert [p for p in pieces_of(text) if p] == PIECE.findall(text)
+    assert is_unsafe(text) == bool(UNSAFE.search(text))
+
+
+def test_plain_texts_are_split_without_the_expression(monkeypatch):
+    monkeypatch.setattr("ledgermill.llm.tokens.PIECE", None)
+    assert pieces_of("A few words,\nof two lines ") == ["A", " few", " words,", "\nof", " two", " lines", " "]
+
+
 def test_special_tokens_have_their_ids():
     assert encoder(public_tokenizers.path(FILES[0]))("a <|endoftext|> b").tolist() == [320, 49407, 321]
     assert encoder(public_tokenizers.path(FILES[1]))("a <|endoftext|> b").tolist() == [64, 220, 50256, 275]
