@@ -89,7 +89,7 @@ def write_token_files(
     schema = pa.schema([("shard", pa.int32()), ("block", pa.int32()), ("first_id", pa.int64()), ("n_ids", pa.int64()), ("data", pa.binary())])
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode_text = encoder(tokenizer)
+        encode_texts = encoder(tokenizer).each
         block, written, doc_ids, ids, held, shard = 0, 0, [], [], 0, 0
 
         def row() -> pa.RecordBatch:
@@ -98,8 +98,9 @@ def write_token_files(
             )
 
         for batch in batches:
-            for doc_id, text, shard in zip(*(batch[c].to_pylist() for c in ("doc_id", "text", "shard"))):
-                own = np.concatenate([encode_text(text), end])
+            doc_ids_in, texts, shards = (batch[c].to_pylist() for c in ("doc_id", "text", "shard"))
+            for doc_id, found, shard in zip(doc_ids_in, encode_texts(texts), shards):
+                own = np.concatenate([found, end])
                 if held and held + len(own) > block_ids:
                     yield row()
                     block, written, doc_ids, ids, held = block + 1, written + held, [], [], 0

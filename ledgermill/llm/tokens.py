@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import json
 import re
 from array import array
+from collections.abc import Iterable, Iterator
 from functools import cache
 
 import numpy as np
+import pyarrow as pa
 from tokenizers import Tokenizer
 
 CACHE_PIECES = 450_000
@@ -54,6 +57,65 @@ def pieces_of(text: str) -> list[str]:
     return text.replace(" ", "\0 ").replace("\n", "\0\n").split("\0")
 
 
+CHUNK_CHARS = 1 << 21
+"""Plain texts are encoded together, about so many characters at once."""
+
+OTHER = re.compile(r"[^\x00-\x1b\x20-\x84\x86-\x9f\xa1-\xff\u2010-\u2027\u2030-\u205e\u20ac\u2122]|<\|")
+"""What a plain text does not have. ASCII, Latin-1 and common signs are in no normal form anything else, and each has
+one small letter; white space is ASCII's alone."""
+
+FOLDING = {
+    "normalizer": {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]},
+    "pre_tokenizer": {
+        "type": "Sequence",
+        "pretokenizers": [
+            {"type": "Split", "pattern": {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"}, "behavior": "Removed", "invert": True},
+            {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+        ],
+    },
+}
+"""How a tokenizer makes words if ``words_of`` is to give the same: small letters, cut by this expression."""
+
+SPACE, LETTER, NUMBER, SIGN = range(4)
+
+KINDS = np.full(256, SIGN, np.uint8)
+"""Of each ASCII byte."""
+KINDS[list(b" \t\n\x0b\x0c\r")] = SPACE
+KINDS[ord("a") : ord("z") + 1] = LETTER
+KINDS[ord("0") : ord("9") + 1] = NUMBER
+
+LATIN = np.array([LETTER if chr(c).isalpha() else NUMBER if chr(c).isnumeric() else SIGN for c in range(128, 256)], np.uint8)
+
+
+def is_plain(text: str) -> bool:
+    if text.isascii():
+        return not any(map(text.__contains__, CONTROLS))
+    return OTHER.search(text) is None
+
+
+def words_of(data: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Where each run begins in UTF-8 of plain texts in small letters, and which runs are words, as ``FOLDING`` cuts them.
+
+    A run is of letters, of signs or of white space; a number is one by itself, and so is a contraction.
+    """
+    raw = np.frombuffer(data, np.uint8)
+    kind = KINDS[raw]
+    lead = np.flatnonzero(raw >= 0xC2)
+    two = lead[raw[lead] < 0xE0]  # U+0080 to U+00FF; signs have three bytes
+    kind[two] = kind[two + 1] = LATIN[(raw[two] - 0xC2) * np.uint8(64) + (raw[two + 1] - 0x80)]
+    begins = np.ones(len(raw), bool)
+    begins[1:] = (kind[1:] != kind[:-1]) | ((kind[1:] == NUMBER) & (raw[1:] & 0xC0 != 0x80))
+    short = np.flatnonzero((raw == ord("'")) & begins)
+    after, last = (np.concatenate([raw, np.zeros(2, np.uint8)])[short + k] for k in (1, 2))
+    one = np.isin(after, list(b"stmd"))
+    both = (((after == ord("r")) | (after == ord("v"))) & (last == ord("e"))) | ((after == ord("l")) & (last == ord("l")))
+    begins[short[one | both] + 1] = False
+    ends = np.concatenate([short[one] + 2, short[both] + 3])
+    begins[ends[ends < len(raw)]] = True
+    at = np.flatnonzero(begins)
+    return at, kind[at] != SPACE
+
+
 class Known(dict):
     """Ids of strings as bytes, encoded when first asked for; emptied when full, so memory is bounded."""
 
@@ -74,7 +136,8 @@ class Encoder:
     The ids equal those of one call over the whole text; texts for which that is not certain get one, and so
     do texts that may hold a special token, which has an id of its own as in that call. For
     words of plain letters the tokenizer's model is asked directly, without its normalizer and splitter;
-    that is done only if it gives the same ids on ``PROBES``.
+    that is done only if it gives the same ids on ``PROBES``. ``each`` encodes many texts; plain ones together, if
+    the tokenizer's definition is ``FOLDING``: the model is asked once for each of their different words.
     """
 
     def __init__(self, path: str):
@@ -88,6 +151,10 @@ class Encoder:
             if all(self.piece(p) == self.whole(p) for p in PROBES):
                 self.pieces = Known(self.piece)
                 break
+        made = json.loads(self.tokenizer.to_str())
+        self.folding = all(made[k] == v for k, v in FOLDING.items())
+        self.folded = Known(self.folded_word)
+        self.folding = self.folding and [x.tobytes() for x in self.together(PROBES)] == list(map(self.whole, PROBES))
 
     def whole(self, text: str) -> bytes:
         return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
@@ -119,6 +186,42 @@ class Encoder:
             return np.frombuffer(self.whole(text), np.uint32)
         return np.frombuffer(b"".join(map(self.pieces.__getitem__, pieces_of(text))), np.uint32)
 
+    def folded_word(self, word: bytes) -> bytes:
+        return array("I", [t.id for t in self.tokenize(word.decode("latin-1").translate(BYTES))]).tobytes()
+
+    def together(self, texts: Iterable[str]) -> list[np.ndarray]:
+        """Ids of each of some plain texts."""
+        parts = [t.lower().encode() for t in texts]
+        data = b"\n".join(parts)
+        at, use = words_of(data)
+        runs = [None, pa.py_buffer(np.append(at, len(data)).astype(np.int32)), pa.py_buffer(data)]
+        found = pa.Array.from_buffers(pa.binary(), len(at), runs).filter(pa.array(use)).dictionary_encode()
+        ids = [self.folded[w] for w in found.dictionary.to_pylist()]
+        number = found.indices.to_numpy()
+        size = np.array([len(x) // 4 for x in ids], np.int64)
+        first, own = (np.cumsum(size) - size)[number], size[number]
+        ends = np.concatenate([[0], np.cumsum(own)])
+        every = np.frombuffer(b"".join(ids), np.uint32)[np.repeat(first - ends[:-1], own) + np.arange(ends[-1])]
+        begin = np.cumsum([0] + [len(p) + 1 for p in parts])  # of each text; what is behind the last
+        cuts = ends[np.searchsorted(at[use], begin)]
+        return [every[a:b] for a, b in zip(cuts, cuts[1:])]
+
+    def each(self, texts: Iterable[str | None]) -> Iterator[np.ndarray]:
+        """Ids of the texts in turn."""
+        held, size = [], 0
+        for text in texts:
+            held.append(text or "")
+            size += len(held[-1])
+            if size >= CHUNK_CHARS:
+                yield from self.chunk(held)
+                held, size = [], 0
+        yield from self.chunk(held)
+
+    def chunk(self, texts: list[str]) -> Iterator[np.ndarray]:
+        plain = [self.folding and len(t) <= CHUNK_CHARS and is_plain(t) for t in texts]
+        made = iter(self.together([t for t, p in zip(texts, plain) if p]) if any(plain) else ())
+        return (next(made) if p else self(t) for t, p in zip(texts, plain))
+
 
 @cache
 def encoder(path: str) -> Encoder:

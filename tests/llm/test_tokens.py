@@ -10,7 +10,7 @@ from tokenizers import Tokenizer
 
 from ledgermill.llm.packing import best_fit_packing, plan
 from ledgermill.llm.token_files import Block, encode_block, read_token_files, write_token_files
-from ledgermill.llm.tokens import PIECE, UNSAFE, bits_for, encoder, is_unsafe, pack, pieces_of, unpack
+from ledgermill.llm.tokens import PIECE, UNSAFE, Encoder, bits_for, encoder, is_unsafe, pack, pieces_of, unpack
 
 FILES = ("word_bpe_49k.json", "byte_bpe_50k.json")
 WHOLE = {}
@@ -49,6 +49,33 @@ def test_pieces_equal_one_call_over_the_text(name):
     assert encode.pieces.encode == encode.piece
 
 
+SIGNS = st.text(st.sampled_from("'''''stremvldSTREVMLxÀÖ×÷ßÿªµº²¼½¹57 \n\t\0\x1b\x7f\x80\x9f\x85\xa0–’“…€™<|!?.,"), max_size=30)
+
+
+@pytest.mark.parametrize("size", [1, 20, 1 << 20])
+@pytest.mark.parametrize("name", FILES)
+def test_texts_encoded_together_equal_one_call_each(name, size, monkeypatch):
+    monkeypatch.setattr("ledgermill.llm.tokens.CHUNK_CHARS", size)
+    encode = encoder(public_tokenizers.path(name))
+    assert encode.folding == (name == FILES[0])
+
+    @settings(max_examples=300, deadline=None)
+    @given(st.lists(SIGNS | st.sampled_from([None, *TEXTS]) | st.text(max_size=5), max_size=8))
+    def check(texts):
+        assert [x.tolist() for x in encode.each(texts)] == [whole(name, t) for t in texts]
+
+    check()
+
+
+def test_the_model_is_asked_once_for_each_word_of_plain_texts():
+    encode, asked = Encoder(public_tokenizers.path(FILES[0])), []
+    encode.folded.clear()
+    tokenize, encode.tokenize = encode.tokenize, lambda word: asked.append(word) or tokenize(word)
+    texts = ["The the, THE\nthe! It's", " thE;  the..."]
+    assert [x.tolist() for x in encode.each(texts)] == [whole(FILES[0], t) for t in texts]
+    assert sorted(asked) == sorted(["the", ",", "!", "it", "'s", ";", "..."])
+
+
 @settings(max_examples=200, deadline=None)
 @given(st.integers(1, 32), st.data())
 def test_packing_of_bits_round_trips(bits, data):
