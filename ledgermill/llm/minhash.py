@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgermill.llm.jobs import by_batch, checkpointed, unused
+from ledgermill.llm.jobs import by_batch, checkpointed, releasing, unused
 from ledgermill.llm.similar import (
     across,
     by_place,
@@ -165,7 +165,7 @@ def class_links(classes: DataFrame, texts: DataFrame) -> DataFrame:
     links = links_at(star_places(stars, TEXT_BLOCK), classes, texts, PERCENT)
     own = mixed_cells(cells, links)
     near = by_place(placed(own.join(signatures.drop("n_shingles"), "doc_id"), SIGNATURE_BLOCK))
-    near = near.mapInArrow(near_across, "center long, doc_id long").distinct()
+    near = near.mapInArrow(releasing(near_across), "center long, doc_id long").distinct()
     near = checkpointed(own.join(near, ["center", "doc_id"]))
     return links.union(links_at(placed(near, TEXT_BLOCK), classes, texts, PERCENT))
 

@@ -72,12 +72,12 @@ def pieces(docs: DataFrame, tokenizer: str, end_id: int, cap: int) -> DataFrame:
     kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int64()]
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, end = encoder(tokenizer), np.array([end_id], np.uint32)
+        encode_texts, end = encoder(tokenizer).each, np.array([end_id], np.uint32)
         part, seen = TaskContext.get().partitionId(), [0] * (cap + 1)
         for batch in batches:
             rows = []
-            for doc_id, text in zip(batch["doc_id"].to_pylist(), batch["text"].to_pylist()):
-                ids = np.concatenate([encode(text), end])
+            for doc_id, found in zip(batch["doc_id"].to_pylist(), encode_texts(batch["text"].to_pylist())):
+                ids = np.concatenate([found, end])
                 raw = memoryview(ids.astype("<u4").tobytes())
                 stops = range(len(ids) % cap or cap, len(ids) + 1, cap)
                 start = 0

@@ -272,6 +272,7 @@ def substring_dedup(
         return own
 
     def begin(key, part):
+        release()
         sent = Shard(part, window, n).sent(key[0].as_py(), lengths[0])
         release()
         return sent
@@ -284,13 +285,18 @@ def substring_dedup(
 
         return send
 
+    def judged(part: pa.Table) -> pa.Table:
+        made = answer(part, window, tied)
+        release()
+        return made
+
     lengths, answers = levels(window), None
     for length in lengths:
         if answers is None:
             sent = sharded.groupBy("shard").applyInArrow(begin, SENT)
         else:
             sent = sharded.groupBy("shard").cogroup(answers.groupBy("shard")).applyInArrow(at(length), SENT)
-        told = sent.repartition(n, "bucket").groupBy("bucket", "level").applyInArrow(lambda t: answer(t, window, tied), TOLD)
+        told = sent.repartition(n, "bucket").groupBy("bucket", "level").applyInArrow(judged, TOLD)
         answers = (told if answers is None else answers.unionByName(told)).repartition(n, "shard")
 
     def finish(part: pa.Table, told: pa.Table) -> pa.Table:

@@ -12,7 +12,9 @@ import numpy as np
 import pyarrow as pa
 from tokenizers import Tokenizer
 
-CACHE_PIECES = 450_000
+from ledgermill.llm.jobs import HOLDERS
+
+CACHE_PIECES = 300_000
 
 PIECE = re.compile(r"[ \t\n\x0b\x0c\r]*[^ \t\n\x0b\x0c\r]+|[ \t\n\x0b\x0c\r]+")
 """A run of ASCII white space with what follows it. No token of a byte-level or word BPE spans two."""
@@ -57,7 +59,7 @@ def pieces_of(text: str) -> list[str]:
     return text.replace(" ", "\0 ").replace("\n", "\0\n").split("\0")
 
 
-CHUNK_CHARS = 1 << 21
+CHUNK_CHARS = 1 << 20
 """Plain texts are encoded together, about so many characters at once."""
 
 OTHER = re.compile(r"[^\x00-\x1b\x20-\x84\x86-\x9f\xa1-\xff\u2010-\u2027\u2030-\u205e\u20ac\u2122]|<\|")
@@ -74,15 +76,20 @@ FOLDING = {
         ],
     },
 }
-"""How a tokenizer makes words if ``words_of`` is to give the same: small letters, cut by this expression."""
+BYTE_LEVEL = {"normalizer": None, "pre_tokenizer": {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": True}}
+"""How a tokenizer makes words if ``words_of`` is to give the same: small letters cut by this expression, or the text as it
+is cut by the library's own, in which a space belongs to the word behind it."""
 
-SPACE, LETTER, NUMBER, SIGN = range(4)
+SPACE, LETTER, NUMBER, SIGN, END = range(5)
 
 KINDS = np.full(256, SIGN, np.uint8)
 """Of each ASCII byte."""
 KINDS[list(b" \t\n\x0b\x0c\r")] = SPACE
-KINDS[ord("a") : ord("z") + 1] = LETTER
+KINDS[ord("A") : ord("Z") + 1] = KINDS[ord("a") : ord("z") + 1] = LETTER
 KINDS[ord("0") : ord("9") + 1] = NUMBER
+BETWEEN = b"\xff"
+"""What no UTF-8 has, between texts."""
+KINDS[BETWEEN[0]] = END
 
 LATIN = np.array([LETTER if chr(c).isalpha() else NUMBER if chr(c).isnumeric() else SIGN for c in range(128, 256)], np.uint8)
 
@@ -93,18 +100,25 @@ def is_plain(text: str) -> bool:
     return OTHER.search(text) is None
 
 
-def words_of(data: bytes) -> tuple[np.ndarray, np.ndarray]:
-    """Where each run begins in UTF-8 of plain texts in small letters, and which runs are words, as ``FOLDING`` cuts them.
+def words_of(data: bytes, folding: bool) -> tuple[np.ndarray, np.ndarray]:
+    """Where each run begins in UTF-8 of plain texts, and which runs are words, as ``FOLDING`` or ``BYTE_LEVEL`` cuts them.
 
-    A run is of letters, of signs or of white space; a number is one by itself, and so is a contraction.
+    A run is of letters, of numbers, of signs or of white space; a contraction is one by itself. If ``folding``, each
+    number is one too, and white space is no word. Else the last of the white space in front of a run is apart from
+    the rest, and of one run with what follows if it is a space.
     """
     raw = np.frombuffer(data, np.uint8)
     kind = KINDS[raw]
-    lead = np.flatnonzero(raw >= 0xC2)
-    two = lead[raw[lead] < 0xE0]  # U+0080 to U+00FF; signs have three bytes
+    two = np.flatnonzero((raw >= 0xC2) & (raw < 0xE0))  # U+0080 to U+00FF; signs have three bytes
     kind[two] = kind[two + 1] = LATIN[(raw[two] - 0xC2) * np.uint8(64) + (raw[two + 1] - 0x80)]
     begins = np.ones(len(raw), bool)
-    begins[1:] = (kind[1:] != kind[:-1]) | ((kind[1:] == NUMBER) & (raw[1:] & 0xC0 != 0x80))
+    begins[1:] = kind[1:] != kind[:-1]
+    if folding:
+        begins[1:] |= (kind[1:] == NUMBER) & (raw[1:] & 0xC0 != 0x80)
+    else:
+        front = np.flatnonzero((kind[:-1] == SPACE) & (kind[1:] != SPACE) & (kind[1:] != END))
+        begins[front] = True
+        begins[front[raw[front] == ord(" ")] + 1] = False
     short = np.flatnonzero((raw == ord("'")) & begins)
     after, last = (np.concatenate([raw, np.zeros(2, np.uint8)])[short + k] for k in (1, 2))
     one = np.isin(after, list(b"stmd"))
@@ -113,7 +127,7 @@ def words_of(data: bytes) -> tuple[np.ndarray, np.ndarray]:
     ends = np.concatenate([short[one] + 2, short[both] + 3])
     begins[ends[ends < len(raw)]] = True
     at = np.flatnonzero(begins)
-    return at, kind[at] != SPACE
+    return at, (kind[at] != END) & ((kind[at] != SPACE) | (not folding))
 
 
 class Known(dict):
@@ -137,7 +151,7 @@ class Encoder:
     do texts that may hold a special token, which has an id of its own as in that call. For
     words of plain letters the tokenizer's model is asked directly, without its normalizer and splitter;
     that is done only if it gives the same ids on ``PROBES``. ``each`` encodes many texts; plain ones together, if
-    the tokenizer's definition is ``FOLDING``: the model is asked once for each of their different words.
+    the tokenizer is a ``FOLDING`` or ``BYTE_LEVEL`` one: the model is asked once for each of their different words.
     """
 
     def __init__(self, path: str):
@@ -152,9 +166,9 @@ class Encoder:
                 self.pieces = Known(self.piece)
                 break
         made = json.loads(self.tokenizer.to_str())
-        self.folding = all(made[k] == v for k, v in FOLDING.items())
-        self.folded = Known(self.folded_word)
-        self.folding = self.folding and [x.tobytes() for x in self.together(PROBES)] == list(map(self.whole, PROBES))
+        self.folding, level = (all(made[k] == v for k, v in kind.items()) for kind in (FOLDING, BYTE_LEVEL))
+        self.joint = Known(self.joint_word)
+        self.joins = (self.folding or level) and [x.tobytes() for x in self.together(PROBES)] == list(map(self.whole, PROBES))
 
     def whole(self, text: str) -> bytes:
         return array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
@@ -186,17 +200,17 @@ class Encoder:
             return np.frombuffer(self.whole(text), np.uint32)
         return np.frombuffer(b"".join(map(self.pieces.__getitem__, pieces_of(text))), np.uint32)
 
-    def folded_word(self, word: bytes) -> bytes:
+    def joint_word(self, word: bytes) -> bytes:
         return array("I", [t.id for t in self.tokenize(word.decode("latin-1").translate(BYTES))]).tobytes()
 
     def together(self, texts: Iterable[str]) -> list[np.ndarray]:
         """Ids of each of some plain texts."""
-        parts = [t.lower().encode() for t in texts]
-        data = b"\n".join(parts)
-        at, use = words_of(data)
+        parts = [(t.lower() if self.folding else t).encode() for t in texts]
+        data = BETWEEN.join(parts)
+        at, use = words_of(data, self.folding)
         runs = [None, pa.py_buffer(np.append(at, len(data)).astype(np.int32)), pa.py_buffer(data)]
         found = pa.Array.from_buffers(pa.binary(), len(at), runs).filter(pa.array(use)).dictionary_encode()
-        ids = [self.folded[w] for w in found.dictionary.to_pylist()]
+        ids = [self.joint[w] for w in found.dictionary.to_pylist()]
         number = found.indices.to_numpy()
         size = np.array([len(x) // 4 for x in ids], np.int64)
         first, own = (np.cumsum(size) - size)[number], size[number]
@@ -218,14 +232,30 @@ class Encoder:
         yield from self.chunk(held)
 
     def chunk(self, texts: list[str]) -> Iterator[np.ndarray]:
-        plain = [self.folding and len(t) <= CHUNK_CHARS and is_plain(t) for t in texts]
+        plain = [self.joins and len(t) <= CHUNK_CHARS and is_plain(t) for t in texts]
         made = iter(self.together([t for t, p in zip(texts, plain) if p]) if any(plain) else ())
         return (next(made) if p else self(t) for t, p in zip(texts, plain))
 
 
-@cache
+ENCODERS: dict[str, Encoder] = {}
+"""Those of this process, by the tokenizer's path."""
+
+
 def encoder(path: str) -> Encoder:
-    return Encoder(path)
+    if path not in ENCODERS:
+        ENCODERS[path] = Encoder(path)
+    return ENCODERS[path]
+
+
+def forget_encoders() -> None:
+    """Give back the memory of this process's encoders; one that is still in use asks its tokenizer again."""
+    for used in ENCODERS.values():
+        for known in (used.words, used.pieces, used.joint):
+            known.clear()
+    ENCODERS.clear()
+
+
+HOLDERS.append(forget_encoders)
 
 
 @cache

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
-from ledgermill.llm.jobs import by_batch, checkpointed, release, remainder
+from ledgermill.llm.jobs import by_batch, checkpointed, releasing, remainder
 
 MIN_DOCS = 3
 """A term occurs in so many toxic documents at least."""
@@ -311,11 +311,9 @@ def text_features(docs: DataFrame, terms: tuple[tuple[str, float], ...], keys: l
             found = list(zip(*(features(t, trie, known) for t in batch["text"].to_pylist()))) or [[]] * len(FEATURES)
             columns = [*(batch[k] for k in keys), *(pa.array(f, pa.float64()) for f in found)]
             yield pa.RecordBatch.from_arrays(columns, [*keys, *FEATURES])
-        del trie, known
-        release()
 
     rows = docs.select(*keys, F.make_valid_utf8("text").alias("text"))
-    return rows.mapInArrow(run, ", ".join([f"`{k}` long" for k in keys] + [f"{f} double" for f in FEATURES]))
+    return rows.mapInArrow(releasing(run), ", ".join([f"`{k}` long" for k in keys] + [f"{f} double" for f in FEATURES]))
 
 
 def score_column(model: ToxicModel) -> Column:

@@ -8,9 +8,11 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
+from ledgermill.llm.jobs import releasing
 from ledgermill.llm.packing import best_fit_packing, plan
+from ledgermill.llm.text import CHUNK_BYTES, POWERS
 from ledgermill.llm.token_files import Block, encode_block, read_token_files, write_token_files
-from ledgermill.llm.tokens import PIECE, UNSAFE, Encoder, bits_for, encoder, is_unsafe, pack, pieces_of, unpack
+from ledgermill.llm.tokens import ENCODERS, PIECE, UNSAFE, Encoder, bits_for, encoder, is_unsafe, pack, pieces_of, unpack
 
 FILES = ("word_bpe_49k.json", "byte_bpe_50k.json")
 WHOLE = {}
@@ -57,7 +59,7 @@ SIGNS = st.text(st.sampled_from("'''''stremvldSTREVMLxÀÖ×÷ßÿªµº²¼½¹
 def test_texts_encoded_together_equal_one_call_each(name, size, monkeypatch):
     monkeypatch.setattr("ledgermill.llm.tokens.CHUNK_CHARS", size)
     encode = encoder(public_tokenizers.path(name))
-    assert encode.folding == (name == FILES[0])
+    assert encode.joins and encode.folding == (name == FILES[0])
 
     @settings(max_examples=300, deadline=None)
     @given(st.lists(SIGNS | st.sampled_from([None, *TEXTS]) | st.text(max_size=5), max_size=8))
@@ -67,9 +69,20 @@ def test_texts_encoded_together_equal_one_call_each(name, size, monkeypatch):
     check()
 
 
+def test_a_worker_forgets_encoders_and_long_tables():
+    encode = encoder(public_tokenizers.path(FILES[1]))
+    list(encode.each(["a few words", "İ"]))
+    assert encode.joint and ENCODERS
+    assert len(list(releasing(iter)([1, 2]))) == 2
+    assert not encode.joint and not encode.pieces and not ENCODERS
+    assert list(encode.each(["a"]))[0].tolist() == whole(FILES[1], "a")
+    up, down = POWERS.of(10 * CHUNK_BYTES)
+    assert (up * down == 1).all() and len(POWERS.up) <= 2 * CHUNK_BYTES
+
+
 def test_the_model_is_asked_once_for_each_word_of_plain_texts():
     encode, asked = Encoder(public_tokenizers.path(FILES[0])), []
-    encode.folded.clear()
+    encode.joint.clear()
     tokenize, encode.tokenize = encode.tokenize, lambda word: asked.append(word) or tokenize(word)
     texts = ["The the, THE\nthe! It's", " thE;  the..."]
     assert [x.tolist() for x in encode.each(texts)] == [whole(FILES[0], t) for t in texts]
