@@ -139,9 +139,11 @@ class Warehouse:
 
         def write(table: Table, slices_of_inputs: list[list[DataFrame]], by_month: bool) -> None:
             known = {"broadcast": by_month} if table.by_month else {}
+            if table.layer == "silver":
+                known["large"] = sum(self.lake.size_in_bytes(t) for t in table.reads) > self.task_bytes
             parts = [table.build(*inputs, run_ts, **known) for inputs in slices_of_inputs]
             in_ranges = large and not by_month
-            sized.lake.replace(parts, table.name, table.sort, table.month_of, by_month, in_ranges)
+            sized.lake.replace(parts, table.name, table.sort, table.month_of, by_month, in_ranges, table.told(run_ts))
             sized.lake.drop_old_versions(table.name)
 
         def one(table: Table) -> None:

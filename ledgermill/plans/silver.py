@@ -9,24 +9,25 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgermill.functions import blank_to_null, has_text, hash_pii, ntz, positive
-from ledgermill.operators import latest_per_key, scd2_check
+from ledgermill.operators import latest_of_repeated, latest_per_key, scd2_check
 
 CUSTOMER_CHECK_COLUMNS = ("full_name", "segment", "status", "city")
 
 
-def _cleaned(raw: DataFrame, keep: Column, key: str, columns: Mapping[str, Column | None], run_ts: datetime):
+def _cleaned(raw: DataFrame, keep: Column, key: str, columns: Mapping[str, Column | None], run_ts: datetime, large: bool):
     """Filter, project, keep the newest row of each key and source system, stamp the run time.
 
     ``columns`` lists the output in order; ``None`` passes a raw column through. The filter comes
-    before the dedup, so a rejected row never hides an accepted one.
+    before the dedup, so a rejected row never hides an accepted one. Of a ``large`` table only rows of
+    keys that occur again are shuffled for it, which takes jobs of its own.
     """
     body = [F.col(name) if value is None else value.alias(name) for name, value in columns.items()]
     rows = raw.filter(keep).select(*body, "source_system", F.col("load_dttm").alias("bronze_loaded_at"))
-    newest = latest_per_key(rows, (key, "source_system"), "bronze_loaded_at")
+    newest = (latest_of_repeated if large else latest_per_key)(rows, (key, "source_system"), "bronze_loaded_at")
     return newest.withColumn("updated_at", ntz(run_ts))
 
 
-def dim_customer(raw: DataFrame, run_ts: datetime) -> DataFrame:
+def dim_customer(raw: DataFrame, run_ts: datetime, large: bool = False) -> DataFrame:
     columns = {
         "customer_id": None,
         "full_name": F.trim("full_name"),
@@ -38,10 +39,10 @@ def dim_customer(raw: DataFrame, run_ts: datetime) -> DataFrame:
         "registration_date": None,
         "status": blank_to_null("status"),
     }
-    return _cleaned(raw, positive("customer_id"), "customer_id", columns, run_ts)
+    return _cleaned(raw, positive("customer_id"), "customer_id", columns, run_ts, large)
 
 
-def dim_account(raw: DataFrame, run_ts: datetime) -> DataFrame:
+def dim_account(raw: DataFrame, run_ts: datetime, large: bool = False) -> DataFrame:
     columns = {
         "account_id": None,
         "customer_id": None,
@@ -52,10 +53,10 @@ def dim_account(raw: DataFrame, run_ts: datetime) -> DataFrame:
         "closed_date": None,
         "status": blank_to_null("status"),
     }
-    return _cleaned(raw, has_text("account_id") & positive("customer_id"), "account_id", columns, run_ts)
+    return _cleaned(raw, has_text("account_id") & positive("customer_id"), "account_id", columns, run_ts, large)
 
 
-def dim_card(raw: DataFrame, run_ts: datetime) -> DataFrame:
+def dim_card(raw: DataFrame, run_ts: datetime, large: bool = False) -> DataFrame:
     columns = {
         "card_id": None,
         "account_id": None,
@@ -66,10 +67,10 @@ def dim_card(raw: DataFrame, run_ts: datetime) -> DataFrame:
         "card_status": blank_to_null("card_status"),
         "issue_date": None,
     }
-    return _cleaned(raw, positive("card_id") & has_text("account_id"), "card_id", columns, run_ts)
+    return _cleaned(raw, positive("card_id") & has_text("account_id"), "card_id", columns, run_ts, large)
 
 
-def fact_transaction(raw: DataFrame, run_ts: datetime) -> DataFrame:
+def fact_transaction(raw: DataFrame, run_ts: datetime, large: bool = False) -> DataFrame:
     """The time falls back to the posting date; a row with neither is dropped."""
     moment = F.coalesce("trx_datetime", F.col("posting_date").cast("timestamp_ntz"))
     columns = {
@@ -89,10 +90,10 @@ def fact_transaction(raw: DataFrame, run_ts: datetime) -> DataFrame:
         "posting_date": None,
     }
     keep = positive("trx_id") & positive("customer_id") & has_text("account_id") & moment.isNotNull()
-    return _cleaned(raw, keep, "trx_id", columns, run_ts)
+    return _cleaned(raw, keep, "trx_id", columns, run_ts, large)
 
 
-def fact_app_session(raw: DataFrame, run_ts: datetime) -> DataFrame:
+def fact_app_session(raw: DataFrame, run_ts: datetime, large: bool = False) -> DataFrame:
     """The session date falls back to the load time, so no row is lost."""
     columns = {
         "session_id": None,
@@ -106,10 +107,10 @@ def fact_app_session(raw: DataFrame, run_ts: datetime) -> DataFrame:
         "os_version": blank_to_null("os_version"),
         "is_new_device": None,
     }
-    return _cleaned(raw, has_text("session_id") & positive("customer_id"), "session_id", columns, run_ts)
+    return _cleaned(raw, has_text("session_id") & positive("customer_id"), "session_id", columns, run_ts, large)
 
 
-def fact_app_event(raw: DataFrame, run_ts: datetime) -> DataFrame:
+def fact_app_event(raw: DataFrame, run_ts: datetime, large: bool = False) -> DataFrame:
     columns = {
         "event_id": None,
         "session_id": None,
@@ -122,7 +123,7 @@ def fact_app_event(raw: DataFrame, run_ts: datetime) -> DataFrame:
         "error_message": blank_to_null("error_message"),
     }
     keep = positive("event_id") & has_text("session_id") & positive("customer_id")
-    return _cleaned(raw, keep, "event_id", columns, run_ts)
+    return _cleaned(raw, keep, "event_id", columns, run_ts, large)
 
 
 def customer_scd2(previous: DataFrame | None, customers: DataFrame, run_ts: datetime) -> DataFrame:

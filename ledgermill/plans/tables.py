@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ledgermill import schemas
+from ledgermill.functions import ntz
 from ledgermill.operators import quality
 from ledgermill.plans import gold, silver
 
@@ -20,7 +21,8 @@ class Table:
     name: str
     schema: T.StructType
     build: Callable[..., DataFrame]
-    """Called with the frames of ``reads`` in order, then the run time."""
+    """Called with the frames of ``reads`` in order, then the run time; in the silver layer also with ``large``,
+    whether it reads more than a task's share."""
     reads: tuple[str, ...]
     sort: tuple[str, ...]
     month_of: str | None = None
@@ -32,6 +34,8 @@ class Table:
     owned: tuple[tuple[str, str, str], ...] = ()
     """Inputs that belong to a slice through another input: (input, column they share, input that has ``slice_by``).
     Inputs that have neither are read whole by every slice."""
+    told: Callable[[datetime], dict[str, Column]] = lambda run_ts: {}
+    """Columns that the run time or other columns tell, by name: rows that are shuffled to be stored go without them."""
     key: str | None = None
     """Column that must be unique and not null."""
     rules: tuple[tuple[str, Callable[[], Column]], ...] = ()
@@ -85,6 +89,7 @@ SILVER: tuple[Table, ...] = (
         ("bronze.payments_transactions_raw",),
         ("trx_date", "customer_id", "trx_id"),
         month_of="trx_date",
+        told=lambda run_ts: {"trx_date": F.col("trx_datetime").cast("date"), "updated_at": ntz(run_ts)},
         key="trx_id",
         slice_by="trx_id",
         rules=(("without negative amounts", quality.negative_amount),),
@@ -96,6 +101,7 @@ SILVER: tuple[Table, ...] = (
         ("bronze.mobile_app_sessions_raw",),
         ("session_date", "customer_id", "session_id"),
         month_of="session_date",
+        told=lambda run_ts: {"session_date": F.coalesce("login_time", "bronze_loaded_at").cast("date"), "updated_at": ntz(run_ts)},
         key="session_id",
         slice_by="session_id",
     ),
@@ -106,6 +112,7 @@ SILVER: tuple[Table, ...] = (
         ("bronze.mobile_app_events_raw",),
         ("event_date", "customer_id", "event_id"),
         month_of="event_date",
+        told=lambda run_ts: {"event_date": F.coalesce("event_time", "bronze_loaded_at").cast("date"), "updated_at": ntz(run_ts)},
         key="event_id",
         slice_by="event_id",
     ),
@@ -136,6 +143,7 @@ GOLD: tuple[Table, ...] = (
         ("silver.fact_transaction",),
         ("customer_id", "trx_date"),
         month_of="trx_date",
+        told=lambda run_ts: {"refreshed_at": ntz(run_ts)},
         slice_by="customer_id",
     ),
     Table(
@@ -145,6 +153,7 @@ GOLD: tuple[Table, ...] = (
         ("silver.fact_transaction", "reference.risk_mcc_codes"),
         ("trx_date", "customer_id", "trx_id"),
         month_of="trx_date",
+        told=lambda run_ts: {"refreshed_at": ntz(run_ts)},
         by_month=gold.mcc_keeps_months,
         slice_by="trx_id",
     ),

@@ -8,11 +8,11 @@ overwrites files it reads. One writer per table at a time.
 from __future__ import annotations
 
 import tempfile
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 from datetime import date
 from uuid import uuid4
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -179,6 +179,7 @@ class Lake:
         month_of: str | None = None,
         by_month: bool = False,
         in_ranges: bool = False,
+        told: Mapping[str, Column] | None = None,
     ) -> None:
         """A new version, sorted inside each file and, with ``month_of``, split into month folders.
 
@@ -188,17 +189,21 @@ class Lake:
         ``in_ranges`` deals rows by ranges of month and sort key instead: each file of a large month then
         holds a few days, which its statistics show, and a read of one day opens one or two files of it.
         It samples the rows first, which a table of small months would not repay.
+        ``told`` says which columns are the same for every row or follow from others, and how: they are made
+        after the shuffle and not sent through it.
         Several frames are written one after the other into one version, which counts after the last.
         """
         parts, folder = [df] if isinstance(df, DataFrame) else list(df), self._next(table)
         for i, part in enumerate(parts):
             if month_of:
                 part = part.withColumn(MONTH, month_key(month_of))
+                columns, later = part.columns, {} if by_month else {c: v for c, v in (told or {}).items() if not (in_ranges and c in sort)}
+                part = part.drop(*later)
                 if in_ranges:
                     part = part.repartitionByRange(MONTH, *sort)
                 elif not by_month:
                     part = part.hint("rebalance", F.col(MONTH))
-                part = part.sortWithinPartitions(MONTH, *sort)
+                part = part.withColumns(later).select(*columns).sortWithinPartitions(MONTH, *sort)
             elif sort:
                 part = part.sortWithinPartitions(*sort)
             self._write(part, folder, MONTH if month_of else None, last=i == len(parts) - 1)

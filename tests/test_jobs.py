@@ -3,9 +3,10 @@ from decimal import Decimal
 from pathlib import Path
 
 import pytest
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from helpers import RUN, plan, raw, rows
+from helpers import RUN, T0, T1, plan, raw, rows
 from ledgermill.__main__ import main
 from ledgermill.operators import lookup, quality
 from ledgermill.operators.quality import ChecksFailed
@@ -356,6 +357,40 @@ def test_large_builds_lay_days_out_in_ranges(built, spark, tmp_path):
     assert rows(large.read(SILVER[3].name).drop("updated_at")) == rows(warehouse.read(SILVER[3].name).drop("updated_at"))
 
 
+def test_large_silver_tables_shuffle_repeated_keys_only(spark, tmp_path, monkeypatch):
+    """Whole rows are ranked for keys that occur again; what is stored is what a small build stores."""
+    ranked, of_repeated = [], silver.latest_of_repeated
+    monkeypatch.setattr(silver, "latest_of_repeated", lambda df, keys, *rest: ranked.append(keys[0]) or of_repeated(df, keys, *rest))
+    made = {
+        "crm_customers": [dict(customer_id=i % 40, city=f"c{i}", load_dttm=T0 if i < 40 else T1) for i in range(1, 60)],
+        "core_accounts": [dict(account_id=f"A{i % 50}", customer_id=i, load_dttm=T1 if i % 2 else T0) for i in range(1, 70)],
+        "cards": [dict(card_id=i % 50, account_id=f"A{i}") for i in range(1, 70)],
+        "transactions": [dict(trx_id=i % 90, trx_datetime=T0 + timedelta(i), posting_date=date(2024, 1, 1 + i % 30), amount=Decimal(i)) for i in range(1, 130)],
+        "mobile_sessions": [dict(session_id=f"S{i % 50}", login_time=T0 + timedelta(i) if i % 3 else None) for i in range(1, 70)],
+        "mobile_events": [dict(event_id=i % 50, session_id="S1", event_time=T0 + timedelta(i) if i % 3 else None) for i in range(1, 70)],
+    }
+    stored = []
+    for name, task_bytes in (("small", 1 << 27), ("large", 1 << 10)):
+        warehouse = open_warehouse(spark, str(tmp_path / name), task_bytes=task_bytes)
+        for mapping in warehouse.registry:
+            warehouse.lake.replace(raw(spark, mapping.name, *made[mapping.name]), mapping.target_table)
+        warehouse.build(SILVER, RUN)
+        stored.append([rows(warehouse.read(t.name)) for t in SILVER])
+        assert sorted(ranked) == ([] if name == "small" else sorted(t.key for t in SILVER))
+    assert stored[0] == stored[1] and all(stored[0])
+
+
+def test_columns_that_others_tell_are_made_after_the_shuffle(spark, tmp_path):
+    lake = Lake(spark, str(tmp_path))
+    df = spark.range(90).selectExpr("id", "date '2024-01-01' + cast(id AS int) AS day", "'sent' AS at", "id AS n")
+    for in_ranges in (False, True):
+        lake.replace(df, "silver.t", ("day", "id"), "day", False, in_ranges, {"at": F.lit("made"), "day": F.date_add(F.lit(date(2024, 1, 1)), F.col("n").cast("int"))})
+        got = lake.read("silver.t", df.schema)
+        assert got.columns == df.columns and rows(got) == rows(df.withColumn("at", F.lit("made")))
+    for table in (*SILVER, *GOLD):
+        assert set(table.told(RUN)) <= {f.name for f in table.schema}
+
+
 def test_large_reference_is_laid_out_by_month(built, spark, tmp_path, monkeypatch):
     """Beyond the broadcast bound the join shuffles; files per month stay as few as tables by month have."""
     warehouse, _, _ = built
